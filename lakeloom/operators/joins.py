@@ -1,0 +1,20 @@
+"""Join helpers: broadcast only behind a measured size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Default row bound under which a join side may be broadcast.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Return ``broadcast(df)`` when ``df`` provably holds at most ``max_rows``
+    rows, else ``df`` unchanged (the planner then shuffles both sides).
+
+    The check is a bounded action: ``limit(max_rows + 1).count()`` stops
+    reading once the bound is exceeded, so it never scans a big side fully.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

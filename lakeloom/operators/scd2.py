@@ -1,4 +1,105 @@
-"""SCD2 history merge (placeholder filled below)."""
+"""SCD2 history merge: close changed versions, insert new versions.
+
+For a source batch S and target history T (several rows per key, at most one
+active), the new history is
+
+1. every T row, where an *active* row whose hash differs from the S row of
+   its key gets ``active_flag=false, end_effective_date=as_of`` (nothing
+   else changes, in particular not ``h_update_timestamp``);
+2. plus one new active row ``[as_of, 9999-12-31)`` for every S row whose key
+   is absent from T, or whose key's active T row has a different hash;
+   keys with only inactive T rows are re-opened only when ``reopen=True``.
+
+Unchanged keys produce nothing, so replaying a batch is a no-op.  T is only
+joined with the batch's ``(key, hash)`` pairs, which are broadcast when their
+size is checked to be small; otherwise both sides shuffle on the key.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lakeloom.functions.hashing import row_hash
+from lakeloom.operators.casting import ts_literal
+from lakeloom.operators.joins import sized_broadcast
+from lakeloom.operators.scd1 import dedupe_source
 
 TRACKED_CUSTOMER_COLUMNS = ("customer_id", "first_name", "last_name", "email", "phone_number",
                             "loyalty_points", "membership_status", "address")
+OPEN_END = "9999-12-31"
+
+
+def with_hash(source: DataFrame, tracked=TRACKED_CUSTOMER_COLUMNS, name: str = "hash_value") -> DataFrame:
+    return source.withColumn(name, row_hash(*tracked))
+
+
+def scd2_change_set(target: DataFrame, source: DataFrame, key: str = "customer_id",
+                    tracked=TRACKED_CUSTOMER_COLUMNS, hash_col: str = "s_customer_key",
+                    reopen: bool = False, on_duplicate: str = "error",
+                    batch_col: str = "batch_r_timestamp") -> DataFrame:
+    """Classify each source row: ``new`` (key unseen), ``changed`` (active
+    version differs), ``unchanged``, ``inactive_only`` (key has no active
+    version; re-opened only with ``reopen``).  Columns: source columns,
+    ``hash_value``, ``change_type``, ``merge_key`` (the key for rows to insert
+    with no match, NULL for new versions of changed keys — the MERGE trick)."""
+    src = dedupe_source(source, key, order_col=batch_col, on_duplicate=on_duplicate) \
+        if batch_col in source.columns else source
+    src = with_hash(src, tracked)
+    pairs = sized_broadcast(src.select(key))
+    # only the history of keys present in the batch is summarised
+    hist = (target.join(pairs, key, "left_semi")
+            .groupBy(key).agg(
+                F.max(F.col("active_flag").cast("int")).alias("_has_active"),
+                F.max(F.when(F.col("active_flag"), F.col(hash_col))).alias("_active_hash")))
+    j = src.join(hist, key, "left")
+    change = (F.when(F.col("_has_active").isNull(), "new")
+              .when(F.col("_has_active") == 0, "inactive_only")
+              .when(F.col("_active_hash").eqNullSafe(F.col("hash_value")), "unchanged")
+              .otherwise("changed"))
+    out = j.withColumn("change_type", change).drop("_has_active", "_active_hash")
+    merge_key = F.when(F.col("change_type") == "new", F.col(key))
+    return out.withColumn("merge_key", merge_key)
+
+
+def scd2_merge(target: DataFrame, source: DataFrame, key: str = "customer_id",
+               tracked=TRACKED_CUSTOMER_COLUMNS, as_of=None, run_ts=None, job_id: str = "scd2",
+               hash_col: str = "s_customer_key", reopen: bool = False,
+               on_duplicate: str = "error", batch_col: str = "batch_r_timestamp") -> DataFrame:
+    """New SCD2 history (see module doc).  ``source`` carries the key, the
+    tracked columns and ``batch_col``; ``as_of`` is the effective date of the
+    run (the reference's ``current_date()``), ``run_ts`` its timestamp."""
+    as_of_col = F.lit(str(as_of)).cast("date") if as_of is not None else F.current_date()
+    stamp = ts_literal(run_ts) if run_ts is not None else F.current_timestamp().cast("timestamp_ntz")
+    changes = scd2_change_set(target, source, key, tracked, hash_col, reopen, on_duplicate, batch_col)
+
+    insert_types = ["new", "changed"] + (["inactive_only"] if reopen else [])
+    ins = changes.where(F.col("change_type").isin(*insert_types))
+    inserted = ins.select(
+        *[F.col(c) if c in ins.columns else F.lit(None).alias(c) for c in tracked],
+        F.lit(True).alias("active_flag"),
+        as_of_col.alias("begin_effective_date"),
+        F.lit(OPEN_END).cast("date").alias("end_effective_date"),
+        F.col("hash_value").alias(hash_col),
+        F.col(batch_col).cast("timestamp_ntz").alias("batch_r_timestamp") if batch_col in ins.columns
+        else F.lit(None).cast("timestamp_ntz").alias("batch_r_timestamp"),
+        stamp.alias("h_insert_timestamp"),
+        stamp.alias("h_update_timestamp"),
+        F.lit(job_id).alias("job_id"),
+    )
+
+    # keys whose active version must close: small (<= batch size), broadcast when checked
+    closing = sized_broadcast(changes.where(F.col("change_type") == "changed")
+                              .select(F.col(key).alias("_close_key"), F.lit(True).alias("_close")))
+    t = target.join(closing, target[key] == closing["_close_key"], "left")
+    close = F.col("_close").isNotNull() & F.col("active_flag")
+    kept = t.select(*[
+        F.when(close, F.lit(False)).otherwise(F.col(c)).alias(c) if c == "active_flag" else
+        F.when(close, as_of_col).otherwise(F.col(c)).alias(c) if c == "end_effective_date" else
+        F.col(c)
+        for c in target.columns
+    ])
+    inserted = inserted.select(*[F.col(c) if c in inserted.columns else F.lit(None).alias(c)
+                                 for c in target.columns])
+    return kept.unionByName(inserted.select(*[inserted[c].cast(dict(target.dtypes)[c])
+                                              for c in target.columns]))

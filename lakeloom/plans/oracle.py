@@ -121,7 +121,8 @@ CTE = {
          {SEED_TS} + to_days(CAST(s_suppkey % 3 AS INTEGER)) AS r_insert_timestamp
   FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey)""",
     "raw_customers": f"""raw_customers AS (
-  SELECT customer_id, first_name, last_name, email, phone_number,
+  SELECT customer_id, first_name, last_name, email,
+         CASE WHEN CAST(customer_id AS BIGINT) % 23 = 7 THEN '5550000000' ELSE phone_number END AS phone_number,
          CAST(loyalty_points AS VARCHAR) AS loyalty_points,
          CASE WHEN CAST(customer_id AS BIGINT) % 29 = 1 THEN 'Platinum' ELSE membership_status END AS membership_status,
          address, '2024-01-01 00:00:00' AS update_timestamp,

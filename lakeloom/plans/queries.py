@@ -88,3 +88,306 @@ FROM (SELECT customer_id, COUNT(DISTINCT store_id) AS store_count FROM facts GRO
 GROUP BY 1""")
 def q_customer_store_loyalty(spark, d):
     return curated.customer_store_loyalty(sales_facts_df(spark, d))
+
+
+# --------------------------------------------------------- typed projections
+from pyspark.sql import functions as F  # noqa: E402
+
+from lakeloom import specs as S  # noqa: E402
+from lakeloom.operators import increment, quality, scd1, scd2  # noqa: E402
+from lakeloom.operators.casting import cast_to_spec  # noqa: E402
+from lakeloom.plans.oracle import AS_OF, RUN_TS, SEED_TS  # noqa: E402
+
+RUN = "2025-01-01 00:00:00"
+AS_OF_DATE = "2025-01-01"
+JOB = "harmonize"
+AUDIT_SQL = f"r_insert_timestamp AS batch_r_timestamp, {RUN_TS} AS h_insert_timestamp, " \
+            f"{RUN_TS} AS h_update_timestamp, '{JOB}' AS job_id"
+
+TYPED_SQL = {
+    "products": f"""SELECT product_id, product_name, brand, category, gender, size, color,
+       TRY_CAST(price AS DECIMAL(10,2)) AS price, TRY_CAST(availability AS INTEGER) AS availability,
+       TRY_CAST(added_date AS DATE) AS added_date, TRY_CAST(is_active AS BOOLEAN) AS is_active, {AUDIT_SQL}
+FROM raw_products""",
+    "stores": f"""SELECT store_id, store_name, location, manager_id,
+       CAST(try_strptime(opening_date, '%d-%m-%Y') AS DATE) AS opening_date, {AUDIT_SQL}
+FROM raw_stores""",
+    "transactions": f"""SELECT invoice_id, TRY_CAST(transaction_date_time AS TIMESTAMP) AS transaction_date_time,
+       store_id, customer_id, employee_id, payment_type,
+       TRY_CAST(total_amount AS DECIMAL(10,2)) AS total_amount,
+       CAST(date_trunc('month', TRY_CAST(transaction_date_time AS TIMESTAMP)) AS DATE) AS transaction_month,
+       {AUDIT_SQL}
+FROM raw_transactions""",
+    "line_items": f"""SELECT line_item_id, invoice_id, product_id, TRY_CAST(quantity AS INTEGER) AS quantity,
+       TRY_CAST(unit_price AS DECIMAL(10,2)) AS unit_price, TRY_CAST(total_price AS DECIMAL(10,2)) AS total_price,
+       TRY_CAST(discount_applied AS DECIMAL(10,2)) AS discount_applied, {AUDIT_SQL}
+FROM raw_line_items""",
+    "customers": f"""SELECT customer_id, first_name, last_name, email, phone_number,
+       TRY_CAST(loyalty_points AS INTEGER) AS loyalty_points, membership_status, address, {AUDIT_SQL}
+FROM raw_customers""",
+}
+RAW_READERS = {
+    "products": (R.raw_products, S.PRODUCTS),
+    "stores": (R.raw_stores, S.STORES),
+    "transactions": (R.raw_transactions, S.TRANSACTIONS),
+    "line_items": (R.raw_line_items, S.LINE_ITEMS),
+    "customers": (R.raw_customers, S.CUSTOMERS),
+}
+
+
+def typed(spark, d, name, raw=None):
+    reader, spec = RAW_READERS[name]
+    return cast_to_spec(raw if raw is not None else reader(spark, d), spec, RUN, JOB)
+
+
+def _typed_query(name):
+    def q(spark, d):
+        return typed(spark, d, name)
+    q.__name__ = f"q_typed_{name}"
+    return q
+
+
+for _n in ("products", "stores", "transactions", "line_items"):
+    register(f"typed_{_n}", with_(f"raw_{_n}") + TYPED_SQL[_n])(_typed_query(_n))
+
+
+# ------------------------------------------------------------ data quality
+PRODUCT_CHECK_COLUMNS = ("product_name", "brand", "category", "gender", "size", "color", "price",
+                         "availability")
+PRODUCT_RULES = (quality.Duplicate("Duplicate product_id"), quality.Format("price", issue="Invalid price format"),
+                 quality.NotNull(PRODUCT_CHECK_COLUMNS))
+NUM_RE = r"^[0-9]+(\.[0-9]+)?$"
+DUP_SQL = """SELECT product_id AS unique_identifier, r_insert_timestamp AS r_batch_timestamp,
+       'Duplicate product_id' AS issue
+FROM raw_products GROUP BY product_id, r_insert_timestamp HAVING count(*) > 1"""
+FMT_SQL = f"""SELECT product_id AS unique_identifier, r_insert_timestamp AS r_batch_timestamp,
+       'Invalid price format' AS issue
+FROM raw_products WHERE NOT regexp_matches(price, '{NUM_RE}')"""
+NULL_PRED = " OR ".join(f"{c} IS NULL" for c in PRODUCT_CHECK_COLUMNS)
+NULL_SQL = f"""SELECT product_id AS unique_identifier, r_insert_timestamp AS r_batch_timestamp,
+       'Null value in one or more columns' AS issue
+FROM raw_products WHERE {NULL_PRED}"""
+
+
+@register("dq_duplicates", with_("raw_products") + DUP_SQL)
+def q_dq_duplicates(spark, d):
+    return quality.dq_duplicates(R.raw_products(spark, d), "product_id", "r_insert_timestamp",
+                                 "Duplicate product_id")
+
+
+@register("dq_format", with_("raw_products") + FMT_SQL)
+def q_dq_format(spark, d):
+    return quality.dq_format(R.raw_products(spark, d), "product_id", "r_insert_timestamp", "price",
+                             issue="Invalid price format")
+
+
+@register("dq_nulls", with_("raw_products") + NULL_SQL)
+def q_dq_nulls(spark, d):
+    return quality.dq_nulls(R.raw_products(spark, d), "product_id", "r_insert_timestamp",
+                            PRODUCT_CHECK_COLUMNS)
+
+
+@register("dq_findings", with_("raw_products") + f"{DUP_SQL}\nUNION ALL\n{FMT_SQL}\nUNION ALL\n{NULL_SQL}")
+def q_dq_findings(spark, d):
+    return quality.dq_findings(R.raw_products(spark, d), "product_id", "r_insert_timestamp", PRODUCT_RULES)
+
+
+@register("dq_findings_logged", with_("raw_products") + f"""
+SELECT *, {RUN_TS} AS logged_at FROM ({DUP_SQL}\nUNION ALL\n{FMT_SQL}\nUNION ALL\n{NULL_SQL}) f""")
+def q_dq_findings_logged(spark, d):
+    f = quality.dq_findings(R.raw_products(spark, d), "product_id", "r_insert_timestamp", PRODUCT_RULES)
+    return quality.with_logged_at(f, RUN)
+
+
+@register("dq_constraints", with_("raw_customers") + """
+SELECT customer_id AS unique_identifier, r_insert_timestamp AS r_batch_timestamp,
+       'Null value in one or more columns' AS issue
+FROM raw_customers WHERE customer_id IS NULL OR first_name IS NULL OR last_name IS NULL
+UNION ALL
+SELECT customer_id, r_insert_timestamp, 'Duplicate customer_id' FROM raw_customers
+GROUP BY customer_id, r_insert_timestamp HAVING count(*) > 1
+UNION ALL
+SELECT r.customer_id, r.r_insert_timestamp, 'Duplicate email' FROM raw_customers r
+WHERE r.email IS NOT NULL AND (SELECT count(*) FROM raw_customers x
+      WHERE x.email = r.email AND x.r_insert_timestamp = r.r_insert_timestamp) > 1
+UNION ALL
+SELECT r.customer_id, r.r_insert_timestamp, 'Duplicate phone_number' FROM raw_customers r
+WHERE r.phone_number IS NOT NULL AND (SELECT count(*) FROM raw_customers x
+      WHERE x.phone_number = r.phone_number AND x.r_insert_timestamp = r.r_insert_timestamp) > 1
+UNION ALL
+SELECT customer_id, r_insert_timestamp, 'Invalid membership_status value' FROM raw_customers
+WHERE membership_status NOT IN ('Gold', 'Silver', 'Bronze')""")
+def q_dq_constraints(spark, d):
+    raw = R.raw_customers(spark, d)
+    rules = quality.constraint_rules(S.CUSTOMERS, raw.columns)
+    return quality.dq_findings(raw, "customer_id", "r_insert_timestamp", rules)
+
+
+@register("dq_quarantine", with_("raw_products") + f"""
+SELECT r.* FROM raw_products r
+WHERE NOT coalesce(NOT regexp_matches(r.price, '{NUM_RE}'), false)
+  AND NOT ({NULL_PRED.replace('product_name', 'r.product_name')})
+  AND NOT EXISTS (SELECT 1 FROM raw_products x
+                  WHERE x.product_id IS NOT DISTINCT FROM r.product_id
+                    AND x.r_insert_timestamp = r.r_insert_timestamp
+                  GROUP BY x.product_id, x.r_insert_timestamp HAVING count(*) > 1)""")
+def q_dq_quarantine(spark, d):
+    passed, _ = quality.dq_gate(R.raw_products(spark, d), "product_id", "r_insert_timestamp",
+                                PRODUCT_RULES, mode="quarantine")
+    return passed
+
+
+# ------------------------------------------------------- incremental reads
+# The "already merged" target holds the first two ingest days.
+CUT = "2024-01-02 00:00:00"
+
+
+def _loaded_target(spark, d):
+    raw = R.raw_products(spark, d)
+    return typed(spark, d, "products", increment.incremental_batch(raw, upper=CUT))
+
+
+@register("max_watermark", with_("raw_products") + f"""
+SELECT max(r_insert_timestamp) AS max_batch_timestamp FROM raw_products
+WHERE r_insert_timestamp <= TIMESTAMP '{CUT}'""")
+def q_max_watermark(spark, d):
+    return increment.watermark_df(_loaded_target(spark, d))
+
+
+@register("incremental_batch", with_("raw_products") + f"""
+SELECT * FROM raw_products
+WHERE r_insert_timestamp > (SELECT max(r_insert_timestamp) FROM raw_products
+                            WHERE r_insert_timestamp <= TIMESTAMP '{CUT}')
+  AND r_insert_timestamp <= (SELECT max(r_insert_timestamp) FROM raw_products)""")
+def q_incremental_batch(spark, d):
+    raw = R.raw_products(spark, d)
+    hwm = increment.max_watermark(_loaded_target(spark, d))
+    hi = increment.pin_upper_bound(raw)
+    return increment.incremental_batch(raw, hwm, hi)
+
+
+# ------------------------------------------------------------- SCD1 upserts
+# Target: the harmonized mapping without the keys where ``key % 4 = 3`` (so
+# those arrive as inserts); source: typed raw rows newer than the first
+# ingest day (so keys of day 0 stay untouched).  Source NULLs (unparseable
+# text) overwrite target values, as MERGE's SET does.
+SCD1 = {
+    # name: (harmonized reader, CTE, key, numeric key expression for the split)
+    "products": (R.harmonized_products, "products", "product_id", "CAST(product_id AS BIGINT)"),
+    "stores": (R.harmonized_stores, "stores", "store_id", "CAST(store_id AS BIGINT)"),
+    "transactions": (R.harmonized_transactions, "transactions", "invoice_id", "CAST(invoice_id AS BIGINT)"),
+    "line_items": (R.harmonized_line_items, "line_items", "line_item_id", "CAST(invoice_id AS BIGINT)"),
+}
+
+
+def _scd1_sql(name: str) -> str:
+    reader, cte, key, knum = SCD1[name]
+    spec = RAW_READERS[name][1]
+    cols = [c.name for c in spec.columns if c.name not in scd1.AUDIT_TAIL]
+    sel = [f"coalesce(t.{key}, s.{key}) AS {key}"]
+    for c in cols:
+        if c != key:
+            sel.append(f"CASE WHEN s._here THEN s.{c} ELSE t.{c} END AS {c}")
+    sel += [
+        "CASE WHEN s._here THEN s.batch_r_timestamp ELSE t.batch_r_timestamp END AS batch_r_timestamp",
+        f"CASE WHEN t._here THEN t.h_insert_timestamp ELSE {RUN_TS} END AS h_insert_timestamp",
+        f"CASE WHEN s._here THEN {RUN_TS} ELSE t.h_update_timestamp END AS h_update_timestamp",
+        f"CASE WHEN s._here THEN '{JOB}' ELSE t.job_id END AS job_id",
+    ]
+    src = f"SELECT * FROM ({TYPED_SQL[name]}) WHERE batch_r_timestamp > {SEED_TS}"
+    if name == "products":  # re-sent rows: keep the latest batch per key
+        src = f"SELECT * FROM ({src}) QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY batch_r_timestamp DESC) = 1"
+    return (with_(cte, f"raw_{name}") + f""", tgt AS (SELECT *, true AS _here FROM {cte} WHERE {knum} % 4 <> 3),
+src AS (SELECT *, true AS _here FROM ({src}))
+SELECT {', '.join(sel)} FROM tgt t FULL OUTER JOIN src s ON t.{key} = s.{key}""")
+
+
+def _scd1_query(name):
+    reader, _, key, _ = SCD1[name]
+
+    def q(spark, d):
+        tgt = reader(spark, d)
+        knum = F.col("invoice_id" if name == "line_items" else key).cast("bigint")
+        tgt = tgt.where(F.pmod(knum, F.lit(4)) != 3)
+        src = typed(spark, d, name).where(F.col("batch_r_timestamp") > R.SEED_TS)
+        return scd1.scd1_upsert(tgt, src, key, run_ts=RUN, job_id=JOB,
+                                on_duplicate="latest" if name == "products" else "error")
+    q.__name__ = f"q_scd1_{name}"
+    return q
+
+
+for _n in SCD1:
+    register(f"scd1_upsert_{_n}", _scd1_sql(_n))(_scd1_query(_n))
+
+
+# --------------------------------------------------------------- SCD2 merge
+# Target history: the two-version customer dimension, without customers
+# ``k % 7 = 6`` (they arrive new) and with customers ``k % 11 = 5`` closed
+# entirely (inactive only).  Source: typed raw customers newer than day 0,
+# with 7 more loyalty points for ``k % 6 = 1`` (changed rows besides the
+# re-tiered and re-numbered ones).
+
+def _scd2_target(spark, d):
+    t = R.customers_two_versions(spark, d)
+    k = F.col("customer_id").cast("bigint")
+    t = t.where(F.pmod(k, F.lit(7)) != 6)
+    return t.withColumn("active_flag", F.when(F.pmod(k, F.lit(11)) == 5, F.lit(False))
+                        .otherwise(F.col("active_flag")))
+
+
+def _scd2_source(spark, d):
+    src = typed(spark, d, "customers").where(F.col("batch_r_timestamp") > R.SEED_TS)
+    k = F.col("customer_id").cast("bigint")
+    return src.withColumn("loyalty_points", F.when(F.pmod(k, F.lit(6)) == 1, F.col("loyalty_points") + 7)
+                          .otherwise(F.col("loyalty_points")))
+
+
+SCD2_CTES = with_("customers2", "raw_customers") + f""", tgt AS (
+  SELECT * REPLACE (CASE WHEN CAST(customer_id AS BIGINT) % 11 = 5 THEN false ELSE active_flag END AS active_flag)
+  FROM customers2 WHERE CAST(customer_id AS BIGINT) % 7 <> 6),
+src0 AS (SELECT * FROM ({TYPED_SQL['customers']}) WHERE batch_r_timestamp > {SEED_TS}),
+src AS (SELECT * REPLACE (CASE WHEN CAST(customer_id AS BIGINT) % 6 = 1 THEN loyalty_points + 7
+                                ELSE loyalty_points END AS loyalty_points) FROM src0),
+hsrc AS (SELECT *, {__import__('lakeloom.plans.oracle', fromlist=['_hash'])._hash(scd2.TRACKED_CUSTOMER_COLUMNS)} AS hash_value FROM src),
+hist AS (SELECT customer_id, max(CAST(active_flag AS INTEGER)) AS has_active,
+                max(CASE WHEN active_flag THEN s_customer_key END) AS active_hash
+         FROM tgt WHERE customer_id IN (SELECT customer_id FROM hsrc) GROUP BY customer_id),
+chg AS (SELECT s.*, CASE WHEN h.has_active IS NULL THEN 'new' WHEN h.has_active = 0 THEN 'inactive_only'
+                         WHEN h.active_hash IS NOT DISTINCT FROM s.hash_value THEN 'unchanged'
+                         ELSE 'changed' END AS change_type
+        FROM hsrc s LEFT JOIN hist h ON s.customer_id = h.customer_id)
+"""
+
+
+@register("scd2_change_set", SCD2_CTES + """
+SELECT customer_id, hash_value, change_type,
+       CASE WHEN change_type = 'new' THEN customer_id END AS merge_key FROM chg""")
+def q_scd2_change_set(spark, d):
+    ch = scd2.scd2_change_set(_scd2_target(spark, d), _scd2_source(spark, d))
+    return ch.select("customer_id", "hash_value", "change_type", "merge_key")
+
+
+@register("scd2_merge_customers", SCD2_CTES + f"""
+SELECT t.customer_id, t.first_name, t.last_name, t.email, t.phone_number, t.loyalty_points,
+       t.membership_status, t.address,
+       CASE WHEN c.customer_id IS NOT NULL AND t.active_flag THEN false ELSE t.active_flag END AS active_flag,
+       t.begin_effective_date,
+       CASE WHEN c.customer_id IS NOT NULL AND t.active_flag THEN {AS_OF} ELSE t.end_effective_date END
+         AS end_effective_date,
+       t.s_customer_key, t.batch_r_timestamp, t.h_insert_timestamp, t.h_update_timestamp, t.job_id
+FROM tgt t LEFT JOIN (SELECT customer_id FROM chg WHERE change_type = 'changed') c
+  ON t.customer_id = c.customer_id
+UNION ALL
+SELECT customer_id, first_name, last_name, email, phone_number, loyalty_points, membership_status, address,
+       true, {AS_OF}, DATE '9999-12-31', hash_value, batch_r_timestamp, {RUN_TS}, {RUN_TS}, 'scd2'
+FROM chg WHERE change_type IN ('new', 'changed')""")
+def q_scd2_merge_customers(spark, d):
+    return scd2.scd2_merge(_scd2_target(spark, d), _scd2_source(spark, d), as_of=AS_OF_DATE, run_ts=RUN)
+
+
+@register("row_hash", with_("raw_customers") + f"""
+SELECT customer_id, {__import__('lakeloom.plans.oracle', fromlist=['_hash'])._hash(scd2.TRACKED_CUSTOMER_COLUMNS)} AS row_hash
+FROM raw_customers""")
+def q_row_hash(spark, d):
+    from lakeloom.functions.hashing import row_hash
+    return R.raw_customers(spark, d).select("customer_id", row_hash(*scd2.TRACKED_CUSTOMER_COLUMNS).alias("row_hash"))

@@ -243,7 +243,8 @@ def raw_customers(spark, sf_dir) -> DataFrame:
     h = harmonized_customers(spark, sf_dir)
     k = F.col("customer_id").cast("bigint")
     return h.select(
-        "customer_id", "first_name", "last_name", "email", "phone_number",
+        "customer_id", "first_name", "last_name", "email",
+        F.when(F.pmod(k, F.lit(23)) == 7, "5550000000").otherwise(F.col("phone_number")).alias("phone_number"),
         _s("loyalty_points").alias("loyalty_points"),
         F.when(F.pmod(k, F.lit(29)) == 1, "Platinum").otherwise(F.col("membership_status")).alias("membership_status"),
         "address",

@@ -391,3 +391,166 @@ FROM raw_customers""")
 def q_row_hash(spark, d):
     from lakeloom.functions.hashing import row_hash
     return R.raw_customers(spark, d).select("customer_id", row_hash(*scd2.TRACKED_CUSTOMER_COLUMNS).alias("row_hash"))
+
+
+# ---------------------------------------------------------------- governance
+from lakeloom.operators import defaults as DF  # noqa: E402
+from lakeloom.operators import governance, layout  # noqa: E402
+
+CUSTOMER_COLS = ("customer_id, first_name, last_name, email, phone_number, loyalty_points, membership_status, "
+                 "address, active_flag, begin_effective_date, end_effective_date, s_customer_key, "
+                 "batch_r_timestamp, h_insert_timestamp, h_update_timestamp, job_id")
+
+
+@register("masked_customers", with_("customers") + "SELECT " + CUSTOMER_COLS.replace(
+    "email, phone_number", "'***' || substr(email, instr(email, '@')) AS email, '**********' AS phone_number").replace(
+    "address, active_flag", "string_split(address, ',')[-1] AS address, active_flag") + " FROM customers")
+def q_masked_customers(spark, d):
+    return governance.masked_view(R.harmonized_customers(spark, d), roles=())
+
+
+@register("masked_customers_crm", with_("customers") + f"SELECT {CUSTOMER_COLS} FROM customers")
+def q_masked_customers_crm(spark, d):
+    return governance.masked_view(R.harmonized_customers(spark, d), roles=("CRM", "Sales"))
+
+
+@register("masked_customers_sql", with_("customers") + """
+SELECT customer_id, '**********' AS phone_number, '***' || substr(email, instr(email, '@')) AS email,
+       string_split(address, ',')[-1] AS address FROM customers""")
+def q_masked_customers_sql(spark, d):
+    """The SQL-function form: ``masking_*`` registered for a caller without the role."""
+    from lakeloom.functions.masks import register_mask_functions
+    register_mask_functions(spark, roles=())
+    R.harmonized_customers(spark, d).createOrReplaceTempView("lakeloom_customers")
+    return spark.sql("""SELECT customer_id, masking_phone(phone_number) AS phone_number,
+                        masking_email(email) AS email, masking_address(address) AS address
+                        FROM lakeloom_customers""")
+
+
+# ------------------------------------------------------------ column defaults
+def _defaults_input(spark, d):
+    src = typed(spark, d, "customers").drop("membership_status")
+    k = F.col("customer_id").cast("bigint")
+    return src.withColumn("loyalty_points", F.when(F.pmod(k, F.lit(9)) == 0, F.lit(None).cast("int"))
+                          .otherwise(F.col("loyalty_points")))
+
+
+DEFAULT_COLS = ["customer_id", "loyalty_points", "membership_status", "active_flag",
+                "begin_effective_date", "end_effective_date"]
+
+
+def _defaults_sql(fill: bool) -> str:
+    lp = "coalesce(loyalty_points, 0)" if fill else "loyalty_points"
+    return with_("raw_customers") + f"""
+SELECT customer_id, {lp} AS loyalty_points, 'Bronze' AS membership_status, true AS active_flag,
+       {AS_OF} AS begin_effective_date, DATE '9999-12-31' AS end_effective_date
+FROM (SELECT customer_id, CASE WHEN CAST(customer_id AS BIGINT) % 9 = 0 THEN NULL
+                               ELSE TRY_CAST(loyalty_points AS INTEGER) END AS loyalty_points
+      FROM raw_customers) x"""
+
+
+@register("column_defaults", _defaults_sql(False))
+def q_column_defaults(spark, d):
+    out = DF.apply_defaults(_defaults_input(spark, d), S.CUSTOMERS, as_of=AS_OF_DATE, run_ts=RUN)
+    return out.select(*DEFAULT_COLS)
+
+
+@register("column_defaults_fill", _defaults_sql(True))
+def q_column_defaults_fill(spark, d):
+    out = DF.apply_defaults(_defaults_input(spark, d), S.CUSTOMERS, as_of=AS_OF_DATE, run_ts=RUN,
+                            fill_nulls=True)
+    return out.select(*DEFAULT_COLS)
+
+
+# --------------------------------------------------------------- z-order
+@register("zorder_facts", with_("facts") + "SELECT * FROM facts")
+def q_zorder_facts(spark, d):
+    f = sales_facts_df(spark, d)
+    return layout.cluster_by_zorder(f, ["customer_id", "product_id", "store_id"], n_files=8,
+                                    partition_col="transaction_month")
+
+
+# ---------------------------------------------------------- file ingest
+def _quarantine_sql(src: str) -> str:
+    """Rows of CTE ``src`` that pass the product rules (quarantine mode)."""
+    return f"""SELECT r.* FROM {src} r
+WHERE NOT coalesce(NOT regexp_matches(r.price, '{NUM_RE}'), false)
+  AND NOT ({NULL_PRED.replace('product_name', 'r.product_name')})
+  AND NOT EXISTS (SELECT 1 FROM {src} x
+                  WHERE x.product_id IS NOT DISTINCT FROM r.product_id
+                    AND x.r_insert_timestamp = r.r_insert_timestamp
+                  GROUP BY x.product_id, x.r_insert_timestamp HAVING count(*) > 1)"""
+
+
+STORE_RAW_COLS = ("store_id", "store_name", "location", "manager_id", "opening_date")
+
+
+@register("ingest_csv_incremental", with_("raw_stores") + """
+SELECT store_id, store_name, location, manager_id, opening_date FROM raw_stores
+UNION ALL
+SELECT store_id, store_name || ', renamed', location, manager_id, opening_date FROM raw_stores
+WHERE CAST(store_id AS BIGINT) % 3 = 0""")
+def q_ingest_csv_incremental(spark, d):
+    """Land stores as CSV in two day folders, ingest; ingest again (nothing
+    new); land a third folder of renamed stores (a quoted comma in every
+    name), ingest; return the raw table's business columns."""
+    from lakeloom.session import scratch_path
+    from lakeloom.streaming.file_ingest import ingest_files, read_raw
+    base = scratch_path(spark, "ingest")
+    stores = R.raw_stores(spark, d).select(*STORE_RAW_COLS)
+    k = F.col("store_id").cast("bigint")
+    csv = {"header": True, "quoteAll": False}
+    stores.where(F.pmod(k, F.lit(2)) == 0).write.options(**csv).csv(f"{base}/landing/partition_1")
+    stores.where(F.pmod(k, F.lit(2)) == 1).write.options(**csv).csv(f"{base}/landing/partition_2")
+    glob, target, ckpt = f"{base}/landing/partition_*/*.csv", f"{base}/raw/t_stores", f"{base}/ckpt"
+    ingest_files(spark, glob, STORE_RAW_COLS, target, ckpt)
+    ingest_files(spark, glob, STORE_RAW_COLS, target, ckpt)        # re-run: no new files
+    (stores.where(F.pmod(k, F.lit(3)) == 0)
+     .withColumn("store_name", F.concat("store_name", F.lit(", renamed")))
+     .write.options(**csv).csv(f"{base}/landing/partition_3"))
+    ingest_files(spark, glob, STORE_RAW_COLS, target, ckpt)
+    return read_raw(spark, target, STORE_RAW_COLS).select(*STORE_RAW_COLS)
+
+
+# ------------------------------------------------------ end-to-end harmonize
+RUN1, RUN2 = "2025-01-01 00:00:00", "2025-01-02 00:00:00"
+
+
+def _typed_products_sql(src: str, run_ts: str) -> str:
+    return f"""SELECT product_id, product_name, brand, category, gender, size, color,
+       TRY_CAST(price AS DECIMAL(10,2)) AS price, TRY_CAST(availability AS INTEGER) AS availability,
+       TRY_CAST(added_date AS DATE) AS added_date, TRY_CAST(is_active AS BOOLEAN) AS is_active,
+       r_insert_timestamp AS batch_r_timestamp, TIMESTAMP '{run_ts}' AS h_insert_timestamp,
+       TIMESTAMP '{run_ts}' AS h_update_timestamp, '{JOB}' AS job_id
+FROM ({src}) QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY r_insert_timestamp DESC) = 1"""
+
+
+PRODUCT_VALUE_COLS = ("product_name", "brand", "category", "gender", "size", "color", "price",
+                      "availability", "added_date", "is_active")
+
+HARMONIZE_SQL = with_("raw_products") + f""",
+b1 AS (SELECT * FROM raw_products WHERE r_insert_timestamp <= {SEED_TS}),
+t1 AS ({_typed_products_sql(_quarantine_sql('b1'), RUN1)}),
+b2 AS (SELECT * FROM raw_products
+       WHERE r_insert_timestamp > (SELECT max(batch_r_timestamp) FROM t1)
+         AND r_insert_timestamp <= (SELECT max(r_insert_timestamp) FROM raw_products)),
+t2 AS ({_typed_products_sql(_quarantine_sql('b2'), RUN2)})
+SELECT coalesce(t.product_id, s.product_id) AS product_id,
+       {', '.join(f'CASE WHEN s.product_id IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}' for c in PRODUCT_VALUE_COLS)},
+       CASE WHEN s.product_id IS NOT NULL THEN s.batch_r_timestamp ELSE t.batch_r_timestamp END AS batch_r_timestamp,
+       CASE WHEN t.product_id IS NOT NULL THEN t.h_insert_timestamp ELSE TIMESTAMP '{RUN2}' END AS h_insert_timestamp,
+       CASE WHEN s.product_id IS NOT NULL THEN TIMESTAMP '{RUN2}' ELSE t.h_update_timestamp END AS h_update_timestamp,
+       '{JOB}' AS job_id
+FROM t1 t FULL OUTER JOIN t2 s ON t.product_id = s.product_id"""
+
+
+@register("harmonize_products", HARMONIZE_SQL)
+def q_harmonize_products(spark, d):
+    """Two daily runs of the products job: first load up to the first ingest
+    day into an empty table, then everything newer; quarantine mode."""
+    from lakeloom.plans.harmonize import TableJob, harmonize
+    job = TableJob(S.PRODUCTS, rules=PRODUCT_RULES, mode="quarantine")
+    raw = R.raw_products(spark, d)
+    first = harmonize(job, raw, None, RUN1, JOB, upper=R.SEED_TS)
+    second = harmonize(job, raw, first.state, RUN2, JOB)
+    return second.state

@@ -28,7 +28,8 @@ def mask_email(c, has_role: Column, strict: bool = False) -> Column:
     # instr is 0 when there is no '@'; substr from 0 then keeps the whole value.
     masked = F.concat(F.lit(EMAIL_MASK_PREFIX), F.substr(col, F.instr(col, "@")))
     if strict:
-        masked = F.when(F.instr(col, "@") > 0, masked).otherwise(F.lit(EMAIL_MASK_PREFIX))
+        # no '@': hide the whole value (NULL stays NULL)
+        masked = F.when(F.instr(col, "@") > 0, masked).when(col.isNotNull(), F.lit(EMAIL_MASK_PREFIX))
     return F.when(has_role, col).otherwise(masked)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.operators.casting import ts_literal
-from lakeloom.operators.joins import sized_broadcast
+from lakeloom.operators.joins import BROADCAST_MAX_ROWS, sized_broadcast
 
 AUDIT_TAIL = ("batch_r_timestamp", "h_insert_timestamp", "h_update_timestamp", "job_id")
 
@@ -48,7 +48,8 @@ def dedupe_source(source: DataFrame, key, order_col: str = "batch_r_timestamp",
 
 
 def scd1_upsert(target: DataFrame, source: DataFrame, key, columns=None, run_ts=None,
-                job_id: str | None = None, on_duplicate: str = "error") -> DataFrame:
+                job_id: str | None = None, on_duplicate: str = "error",
+                broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """New state of ``target`` after merging ``source``.
 
     ``columns``: mapped business columns (default: source columns that are in
@@ -69,7 +70,22 @@ def scd1_upsert(target: DataFrame, source: DataFrame, key, columns=None, run_ts=
                    else F.lit(None).cast("timestamp_ntz").alias("_s_batch"),
                    F.lit(True).alias("_s_here"))
     t = target.withColumn("_t_here", F.lit(True))
-    j = t.join(s, keys, "full_outer")
+    small = broadcast_max_rows > 0 and s.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
+    if small:
+        # Batch of checked size: the target streams through a broadcast left
+        # join (updated or untouched rows) and is never shuffled; inserts are
+        # the batch rows whose key no target row matched (a key-only scan).
+        upd = t.join(F.broadcast(s), keys, "left")
+        matched = (target.select(*keys).join(F.broadcast(s.select(*keys)), keys, "left_semi")
+                   .distinct())
+        ins = (s.join(F.broadcast(matched), keys, "left_anti")
+               .select(*[F.col(k) for k in keys], *[F.col(c) for c in s.columns if c not in keys],
+                       *[F.lit(None).cast(dict(target.dtypes)[c]).alias(c)
+                         for c in target.columns if c not in keys],
+                       F.lit(None).cast("boolean").alias("_t_here")))
+        j = upd.unionByName(ins)
+    else:
+        j = t.join(s, keys, "full_outer")
     from_src = F.col("_s_here").isNotNull()
     out = []
     for c in target.columns:

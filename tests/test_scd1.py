@@ -1,0 +1,62 @@
+import datetime as dt
+
+import pytest
+
+from lakeloom.operators import scd1
+from tests.conftest import rows
+
+T0, T1, T2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 3)
+RUN = "2025-01-01 00:00:00"
+RUN_DT = dt.datetime(2025, 1, 1)
+TSCHEMA = ("id string, a string, b int, batch_r_timestamp timestamp_ntz, h_insert_timestamp timestamp_ntz, "
+           "h_update_timestamp timestamp_ntz, job_id string")
+SSCHEMA = "id string, a string, b int, batch_r_timestamp timestamp_ntz"
+
+
+def _t(spark):
+    return spark.createDataFrame([("1", "old", 1, T0, T0, T0, "seed"), ("2", "keep", 2, T0, T0, T0, "seed"),
+                                  ("3", "val", 3, T0, T0, T0, "seed")], TSCHEMA)
+
+
+@pytest.mark.parametrize("bmax", [1_000, 0])   # broadcast path and full-outer path
+def test_insert_update_untouched_null_overwrite(spark, bmax):
+    s = spark.createDataFrame([("1", "new", 10, T1), ("3", None, None, T1), ("4", "ins", 4, T1)], SSCHEMA)
+    out = rows(scd1.scd1_upsert(_t(spark), s, "id", run_ts=RUN, job_id="j", broadcast_max_rows=bmax))
+    assert out == [
+        ("1", "new", 10, T1, T0, RUN_DT, "j"),
+        ("2", "keep", 2, T0, T0, T0, "seed"),
+        ("3", None, None, T1, T0, RUN_DT, "j"),        # source NULL overwrites
+        ("4", "ins", 4, T1, RUN_DT, RUN_DT, "j"),
+    ]
+
+
+def test_duplicate_key_error_and_latest(spark):
+    s = spark.createDataFrame([("1", "x", 1, T1), ("1", "y", 2, T2)], SSCHEMA)
+    with pytest.raises(scd1.DuplicateKeyError):
+        scd1.scd1_upsert(_t(spark), s, "id", run_ts=RUN, job_id="j")
+    out = {r.id: r for r in scd1.scd1_upsert(_t(spark), s, "id", run_ts=RUN, job_id="j",
+                                              on_duplicate="latest").collect()}
+    assert out["1"].a == "y" and out["1"].batch_r_timestamp == T2
+
+
+def test_empty_source_is_identity(spark):
+    s = spark.createDataFrame([], SSCHEMA)
+    assert rows(scd1.scd1_upsert(_t(spark), s, "id", run_ts=RUN, job_id="j")) == rows(_t(spark))
+
+
+def test_idempotent(spark):
+    s = spark.createDataFrame([("1", "new", 10, T1), ("4", "ins", 4, T1)], SSCHEMA)
+    once = scd1.scd1_upsert(_t(spark), s, "id", run_ts=RUN, job_id="j")
+    twice = scd1.scd1_upsert(once, s, "id", run_ts="2025-02-01 00:00:00", job_id="j")
+    drop = lambda df: rows(df.drop("h_update_timestamp"))
+    assert drop(once) == drop(twice)
+    assert sorted(r.id for r in once.collect()) == ["1", "2", "3", "4"]
+
+
+def test_merge_partitions_moves_rows_between_months(spark):
+    tgt = spark.createDataFrame([("1", "a", 1, dt.date(2024, 1, 1)), ("2", "b", 2, dt.date(2024, 2, 1))],
+                                "id string, a string, b int, m date")
+    src = spark.createDataFrame([("1", "a2", 1, dt.date(2024, 3, 1))], "id string, a string, b int, m date")
+    out = rows(scd1.merge_partitions(tgt, src, "id", "m", run_ts=RUN, job_id="j", columns=["a", "b", "m"]))
+    # only partitions Jan (old home of id 1) and Mar (new home) are rewritten
+    assert out == [("1", "a2", 1, dt.date(2024, 3, 1))]

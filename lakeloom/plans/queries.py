@@ -554,3 +554,40 @@ def q_harmonize_products(spark, d):
     first = harmonize(job, raw, None, RUN1, JOB, upper=R.SEED_TS)
     second = harmonize(job, raw, first.state, RUN2, JOB)
     return second.state
+
+
+# --------------------------------------------- SQL views and the facts refresh
+def _register_retail_views(spark, d) -> None:
+    sales_facts_df(spark, d).createOrReplaceTempView("lakeloom_sales_facts")
+    R.harmonized_customers(spark, d).createOrReplaceTempView("lakeloom_customers")
+    R.harmonized_products(spark, d).createOrReplaceTempView("lakeloom_products")
+
+
+def _view_query(view):
+    def q(spark, d):
+        from lakeloom.plans.catalog import create_curated_views
+        _register_retail_views(spark, d)
+        create_curated_views(spark, "lakeloom_sales_facts", "lakeloom_customers", "lakeloom_products",
+                             temporary=True)
+        return spark.table(view)
+    q.__name__ = f"q_{view}"
+    return q
+
+
+register("curated_view_customer_summary", ORACLE["customer_summary"])(_view_query("v_customer_summary"))
+register("curated_view_product_sales_summary", ORACLE["product_sales_summary"])(
+    _view_query("v_product_sales_summary"))
+register("curated_view_customer_store_loyalty", ORACLE["customer_store_loyalty"])(
+    _view_query("v_customer_store_loyalty"))
+
+
+@register("sales_facts_refresh", with_("facts") + "SELECT * FROM facts")
+def q_sales_facts_refresh(spark, d):
+    """Full refresh (INSERT OVERWRITE) of the month-partitioned fact table in
+    the shared scratch folder, read back from disk."""
+    from lakeloom.plans.publish import write_partitioned
+    from lakeloom.session import scratch_path
+    path = scratch_path(spark, "t_sales_facts")
+    write_partitioned(sales_facts_df(spark, d), path, "transaction_month", order_col="line_item_id")
+    out = spark.read.parquet(path)
+    return out.select(*facts.FACT_COLUMNS)

@@ -47,3 +47,13 @@ def test_ingest_rerun_new_file_header_only_and_quoted_comma(spark, tmpdir_path):
     assert got.count() == 3
     assert dict(got.dtypes)["store_id"] == "string" and "r_insert_timestamp" in got.columns
     assert got.select("r_insert_timestamp").distinct().count() == 2   # one stamp per load
+
+
+def test_zorder_splits_a_hot_key(spark):
+    # one value combination holds a third of the rows: it must not land in one task
+    df = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("a"),
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).alias("b"), "id")
+    out = layout.cluster_by_zorder(df, ["a", "b"], n_files=12)
+    sizes = [r[1] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 30000 and max(sizes) < 10000 * 0.6

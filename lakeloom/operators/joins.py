@@ -4,17 +4,52 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Default row bound under which a join side may be broadcast.
+# Defaults for what may be broadcast: at most this many rows AND at most this
+# many estimated bytes (rows x schema width), whichever is tighter.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
+# Per-value width estimates (bytes) for the schema-based row size.
+_WIDTH = {
+    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
+    T.LongType: 8, T.FloatType: 4, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
+    T.DecimalType: 16, T.StringType: 48, T.BinaryType: 64,
+}
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Return ``broadcast(df)`` when ``df`` provably holds at most ``max_rows``
-    rows, else ``df`` unchanged (the planner then shuffles both sides).
 
-    The check is a bounded action: ``limit(max_rows + 1).count()`` stops
-    reading once the bound is exceeded, so it never scans a big side fully.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def row_width(schema: T.StructType) -> int:
+    """Estimated bytes per row (strings counted generously; nested types by
+    their fields; 16 bytes of per-row overhead)."""
+    def width(dt) -> int:
+        if isinstance(dt, T.StructType):
+            return sum(width(f.dataType) for f in dt.fields)
+        if isinstance(dt, (T.ArrayType, T.MapType)):
+            return 256
+        for t, w in _WIDTH.items():
+            if isinstance(dt, t):
+                return w
+        return 64
+    return 16 + width(schema)
+
+
+def broadcast_row_bound(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                        max_bytes: int = BROADCAST_MAX_BYTES) -> int:
+    return max(0, min(max_rows, max_bytes // row_width(df.schema)))
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                   max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` provably holds at most the row bound.  The check is a
+    bounded action: ``limit(bound + 1).count()`` stops reading once the bound
+    is exceeded, so it never scans a big side fully."""
+    bound = broadcast_row_bound(df, max_rows, max_bytes)
+    return bound > 0 and df.limit(bound + 1).count() <= bound
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                    max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``broadcast(df)`` when its size is checked to be small, else ``df``
+    unchanged (the planner then shuffles both sides)."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df

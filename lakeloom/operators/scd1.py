@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.operators.casting import ts_literal
-from lakeloom.operators.joins import BROADCAST_MAX_ROWS, sized_broadcast
+from lakeloom.operators.joins import BROADCAST_MAX_ROWS, fits_broadcast, sized_broadcast
 
 AUDIT_TAIL = ("batch_r_timestamp", "h_insert_timestamp", "h_update_timestamp", "job_id")
 
@@ -70,7 +70,7 @@ def scd1_upsert(target: DataFrame, source: DataFrame, key, columns=None, run_ts=
                    else F.lit(None).cast("timestamp_ntz").alias("_s_batch"),
                    F.lit(True).alias("_s_here"))
     t = target.withColumn("_t_here", F.lit(True))
-    small = broadcast_max_rows > 0 and s.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
+    small = broadcast_max_rows > 0 and fits_broadcast(s, broadcast_max_rows)
     if small:
         # Batch of checked size: the target streams through a broadcast left
         # join (updated or untouched rows) and is never shuffled; inserts are
@@ -123,16 +123,32 @@ def merge_partitions(target: DataFrame, source: DataFrame, key, part_col: str, *
     Returns only the rewritten partitions' new contents; untouched partitions
     are left as they are by a dynamic partition overwrite (see
     ``lakeloom.plans.publish``).  ``part_col`` must be present in both."""
+    touched = touched_partitions(target, source, key, part_col)
+    return scd1_upsert(restrict_to(target, part_col, touched), source, key, **kw)
+
+
+def touched_partitions(target: DataFrame, source: DataFrame, key, part_col: str) -> list:
+    """Partition values a merge of ``source`` rewrites: those the new rows
+    land in, plus those holding the current rows of the same keys (a key whose
+    partition value changes moves between them).  One value per partition, so
+    what reaches the driver is bounded by the partition count."""
     keys = [key] if isinstance(key, str) else list(key)
-    # partitions the new rows land in, plus those holding the current rows of
-    # the same keys (a key whose partition value changes moves between them);
-    # the result is one value per partition, so bounded by the partition count
     moved_from = target.select(*keys, part_col).join(
         sized_broadcast(source.select(*keys).distinct()), keys, "left_semi").select(part_col)
-    parts = source.select(part_col).union(moved_from).distinct()
-    touched = [r[0] for r in parts.collect()]
-    tgt = target.where(F.col(part_col).isin(touched)) if touched else target.limit(0)
-    return scd1_upsert(tgt, source, key, **kw)
+    return [r[0] for r in source.select(part_col).union(moved_from).distinct().collect()]
+
+
+def restrict_to(df: DataFrame, part_col: str, values) -> DataFrame:
+    """Rows of the given partitions; NULL is a partition value too (null-safe)."""
+    if not values:
+        return df.limit(0)
+    conds = []
+    non_null = [v for v in values if v is not None]
+    if non_null:
+        conds.append(F.col(part_col).isin(non_null))
+    if any(v is None for v in values):
+        conds.append(F.col(part_col).isNull())
+    return df.where(reduce(lambda a, b: a | b, conds))
 
 
 __all__ = ["scd1_upsert", "dedupe_source", "DuplicateKeyError", "touched_keys", "key_bucket",

@@ -41,14 +41,22 @@ def publish_snapshot(spark: SparkSession, state: DataFrame, base: str, view: str
     return path
 
 
-def overwrite_partitions(spark: SparkSession, new_parts: DataFrame, path: str, partition_col: str) -> None:
+def overwrite_partitions(spark: SparkSession, new_parts: DataFrame, path: str, partition_col: str,
+                         touched=None) -> None:
     """Replace only the partitions present in ``new_parts`` at ``path``.
 
     ``new_parts`` usually reads ``path`` itself (a merge), so it is staged to
     a shared scratch folder first; the overwrite then reads the stage only and
-    can be re-run from it if the job dies half-way."""
+    can be re-run from it if the job dies half-way.  Partitions listed in
+    ``touched`` that end up with no rows (all their keys moved away) are
+    removed, which a dynamic overwrite alone would leave behind."""
     stage = scratch_path(spark, "stage")
     new_parts.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
+    if touched:
+        present = {r[0] for r in spark.read.parquet(stage).select(partition_col).distinct().collect()}
+        for value in touched:
+            if value not in present:
+                _drop_partition_dir(spark, path, partition_col, value)
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
@@ -59,6 +67,53 @@ def overwrite_partitions(spark: SparkSession, new_parts: DataFrame, path: str, p
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
+def _drop_partition_dir(spark: SparkSession, path: str, partition_col: str, value) -> None:
+    """Delete one Hive-style partition folder through the Hadoop FileSystem API."""
+    name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_col}={name}")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+class VersionedTable:
+    """A table kept as immutable version folders ``<base>/v=<n>``.
+
+    ``commit(df, n)`` writes version ``n`` (overwriting a half-written
+    attempt of the same ``n``, so a replayed stream epoch is idempotent);
+    ``current()`` reads the highest complete version (Spark's ``_SUCCESS``
+    marker), or None before the first commit."""
+
+    def __init__(self, spark: SparkSession, base: str):
+        self.spark, self.base = spark, base.rstrip("/")
+
+    def _fs(self):
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.base)
+        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def versions(self) -> list[int]:
+        p, fs = self._fs()
+        if not fs.exists(p):
+            return []
+        out = []
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if name.startswith("v=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
+                out.append(int(name[2:]))
+        return sorted(out)
+
+    def current(self) -> DataFrame | None:
+        vs = self.versions()
+        return self.spark.read.parquet(f"{self.base}/v={vs[-1]}") if vs else None
+
+    def commit(self, df: DataFrame, version: int) -> str:
+        path = f"{self.base}/v={version}"
+        df.write.mode("overwrite").parquet(path)
+        return path
+
+
 def cut_lineage(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder (survives executor
     loss, unlike a local checkpoint) and continue from the written copy."""

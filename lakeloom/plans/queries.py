@@ -591,3 +591,79 @@ def q_sales_facts_refresh(spark, d):
     write_partitioned(sales_facts_df(spark, d), path, "transaction_month", order_col="line_item_id")
     out = spark.read.parquet(path)
     return out.select(*facts.FACT_COLUMNS)
+
+
+# ---------------------------------------------- cast failures as DQ findings
+@register("dq_cast_failures", with_("raw_transactions", "raw_line_items") + """
+SELECT invoice_id AS unique_identifier, r_insert_timestamp AS r_batch_timestamp,
+       'Value does not parse to its declared type' AS issue
+FROM raw_transactions
+WHERE (transaction_date_time IS NOT NULL AND TRY_CAST(transaction_date_time AS TIMESTAMP) IS NULL)
+   OR (total_amount IS NOT NULL AND TRY_CAST(total_amount AS DECIMAL(10,2)) IS NULL)
+UNION ALL
+SELECT line_item_id, r_insert_timestamp, 'Value does not parse to its declared type'
+FROM raw_line_items
+WHERE (quantity IS NOT NULL AND TRY_CAST(quantity AS INTEGER) IS NULL)
+   OR (unit_price IS NOT NULL AND TRY_CAST(unit_price AS DECIMAL(10,2)) IS NULL)
+   OR (total_price IS NOT NULL AND TRY_CAST(total_price AS DECIMAL(10,2)) IS NULL)
+   OR (discount_applied IS NOT NULL AND TRY_CAST(discount_applied AS DECIMAL(10,2)) IS NULL)""")
+def q_dq_cast_failures(spark, d):
+    tx = quality.dq_findings(R.raw_transactions(spark, d), "invoice_id", "r_insert_timestamp",
+                             [quality.Castable(S.TRANSACTIONS)])
+    li = quality.dq_findings(R.raw_line_items(spark, d), "line_item_id", "r_insert_timestamp",
+                             [quality.Castable(S.LINE_ITEMS)])
+    return tx.unionByName(li)
+
+
+# ------------------------------- SCD1 on a month-partitioned table, in place
+@register("scd1_partitioned_transactions", ORACLE["scd1_upsert_transactions"])
+def q_scd1_partitioned_transactions(spark, d):
+    """The transactions upsert run against a month-partitioned parquet table:
+    only partitions the batch touches (new months and the old months of
+    updated keys) are rewritten, by a dynamic partition overwrite from a
+    staged copy; the whole table is then read back."""
+    from lakeloom.plans.publish import overwrite_partitions, write_partitioned
+    from lakeloom.session import scratch_path
+    path = scratch_path(spark, "t_sales_transactions")
+    tgt = R.harmonized_transactions(spark, d)
+    tgt = tgt.where(F.pmod(F.col("invoice_id").cast("bigint"), F.lit(4)) != 3)
+    write_partitioned(tgt, path, "transaction_month", order_col="invoice_id")
+    src = typed(spark, d, "transactions").where(F.col("batch_r_timestamp") > R.SEED_TS)
+    table = spark.read.parquet(path)
+    touched = scd1.touched_partitions(table, src, "invoice_id", "transaction_month")
+    new_parts = scd1.scd1_upsert(scd1.restrict_to(table, "transaction_month", touched), src, "invoice_id",
+                                 run_ts=RUN, job_id=JOB)
+    overwrite_partitions(spark, new_parts, path, "transaction_month", touched=touched)
+    return spark.read.parquet(path).select(*[c.name for c in S.TRANSACTIONS.columns])
+
+
+# --------------------------------------- streaming: files -> gate -> upsert
+@register("harmonize_stream_products", with_("raw_products") + f"""
+SELECT product_id, product_name, brand, category, gender, size, color,
+       TRY_CAST(price AS DECIMAL(10,2)) AS price, TRY_CAST(availability AS INTEGER) AS availability,
+       TRY_CAST(added_date AS DATE) AS added_date, TRY_CAST(is_active AS BOOLEAN) AS is_active,
+       '{JOB}' AS job_id
+FROM ({_quarantine_sql('raw_products')})
+QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY r_insert_timestamp DESC) = 1""")
+def q_harmonize_stream_products(spark, d):
+    """Raw products land as CSV, one folder per ingest day; after each
+    landing an ``availableNow`` stream runs the products job on the new
+    files via ``foreachBatch`` (quarantine gate, latest row per key, SCD1
+    upsert into a versioned table).  Run stamps are wall-clock here, so the
+    result is compared on the business columns."""
+    from lakeloom.plans.harmonize import TableJob
+    from lakeloom.plans.publish import VersionedTable
+    from lakeloom.session import scratch_path
+    from lakeloom.streaming.file_ingest import harmonize_files
+    base = scratch_path(spark, "stream-products")
+    raw = R.raw_products(spark, d)
+    cols = list(S.RAW_COLUMNS["t_products"])
+    days = [r[0] for r in raw.select("r_insert_timestamp").distinct().orderBy("r_insert_timestamp").collect()]
+    job = TableJob(S.PRODUCTS, rules=PRODUCT_RULES, mode="quarantine")
+    state = VersionedTable(spark, f"{base}/state")
+    for i, day in enumerate(days):   # a handful of ingest days, not rows
+        raw.where(F.col("r_insert_timestamp") == F.lit(day)).select(*cols) \
+           .write.option("header", True).csv(f"{base}/landing/day_{i}")
+        harmonize_files(spark, f"{base}/landing/day_*/*.csv", cols, f"{base}/ckpt", job, state, JOB)
+    out = state.current()
+    return out.select("product_id", *PRODUCT_VALUE_COLS, "job_id")

@@ -60,3 +60,11 @@ def test_merge_partitions_moves_rows_between_months(spark):
     out = rows(scd1.merge_partitions(tgt, src, "id", "m", run_ts=RUN, job_id="j", columns=["a", "b", "m"]))
     # only partitions Jan (old home of id 1) and Mar (new home) are rewritten
     assert out == [("1", "a2", 1, dt.date(2024, 3, 1))]
+
+
+def test_broadcast_bound_is_bytes_aware(spark):
+    from lakeloom.operators.joins import broadcast_row_bound, fits_broadcast
+    df = spark.range(100).selectExpr("id", "repeat('x', 10) AS s")
+    assert fits_broadcast(df, max_rows=100) and not fits_broadcast(df, max_rows=99)
+    assert broadcast_row_bound(df, max_rows=10**9, max_bytes=4000) < 100      # 72-byte rows: 55 fit
+    assert not fits_broadcast(df, max_rows=10**9, max_bytes=4000)

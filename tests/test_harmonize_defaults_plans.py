@@ -42,3 +42,41 @@ def test_no_nested_loop_or_cartesian(spark, name):
     df = E.queries()[name](spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_bucketed_facts_join_has_no_shuffle(spark):
+    from lakeloom.operators.facts import build_sales_facts
+    from lakeloom.plans.publish import save_bucketed
+    sf = "/root/testdata/sf0.001"
+    spark.sql("CREATE SCHEMA IF NOT EXISTS lakeloom_bucket_test")
+    save_bucketed(R.harmonized_line_items(spark, sf), "lakeloom_bucket_test.lines", "invoice_id", 8)
+    save_bucketed(R.harmonized_transactions(spark, sf), "lakeloom_bucket_test.headers", "invoice_id", 8)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")     # force the sort-merge plan
+    try:
+        f = build_sales_facts(spark.table("lakeloom_bucket_test.lines"),
+                              spark.table("lakeloom_bucket_test.headers"))
+        plan = f._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert f.count() == build_sales_facts(R.harmonized_line_items(spark, sf),
+                                              R.harmonized_transactions(spark, sf)).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        spark.sql("DROP SCHEMA lakeloom_bucket_test CASCADE")
+
+
+def test_catalog_ddl_and_views(spark):
+    from lakeloom.plans import catalog
+    spec = specs.TableSpec("lakeloom_ddl_test", "t_x", (specs.Column("id", "string", required=True),
+                                                          specs.Column("n", "int", default="0")),
+                           tags={"sensitivity": "PII"})
+    catalog.create_table(spark, spec)
+    try:
+        assert catalog.table_exists(spark, "lakeloom_ddl_test.t_x")
+        spark.sql("INSERT INTO lakeloom_ddl_test.t_x (id) VALUES ('a')")
+        assert spark.table("lakeloom_ddl_test.t_x").collect()[0].n == 0      # DEFAULT on omitted column
+        from lakeloom.operators.governance import catalog_tags, tagged_tables
+        got = [r.table_name for r in tagged_tables(catalog_tags(spark, "lakeloom_ddl_test")).collect()]
+        assert got == ["t_x"]
+    finally:
+        spark.sql("DROP SCHEMA lakeloom_ddl_test CASCADE")

@@ -39,6 +39,11 @@ def broadcast_row_bound(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     return max(0, min(max_rows, max_bytes // row_width(df.schema)))
 
 
+def bounded_count(df: DataFrame, bound: int) -> int:
+    """``min(count(df), bound + 1)`` — reads at most ``bound + 1`` rows."""
+    return df.limit(bound + 1).count()
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                    max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
     """True when ``df`` provably holds at most the row bound.  The check is a

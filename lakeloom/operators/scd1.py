@@ -14,11 +14,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.operators.casting import ts_literal
-from lakeloom.operators.joins import BROADCAST_MAX_ROWS, fits_broadcast, sized_broadcast
+from lakeloom.operators.joins import (BROADCAST_MAX_ROWS, bounded_count, broadcast_row_bound,
+                                      sized_broadcast)
 
 AUDIT_TAIL = ("batch_r_timestamp", "h_insert_timestamp", "h_update_timestamp", "job_id")
 
 
+# Batches up to this estimated size take the broadcast path (the target is
+# then never shuffled); larger ones join with a full-outer sort-merge join.
+UPSERT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+# ... and only when the target holds at least this many times the batch's rows
+# (otherwise shuffling both sides once is as cheap as the broadcast path).
+UPSERT_TARGET_RATIO = 10
+
+
+def choose_upsert_strategy(target: DataFrame, batch: DataFrame,
+                           max_rows: int = BROADCAST_MAX_ROWS,
+                           max_bytes: int = UPSERT_BROADCAST_BYTES,
+                           ratio: int = UPSERT_TARGET_RATIO, batch_rows: int | None = None) -> str:
+    """``broadcast`` for a size-checked small batch against a much larger
+    target, else ``shuffle``.  Both checks are bounded counts: at most the
+    row bound of the batch and ``ratio`` times the batch of the target."""
+    bound = broadcast_row_bound(batch, max_rows, max_bytes)
+    if bound <= 0:
+        return "shuffle"
+    n = batch_rows if batch_rows is not None else bounded_count(batch, bound)
+    if n > bound:
+        return "shuffle"
+    need = ratio * max(n, 1)
+    return "broadcast" if bounded_count(target, need) > need else "shuffle"
+
+
 class DuplicateKeyError(RuntimeError):
     """The source holds more than one row for a key (MERGE would be ambiguous)."""
 
@@ -32,24 +60,33 @@ def dedupe_source(source: DataFrame, key, order_col: str = "batch_r_timestamp",
     the remaining columns), via ``max(struct(...))`` per key — a partial
     aggregate, so a hot key is reduced map-side instead of sorted in one task.
     """
+    return dedupe_with_count(source, key, order_col, on_duplicate)[0]
+
+
+def dedupe_with_count(source: DataFrame, key, order_col: str = "batch_r_timestamp",
+                      on_duplicate: str = "error"):
+    """``dedupe_source`` plus the batch row count when it comes for free: the
+    ``error`` check is one partial-aggregated job giving both the largest
+    number of rows per key and the total.  Returns ``(df, rows or None)``."""
     keys = [key] if isinstance(key, str) else list(key)
     if on_duplicate == "error":
-        dup = source.groupBy(*keys).count().where(F.col("count") > 1)
-        if not dup.isEmpty():
+        stats = source.groupBy(*keys).count().agg(F.max("count").alias("m"), F.sum("count").alias("n")).first()
+        if stats["m"] is not None and stats["m"] > 1:
             raise DuplicateKeyError(f"source has repeated keys {keys}")
-        return source
+        return source, int(stats["n"] or 0)
     if on_duplicate != "latest":
         raise ValueError(on_duplicate)
     rest = [c for c in source.columns if c not in keys and c != order_col]
     best = F.max(F.struct(F.col(order_col).alias("_o"), *[F.col(c) for c in rest])).alias("_best")
     return (source.groupBy(*keys).agg(best)
             .select(*keys, F.col(f"_best._o").alias(order_col), *[F.col(f"_best.{c}") for c in rest])
-            .select(*source.columns))
+            .select(*source.columns)), None
 
 
 def scd1_upsert(target: DataFrame, source: DataFrame, key, columns=None, run_ts=None,
                 job_id: str | None = None, on_duplicate: str = "error",
-                broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+                broadcast_max_bytes: int = UPSERT_BROADCAST_BYTES, strategy: str = "auto") -> DataFrame:
     """New state of ``target`` after merging ``source``.
 
     ``columns``: mapped business columns (default: source columns that are in
@@ -62,7 +99,7 @@ def scd1_upsert(target: DataFrame, source: DataFrame, key, columns=None, run_ts=
     if columns is None:
         columns = [c for c in source.columns if c in target.columns and c not in keys
                    and c not in AUDIT_TAIL]
-    src = dedupe_source(source, keys, on_duplicate=on_duplicate)
+    src, n_src = dedupe_with_count(source, keys, on_duplicate=on_duplicate)
     stamp = ts_literal(run_ts) if run_ts is not None else F.current_timestamp().cast("timestamp_ntz")
     s = src.select(*[F.col(k) for k in keys],
                    *[F.col(c).alias(f"_s_{c}") for c in columns],
@@ -70,8 +107,13 @@ def scd1_upsert(target: DataFrame, source: DataFrame, key, columns=None, run_ts=
                    else F.lit(None).cast("timestamp_ntz").alias("_s_batch"),
                    F.lit(True).alias("_s_here"))
     t = target.withColumn("_t_here", F.lit(True))
-    small = broadcast_max_rows > 0 and fits_broadcast(s, broadcast_max_rows)
-    if small:
+    if strategy == "auto":
+        strategy = choose_upsert_strategy(target, s, broadcast_max_rows, broadcast_max_bytes,
+                                          batch_rows=n_src)
+    if strategy == "broadcast":
+        # the batch feeds three joins: materialise it once in the shared
+        # checkpoint folder (reliable, lineage cut) instead of recomputing it
+        s = s.checkpoint(eager=True)
         # Batch of checked size: the target streams through a broadcast left
         # join (updated or untouched rows) and is never shuffled; inserts are
         # the batch rows whose key no target row matched (a key-only scan).
@@ -84,8 +126,10 @@ def scd1_upsert(target: DataFrame, source: DataFrame, key, columns=None, run_ts=
                          for c in target.columns if c not in keys],
                        F.lit(None).cast("boolean").alias("_t_here")))
         j = upd.unionByName(ins)
-    else:
+    elif strategy == "shuffle":
         j = t.join(s, keys, "full_outer")
+    else:
+        raise ValueError(strategy)
     from_src = F.col("_s_here").isNotNull()
     out = []
     for c in target.columns:

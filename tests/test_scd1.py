@@ -18,10 +18,10 @@ def _t(spark):
                                   ("3", "val", 3, T0, T0, T0, "seed")], TSCHEMA)
 
 
-@pytest.mark.parametrize("bmax", [1_000, 0])   # broadcast path and full-outer path
-def test_insert_update_untouched_null_overwrite(spark, bmax):
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle", "auto"])
+def test_insert_update_untouched_null_overwrite(spark, strategy):
     s = spark.createDataFrame([("1", "new", 10, T1), ("3", None, None, T1), ("4", "ins", 4, T1)], SSCHEMA)
-    out = rows(scd1.scd1_upsert(_t(spark), s, "id", run_ts=RUN, job_id="j", broadcast_max_rows=bmax))
+    out = rows(scd1.scd1_upsert(_t(spark), s, "id", run_ts=RUN, job_id="j", strategy=strategy))
     assert out == [
         ("1", "new", 10, T1, T0, RUN_DT, "j"),
         ("2", "keep", 2, T0, T0, T0, "seed"),
@@ -68,3 +68,11 @@ def test_broadcast_bound_is_bytes_aware(spark):
     assert fits_broadcast(df, max_rows=100) and not fits_broadcast(df, max_rows=99)
     assert broadcast_row_bound(df, max_rows=10**9, max_bytes=4000) < 100      # 72-byte rows: 55 fit
     assert not fits_broadcast(df, max_rows=10**9, max_bytes=4000)
+
+
+def test_strategy_choice(spark):
+    big = spark.range(1000).selectExpr("CAST(id AS STRING) AS id")
+    small = spark.range(5).selectExpr("CAST(id AS STRING) AS id")
+    assert scd1.choose_upsert_strategy(big, small) == "broadcast"
+    assert scd1.choose_upsert_strategy(small, small) == "shuffle"            # target not much bigger
+    assert scd1.choose_upsert_strategy(big, small, max_rows=4) == "shuffle"  # batch over the bound

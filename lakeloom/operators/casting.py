@@ -22,6 +22,14 @@ def ts_literal(value) -> Column:
     return F.lit(str(value)).cast("timestamp_ntz")
 
 
+def typed_lit(value) -> Column:
+    """A literal that never depends on a time zone: datetimes become
+    ``timestamp_ntz`` (wall-clock), everything else ``F.lit``."""
+    if isinstance(value, datetime):
+        return ts_literal(value)
+    return F.lit(value)
+
+
 def parse(c: str | Column, dtype: str, fmt: str | None = None) -> Column:
     """Text -> typed value; unparseable text becomes NULL (never an error)."""
     col = F.col(c) if isinstance(c, str) else c

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.operators.casting import ts_literal
+from lakeloom.session import ensure_checkpoint_dir
 from lakeloom.operators.joins import (BROADCAST_MAX_ROWS, bounded_count, broadcast_row_bound,
                                       sized_broadcast)
 
@@ -113,6 +114,7 @@ def scd1_upsert(target: DataFrame, source: DataFrame, key, columns=None, run_ts=
     if strategy == "broadcast":
         # the batch feeds three joins: materialise it once in the shared
         # checkpoint folder (reliable, lineage cut) instead of recomputing it
+        ensure_checkpoint_dir(s.sparkSession)
         s = s.checkpoint(eager=True)
         # Batch of checked size: the target streams through a broadcast left
         # join (updated or untouched rows) and is never shuffled; inserts are

@@ -651,6 +651,7 @@ def q_harmonize_stream_products(spark, d):
     files via ``foreachBatch`` (quarantine gate, latest row per key, SCD1
     upsert into a versioned table).  Run stamps are wall-clock here, so the
     result is compared on the business columns."""
+    from lakeloom.operators.casting import typed_lit
     from lakeloom.plans.harmonize import TableJob
     from lakeloom.plans.publish import VersionedTable
     from lakeloom.session import scratch_path
@@ -662,7 +663,7 @@ def q_harmonize_stream_products(spark, d):
     job = TableJob(S.PRODUCTS, rules=PRODUCT_RULES, mode="quarantine")
     state = VersionedTable(spark, f"{base}/state")
     for i, day in enumerate(days):   # a handful of ingest days, not rows
-        raw.where(F.col("r_insert_timestamp") == F.lit(day)).select(*cols) \
+        raw.where(F.col("r_insert_timestamp") == typed_lit(day)).select(*cols) \
            .write.option("header", True).csv(f"{base}/landing/day_{i}")
         harmonize_files(spark, f"{base}/landing/day_*/*.csv", cols, f"{base}/ckpt", job, state, JOB)
     out = state.current()

@@ -54,8 +54,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="lakeloom-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+        try:
+            spark.conf.set("spark.checkpoint.dir", current)
+        except Exception:  # noqa: BLE001 - some deployments lock core settings
+            pass
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(current)
     return current.rstrip("/")
 
 

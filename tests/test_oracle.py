@@ -59,3 +59,18 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(df.columns) == sorted(ocols)
     assert len(srows) == len(orows)
     assert _bag(srows, df.columns) == _bag(orows, ocols)
+
+
+@pytest.mark.parametrize("name", ["harmonize_stream_products", "incremental_batch", "typed_transactions",
+                                  "scd1_partitioned_transactions", "zorder_facts"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = E.queries()[name](spark, SF)
+        srows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    cur = con.execute(E.oracle_sql()[name])
+    ocols = [d[0] for d in cur.description]
+    assert _bag(srows, df.columns) == _bag(cur.fetchall(), ocols)

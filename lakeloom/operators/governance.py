@@ -55,6 +55,8 @@ def catalog_tags(spark: SparkSession, schema: str) -> DataFrame:
     Metadata only: one small row per table."""
     rows = []
     for t in spark.catalog.listTables(schema):
+        if t.isTemporary:          # session temp views are listed too; they carry no properties
+            continue
         props = spark.sql(f"SHOW TBLPROPERTIES {schema}.{t.name}").collect()
         tags = {r["key"][4:]: r["value"] for r in props if r["key"].startswith("tag.")}
         rows.append((schema, t.name, tags))

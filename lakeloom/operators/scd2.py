@@ -24,6 +24,7 @@ from lakeloom.functions.hashing import row_hash
 from lakeloom.operators.casting import ts_literal
 from lakeloom.operators.joins import sized_broadcast
 from lakeloom.operators.scd1 import dedupe_source
+from lakeloom.session import ensure_checkpoint_dir
 
 TRACKED_CUSTOMER_COLUMNS = ("customer_id", "first_name", "last_name", "email", "phone_number",
                             "loyalty_points", "membership_status", "address")
@@ -72,6 +73,10 @@ def scd2_merge(target: DataFrame, source: DataFrame, key: str = "customer_id",
     as_of_col = F.lit(str(as_of)).cast("date") if as_of is not None else F.current_date()
     stamp = ts_literal(run_ts) if run_ts is not None else F.current_timestamp().cast("timestamp_ntz")
     changes = scd2_change_set(target, source, key, tracked, hash_col, reopen, on_duplicate, batch_col)
+    # the change set feeds both the closing join and the inserts: write it once
+    # to the shared checkpoint folder instead of recomputing the history scan
+    ensure_checkpoint_dir(changes.sparkSession)
+    changes = changes.checkpoint(eager=True)
 
     insert_types = ["new", "changed"] + (["inactive_only"] if reopen else [])
     ins = changes.where(F.col("change_type").isin(*insert_types))

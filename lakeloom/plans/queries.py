@@ -548,11 +548,13 @@ FROM t1 t FULL OUTER JOIN t2 s ON t.product_id = s.product_id"""
 def q_harmonize_products(spark, d):
     """Two daily runs of the products job: first load up to the first ingest
     day into an empty table, then everything newer; quarantine mode."""
+    from lakeloom.plans.publish import cut_lineage
     from lakeloom.plans.harmonize import TableJob, harmonize
     job = TableJob(S.PRODUCTS, rules=PRODUCT_RULES, mode="quarantine")
     raw = R.raw_products(spark, d)
     first = harmonize(job, raw, None, RUN1, JOB, upper=R.SEED_TS)
-    second = harmonize(job, raw, first.state, RUN2, JOB)
+    state = cut_lineage(spark, first.state)          # the daily run writes its table
+    second = harmonize(job, raw, state, RUN2, JOB)
     return second.state
 
 
@@ -668,3 +670,72 @@ def q_harmonize_stream_products(spark, d):
         harmonize_files(spark, f"{base}/landing/day_*/*.csv", cols, f"{base}/ckpt", job, state, JOB)
     out = state.current()
     return out.select("product_id", *PRODUCT_VALUE_COLS, "job_id")
+
+
+# -------------------------------------------- end-to-end SCD2 (customers job)
+def _raw_customers_resent(spark, d):
+    """Raw customers plus, on the third ingest day, a re-send of every
+    ``k % 4 = 1`` customer of the first day with 50 more loyalty points."""
+    raw = R.raw_customers(spark, d)
+    k = F.col("customer_id").cast("bigint")
+    resent = (raw.where((F.col("r_insert_timestamp") == F.lit(R.SEED_TS).cast("timestamp_ntz"))
+                        & (F.pmod(k, F.lit(4)) == 1))
+              .withColumn("loyalty_points", (F.col("loyalty_points").try_cast("int") + 50).cast("string"))
+              .withColumn("r_insert_timestamp",
+                          F.timestamp_add("DAY", F.lit(2), F.col("r_insert_timestamp"))))
+    return raw.unionByName(resent)
+
+
+_CUST_TYPED = """customer_id, first_name, last_name, email, phone_number,
+       TRY_CAST(loyalty_points AS INTEGER) AS loyalty_points, membership_status, address,
+       r_insert_timestamp AS batch_r_timestamp"""
+_H = __import__('lakeloom.plans.oracle', fromlist=['_hash'])._hash(scd2.TRACKED_CUSTOMER_COLUMNS)
+_SCD2_COLS = ("customer_id, first_name, last_name, email, phone_number, loyalty_points, membership_status, "
+              "address")
+
+HARMONIZE_SCD2_SQL = with_("raw_customers") + f""",
+rc AS (SELECT * FROM raw_customers
+       UNION ALL
+       SELECT customer_id, first_name, last_name, email, phone_number,
+              CAST(TRY_CAST(loyalty_points AS INTEGER) + 50 AS VARCHAR), membership_status, address,
+              update_timestamp, r_insert_timestamp + INTERVAL 2 DAY
+       FROM raw_customers WHERE r_insert_timestamp = {SEED_TS} AND CAST(customer_id AS BIGINT) % 4 = 1),
+b1 AS (SELECT {_CUST_TYPED} FROM rc WHERE r_insert_timestamp <= {SEED_TS}),
+s1 AS (SELECT {_SCD2_COLS}, true AS active_flag, DATE '2025-01-01' AS begin_effective_date,
+              DATE '9999-12-31' AS end_effective_date, {_H} AS s_customer_key, batch_r_timestamp,
+              TIMESTAMP '{RUN1}' AS h_insert_timestamp, TIMESTAMP '{RUN1}' AS h_update_timestamp,
+              '{JOB}' AS job_id
+       FROM b1),
+b2 AS (SELECT {_CUST_TYPED} FROM rc
+       WHERE r_insert_timestamp > (SELECT max(batch_r_timestamp) FROM s1)
+         AND r_insert_timestamp <= (SELECT max(r_insert_timestamp) FROM rc)),
+h2 AS (SELECT *, {_H} AS hash_value FROM b2),
+chg AS (SELECT h2.*, CASE WHEN s1.customer_id IS NULL THEN 'new'
+                          WHEN s1.s_customer_key = h2.hash_value THEN 'unchanged' ELSE 'changed' END AS change_type
+        FROM h2 LEFT JOIN s1 ON h2.customer_id = s1.customer_id)
+SELECT s1.customer_id, s1.first_name, s1.last_name, s1.email, s1.phone_number, s1.loyalty_points,
+       s1.membership_status, s1.address,
+       CASE WHEN c.customer_id IS NOT NULL THEN false ELSE s1.active_flag END AS active_flag,
+       s1.begin_effective_date,
+       CASE WHEN c.customer_id IS NOT NULL THEN DATE '2025-01-02' ELSE s1.end_effective_date END AS end_effective_date,
+       s1.s_customer_key, s1.batch_r_timestamp, s1.h_insert_timestamp, s1.h_update_timestamp, s1.job_id
+FROM s1 LEFT JOIN (SELECT customer_id FROM chg WHERE change_type = 'changed') c ON s1.customer_id = c.customer_id
+UNION ALL
+SELECT {_SCD2_COLS}, true, DATE '2025-01-02', DATE '9999-12-31', hash_value, batch_r_timestamp,
+       TIMESTAMP '{RUN2}', TIMESTAMP '{RUN2}', '{JOB}'
+FROM chg WHERE change_type IN ('new', 'changed')"""
+
+
+@register("harmonize_customers_scd2", HARMONIZE_SCD2_SQL)
+def q_harmonize_customers_scd2(spark, d):
+    """The customers SCD2 job twice: first load of the first ingest day into
+    an empty history, then the later days (new customers and re-sent,
+    changed ones) one day later."""
+    from lakeloom.plans.publish import cut_lineage
+    from lakeloom.plans.harmonize import TableJob, harmonize
+    job = TableJob(S.CUSTOMERS, scd=2)
+    raw = _raw_customers_resent(spark, d)
+    first = harmonize(job, raw, None, RUN1, JOB, as_of="2025-01-01", upper=R.SEED_TS)
+    state = cut_lineage(spark, first.state)          # the daily run writes its table
+    second = harmonize(job, raw, state, RUN2, JOB, as_of="2025-01-02")
+    return second.state

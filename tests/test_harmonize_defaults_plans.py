@@ -80,3 +80,28 @@ def test_catalog_ddl_and_views(spark):
         assert got == ["t_x"]
     finally:
         spark.sql("DROP SCHEMA lakeloom_ddl_test CASCADE")
+
+
+def test_run_log_gives_the_same_watermark_without_scanning_the_target(spark, tmpdir_path):
+    from lakeloom.plans.harmonize import RunLog
+    from lakeloom.plans.publish import cut_lineage
+    from tests.conftest import rows
+    sf = "/root/testdata/sf0.001"
+    job = TableJob(specs.PRODUCTS, rules=(quality.Duplicate(), quality.Format("price"),
+                                          quality.NotNull(("product_name", "price"))), mode="quarantine")
+    raw = R.raw_products(spark, sf)
+    log = RunLog(spark, tmpdir_path + "/runlog")
+    assert log.watermark("p") is None
+    first = harmonize(job, raw, None, "2025-01-01 00:00:00", "j", upper=R.SEED_TS, run_log=log, table_name="p")
+    state = cut_lineage(spark, first.state)
+    log.record("p", first, "2025-01-01 00:00:00")
+    assert log.watermark("p") == increment_max(state)
+    second = harmonize(job, raw, state, "2025-01-02 00:00:00", "j", run_log=log, table_name="p")
+    plain = harmonize(job, raw, state, "2025-01-02 00:00:00", "j")
+    assert second.watermark == plain.watermark
+    assert rows(second.state) == rows(plain.state)
+
+
+def increment_max(df):
+    from lakeloom.operators.increment import max_watermark
+    return max_watermark(df)

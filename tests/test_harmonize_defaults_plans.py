@@ -105,3 +105,37 @@ def test_run_log_gives_the_same_watermark_without_scanning_the_target(spark, tmp
 def increment_max(df):
     from lakeloom.operators.increment import max_watermark
     return max_watermark(df)
+
+
+def test_persistent_curated_views_and_snapshots(spark, tmpdir_path):
+    from lakeloom.operators import curated
+    from lakeloom.plans import catalog
+    from lakeloom.plans.publish import VersionedTable, publish_snapshot
+    from lakeloom.plans.queries import sales_facts_df
+    from tests.conftest import rows
+    sf = "/root/testdata/sf0.001"
+    catalog.ensure_schema(spark, "lakeloom_views_test")
+    try:
+        sales_facts_df(spark, sf).write.saveAsTable("lakeloom_views_test.t_sales_facts")
+        R.harmonized_products(spark, sf).write.saveAsTable("lakeloom_views_test.t_products")
+        R.harmonized_customers(spark, sf).write.saveAsTable("lakeloom_views_test.t_customers")
+        names = catalog.create_curated_views(spark, "lakeloom_views_test.t_sales_facts",
+                                             "lakeloom_views_test.t_customers",
+                                             "lakeloom_views_test.t_products", schema="lakeloom_views_test")
+        assert names[1] == "lakeloom_views_test.v_product_sales_summary"
+        want = curated.product_sales_summary(spark.table("lakeloom_views_test.t_sales_facts"),
+                                             spark.table("lakeloom_views_test.t_products"), ordered=False)
+        assert rows(spark.table(names[1])) == rows(want)
+    finally:
+        spark.sql("DROP SCHEMA lakeloom_views_test CASCADE")
+    # snapshots: a new folder per version, the view follows the newest
+    base = tmpdir_path + "/snap"
+    p1 = publish_snapshot(spark, spark.range(3), base, view="lakeloom_snap")
+    p2 = publish_snapshot(spark, spark.range(5), base, view="lakeloom_snap")
+    assert p1 != p2 and spark.table("lakeloom_snap").count() == 5 and spark.read.parquet(p1).count() == 3
+    vt = VersionedTable(spark, tmpdir_path + "/vt")
+    assert vt.current() is None
+    vt.commit(spark.range(2), 0)
+    vt.commit(spark.range(4), 1)
+    vt.commit(spark.range(4), 1)               # a replayed epoch rewrites its own version
+    assert vt.versions() == [0, 1] and vt.current().count() == 4

@@ -8,7 +8,6 @@ do we fall back to a fresh folder of our own.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -64,9 +63,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A new, unique sub-folder of the shared checkpoint folder."""
+    """A new, unique (not yet existing) path under the shared checkpoint
+    folder; the writer that uses it creates it, on any file system."""
     base = ensure_checkpoint_dir(spark)
-    path = f"{base}/{purpose}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    return f"{base}/{purpose}-{uuid.uuid4().hex[:12]}"

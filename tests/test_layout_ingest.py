@@ -57,3 +57,32 @@ def test_zorder_splits_a_hot_key(spark):
     out = layout.cluster_by_zorder(df, ["a", "b"], n_files=12)
     sizes = [r[1] for r in out.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 30000 and max(sizes) < 10000 * 0.6
+
+
+def test_ingest_other_formats_json(spark, tmpdir_path):
+    land = tmpdir_path + "/json"
+    os.makedirs(land)
+    with open(land + "/a.json", "w") as fh:
+        fh.write('{"store_id": "1", "store_name": "North"}\n{"store_id": "2", "store_name": null}\n')
+    cols = ("store_id", "store_name")
+    ingest_files(spark, land + "/*.json", cols, tmpdir_path + "/raw", tmpdir_path + "/ck", file_format="json",
+                 partition_by_date=False)
+    got = sorted(map(tuple, read_raw(spark, tmpdir_path + "/raw", cols).select(*cols).collect()),
+                 key=lambda t: t[0])
+    assert got == [("1", "North"), ("2", None)]
+
+
+def test_dq_log_as_catalog_table(spark):
+    import datetime as dt
+    from lakeloom.operators import quality as Q
+    df = spark.createDataFrame([("1", dt.datetime(2024, 1, 1), "bad")], "id string, ts timestamp_ntz, price string")
+    spark.sql("CREATE SCHEMA IF NOT EXISTS lakeloom_audit_test")
+    try:
+        Q.log_findings(Q.dq_format(df, "id", "ts", "price"), "2025-01-01 00:00:00", table="lakeloom_audit_test.dq_logs")
+        Q.log_findings(Q.dq_format(df, "id", "ts", "price"), "2025-01-02 00:00:00", table="lakeloom_audit_test.dq_logs",
+                       dedupe_against=spark.table("lakeloom_audit_test.dq_logs"))
+        rows = spark.table("lakeloom_audit_test.dq_logs").collect()
+        assert len(rows) == 1 and rows[0].issue == "Invalid price format"
+        assert rows[0].logged_at == dt.datetime(2025, 1, 1)
+    finally:
+        spark.sql("DROP SCHEMA lakeloom_audit_test CASCADE")

@@ -29,3 +29,21 @@ def month_of(ts: str | Column) -> Column:
     """First day of the month of a timestamp, as a DATE."""
     c = F.col(ts) if isinstance(ts, str) else ts
     return F.trunc(F.to_date(c), "month")
+
+
+def month_range(lo, hi, month_col: str = "transaction_month", ts_col: str | None = "transaction_date_time"):
+    """Predicate for ``lo <= ts < hi`` on a month-partitioned table, stated on
+    the partition column as well (a generated partition column's filter is
+    not inferred for parquet tables), so whole months are pruned.  ``lo`` /
+    ``hi`` are zone-free timestamp texts or datetimes; either may be None."""
+    from lakeloom.operators.casting import ts_literal
+    conds = []
+    if lo is not None:
+        conds.append(F.col(month_col) >= F.trunc(F.to_date(ts_literal(lo)), "month"))
+        if ts_col:
+            conds.append(F.col(ts_col) >= ts_literal(lo))
+    if hi is not None:
+        conds.append(F.col(month_col) <= F.trunc(F.to_date(ts_literal(hi)), "month"))
+        if ts_col:
+            conds.append(F.col(ts_col) < ts_literal(hi))
+    return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)

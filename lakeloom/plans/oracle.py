@@ -14,7 +14,8 @@ RUN_TS = "TIMESTAMP '2025-01-01 00:00:00'"
 AS_OF = "DATE '2025-01-01'"
 
 
-def _hash(cols) -> str:
+def hash_sql(cols) -> str:
+    """SQL twin of ``lakeloom.functions.hashing.row_hash``."""
     parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), chr(2))" for c in cols)
     return f"md5(concat_ws(chr(1), {parts}))"
 
@@ -56,7 +57,7 @@ CTE = {
          DATE '9999-12-31' AS end_effective_date
   FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)""",
     "customers": f"""customers AS (
-  SELECT *, {_hash(TRACKED)} AS s_customer_key, {AUDIT_SEED} FROM customers_base)""",
+  SELECT *, {hash_sql(TRACKED)} AS s_customer_key, {AUDIT_SEED} FROM customers_base)""",
     "customers2": """customers2 AS (
   SELECT * FROM customers
   UNION ALL

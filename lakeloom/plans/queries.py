@@ -96,7 +96,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from lakeloom import specs as S  # noqa: E402
 from lakeloom.operators import increment, quality, scd1, scd2  # noqa: E402
 from lakeloom.operators.casting import cast_to_spec  # noqa: E402
-from lakeloom.plans.oracle import AS_OF, RUN_TS, SEED_TS  # noqa: E402
+from lakeloom.plans.oracle import AS_OF, RUN_TS, SEED_TS, hash_sql  # noqa: E402
 
 RUN = "2025-01-01 00:00:00"
 AS_OF_DATE = "2025-01-01"
@@ -348,7 +348,7 @@ SCD2_CTES = with_("customers2", "raw_customers") + f""", tgt AS (
 src0 AS (SELECT * FROM ({TYPED_SQL['customers']}) WHERE batch_r_timestamp > {SEED_TS}),
 src AS (SELECT * REPLACE (CASE WHEN CAST(customer_id AS BIGINT) % 6 = 1 THEN loyalty_points + 7
                                 ELSE loyalty_points END AS loyalty_points) FROM src0),
-hsrc AS (SELECT *, {__import__('lakeloom.plans.oracle', fromlist=['_hash'])._hash(scd2.TRACKED_CUSTOMER_COLUMNS)} AS hash_value FROM src),
+hsrc AS (SELECT *, {hash_sql(scd2.TRACKED_CUSTOMER_COLUMNS)} AS hash_value FROM src),
 hist AS (SELECT customer_id, max(CAST(active_flag AS INTEGER)) AS has_active,
                 max(CASE WHEN active_flag THEN s_customer_key END) AS active_hash
          FROM tgt WHERE customer_id IN (SELECT customer_id FROM hsrc) GROUP BY customer_id),
@@ -386,7 +386,7 @@ def q_scd2_merge_customers(spark, d):
 
 
 @register("row_hash", with_("raw_customers") + f"""
-SELECT customer_id, {__import__('lakeloom.plans.oracle', fromlist=['_hash'])._hash(scd2.TRACKED_CUSTOMER_COLUMNS)} AS row_hash
+SELECT customer_id, {hash_sql(scd2.TRACKED_CUSTOMER_COLUMNS)} AS row_hash
 FROM raw_customers""")
 def q_row_hash(spark, d):
     from lakeloom.functions.hashing import row_hash
@@ -689,7 +689,7 @@ def _raw_customers_resent(spark, d):
 _CUST_TYPED = """customer_id, first_name, last_name, email, phone_number,
        TRY_CAST(loyalty_points AS INTEGER) AS loyalty_points, membership_status, address,
        r_insert_timestamp AS batch_r_timestamp"""
-_H = __import__('lakeloom.plans.oracle', fromlist=['_hash'])._hash(scd2.TRACKED_CUSTOMER_COLUMNS)
+_H = hash_sql(scd2.TRACKED_CUSTOMER_COLUMNS)
 _SCD2_COLS = ("customer_id, first_name, last_name, email, phone_number, loyalty_points, membership_status, "
               "address")
 

@@ -739,3 +739,25 @@ def q_harmonize_customers_scd2(spark, d):
     state = cut_lineage(spark, first.state)          # the daily run writes its table
     second = harmonize(job, raw, state, RUN2, JOB, as_of="2025-01-02")
     return second.state
+
+
+@register("scd1_bucketed_products", ORACLE["scd1_upsert_products"])
+def q_scd1_bucketed_products(spark, d):
+    """The products upsert against a dimension stored in 16 hash buckets of
+    the key (``pmod(xxhash64(product_id), 16)`` as the partition column):
+    only the buckets holding batch keys are read, merged and rewritten."""
+    from lakeloom.plans.publish import overwrite_partitions
+    from lakeloom.session import scratch_path
+    buckets, part = 16, "_bucket"
+    path = scratch_path(spark, "t_products")
+    tgt = R.harmonized_products(spark, d)
+    tgt = tgt.where(F.pmod(F.col("product_id").cast("bigint"), F.lit(4)) != 3)
+    tgt.withColumn(part, scd1.key_bucket("product_id", buckets)).write.partitionBy(part).parquet(path)
+    src = typed(spark, d, "products").where(F.col("batch_r_timestamp") > R.SEED_TS)
+    src = src.withColumn(part, scd1.key_bucket("product_id", buckets))
+    table = spark.read.parquet(path)
+    touched = [r[0] for r in src.select(part).distinct().collect()]     # at most 16 values
+    new_parts = scd1.scd1_upsert(scd1.restrict_to(table, part, touched), src, "product_id",
+                                 run_ts=RUN, job_id=JOB, on_duplicate="latest")
+    overwrite_partitions(spark, new_parts, path, part, touched=touched)
+    return spark.read.parquet(path).select(*[c.name for c in S.PRODUCTS.columns])

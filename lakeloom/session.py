@@ -67,3 +67,23 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     folder; the writer that uses it creates it, on any file system."""
     base = ensure_checkpoint_dir(spark)
     return f"{base}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
+    """Settings sized for a job reading ``input_bytes`` on ``cores`` cores.
+
+    Shuffle partitions are chosen so an average shuffle partition is about
+    ``target_partition_bytes`` (fits executor memory without spilling much),
+    never fewer than two waves of tasks; AQE then coalesces small partitions
+    and splits skewed ones.  Example: 100 TB on 8,000 cores -> 400k shuffle
+    partitions, 256 MB file splits."""
+    partitions = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }

@@ -139,3 +139,17 @@ def test_persistent_curated_views_and_snapshots(spark, tmpdir_path):
     vt.commit(spark.range(4), 1)
     vt.commit(spark.range(4), 1)               # a replayed epoch rewrites its own version
     assert vt.versions() == [0, 1] and vt.current().count() == 4
+
+
+def test_abort_logs_findings_once_then_stops(spark, tmpdir_path):
+    sf = "/root/testdata/sf0.001"
+    job = TableJob(specs.PRODUCTS, rules=(quality.Duplicate(), quality.Format("price")), mode="abort")
+    raw = R.raw_products(spark, sf)
+    log = tmpdir_path + "/dq_logs"
+    for run_ts in ("2025-01-01 00:00:00", "2025-01-02 00:00:00"):     # a re-run does not re-log
+        with pytest.raises(quality.DataQualityError):
+            harmonize(job, raw, None, run_ts, "j", dq_log_path=log)
+    logged = spark.read.parquet(log)
+    expected = quality.dq_findings(raw, "product_id", "r_insert_timestamp", job.rules)
+    assert logged.count() == expected.distinct().count() > 0
+    assert {r.logged_at.day for r in logged.select("logged_at").distinct().collect()} == {1}

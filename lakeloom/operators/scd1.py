@@ -13,10 +13,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.operators.casting import ts_literal
-from lakeloom.session import ensure_checkpoint_dir
+from lakeloom.operators.casting import ts_literal, typed_lit
 from lakeloom.operators.joins import (BROADCAST_MAX_ROWS, bounded_count, broadcast_row_bound,
                                       sized_broadcast)
+from lakeloom.session import ensure_checkpoint_dir
 
 AUDIT_TAIL = ("batch_r_timestamp", "h_insert_timestamp", "h_update_timestamp", "job_id")
 
@@ -191,7 +191,7 @@ def restrict_to(df: DataFrame, part_col: str, values) -> DataFrame:
     conds = []
     non_null = [v for v in values if v is not None]
     if non_null:
-        conds.append(F.col(part_col).isin(non_null))
+        conds.append(F.col(part_col).isin(*[typed_lit(v) for v in non_null]))
     if any(v is None for v in values):
         conds.append(F.col(part_col).isNull())
     return df.where(reduce(lambda a, b: a | b, conds))

@@ -129,7 +129,13 @@ def scd1_upsert(target: DataFrame, source: DataFrame, key, columns=None, run_ts=
                        F.lit(None).cast("boolean").alias("_t_here")))
         j = upd.unionByName(ins)
     elif strategy == "shuffle":
-        j = t.join(s, keys, "full_outer")
+        # NULL keys never match, but would all hash to one shuffle partition
+        # (and AQE does not split full-outer joins): route them around the
+        # join — target ones stay as they are, source ones are inserts.
+        no_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        j = (t.where(no_null).join(s.where(no_null), keys, "full_outer")
+             .unionByName(t.where(~no_null), allowMissingColumns=True)
+             .unionByName(s.where(~no_null), allowMissingColumns=True))
     else:
         raise ValueError(strategy)
     from_src = F.col("_s_here").isNotNull()

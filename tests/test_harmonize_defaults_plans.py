@@ -153,3 +153,31 @@ def test_abort_logs_findings_once_then_stops(spark, tmpdir_path):
     expected = quality.dq_findings(raw, "product_id", "r_insert_timestamp", job.rules)
     assert logged.count() == expected.distinct().count() > 0
     assert {r.logged_at.day for r in logged.select("logged_at").distinct().collect()} == {1}
+
+
+def test_hot_invoice_is_split_by_aqe_skew_join(spark):
+    from pyspark.sql import functions as F
+    from lakeloom.operators.facts import build_sales_facts
+    sf = "/root/testdata/sf0.01"
+    li = R.harmonized_line_items(spark, sf)
+    # a third of all lines moved onto one invoice
+    li = li.withColumn("invoice_id", F.when(F.pmod(F.crc32("line_item_id"), F.lit(3)) == 0, F.lit("0"))
+                       .otherwise(F.col("invoice_id")))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1024",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16384",
+            "spark.sql.shuffle.partitions": "16"}
+    prev = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        f = build_sales_facts(li, R.harmonized_transactions(spark, sf))
+        n = f.count()
+        f.write.format("noop").mode("overwrite").save()
+        plan = f._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+        assert n == li.count()
+    finally:
+        for k, v in prev.items():
+            spark.conf.set(k, v)

@@ -76,3 +76,15 @@ def test_strategy_choice(spark):
     assert scd1.choose_upsert_strategy(big, small) == "broadcast"
     assert scd1.choose_upsert_strategy(small, small) == "shuffle"            # target not much bigger
     assert scd1.choose_upsert_strategy(big, small, max_rows=4) == "shuffle"  # batch over the bound
+
+
+def test_null_keys_bypass_the_shuffle_join(spark):
+    T0_ = dt.datetime(2024, 1, 1)
+    t = spark.createDataFrame([(None, "t1", 1, T0_, T0_, T0_, "s"), (None, "t2", 2, T0_, T0_, T0_, "s"),
+                               ("1", "x", 1, T0_, T0_, T0_, "s")], TSCHEMA)
+    s = spark.createDataFrame([(None, "s1", 3, T1), ("1", "y", 4, T1)], SSCHEMA)
+    for strategy in ("shuffle", "broadcast"):
+        out = rows(scd1.scd1_upsert(t, s, "id", run_ts=RUN, job_id="j", strategy=strategy))
+        assert out == [("1", "y", 4, T1, T0_, RUN_DT, "j"),
+                       (None, "s1", 3, T1, RUN_DT, RUN_DT, "j"),
+                       (None, "t1", 1, T0_, T0_, T0_, "s"), (None, "t2", 2, T0_, T0_, T0_, "s")]

@@ -225,7 +225,13 @@ def log_findings(findings: DataFrame, run_ts, path: str | None = None, table: st
     same (id, batch, issue) twice."""
     out = with_logged_at(findings, run_ts)
     if dedupe_against is not None:
-        seen = dedupe_against.select(*FINDING_COLUMNS).distinct()
+        # only the log entries of this run's batch stamps can repeat a finding:
+        # a (size-checked) broadcast semi-join on the few stamps filters the
+        # ever-growing log map-side, before its de-duplicating shuffle
+        stamps = sized_broadcast(findings.select(F.col("r_batch_timestamp").alias("_stamp")).distinct())
+        seen = (dedupe_against.join(stamps, F.col("r_batch_timestamp").eqNullSafe(F.col("_stamp")),
+                                    "left_semi")
+                .select(*FINDING_COLUMNS).distinct())
         cond = reduce(lambda a, b: a & b, [out[c].eqNullSafe(seen[c]) for c in FINDING_COLUMNS])
         out = out.join(seen, cond, "left_anti")
     if table:

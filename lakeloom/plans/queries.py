@@ -262,7 +262,7 @@ WHERE r_insert_timestamp > (SELECT max(r_insert_timestamp) FROM raw_products
 def q_incremental_batch(spark, d):
     raw = R.raw_products(spark, d)
     hwm = increment.max_watermark(_loaded_target(spark, d))
-    hi = increment.pin_upper_bound(raw)
+    hi = increment.pin_upper_bound(raw, after=hwm)
     return increment.incremental_batch(raw, hwm, hi)
 
 

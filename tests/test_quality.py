@@ -66,3 +66,7 @@ def test_log_findings_dedupes_reruns(spark, tmpdir_path):
                            dedupe_against=spark.read.parquet(path))
     assert again.count() == 0
     assert spark.read.parquet(path).count() == 1
+    # the same row in a later batch is a new finding; other batches' log entries do not hide it
+    f2 = Q.dq_format(_df(spark, [("1", B2, "bad", "x", "y")]), "id", "ts", "price")
+    later = Q.log_findings(f2, "2025-01-03 00:00:00", path=path, dedupe_against=spark.read.parquet(path))
+    assert [(r.unique_identifier, r.r_batch_timestamp) for r in later.collect()] == [("1", B2)]

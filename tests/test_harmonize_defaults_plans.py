@@ -42,6 +42,20 @@ def test_no_nested_loop_or_cartesian(spark, name):
     df = E.queries()[name](spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    # every expression stays JVM-side: no Python (row or Arrow) evaluation node
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_kpi_scans_read_only_the_columns_they_need(spark):
+    import re
+    schemas = {}
+    for name in ("customer_store_loyalty", "product_sales_summary"):
+        plan = E.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        schemas[name] = sorted(re.findall(r"ReadSchema: struct<([^>]*)>", plan))
+    assert schemas["customer_store_loyalty"] == ["l_orderkey:bigint", "o_orderkey:bigint,o_custkey:bigint"]
+    assert schemas["product_sales_summary"] == [
+        "l_orderkey:bigint,l_partkey:bigint,l_quantity:double,l_extendedprice:double",
+        "o_orderkey:bigint", "p_partkey:bigint,p_name:string"]
 
 
 def test_bucketed_facts_join_has_no_shuffle(spark):

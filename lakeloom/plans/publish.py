@@ -42,29 +42,51 @@ def publish_snapshot(spark: SparkSession, state: DataFrame, base: str, view: str
 
 
 def overwrite_partitions(spark: SparkSession, new_parts: DataFrame, path: str, partition_col: str,
-                         touched=None) -> None:
+                         touched=None, stage: str | None = None) -> None:
     """Replace only the partitions present in ``new_parts`` at ``path``.
 
     ``new_parts`` usually reads ``path`` itself (a merge), so it is staged to
-    a shared scratch folder first; the overwrite then reads the stage only and
-    can be re-run from it if the job dies half-way.  Partitions listed in
-    ``touched`` that end up with no rows (all their keys moved away) are
-    removed, which a dynamic overwrite alone would leave behind."""
-    stage = scratch_path(spark, "stage")
-    new_parts.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
-    if touched:
-        present = {r[0] for r in spark.read.parquet(stage).select(partition_col).distinct().collect()}
-        for value in touched:
-            if value not in present:
-                _drop_partition_dir(spark, path, partition_col, value)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    a shared folder first, together with the ``touched`` partition values;
+    everything after reads the stage only.  Partitions listed in ``touched``
+    that end up with no rows (all their keys moved away) are removed — after
+    the overwrite, so no row is ever only in a deleted folder.
+
+    Crash safety: ``path`` is not modified before the stage is complete (its
+    ``_touched`` list is written last).  With a stable ``stage`` (for example
+    ``<shared folder>/<table>/upper=<batch bound>``), a re-run after a failure
+    finds the finished stage and resumes from it instead of re-merging a
+    half-updated table; the two remaining steps are idempotent."""
+    stage = (stage or scratch_path(spark, "stage")).rstrip("/")
+    done = f"{stage}/_touched"          # hidden from the stage's own file listing
+    if not _exists(spark, f"{done}/_SUCCESS"):
+        new_parts.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
+        ptype = dict(new_parts.dtypes)[partition_col]
+        spark.createDataFrame([(v,) for v in (touched or [])], f"`{partition_col}` {ptype}") \
+            .write.mode("overwrite").parquet(done)
+    touched = [r[0] for r in spark.read.parquet(done).collect()]   # one row per partition
     try:
         staged = spark.read.parquet(stage)
-        staged.select(*[c for c in staged.columns if c != partition_col], partition_col) \
-            .write.mode("overwrite").partitionBy(partition_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    except Exception:  # noqa: BLE001 - nothing staged: every touched partition emptied
+        staged = None
+    present = set()
+    if staged is not None:
+        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        try:
+            staged.select(*[c for c in staged.columns if c != partition_col], partition_col) \
+                .write.mode("overwrite").partitionBy(partition_col).parquet(path)
+        finally:
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        present = {r[0] for r in staged.select(partition_col).distinct().collect()}
+    for value in touched:
+        if value not in present:
+            _drop_partition_dir(spark, path, partition_col, value)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def _drop_partition_dir(spark: SparkSession, path: str, partition_col: str, value) -> None:

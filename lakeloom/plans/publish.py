@@ -126,8 +126,10 @@ class VersionedTable:
                 out.append(int(name[2:]))
         return sorted(out)
 
-    def current(self) -> DataFrame | None:
-        vs = self.versions()
+    def current(self, before: int | None = None) -> DataFrame | None:
+        """The newest complete version (below ``before`` when given: the state
+        a replayed epoch ``before`` must start from, never its own output)."""
+        vs = [v for v in self.versions() if before is None or v < before]
         return self.spark.read.parquet(f"{self.base}/v={vs[-1]}") if vs else None
 
     def commit(self, df: DataFrame, version: int) -> str:

@@ -153,6 +153,10 @@ def test_persistent_curated_views_and_snapshots(spark, tmpdir_path):
     vt.commit(spark.range(4), 1)
     vt.commit(spark.range(4), 1)               # a replayed epoch rewrites its own version
     assert vt.versions() == [0, 1] and vt.current().count() == 4
+    assert vt.current(before=1).count() == 2 and vt.current(before=0) is None
+    # replaying epoch 1 from the state below it, written over its own folder: same result
+    vt.commit(vt.current(before=1).union(spark.range(2, 4)), 1)
+    assert sorted(r.id for r in vt.current().collect()) == [0, 1, 2, 3]
 
 
 def test_abort_logs_findings_once_then_stops(spark, tmpdir_path):

@@ -127,3 +127,25 @@ def test_replayed_stream_epoch_starts_from_the_version_below(spark, tmpdir_path)
     harmonize_files(spark, tmpdir_path + "/landing/day_*/*.csv", cols, tmpdir_path + "/ckpt2", job, state, "j")
     assert state.versions() == [0]
     assert sorted(r.product_id for r in state.current().collect()) == first
+
+
+def test_ingest_landing_one_call_for_every_raw_table(spark, tmpdir_path):
+    from lakeloom.specs import RAW_COLUMNS
+    from lakeloom.streaming.file_ingest import ingest_landing
+    land, raw, ck = tmpdir_path + "/landing", tmpdir_path + "/raw", tmpdir_path + "/ck"
+    os.makedirs(land + "/stores/partition_1")
+    os.makedirs(land + "/sales_line_items")
+    with open(land + "/stores/partition_1/stores_1.csv", "w") as fh:
+        fh.write(",".join(RAW_COLUMNS["t_stores"]) + "\n1,North,Oslo,M1,01-02-2021\n")
+    with open(land + "/stores/partition_1/notes.txt", "w") as fh:     # not matched by the glob
+        fh.write("ignore me\n")
+    with open(land + "/sales_line_items/sales_items_1.csv", "w") as fh:
+        fh.write(",".join(RAW_COLUMNS["t_sales_line_items"]) + "\nL1,I1,P1,2,1.50,3.00,0.00,x,y\n")
+    tables = ("t_stores", "t_sales_line_items")
+    ingest_landing(spark, land, raw, ck, tables=tables)
+    ingest_landing(spark, land, raw, ck, tables=tables)                 # re-run: nothing new
+    stores = read_raw(spark, raw + "/t_stores", RAW_COLUMNS["t_stores"])
+    lines = read_raw(spark, raw + "/t_sales_line_items", RAW_COLUMNS["t_sales_line_items"])
+    assert [r.opening_date for r in stores.collect()] == ["01-02-2021"]
+    assert [(r.line_item_id, r.quantity) for r in lines.collect()] == [("L1", "2")]
+    assert all(t == "string" for c, t in lines.dtypes if c in RAW_COLUMNS["t_sales_line_items"])

@@ -65,7 +65,10 @@ def overwrite_partitions(spark: SparkSession, new_parts: DataFrame, path: str, p
             .write.mode("overwrite").parquet(done)
     touched = [r[0] for r in spark.read.parquet(done).collect()]   # one row per partition
     try:
-        staged = spark.read.parquet(stage)
+        # the merge's own schema, not inferred partition types: a string
+        # partition value such as "01" must not come back as the number 1
+        staged = spark.read.schema(new_parts.schema).parquet(stage)
+        staged.schema  # noqa: B018 - resolves the listing: fails when nothing was staged
     except Exception:  # noqa: BLE001 - nothing staged: every touched partition emptied
         staged = None
     present = set()

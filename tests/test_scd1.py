@@ -1,3 +1,4 @@
+import os
 import datetime as dt
 
 import pytest
@@ -106,3 +107,15 @@ def test_overwrite_partitions_moves_keys_and_resumes_from_the_stage(spark, tmpdi
     other = spark.createDataFrame([("z", 0, 2)], "k string, v int, p int")
     overwrite_partitions(spark, other, path, "p", touched=[2], stage=stage)
     assert state() == [("a", 10, 3), ("c", 2, 2)]
+
+
+def test_overwrite_partitions_keeps_string_partition_values(spark, tmpdir_path):
+    from lakeloom.plans.publish import overwrite_partitions
+    path = tmpdir_path + "/t"
+    spark.createDataFrame([("a", 1, "01"), ("b", 2, "1")], "k string, v int, p string") \
+        .write.partitionBy("p").parquet(path)
+    new = spark.createDataFrame([("a", 10, "01")], "k string, v int, p string")
+    overwrite_partitions(spark, new, path, "p", touched=["01"])
+    got = spark.read.schema("k string, v int, p string").parquet(path)
+    assert sorted((r.k, r.v, r.p) for r in got.collect()) == [("a", 10, "01"), ("b", 2, "1")]
+    assert sorted(d for d in os.listdir(path) if d.startswith("p=")) == ["p=01", "p=1"]

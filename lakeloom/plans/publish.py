@@ -92,11 +92,24 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+# Characters Spark percent-escapes in partition folder names
+# (besides control characters).
+_ESCAPED = set('"#%\'*/:=?\\\x7f{[]^')
+
+
+def partition_dir_name(value) -> str:
+    """The folder name Spark gives a partition value: NULL as the Hive default
+    partition, booleans in lower case, special characters as ``%XX``."""
+    if value is None:
+        return "__HIVE_DEFAULT_PARTITION__"
+    text = str(value).lower() if isinstance(value, bool) else str(value)
+    return "".join(f"%{ord(ch):02X}" if ch in _ESCAPED or ord(ch) < 0x20 else ch for ch in text)
+
+
 def _drop_partition_dir(spark: SparkSession, path: str, partition_col: str, value) -> None:
     """Delete one Hive-style partition folder through the Hadoop FileSystem API."""
-    name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_col}={name}")
+    p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_col}={partition_dir_name(value)}")
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if fs.exists(p):
         fs.delete(p, True)

@@ -119,3 +119,20 @@ def test_overwrite_partitions_keeps_string_partition_values(spark, tmpdir_path):
     got = spark.read.schema("k string, v int, p string").parquet(path)
     assert sorted((r.k, r.v, r.p) for r in got.collect()) == [("a", 10, "01"), ("b", 2, "1")]
     assert sorted(d for d in os.listdir(path) if d.startswith("p=")) == ["p=01", "p=1"]
+
+
+def test_partition_dir_names_match_spark(spark, tmpdir_path):
+    import datetime as dt_
+    from lakeloom.plans.publish import partition_dir_name
+    values = ["a/b=c", "x:y?z", "50%", "[q]", "plain", None]
+    spark.createDataFrame([(v, 1) for v in values], "s string, n int").write.partitionBy("s") \
+        .parquet(tmpdir_path + "/s")
+    assert sorted(d for d in os.listdir(tmpdir_path + "/s") if d.startswith("s=")) == \
+        sorted(f"s={partition_dir_name(v)}" for v in values)
+    spark.createDataFrame([(True, 1), (False, 2)], "b boolean, n int").write.partitionBy("b") \
+        .parquet(tmpdir_path + "/b")
+    assert sorted(d for d in os.listdir(tmpdir_path + "/b") if d.startswith("b=")) == \
+        sorted(f"b={partition_dir_name(v)}" for v in (True, False))
+    t = dt_.datetime(2024, 1, 1, 12, 30)
+    spark.createDataFrame([(t, 1)], "t timestamp_ntz, n int").write.partitionBy("t").parquet(tmpdir_path + "/t")
+    assert [d for d in os.listdir(tmpdir_path + "/t") if d.startswith("t=")] == [f"t={partition_dir_name(t)}"]

@@ -172,15 +172,22 @@ __all__ = ["write_partitioned", "publish_snapshot", "overwrite_partitions", "cut
 
 
 def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str = "overwrite",
-                  partition_col: str | None = None) -> None:
+                  partition_col: str | None = None, files_per_bucket: int = 1) -> None:
     """Save ``df`` as a catalog table hash-bucketed (and sorted) on ``key``.
 
     Two tables bucketed on the join key with the same bucket count join
     without any shuffle (each task reads bucket i of both sides): the facts
     build over bucketed headers and lines is then a map-only job.  Buckets
     are written by a shuffle on ``key`` once, at load time, instead of on
-    every join."""
-    w = df.write.mode(mode).bucketBy(buckets, key).sortBy(key)
+    every join.
+
+    The rows are first hash-partitioned on ``key`` into ``buckets *
+    files_per_bucket`` tasks.  Spark's bucket id is the same hash modulo
+    ``buckets``, which divides the task count, so every task holds rows of
+    exactly one bucket: the table gets ``files_per_bucket`` files per bucket
+    (per partition value), not one file per bucket from every task."""
+    out = df.repartition(buckets * max(1, files_per_bucket), key)
+    w = out.write.mode(mode).bucketBy(buckets, key).sortBy(key)
     if partition_col:
         w = w.partitionBy(partition_col)
     w.saveAsTable(table)

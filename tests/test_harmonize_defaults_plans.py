@@ -63,8 +63,13 @@ def test_bucketed_facts_join_has_no_shuffle(spark):
     from lakeloom.plans.publish import save_bucketed
     sf = "/root/testdata/sf0.001"
     spark.sql("CREATE SCHEMA IF NOT EXISTS lakeloom_bucket_test")
-    save_bucketed(R.harmonized_line_items(spark, sf), "lakeloom_bucket_test.lines", "invoice_id", 8)
-    save_bucketed(R.harmonized_transactions(spark, sf), "lakeloom_bucket_test.headers", "invoice_id", 8)
+    # inputs spread over several tasks: still one file per bucket, not one per bucket and task
+    save_bucketed(R.harmonized_line_items(spark, sf).repartition(5), "lakeloom_bucket_test.lines",
+                  "invoice_id", 8)
+    save_bucketed(R.harmonized_transactions(spark, sf).repartition(3), "lakeloom_bucket_test.headers",
+                  "invoice_id", 8, files_per_bucket=2)
+    assert len(spark.table("lakeloom_bucket_test.lines").inputFiles()) == 8
+    assert len(spark.table("lakeloom_bucket_test.headers").inputFiles()) == 16
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")     # force the sort-merge plan
     try:

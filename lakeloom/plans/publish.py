@@ -59,7 +59,16 @@ def overwrite_partitions(spark: SparkSession, new_parts: DataFrame, path: str, p
     stage = (stage or scratch_path(spark, "stage")).rstrip("/")
     done = f"{stage}/_touched"          # hidden from the stage's own file listing
     if not _exists(spark, f"{done}/_SUCCESS"):
-        new_parts.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
+        # Rows arrive partitioned by the merge key, so every task would write
+        # a file into every touched partition.  Hash them on (partition value,
+        # salt) instead: each task writes about one partition, and a big
+        # partition still spreads over ``salts`` tasks (a deterministic row
+        # hash, so a retried task rebuilds the same split).
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        salts = max(1, tasks // max(1, len(touched or ())))
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in new_parts.columns]), F.lit(salts))
+        new_parts.repartition(tasks, F.col(partition_col), salt) \
+            .write.mode("overwrite").partitionBy(partition_col).parquet(stage)
         ptype = dict(new_parts.dtypes)[partition_col]
         spark.createDataFrame([(v,) for v in (touched or [])], f"`{partition_col}` {ptype}") \
             .write.mode("overwrite").parquet(done)

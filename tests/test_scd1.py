@@ -136,3 +136,20 @@ def test_partition_dir_names_match_spark(spark, tmpdir_path):
     t = dt_.datetime(2024, 1, 1, 12, 30)
     spark.createDataFrame([(t, 1)], "t timestamp_ntz, n int").write.partitionBy("t").parquet(tmpdir_path + "/t")
     assert [d for d in os.listdir(tmpdir_path + "/t") if d.startswith("t=")] == [f"t={partition_dir_name(t)}"]
+
+
+def test_overwrite_partitions_writes_few_files_per_partition(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+    from lakeloom.plans.publish import overwrite_partitions
+    path = tmpdir_path + "/t"
+    base = spark.range(400).select(F.col("id").cast("string").alias("k"), F.lit(0).alias("v"),
+                                   (F.col("id") % 4).cast("int").alias("p"))
+    base.write.partitionBy("p").parquet(path)
+    # a merge result spread over 16 tasks by its key, touching all four partitions
+    new = base.withColumn("v", F.lit(1)).repartition(16, "k")
+    overwrite_partitions(spark, new, path, "p", touched=[0, 1, 2, 3])
+    got = spark.read.parquet(path)
+    assert got.count() == 400 and got.where("v = 1").count() == 400
+    for part in range(4):
+        files = [f for f in os.listdir(f"{path}/p={part}") if f.endswith(".parquet")]
+        assert len(files) <= 8          # about shuffle partitions / touched partitions, not 16

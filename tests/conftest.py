@@ -11,7 +11,11 @@ sys.path.insert(0, ROOT)
 @pytest.fixture(scope="session")
 def spark():
     from lakeloom.session import build_session
-    s = build_session("local[4]", app="lakeloom-tests", shuffle_partitions=4)
+    # a fresh warehouse per run: catalog tables of one run never collide with
+    # leftovers of another, and nothing is written into the repository
+    warehouse = tempfile.mkdtemp(prefix="lakeloom-warehouse-")
+    s = build_session("local[4]", app="lakeloom-tests", shuffle_partitions=4,
+                      extra={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 

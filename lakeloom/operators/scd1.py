@@ -130,12 +130,16 @@ def scd1_upsert(target: DataFrame, source: DataFrame, key, columns=None, run_ts=
         j = upd.unionByName(ins)
     elif strategy == "shuffle":
         # NULL keys never match, but would all hash to one shuffle partition
-        # (and AQE does not split full-outer joins): route them around the
-        # join — target ones stay as they are, source ones are inserts.
-        no_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-        j = (t.where(no_null).join(s.where(no_null), keys, "full_outer")
-             .unionByName(t.where(~no_null), allowMissingColumns=True)
-             .unionByName(s.where(~no_null), allowMissingColumns=True))
+        # (and AQE does not split full-outer joins).  A second join key, 0 for
+        # real keys and a row hash for NULL ones, spreads them over the
+        # partitions; they still never match (NULL = NULL is not true), so
+        # target ones stay as they are and source ones are inserts — with one
+        # scan of each side.
+        def null_salt(df):
+            any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+            return df.withColumn("_ns", F.when(any_null, F.xxhash64(*[F.col(c) for c in df.columns]))
+                                 .otherwise(F.lit(0).cast("long")))
+        j = null_salt(t).join(null_salt(s), keys + ["_ns"], "full_outer").drop("_ns")
     else:
         raise ValueError(strategy)
     from_src = F.col("_s_here").isNotNull()

@@ -153,3 +153,15 @@ def test_overwrite_partitions_writes_few_files_per_partition(spark, tmpdir_path)
     for part in range(4):
         files = [f for f in os.listdir(f"{path}/p={part}") if f.endswith(".parquet")]
         assert len(files) <= 8          # about shuffle partitions / touched partitions, not 16
+
+
+def test_shuffle_upsert_scans_each_side_once(spark, tmpdir_path):
+    t = spark.createDataFrame([(None, "t1", 1, T0, T0, T0, "s"), ("1", "x", 1, T0, T0, T0, "s")], TSCHEMA)
+    s = spark.createDataFrame([(None, "s1", 3, T1), ("1", "y", 4, T1)], SSCHEMA)
+    t.write.parquet(tmpdir_path + "/target")
+    s.write.parquet(tmpdir_path + "/source")
+    out = scd1.scd1_upsert(spark.read.parquet(tmpdir_path + "/target"), spark.read.parquet(tmpdir_path + "/source"),
+                           "id", run_ts=RUN, job_id="j", strategy="shuffle")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("/target]") == 1 and plan.count("/source]") == 1
+    assert len(out.collect()) == 3          # NULL-key rows kept apart, never matched

@@ -52,6 +52,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not is_local(spark.sparkContext.master):
+            # executors on other machines cannot share a driver-local folder
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor shares")
         current = tempfile.mkdtemp(prefix="lakeloom-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", current)
@@ -62,6 +65,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+def is_local(master: str) -> bool:
+    """True for a single-machine master (``local``, ``local[8]``, ``local[*, 4]``)."""
+    return master.startswith("local")
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new, unique (not yet existing) path under the shared checkpoint
     folder; the writer that uses it creates it, on any file system."""

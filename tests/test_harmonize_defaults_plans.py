@@ -207,3 +207,10 @@ def test_hot_invoice_is_split_by_aqe_skew_join(spark):
     finally:
         for k, v in prev.items():
             spark.conf.set(k, v)
+
+
+def test_shared_checkpoint_folder_required_off_local(spark):
+    from lakeloom.session import ensure_checkpoint_dir, is_local
+    assert is_local("local[8]") and is_local("local[*, 4]") and is_local("local")
+    assert not is_local("spark://master:7077") and not is_local("yarn") and not is_local("k8s://h:443")
+    assert ensure_checkpoint_dir(spark)          # the test session names one (set where unset)

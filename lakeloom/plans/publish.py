@@ -73,23 +73,18 @@ def overwrite_partitions(spark: SparkSession, new_parts: DataFrame, path: str, p
         spark.createDataFrame([(v,) for v in (touched or [])], f"`{partition_col}` {ptype}") \
             .write.mode("overwrite").parquet(done)
     touched = [r[0] for r in spark.read.parquet(done).collect()]   # one row per partition
+    # the merge's own schema, not inferred partition types: a string partition
+    # value such as "01" must not come back as the number 1.  An empty stage
+    # (every touched partition emptied) reads as no rows: nothing overwritten.
+    staged = spark.read.schema(new_parts.schema).parquet(stage)
+    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        # the merge's own schema, not inferred partition types: a string
-        # partition value such as "01" must not come back as the number 1
-        staged = spark.read.schema(new_parts.schema).parquet(stage)
-        staged.schema  # noqa: B018 - resolves the listing: fails when nothing was staged
-    except Exception:  # noqa: BLE001 - nothing staged: every touched partition emptied
-        staged = None
-    present = set()
-    if staged is not None:
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            staged.select(*[c for c in staged.columns if c != partition_col], partition_col) \
-                .write.mode("overwrite").partitionBy(partition_col).parquet(path)
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-        present = {r[0] for r in staged.select(partition_col).distinct().collect()}
+        staged.select(*[c for c in staged.columns if c != partition_col], partition_col) \
+            .write.mode("overwrite").partitionBy(partition_col).parquet(path)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    present = {r[0] for r in staged.select(partition_col).distinct().collect()}
     for value in touched:
         if value not in present:
             _drop_partition_dir(spark, path, partition_col, value)

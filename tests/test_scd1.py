@@ -165,3 +165,12 @@ def test_shuffle_upsert_scans_each_side_once(spark, tmpdir_path):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("/target]") == 1 and plan.count("/source]") == 1
     assert len(out.collect()) == 3          # NULL-key rows kept apart, never matched
+
+
+def test_overwrite_partitions_when_every_touched_partition_empties(spark, tmpdir_path):
+    from lakeloom.plans.publish import overwrite_partitions
+    path = tmpdir_path + "/t"
+    spark.createDataFrame([("a", 1, 1), ("c", 2, 2)], "k string, v int, p int").write.partitionBy("p").parquet(path)
+    nothing = spark.createDataFrame([], "k string, v int, p int")
+    overwrite_partitions(spark, nothing, path, "p", touched=[1])
+    assert sorted((r.k, r.p) for r in spark.read.parquet(path).collect()) == [("c", 2)]

@@ -134,11 +134,12 @@ def scd1_upsert(target: DataFrame, source: DataFrame, key, columns=None, run_ts=
         # real keys and a row hash for NULL ones, spreads them over the
         # partitions; they still never match (NULL = NULL is not true), so
         # target ones stay as they are and source ones are inserts — with one
-        # scan of each side.
+        # scan of each side.  The input split's id in the hash spreads even
+        # identical rows (it is the same when a task is retried).
         def null_salt(df):
             any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-            return df.withColumn("_ns", F.when(any_null, F.xxhash64(*[F.col(c) for c in df.columns]))
-                                 .otherwise(F.lit(0).cast("long")))
+            h = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
+            return df.withColumn("_ns", F.when(any_null, h).otherwise(F.lit(0).cast("long")))
         j = null_salt(t).join(null_salt(s), keys + ["_ns"], "full_outer").drop("_ns")
     else:
         raise ValueError(strategy)

@@ -174,3 +174,20 @@ def test_overwrite_partitions_when_every_touched_partition_empties(spark, tmpdir
     nothing = spark.createDataFrame([], "k string, v int, p int")
     overwrite_partitions(spark, nothing, path, "p", touched=[1])
     assert sorted((r.k, r.p) for r in spark.read.parquet(path).collect()) == [("c", 2)]
+
+
+def test_identical_null_key_rows_spread_over_the_join(spark):
+    from pyspark.sql import functions as F
+    n = 4000
+    t = spark.createDataFrame([(None, "t", 1, T0, T0, T0, "s")], TSCHEMA).crossJoin(spark.range(n).select()) \
+        .repartition(8).unionByName(spark.createDataFrame([("1", "x", 1, T0, T0, T0, "s")], TSCHEMA))
+    s = spark.createDataFrame([("1", "y", 4, T1)], SSCHEMA)
+    out = scd1.scd1_upsert(t, s, "id", run_ts=RUN, job_id="j", strategy="shuffle")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"     # tiny data: AQE would merge all partitions
+    prev = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        sizes = [r[1] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set(key, prev)
+    assert sum(sizes) == n + 1 and max(sizes) < n * 0.6      # not all NULL rows in one task

@@ -56,3 +56,45 @@ def op7_url_filter(spark, d):
 def op8_bpe_codec(spark, d):
     from lakeloom.llm.bpe_codec import encode_documents
     return encode_documents(table(spark, d, "documents"), "word_bpe_49k.json", digests=True)
+
+
+@register("op5_decontamination")
+def op5_decontamination(spark, d):
+    from lakeloom.llm.decontaminate import contamination
+    found, _ = contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return found.selectExpr("id AS doc_id", "n_words", "n_hit", "n_items",
+                            "sha2(array_join(items, ','), 256) AS items_sha256", "n_hit > 0 AS contaminated")
+
+
+@register("op3_maxscore", """
+WITH v AS (SELECT vec_id, min([floor(64 * x::DOUBLE) for x in embedding]) AS q FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding
+                 if x IS NULL OR isnan(x) OR isinf(x)]) = 0 GROUP BY vec_id),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id, score FROM s QUALIFY rank <= 20""")
+def op3_maxscore(spark, d):
+    from pyspark.sql import functions as F
+
+    from lakeloom.llm.maxscore import integer_vectors, top_k
+    vectors = integer_vectors(table(spark, d, "embeddings"), "vec_id", "embedding", 64)
+    return top_k(vectors, F.col("id") % 20 == 0, 20)
+
+
+def quality_training(docs, labels):
+    """Labels of the documents that may teach: crc32 of the id, mod 4, is not 2."""
+    from pyspark.sql import functions as F
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    return labels.where(~held).select("doc_id", "quality")
+
+
+@register("op2_quality")
+def op2_quality(spark, d):
+    from pyspark.sql import functions as F
+
+    from lakeloom.llm.quality import learn, score_documents
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    scored = score_documents(docs, learn(docs, quality_training(docs, labels)))
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    return scored.select("doc_id", held.alias("held_out"), "score", "predicted")

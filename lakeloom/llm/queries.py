@@ -98,3 +98,9 @@ def op2_quality(spark, d):
     scored = score_documents(docs, learn(docs, quality_training(docs, labels)))
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
     return scored.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+@register("op9_bagminhash")
+def op9_bagminhash(spark, d):
+    from lakeloom.llm.bagminhash import near_classes
+    return near_classes(table(spark, d, "documents"))

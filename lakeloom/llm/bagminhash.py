@@ -21,8 +21,9 @@ and signatures never are):
 2. Keys that share a band meet in a bucket.  Each bucket takes a leader (the
    smallest hash, another one in every band) and its members are verified
    against it: sizes first, then the exact overlap of the multisets.  Members
-   that fail stay in the bucket and get a new leader, round by round, until
-   all are settled.  Pairs are members x leaders, never all pairs of a bucket.
+   that fail stay in the bucket and get new leaders, twice as many a round up
+   to ``LEADERS``, until all are settled.  Pairs are members x leaders, never
+   all pairs of a bucket.
 3. Verified pairs are links; classes are their connected components.
 4. A link between members of two leaders of a bucket could still be missing.
    As 1 - similarity is a metric, it can exist only where the leaders'
@@ -55,10 +56,13 @@ from lakeloom.llm.components import connected_components
 from lakeloom.llm.decontaminate import byte_words
 from lakeloom.llm.slots import bitmap, found
 from lakeloom.llm.store import written
+from lakeloom.session import scratch_path
 
 SHINGLE, SIMILAR = 5, 0.8
 BANDS, ROWS = 32, 6
 SLOTS = BANDS * ROWS
+#: Leaders a bucket gets in one round at most.
+LEADERS = 16
 SLICE = 128
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)               # splitmix64's increment and multipliers
@@ -205,21 +209,33 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     wanted = docs.sparkSession.sparkContext.broadcast(bitmap(open_.select("id"), F.col("id").cast("string")))
     bags = written(multisets(source, wanted).groupBy("node").agg(F.first("elems").alias("elems")), "multisets")
 
-    settled, failed = [], []                # bucket members with their leader; refused leaders
+    seen, turn = scratch_path(docs.sparkSession, "judged"), 0
     while True:
-        first = F.min(F.struct(F.xxhash64("band", "node").alias("h"), "node", "size")).alias("lead")
-        lead = open_.groupBy("band").agg(first).select("band", F.col("lead.node").alias("b"), F.col("lead.size").alias("size_b"))
-        tried = written(open_.join(lead, "band").where("node <> b"), "tried")
-        sims = _compared(tried.selectExpr("node AS a", "b", "size AS size_a", "size_b"), bags, similar)
-        judged = written(tried.join(sims.withColumnRenamed("a", "node"), ["node", "b"]), "judged")
-        settled.append(judged.where(F.col("sim") >= similar).select("band", "node", "size", "b", "sim"))
-        failed.append(judged.where(F.col("sim") < similar).select("band", "node", "b", "sim"))
-        open_ = judged.where(F.col("sim") < similar).select("band", "id", "node", "size")
+        leads = min(1 << turn, LEADERS)
+        picks = [F.min(F.struct(F.xxhash64("band", "node", F.lit(j)).alias("h"), "node", "size")).alias(f"l{j}")
+                 for j in range(leads)]
+        lead = open_.groupBy("band").agg(*picks).select(
+            "band", F.array_distinct(F.array(*[F.struct(f"l{j}.node", f"l{j}.size") for j in range(leads)])).alias("leads"))
+        tried = (open_.join(lead, "band").withColumn("leading", F.expr("exists(leads, l -> l.node = node)"))
+                 .withColumn("l", F.explode("leads")).where("node <> l.node")
+                 .select("band", "id", "node", "size", "leading", F.col("l.node").alias("lead"), F.col("l.size").alias("size_b"))
+                 .withColumn("a", F.least("node", "lead")).withColumn("b", F.greatest("node", "lead")))
+        tried = written(tried, "tried")
+        size_a = F.when(F.col("a") == F.col("node"), F.col("size")).otherwise(F.col("size_b"))
+        sims = _compared(tried.select("a", "b", size_a.alias("size_a"), (F.col("size") + F.col("size_b") - size_a).alias("size_b")),
+                         bags, similar)
+        tried.join(sims, ["a", "b"]).drop("a", "b").write.parquet(f"{seen}/turn={turn}")
+        judged = docs.sparkSession.read.parquet(f"{seen}/turn={turn}")
+        open_ = (judged.groupBy("band", "node")
+                 .agg(F.first("id").alias("id"), F.first("size").alias("size"), F.max("sim").alias("best"),
+                      F.max("leading").alias("leading"))
+                 .where((F.col("best") < similar) & ~F.col("leading")).drop("best", "leading"))
+        open_ = written(open_, "open")
         if not open_.take(1):
             break
-    member, refused = settled[0], failed[0]
-    for s, f in zip(settled[1:], failed[1:]):
-        member, refused = member.unionByName(s), refused.unionByName(f)
+        turn += 1
+    judged = docs.sparkSession.read.parquet(seen).withColumnRenamed("lead", "b")
+    member, refused = judged.where(F.col("sim") >= similar), judged.where(F.col("sim") < similar)
 
     links = member.selectExpr("node AS a", "b")
     comps = connected_components(links)
@@ -239,7 +255,7 @@ def _bridges(member: DataFrame, refused: DataFrame, comps: DataFrame, bags: Data
     comp = lambda df, of, name: df.join(comps.selectExpr(f"node AS {of}", f"comp AS {name}"), of, "left").withColumn(
         name, F.coalesce(name, of))
     sides = member.select("band", F.col("b").alias("lead"), "node", "size", "sim")
-    # two leaders of a bucket: the later one was refused by the earlier one
+    # two leaders of a bucket: the later one was refused by the earlier one, or both by each other
     leads = (refused.selectExpr("band", "node AS lead2", "b AS lead1", "sim AS between")
              .where(F.col("between") >= 1 - 3 * (1 - similar) - 1e-9))
     one = sides.selectExpr("band", "lead AS lead1", "node AS a", "size AS size_a", "sim AS sim_a").unionByName(

@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeloom.llm.store import ship_code
+
 REGISTRY: dict = {}
 ORACLE: dict[str, str] = {}
 
@@ -19,6 +21,7 @@ def register(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -104,3 +107,12 @@ def op2_quality(spark, d):
 def op9_bagminhash(spark, d):
     from lakeloom.llm.bagminhash import near_classes
     return near_classes(table(spark, d, "documents"))
+
+
+@register("op1_context_tree")
+def op1_context_tree(spark, d):
+    from pyspark.sql import functions as F
+
+    from lakeloom.llm.ctw import score_documents
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    return score_documents(table(spark, d, "documents"), held)

@@ -1,7 +1,11 @@
-"""Intermediate tables in the cluster's shared folder."""
+"""Intermediate tables in the cluster's shared folder, and code for the workers."""
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame
 
 from lakeloom.session import scratch_path
@@ -14,3 +18,18 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     path = scratch_path(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_code(spark) -> None:
+    """Give this package to the Python workers (once per session): they may
+    run where the repository is not on the path."""
+    sc = spark.sparkContext
+    if getattr(sc, "_lakeloom_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[2]
+    folder = tempfile.mkdtemp(prefix="lakeloom-code-")      # Spark copies it to the executors from the driver
+    with zipfile.ZipFile(f"{folder}/lakeloom_code.zip", "w") as z:
+        for p in sorted((root / "lakeloom").rglob("*.py")):
+            z.write(p, p.relative_to(root))
+    sc.addPyFile(f"{folder}/lakeloom_code.zip")
+    sc._lakeloom_shipped = True

@@ -116,3 +116,14 @@ def op1_context_tree(spark, d):
     from lakeloom.llm.ctw import score_documents
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
     return score_documents(table(spark, d, "documents"), held)
+
+
+@register("op4_pii")
+def op4_pii(spark, d):
+    from pyspark.sql import functions as F
+
+    from lakeloom.llm.pii import KINDS, find_pii, listed
+    found = find_pii(table(spark, d, "documents"))
+    counts = [F.expr(f"CAST(size(filter(base, s -> s.kind = '{k}')) AS long)").alias(f"n_{k}") for k in KINDS]
+    return found.select(F.col("id").alias("doc_id"), *counts, F.expr(f"sha2({listed('base')}, 256)").alias("base_sha256"),
+                        F.expr(listed("concat(base, added)")).alias("spans"))

@@ -127,3 +127,57 @@ def op4_pii(spark, d):
     counts = [F.expr(f"CAST(size(filter(base, s -> s.kind = '{k}')) AS long)").alias(f"n_{k}") for k in KINDS]
     return found.select(F.col("id").alias("doc_id"), *counts, F.expr(f"sha2({listed('base')}, 256)").alias("base_sha256"),
                         F.expr(listed("concat(base, added)")).alias("spans"))
+
+
+# The rules of the one tool of plain conversations (tool, arg,
+# type, required, least, most).
+CHAT_TOOLS = (("answer", "chars", "integer", True, 1.0, 2000.0), ("answer", "lines", "integer", True, 1.0, 12.0),
+              ("answer", "text", "string", True, 1.0, None))
+
+
+def chat_messages(conversations):
+    """Plain conversations as tool messages: a user's turn calls ``answer`` (its
+    parent is the call two turns before), an assistant's turn is the result of
+    the call one turn before; other roles hold neither."""
+    from pyspark.sql import functions as F
+    message = F.expr("""CASE
+        WHEN role = 'user' THEN to_json(struct(array(struct(concat('c', turn) AS id, 'answer' AS name,
+            CASE WHEN turn >= 2 THEN concat('c', turn - 2) END AS parent_id,
+            struct(length(text) AS chars, size(split(text, '\\n')) AS lines, text) AS arguments)) AS tool_calls))
+        WHEN role = 'assistant' THEN to_json(struct(concat('c', turn - 1) AS tool_call_id, text AS content)) END""")
+    return conversations.select("conv_id", "turn", message.alias("message"))
+
+
+@register("op10_tool_calls", """
+WITH calls AS (SELECT conv_id, turn, min(text) AS text, count(*) AS n_calls FROM conversations
+               WHERE role = 'user' AND turn IS NOT NULL AND conv_id IS NOT NULL GROUP BY ALL),
+res AS (SELECT conv_id, turn - 1 AS turn, min(text) AS content, count(*) AS n_results FROM conversations
+        WHERE role = 'assistant' AND turn IS NOT NULL AND conv_id IS NOT NULL GROUP BY ALL),
+runs AS (SELECT *, turn - 2 * row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS run FROM calls),
+deep AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn % 2, run ORDER BY turn) - 1 AS depth,
+                length(text) AS chars, len(string_split(text, chr(10))) AS lines FROM runs),
+wrong AS (SELECT *, array_to_string(list_concat(
+    CASE WHEN text IS NULL THEN ['missing chars', 'missing text']
+         ELSE list_concat(CASE WHEN chars < 1 OR chars > 2000 THEN ['range of chars'] ELSE [] END,
+                          list_concat(CASE WHEN lines < 1 OR lines > 12 THEN ['range of lines'] ELSE [] END,
+                                      CASE WHEN chars < 1 THEN ['range of text'] ELSE [] END)) END,
+    CASE WHEN turn >= 2 AND depth = 0 THEN ['unknown parent'] ELSE [] END), '; ') AS errors FROM deep),
+linked AS (SELECT coalesce(w.conv_id, r.conv_id) AS conv_id, coalesce(w.turn, r.turn) AS t, w.*  EXCLUDE (conv_id),
+                  r.content, r.n_results, CASE WHEN r.turn IS NOT NULL THEN r.turn + 1 END AS result_turn,
+                  CASE WHEN w.turn IS NULL THEN 'orphan_result' WHEN w.errors <> '' THEN 'invalid'
+                       WHEN r.turn IS NULL THEN 'unanswered' ELSE 'ok' END AS status
+           FROM wrong w FULL JOIN res r ON w.conv_id = r.conv_id AND w.turn = r.turn)
+SELECT conv_id, 'c' || t AS call_id, turn, result_turn, depth, coalesce(n_calls, 0) AS n_calls,
+       coalesce(n_results, 0) AS n_results, status, coalesce(errors, '') AS errors,
+       '{"arguments":' || CASE WHEN turn IS NULL THEN 'null' ELSE
+           '{"chars":' || chars || ',"lines":' || lines || ',"text":' || to_json(text) || '}' END
+       || ',"depth":' || coalesce(CAST(depth AS VARCHAR), 'null') || ',"id":"c' || t || '","name":'
+       || CASE WHEN turn IS NULL THEN 'null' ELSE '"answer"' END || ',"parent_id":'
+       || CASE WHEN turn >= 2 THEN '"c' || (turn - 2) || '"' ELSE 'null' END || ',"result":'
+       || coalesce(to_json(content), 'null') || ',"status":"' || status || '"}' AS json
+FROM linked""")
+def op10_tool_calls(spark, d):
+    from lakeloom.llm.tool_calls import link_tool_calls
+    rules = spark.createDataFrame(list(CHAT_TOOLS), "tool string, arg string, type string, required boolean, "
+                                                    "least double, most double")
+    return link_tool_calls(chat_messages(table(spark, d, "conversations")), rules)

@@ -11,13 +11,24 @@ from pyspark.sql import DataFrame
 from lakeloom.session import scratch_path
 
 
+#: Rows of one Arrow batch: a few MB of texts, so that a Python worker and the
+#: JVM's copy of its input stay small beside the executor's heap.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ROWS = "1000"
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written once as Parquet under ``spark.checkpoint.dir`` and read
     back: later uses read files every executor shares instead of computing it
     again, and a lost executor costs no lineage."""
-    path = scratch_path(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, before = scratch_path(spark, purpose), spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, ROWS)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def ship_code(spark) -> None:

@@ -274,3 +274,13 @@ def masked(found: DataFrame, out: str = "text") -> DataFrame:
                 "substr(text, if(i = 0, 0, _s[greatest(0, i - 1)].upto) + 1, s.from - if(i = 0, 0, _s[greatest(0, i - 1)].upto)), "
                 "'[', upper(s.kind), ']')), ''), substr(text, _s[size(_s) - 1].upto + 1)) END"))
             .drop("_s"))
+
+
+def mask_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """``docs`` with its columns, the spans of the text masked and the length
+    column, if there is one, set to the new text's; NULL texts stay NULL."""
+    whole = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.struct("*").alias("_row"))
+    done = masked(find_pii(whole, "_id", "_text", ("_row",)), "_new")
+    new = F.when(F.col(f"_row.`{text_col}`").isNotNull(), F.col("_new"))
+    put = {text_col: new, length_col: F.length(new).cast(dict(docs.dtypes).get(length_col, "long"))}
+    return done.select(*[put.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])

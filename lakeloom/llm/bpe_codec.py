@@ -34,35 +34,17 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.vocab import byte_chars, load_json, public_path
+from lakeloom.llm.vocab import SYMBOL_SET, byte_chars, load_json, older, public_path
 
 #: The word pattern of the vocabulary (fixed value); applied to lower-cased NFC text.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
-# The library's word pattern knows an older Unicode than this
-# Python's; these code points (first, last) are letters or digits here and
-# symbols there.
-SYMBOLS = (
-    (0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC), (0x208F, 0x208F),
-    (0x209D, 0x209F), (0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4), (0xA7DD, 0xA7DD), (0xA7E2, 0xA7E2),
-    (0xA7F1, 0xA7F1), (0xAB6C, 0xAB6D), (0x107BB, 0x107BF), (0x10940, 0x10959), (0x10EC5, 0x10EC7),
-    (0x10ED9, 0x10EEE), (0x11B0A, 0x11B0A), (0x11DB0, 0x11DDB), (0x11DE0, 0x11DE9), (0x11DF1, 0x11DF1),
-    (0x1246F, 0x1246F), (0x12475, 0x1247F), (0x12550, 0x12686), (0x16EA0, 0x16EB8), (0x16EBB, 0x16ED3),
-    (0x16FF2, 0x16FF6), (0x187F8, 0x187FF), (0x18CD6, 0x18CDA), (0x18D09, 0x18D20), (0x18D80, 0x18DF2),
-    (0x18E00, 0x19191), (0x191A0, 0x191D2), (0x1B123, 0x1B128), (0x1B168, 0x1B168), (0x1D6A6, 0x1D6A6),
-    (0x1DF1F, 0x1DF24), (0x1DF2B, 0x1DF81), (0x1DF90, 0x1DF96), (0x1DFCD, 0x1DFFF), (0x1E6C0, 0x1E6DE),
-    (0x1E6E0, 0x1E6E2), (0x1E6E4, 0x1E6E5), (0x1E6E7, 0x1E6ED), (0x1E6F0, 0x1E6F4), (0x1E6FE, 0x1E6FF),
-    (0x2B73A, 0x2B73F), (0x2B81E, 0x2B81E), (0x2CEA2, 0x2CEAD), (0x323B0, 0x33479), (0x3D000, 0x3FC3F))
 # Capitals newer than this Python's tables and the distance to
 # their small letters (first, last, step between capitals, distance).
 CAPITALS = ((0x1C89, 0x1C89, 1, 1), (0xA7CB, 0xA7CB, 1, 0x264 - 0xA7CB), (0xA7CC, 0xA7CE, 2, 1), (0xA7D2, 0xA7D4, 2, 1),
             (0xA7DA, 0xA7DA, 1, 1), (0xA7DC, 0xA7DC, 1, 0x19B - 0xA7DC), (0x10D50, 0x10D65, 1, 0x20),
             (0x16EA0, 0x16EB8, 1, 0x1B))
 LOWER = {ord("Σ"): "σ"} | {c: chr(c + d) for a, b, step, d in CAPITALS for c in range(a, b + 1, step)}
-_SET = "".join(f"{chr(a)}-{chr(b)}" for a, b in SYMBOLS)
-NEWER = re.compile(f"[{_SET}{''.join(map(chr, LOWER))}]")
-#: The word pattern where a text holds any of these.
-WORD_NEWER = WORD.replace(r"\p{L}+", rf"[\p{{L}}--[{_SET}]]+").replace(r"|\p{N}|", rf"|[\p{{N}}--[{_SET}]]|").replace(
-    r"[^\s\p{L}\p{N}]+", rf"(?:[^\s\p{{L}}\p{{N}}]|[{_SET}])+")
+NEWER = re.compile(f"[{SYMBOL_SET}{''.join(map(chr, LOWER))}]")
 #: Stands for the word end in place of the file's suffix; no byte-level character.
 END = "\0"
 KEEP, KEEP_CHARS = 1 << 18, 48
@@ -94,7 +76,7 @@ class Codec:
             if t not in self.made or self._stands(t):
                 self.tokens.add_word(t, t)
         self.tokens.make_automaton()
-        self.words, self.words_newer = regex.compile(WORD), regex.compile(WORD_NEWER, regex.V1)
+        self.words, self.words_newer = regex.compile(WORD), regex.compile(older(WORD), regex.V1)
         self.special = vocab["special"]
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.known: dict[str, tuple[bytes, str]] = {}

@@ -18,6 +18,7 @@ columns of the input are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
@@ -28,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.vocab import byte_chars, load_json, public_path
+from lakeloom.llm.vocab import SYMBOL_SET, byte_chars, load_json, older, public_path
 
 #: The pre-token pattern of the vocabulary (fixed value).
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -74,7 +75,8 @@ class Counter(dict):
         as_bytes = lambda s: bytes(raw[c] for c in s)
         self.ranks = {(as_bytes(a), as_bytes(b)): r for r, (a, b) in enumerate(vocab["merges"])}
         self.single = [bytes([b]) for b in range(256)]
-        self.pretokens = regex.compile(PRETOKEN)
+        self.pretokens, self.pretokens_newer = regex.compile(PRETOKEN), regex.compile(older(PRETOKEN), regex.V1)
+        self.newer = re.compile(f"[{SYMBOL_SET}]")
         self.special = regex.compile("|".join(map(regex.escape, vocab["special"]))) if vocab["special"] else None
 
     def __missing__(self, token: str) -> int:
@@ -88,7 +90,15 @@ class Counter(dict):
     def count(self, text: str) -> int:
         """Tokens of ``text``; a special string counts as one token."""
         pieces = self.special.split(text) if self.special else [text]
-        return len(pieces) - 1 + sum(sum(map(self.__getitem__, self.pretokens.findall(p))) for p in pieces)
+        return len(pieces) - 1 + sum(sum(map(self.__getitem__, self._split(p))) for p in pieces)
+
+    def _split(self, text: str) -> list[str]:
+        try:
+            text.encode("latin-1")          # a cheap sign that no code point of the newer ones is there
+        except UnicodeEncodeError:
+            if self.newer.search(text):
+                return self.pretokens_newer.findall(text)
+        return self.pretokens.findall(text)
 
 
 @lru_cache(maxsize=2)

@@ -18,12 +18,17 @@ and signatures never are):
 1. One pass over the scan gives each row its text key (128-bit hash of its
    words) and ``BANDS`` band keys of ``ROWS`` registers.  Rows with one key are
    copies; from here on a key stands for all of them.
-2. Keys that share a band meet in a bucket.  Each bucket takes a leader (the
-   smallest hash, another one in every band) and its members are verified
+2. Keys that share a band meet in a bucket.  A key whose multiset is mostly its
+   own (too few elements occur in any other candidate's) cannot have a partner
+   and is left out: in a large group of heavily edited copies that is most of
+   them.  Each bucket takes a leader (the key with the most company over all
+   bands, which is what a group's original has) and its members are verified
    against it: sizes first, then the exact overlap of the multisets.  Members
-   that fail stay in the bucket and get new leaders, twice as many a round up
-   to ``LEADERS``, until all are settled.  Pairs are members x leaders, never
-   all pairs of a bucket.
+   that fail stay in the bucket and get new leaders, four times as many a round
+   up to ``LEADERS``, until all are settled.  Pairs are members x leaders, never
+   all pairs of a bucket.  The bands are taken in a few passes; a bucket that
+   the passes before have put in one class is left out, so a large group of near
+   copies is verified in the first bands only.
 3. Verified pairs are links; classes are their connected components.
 4. A link between members of two leaders of a bucket could still be missing.
    As 1 - similarity is a metric, it can exist only where the leaders'
@@ -61,6 +66,9 @@ from lakeloom.session import scratch_path
 SHINGLE, SIMILAR = 5, 0.8
 BANDS, ROWS = 32, 6
 SLOTS = BANDS * ROWS
+#: Bands are worked through in passes that end here; later passes leave out
+#: buckets whose members are in one class by then.
+PASSES = (2, 8, BANDS)
 #: Leaders a bucket gets in one round at most.
 LEADERS = 16
 SLICE = 128
@@ -203,50 +211,84 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = written(signed(source), "signed")
     nodes = (rows.where("node IS NOT NULL").groupBy("node")
              .agg(F.min("id").alias("id"), F.first("size").alias("size"), F.first("bands").alias("bands")))
-    entries = nodes.select("id", "node", "size", F.explode("bands").alias("band"))
+    entries = nodes.select("id", "node", "size", F.posexplode("bands").alias("nth", "band"))
     shared = entries.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
-    open_ = written(entries.join(shared, "band"), "buckets")
-    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(open_.select("id"), F.col("id").cast("string")))
+    met = written(entries.join(shared, "band"), "met")
+    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(met.select("id"), F.col("id").cast("string")))
     bags = written(multisets(source, wanted).groupBy("node").agg(F.first("elems").alias("elems")), "multisets")
+    met = met.join(_common(bags), "node").where(F.col("common") >= similar * F.col("size"))
+    least = met.groupBy("band").agg(F.min("size").alias("least"))
+    partner = F.greatest(F.col("least"), similar * F.col("size"))   # no partner in the bucket is smaller
+    met = met.join(least, "band").where(F.col("common") >= similar / (1 + similar) * (F.col("size") + partner) - 1e-6)
+    met = written(met.drop("common", "least"), "met")
+    shared = met.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = written(met.join(shared, "band"), "shared")
+    buckets = written(met.join(met.groupBy("node").agg(F.sum("n").alias("company")), "node").drop("n"), "buckets")
+
+    judged = scratch_path(docs.sparkSession, "judged")
+    comps, lo = None, 0
+    for hi in PASSES:                       # buckets already within one class have nothing left to find
+        open_ = buckets.where(f"nth >= {lo} AND nth < {hi}").drop("nth")
+        if comps is not None:
+            comp = open_.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+            split = comp.groupBy("band").agg((F.min("comp") != F.max("comp")).alias("two")).where("two").select("band")
+            open_ = written(open_.join(split, "band"), "open")
+        _judge(open_, bags, similar, f"{judged}/nth={lo}")
+        links = docs.sparkSession.read.parquet(judged).where(F.col("sim") >= similar).selectExpr("node AS a", "lead AS b")
+        comps, lo = connected_components(links), hi
+    all_judged = docs.sparkSession.read.parquet(judged).withColumnRenamed("lead", "b")
+    member, refused = all_judged.where(F.col("sim") >= similar), all_judged.where(F.col("sim") < similar)
+    more = _bridges(member, refused, comps, bags, similar)
+    if more.take(1):
+        comps = connected_components(links.unionByName(more))
+    named = (rows.join(comps, "node", "left")
+             .select("id", "node", F.coalesce("comp", "node").alias("comp")))
+    class_id = named.where("comp IS NOT NULL").groupBy("comp").agg(F.min("id").alias("class_id"))
+    return (named.join(class_id, "comp", "left")
+            .select(F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id")))
+
+
+def _common(bags: DataFrame) -> DataFrame:
+    """``node, common``: how many of a multiset's elements occur in another one
+    too.  A partner's overlap consists of these (a partner is a candidate
+    itself), so a node with too few of them has none, and nothing is lost by
+    leaving it out."""
+    each = bags.select(F.xxhash64("node").alias("h"), F.explode("elems").alias("e"))
+    once = each.groupBy("e").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("h")).where("n = 1")
+    own = once.groupBy("h").agg(F.count(F.lit(1)).alias("own"))
+    return (bags.select("node", F.size("elems").alias("all")).join(own, F.xxhash64("node") == F.col("h"), "left")
+            .select("node", (F.col("all") - F.coalesce("own", F.lit(0))).alias("common")))
 
-    seen, turn = scratch_path(docs.sparkSession, "judged"), 0
+
+def _judge(open_: DataFrame, bags: DataFrame, similar: float, path: str) -> None:
+    """Step 2 for the buckets ``open_`` (``band, node, size, company``): rows
+    ``band, company, node, size, leading, lead, size_b, sim`` under ``path``, one folder a round."""
+    spark, turn = open_.sparkSession, 0
     while True:
-        leads = min(1 << turn, LEADERS)
-        picks = [F.min(F.struct(F.xxhash64("band", "node", F.lit(j)).alias("h"), "node", "size")).alias(f"l{j}")
-                 for j in range(leads)]
+        leads = min(4 ** turn, LEADERS)
+        order = [-F.col("company")] + [F.xxhash64("band", "node", F.lit(j)) for j in range(1, leads)]
+        picks = [F.min(F.struct(o.alias("o"), "node", "size")).alias(f"l{j}") for j, o in enumerate(order)]
         lead = open_.groupBy("band").agg(*picks).select(
             "band", F.array_distinct(F.array(*[F.struct(f"l{j}.node", f"l{j}.size") for j in range(leads)])).alias("leads"))
         tried = (open_.join(lead, "band").withColumn("leading", F.expr("exists(leads, l -> l.node = node)"))
-                 .withColumn("l", F.explode("leads")).where("node <> l.node")
-                 .select("band", "id", "node", "size", "leading", F.col("l.node").alias("lead"), F.col("l.size").alias("size_b"))
+                 .withColumn("l", F.explode("leads"))
+                 .where("node <> l.node AND (NOT leading OR node < l.node)")     # two leaders meet once
+                 .select("band", "company", "node", "size", "leading", F.col("l.node").alias("lead"), F.col("l.size").alias("size_b"))
                  .withColumn("a", F.least("node", "lead")).withColumn("b", F.greatest("node", "lead")))
         tried = written(tried, "tried")
         size_a = F.when(F.col("a") == F.col("node"), F.col("size")).otherwise(F.col("size_b"))
         sims = _compared(tried.select("a", "b", size_a.alias("size_a"), (F.col("size") + F.col("size_b") - size_a).alias("size_b")),
                          bags, similar)
-        tried.join(sims, ["a", "b"]).drop("a", "b").write.parquet(f"{seen}/turn={turn}")
-        judged = docs.sparkSession.read.parquet(f"{seen}/turn={turn}")
+        tried.join(sims, ["a", "b"]).drop("a", "b").write.parquet(f"{path}/turn={turn}")
+        judged = spark.read.parquet(f"{path}/turn={turn}")
         open_ = (judged.groupBy("band", "node")
-                 .agg(F.first("id").alias("id"), F.first("size").alias("size"), F.max("sim").alias("best"),
+                 .agg(F.first("company").alias("company"), F.first("size").alias("size"), F.max("sim").alias("best"),
                       F.max("leading").alias("leading"))
                  .where((F.col("best") < similar) & ~F.col("leading")).drop("best", "leading"))
         open_ = written(open_, "open")
         if not open_.take(1):
-            break
+            return
         turn += 1
-    judged = docs.sparkSession.read.parquet(seen).withColumnRenamed("lead", "b")
-    member, refused = judged.where(F.col("sim") >= similar), judged.where(F.col("sim") < similar)
-
-    links = member.selectExpr("node AS a", "b")
-    comps = connected_components(links)
-    more = _bridges(member, refused, comps, bags, similar)
-    if more.take(1):
-        comps = connected_components(links.unionByName(more))
-    named = (rows.join(comps, "node", "left")
-             .select("id", "node", F.coalesce("comp", "node").alias("comp")))
-    class_id = named.where("comp IS NOT NULL").groupBy("comp").agg(F.min("id").alias("class_id"))
-    return (named.join(class_id, "comp", "left")
-            .select(F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id")))
 
 
 def _bridges(member: DataFrame, refused: DataFrame, comps: DataFrame, bags: DataFrame, similar: float) -> DataFrame:

@@ -49,8 +49,8 @@ def register_mask_functions(spark: SparkSession, roles) -> None:
 
     The role set is baked into the function body as a literal array, the
     open-source stand-in for a catalog group-membership test."""
-    arr = "array(" + ", ".join("'" + r.replace("'", "") + "'" for r in roles) + ")" if roles \
-        else "cast(array() as array<string>)"
+    quoted = ["'" + r.replace("\\", "\\\\").replace("'", "\\'") + "'" for r in roles]
+    arr = f"array({', '.join(quoted)})" if quoted else "cast(array() as array<string>)"
     member = f"array_contains({arr}, '{PRIVILEGED_ROLE}')"
     spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION masking_phone(phone_number STRING)
         RETURNS STRING RETURN CASE WHEN {member} THEN phone_number ELSE '{PHONE_MASK}' END""")

@@ -14,9 +14,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.functions.hashing import FIELD_SEP, NULL_MARK
 from lakeloom.functions.predicates import NUMBER_PATTERN, any_null, invalid_number
 from lakeloom.operators.casting import cast_failures, ts_literal
-from lakeloom.operators.joins import sized_broadcast
 
 FINDING_COLUMNS = ("unique_identifier", "r_batch_timestamp", "issue")
 
@@ -71,7 +71,8 @@ def _ident(key) -> Column:
     keys = [key] if isinstance(key, str) else list(key)
     if len(keys) == 1:
         return F.col(keys[0]).cast("string")
-    return F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    # the delimiter and NULL mark of the row hash keep different keys apart
+    return F.concat_ws(FIELD_SEP, *[F.coalesce(F.col(k).cast("string"), F.lit(NULL_MARK)) for k in keys])
 
 
 def _finding(df: DataFrame, key, audit: str, issue) -> DataFrame:
@@ -107,7 +108,7 @@ def dq_unique(df: DataFrame, key, audit: str, column: str, issue: str | None = N
     issue = issue or f"Duplicate {column}"
     shared = (df.where(F.col(column).isNotNull()).groupBy(audit, column).count()
               .where(F.col("count") > 1).select(audit, column))
-    rows = df.join(sized_broadcast(shared), [audit, column], "left_semi")
+    rows = df.join(shared, [audit, column], "left_semi")
     return _finding(rows, key, audit, issue)
 
 
@@ -184,8 +185,7 @@ def bad_rows(df: DataFrame, key, audit: str, rules) -> DataFrame:
     for i, (_, cols, groups) in enumerate(flagged):
         flag = f"_bad{i}"
         # fresh names on the group side: the keys share lineage with ``df``
-        g = sized_broadcast(groups.select(*[F.col(c).alias(f"_g{i}_{c}") for c in cols],
-                                          F.lit(True).alias(flag)))
+        g = groups.select(*[F.col(c).alias(f"_g{i}_{c}") for c in cols], F.lit(True).alias(flag))
         cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g{i}_{c}")) for c in cols])
         marked = marked.join(g, cond, "left").drop(*[f"_g{i}_{c}" for c in cols])
         row_preds.append(F.col(flag).isNotNull())
@@ -208,9 +208,13 @@ def dq_gate(df: DataFrame, key, audit: str, rules, mode: str = "abort"):
         return df, findings
     if mode != "quarantine":
         raise ValueError(mode)
+    return dq_split(df, key, audit, rules)[0], findings
+
+
+def dq_split(df: DataFrame, key, audit: str, rules) -> tuple[DataFrame, DataFrame]:
+    """``(passed, held back)``: every row of ``df`` is in exactly one of them."""
     marked = bad_rows(df, key, audit, rules)
-    passed = marked.where(~F.col("_dq_bad")).drop(*[c for c in marked.columns if c.startswith("_bad")], "_dq_bad")
-    return passed, findings
+    return (marked.where(~F.col("_dq_bad")).select(*df.columns), marked.where(F.col("_dq_bad")).select(*df.columns))
 
 
 def with_logged_at(findings: DataFrame, run_ts) -> DataFrame:
@@ -226,9 +230,9 @@ def log_findings(findings: DataFrame, run_ts, path: str | None = None, table: st
     out = with_logged_at(findings, run_ts)
     if dedupe_against is not None:
         # only the log entries of this run's batch stamps can repeat a finding:
-        # a (size-checked) broadcast semi-join on the few stamps filters the
-        # ever-growing log map-side, before its de-duplicating shuffle
-        stamps = sized_broadcast(findings.select(F.col("r_batch_timestamp").alias("_stamp")).distinct())
+        # a semi-join on the few stamps filters the ever-growing log before its
+        # de-duplicating shuffle
+        stamps = findings.select(F.col("r_batch_timestamp").alias("_stamp")).distinct()
         seen = (dedupe_against.join(stamps, F.col("r_batch_timestamp").eqNullSafe(F.col("_stamp")),
                                     "left_semi")
                 .select(*FINDING_COLUMNS).distinct())

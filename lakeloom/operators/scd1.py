@@ -1,9 +1,13 @@
 """SCD1 upsert: MERGE (update matched, insert unmatched) as a DataFrame rewrite.
 
-The new table state is ``target FULL OUTER JOIN source`` on the key with
-presence markers: a matched or new key takes every mapped column from the
-source (a source NULL overwrites, as MERGE's ``SET t.c = s.c`` does), an
-untouched key keeps its target row unchanged.
+The new table state is ``target LEFT JOIN source`` on the key, plus the source
+rows that match no target row (``LEFT ANTI``): a matched or new key takes every
+mapped column from the source (a source NULL overwrites, as MERGE's ``SET t.c =
+s.c`` does), an untouched key keeps its target row unchanged.  The batch is
+written once and read by every step; whether a side is broadcast is left to
+adaptive execution, which knows measured sizes, and which can split a hot key's
+partition in either join.  NULL keys never match, as in MERGE: target rows stay,
+source rows are all inserted.
 """
 
 from __future__ import annotations
@@ -14,40 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.operators.casting import ts_literal, typed_lit
-from lakeloom.operators.joins import (BROADCAST_MAX_ROWS, bounded_count, broadcast_row_bound,
-                                      sized_broadcast)
-from lakeloom.session import ensure_checkpoint_dir
+from lakeloom.session import cut_lineage
 
 AUDIT_TAIL = ("batch_r_timestamp", "h_insert_timestamp", "h_update_timestamp", "job_id")
 
 
-# Batches up to this estimated size take the broadcast path (the target is
-# then never shuffled); larger ones join with a full-outer sort-merge join.
-UPSERT_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-# ... and only when the target holds at least this many times the batch's rows
-# (otherwise shuffling both sides once is as cheap as the broadcast path).
-UPSERT_TARGET_RATIO = 10
-
-
-def choose_upsert_strategy(target: DataFrame, batch: DataFrame,
-                           max_rows: int = BROADCAST_MAX_ROWS,
-                           max_bytes: int = UPSERT_BROADCAST_BYTES,
-                           ratio: int = UPSERT_TARGET_RATIO, batch_rows: int | None = None) -> str:
-    """``broadcast`` for a size-checked small batch against a much larger
-    target, else ``shuffle``.  Both checks are bounded counts: at most the
-    row bound of the batch and ``ratio`` times the batch of the target."""
-    bound = broadcast_row_bound(batch, max_rows, max_bytes)
-    if bound <= 0:
-        return "shuffle"
-    n = batch_rows if batch_rows is not None else bounded_count(batch, bound)
-    if n > bound:
-        return "shuffle"
-    need = ratio * max(n, 1)
-    return "broadcast" if bounded_count(target, need) > need else "shuffle"
-
-
 class DuplicateKeyError(RuntimeError):
     """The source holds more than one row for a key (MERGE would be ambiguous)."""
 
@@ -60,34 +35,27 @@ def dedupe_source(source: DataFrame, key, order_col: str = "batch_r_timestamp",
     ``latest``: keep the row with the greatest ``order_col`` (ties broken by
     the remaining columns), via ``max(struct(...))`` per key — a partial
     aggregate, so a hot key is reduced map-side instead of sorted in one task.
+    Rows whose key is NULL match nothing, so none is a duplicate of another:
+    all of them are kept in both modes.
     """
-    return dedupe_with_count(source, key, order_col, on_duplicate)[0]
-
-
-def dedupe_with_count(source: DataFrame, key, order_col: str = "batch_r_timestamp",
-                      on_duplicate: str = "error"):
-    """``dedupe_source`` plus the batch row count when it comes for free: the
-    ``error`` check is one partial-aggregated job giving both the largest
-    number of rows per key and the total.  Returns ``(df, rows or None)``."""
     keys = [key] if isinstance(key, str) else list(key)
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     if on_duplicate == "error":
-        stats = source.groupBy(*keys).count().agg(F.max("count").alias("m"), F.sum("count").alias("n")).first()
-        if stats["m"] is not None and stats["m"] > 1:
+        most = source.where(~no_key).groupBy(*keys).count().agg(F.max("count")).first()[0]
+        if most is not None and most > 1:
             raise DuplicateKeyError(f"source has repeated keys {keys}")
-        return source, int(stats["n"] or 0)
+        return source
     if on_duplicate != "latest":
         raise ValueError(on_duplicate)
     rest = [c for c in source.columns if c not in keys and c != order_col]
     best = F.max(F.struct(F.col(order_col).alias("_o"), *[F.col(c) for c in rest])).alias("_best")
-    return (source.groupBy(*keys).agg(best)
-            .select(*keys, F.col(f"_best._o").alias(order_col), *[F.col(f"_best.{c}") for c in rest])
-            .select(*source.columns)), None
+    return (source.where(~no_key).groupBy(*keys).agg(best)
+            .select(*keys, F.col("_best._o").alias(order_col), *[F.col(f"_best.{c}") for c in rest])
+            .select(*source.columns).unionByName(source.where(no_key)))
 
 
 def scd1_upsert(target: DataFrame, source: DataFrame, key, columns=None, run_ts=None,
-                job_id: str | None = None, on_duplicate: str = "error",
-                broadcast_max_rows: int = BROADCAST_MAX_ROWS,
-                broadcast_max_bytes: int = UPSERT_BROADCAST_BYTES, strategy: str = "auto") -> DataFrame:
+                job_id: str | None = None, on_duplicate: str = "error", defaults: dict | None = None) -> DataFrame:
     """New state of ``target`` after merging ``source``.
 
     ``columns``: mapped business columns (default: source columns that are in
@@ -95,54 +63,26 @@ def scd1_upsert(target: DataFrame, source: DataFrame, key, columns=None, run_ts=
     ``h_insert_timestamp = h_update_timestamp = run_ts``; updated rows keep
     ``h_insert_timestamp`` and get ``h_update_timestamp = run_ts``; both take
     ``batch_r_timestamp`` from the source; ``job_id`` from the parameter.
+    ``defaults``: expressions for columns the source lacks, used on insert.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if columns is None:
         columns = [c for c in source.columns if c in target.columns and c not in keys
                    and c not in AUDIT_TAIL]
-    src, n_src = dedupe_with_count(source, keys, on_duplicate=on_duplicate)
+    source = cut_lineage(source.sparkSession, source)       # read by the check and both joins
+    src = dedupe_source(source, keys, on_duplicate=on_duplicate)
     stamp = ts_literal(run_ts) if run_ts is not None else F.current_timestamp().cast("timestamp_ntz")
     s = src.select(*[F.col(k) for k in keys],
                    *[F.col(c).alias(f"_s_{c}") for c in columns],
                    F.col("batch_r_timestamp").alias("_s_batch") if "batch_r_timestamp" in src.columns
                    else F.lit(None).cast("timestamp_ntz").alias("_s_batch"),
                    F.lit(True).alias("_s_here"))
-    t = target.withColumn("_t_here", F.lit(True))
-    if strategy == "auto":
-        strategy = choose_upsert_strategy(target, s, broadcast_max_rows, broadcast_max_bytes,
-                                          batch_rows=n_src)
-    if strategy == "broadcast":
-        # the batch feeds three joins: materialise it once in the shared
-        # checkpoint folder (reliable, lineage cut) instead of recomputing it
-        ensure_checkpoint_dir(s.sparkSession)
-        s = s.checkpoint(eager=True)
-        # Batch of checked size: the target streams through a broadcast left
-        # join (updated or untouched rows) and is never shuffled; inserts are
-        # the batch rows whose key no target row matched (a key-only scan).
-        upd = t.join(F.broadcast(s), keys, "left")
-        matched = (target.select(*keys).join(F.broadcast(s.select(*keys)), keys, "left_semi")
-                   .distinct())
-        ins = (s.join(F.broadcast(matched), keys, "left_anti")
-               .select(*[F.col(k) for k in keys], *[F.col(c) for c in s.columns if c not in keys],
-                       *[F.lit(None).cast(dict(target.dtypes)[c]).alias(c)
-                         for c in target.columns if c not in keys],
-                       F.lit(None).cast("boolean").alias("_t_here")))
-        j = upd.unionByName(ins)
-    elif strategy == "shuffle":
-        # NULL keys never match, but would all hash to one shuffle partition
-        # (and AQE does not split full-outer joins).  A second join key, 0 for
-        # real keys and a row hash for NULL ones, spreads them over the
-        # partitions; they still never match (NULL = NULL is not true), so
-        # target ones stay as they are and source ones are inserts — with one
-        # scan of each side.  The input split's id in the hash spreads even
-        # identical rows (it is the same when a task is retried).
-        def null_salt(df):
-            any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-            h = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
-            return df.withColumn("_ns", F.when(any_null, h).otherwise(F.lit(0).cast("long")))
-        j = null_salt(t).join(null_salt(s), keys + ["_ns"], "full_outer").drop("_ns")
-    else:
-        raise ValueError(strategy)
+    kept = target.withColumn("_t_here", F.lit(True)).join(s, keys, "left")
+    types = dict(target.dtypes)
+    new = (s.join(target.select(*keys), keys, "left_anti")
+           .select("*", *[F.lit(None).cast(types[c]).alias(c) for c in target.columns if c not in keys],
+                   F.lit(None).cast("boolean").alias("_t_here")))
+    j = kept.unionByName(new)
     from_src = F.col("_s_here").isNotNull()
     out = []
     for c in target.columns:
@@ -158,16 +98,13 @@ def scd1_upsert(target: DataFrame, source: DataFrame, key, columns=None, run_ts=
             out.append(F.when(from_src, stamp).otherwise(F.col(c)).alias(c))
         elif c == "job_id" and job_id is not None:
             out.append(F.when(from_src, F.lit(job_id)).otherwise(F.col(c)).alias(c))
+        elif defaults and c in defaults:
+            out.append(F.when(F.col("_t_here").isNotNull(), F.col(c)).otherwise(defaults[c]).alias(c))
         else:
             out.append(F.col(c))
     return j.select(*out)
 
 
-def touched_keys(source: DataFrame, key) -> DataFrame:
-    keys = [key] if isinstance(key, str) else list(key)
-    return source.select(*keys).distinct()
-
-
 def key_bucket(key, buckets: int):
     """Stable bucket of a key, for bucket-partitioned dimension tables."""
     keys = [key] if isinstance(key, str) else list(key)
@@ -191,7 +128,7 @@ def touched_partitions(target: DataFrame, source: DataFrame, key, part_col: str)
     what reaches the driver is bounded by the partition count."""
     keys = [key] if isinstance(key, str) else list(key)
     moved_from = target.select(*keys, part_col).join(
-        sized_broadcast(source.select(*keys).distinct()), keys, "left_semi").select(part_col)
+        source.select(*keys).distinct(), keys, "left_semi").select(part_col)
     return [r[0] for r in source.select(part_col).union(moved_from).distinct().collect()]
 
 
@@ -208,5 +145,5 @@ def restrict_to(df: DataFrame, part_col: str, values) -> DataFrame:
     return df.where(reduce(lambda a, b: a | b, conds))
 
 
-__all__ = ["scd1_upsert", "dedupe_source", "DuplicateKeyError", "touched_keys", "key_bucket",
-           "merge_partitions", "reduce"]
+__all__ = ["scd1_upsert", "dedupe_source", "DuplicateKeyError", "key_bucket", "merge_partitions",
+           "touched_partitions", "restrict_to"]

@@ -2,9 +2,11 @@
 
 A merge produces a *new state* DataFrame; Spark refuses to overwrite a path
 it is reading, so a state is published as a new versioned folder and the
-table name is pointed at it (readers see the old or the new version, never a
-mix).  For large month-partitioned tables only the touched partitions are
-rewritten: stage them, then dynamic-partition-overwrite from the stage.
+table name is pointed at it (readers of a snapshot see the old or the new
+version, never a mix).  For large month-partitioned tables only the touched
+partitions are rewritten: stage them, then dynamic-partition-overwrite from the
+stage; that overwrite is per partition, so a reader during it can see some
+partitions new and others old.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.session import scratch_path
+from lakeloom.session import cut_lineage, path_exists, scratch_path
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str, order_col: str | None = None,
@@ -58,16 +60,12 @@ def overwrite_partitions(spark: SparkSession, new_parts: DataFrame, path: str, p
     half-updated table; the two remaining steps are idempotent."""
     stage = (stage or scratch_path(spark, "stage")).rstrip("/")
     done = f"{stage}/_touched"          # hidden from the stage's own file listing
-    if not _exists(spark, f"{done}/_SUCCESS"):
+    if not path_exists(spark, f"{done}/_SUCCESS"):
         # Rows arrive partitioned by the merge key, so every task would write
-        # a file into every touched partition.  Hash them on (partition value,
-        # salt) instead: each task writes about one partition, and a big
-        # partition still spreads over ``salts`` tasks (a deterministic row
-        # hash, so a retried task rebuilds the same split).
-        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        salts = max(1, tasks // max(1, len(touched or ())))
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in new_parts.columns]), F.lit(salts))
-        new_parts.repartition(tasks, F.col(partition_col), salt) \
+        # a file into every touched partition.  A rebalance on the partition
+        # value gives each task about one partition, and adaptive execution
+        # splits a large one over several tasks by its measured size.
+        new_parts.hint("rebalance", F.col(partition_col)) \
             .write.mode("overwrite").partitionBy(partition_col).parquet(stage)
         ptype = dict(new_parts.dtypes)[partition_col]
         spark.createDataFrame([(v,) for v in (touched or [])], f"`{partition_col}` {ptype}") \
@@ -77,25 +75,14 @@ def overwrite_partitions(spark: SparkSession, new_parts: DataFrame, path: str, p
     # value such as "01" must not come back as the number 1.  An empty stage
     # (every touched partition emptied) reads as no rows: nothing overwritten.
     staged = spark.read.schema(new_parts.schema).parquet(stage)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        staged.select(*[c for c in staged.columns if c != partition_col], partition_col) \
-            .write.mode("overwrite").partitionBy(partition_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (staged.select(*[c for c in staged.columns if c != partition_col], partition_col)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
     present = {r[0] for r in staged.select(partition_col).distinct().collect()}
     for value in touched:
         if value not in present:
             _drop_partition_dir(spark, path, partition_col, value)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 # Characters Spark percent-escapes in partition folder names
 # (besides control characters).
 _ESCAPED = set('"#%\'*/:=?\\\x7f{[]^')
@@ -158,21 +145,13 @@ class VersionedTable:
         return path
 
 
-def cut_lineage(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder (survives executor
-    loss, unlike a local checkpoint) and continue from the written copy."""
-    path = scratch_path(spark, "cut")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 def _stamp() -> str:
     import time
     import uuid
     return f"{int(time.time() * 1000)}-{uuid.uuid4().hex[:6]}"
 
 
-__all__ = ["write_partitioned", "publish_snapshot", "overwrite_partitions", "cut_lineage", "F"]
+__all__ = ["write_partitioned", "publish_snapshot", "overwrite_partitions", "cut_lineage", "save_bucketed", "VersionedTable"]
 
 
 def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str = "overwrite",

@@ -95,6 +95,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from lakeloom import specs as S  # noqa: E402
 from lakeloom.operators import increment, quality, scd1, scd2  # noqa: E402
+from lakeloom.functions.predicates import NUMBER_PATTERN  # noqa: E402
 from lakeloom.operators.casting import cast_to_spec  # noqa: E402
 from lakeloom.plans.oracle import AS_OF, RUN_TS, SEED_TS, hash_sql  # noqa: E402
 
@@ -152,11 +153,12 @@ for _n in ("products", "stores", "transactions", "line_items"):
 
 
 # ------------------------------------------------------------ data quality
+# The checked columns, the issue texts and the number pattern.
 PRODUCT_CHECK_COLUMNS = ("product_name", "brand", "category", "gender", "size", "color", "price",
                          "availability")
 PRODUCT_RULES = (quality.Duplicate("Duplicate product_id"), quality.Format("price", issue="Invalid price format"),
                  quality.NotNull(PRODUCT_CHECK_COLUMNS))
-NUM_RE = r"^[0-9]+(\.[0-9]+)?$"
+NUM_RE = NUMBER_PATTERN
 DUP_SQL = """SELECT product_id AS unique_identifier, r_insert_timestamp AS r_batch_timestamp,
        'Duplicate product_id' AS issue
 FROM raw_products GROUP BY product_id, r_insert_timestamp HAVING count(*) > 1"""
@@ -267,10 +269,12 @@ def q_incremental_batch(spark, d):
 
 
 # ------------------------------------------------------------- SCD1 upserts
-# Target: the harmonized mapping without the keys where ``key % 4 = 3`` (so
-# those arrive as inserts); source: typed raw rows newer than the first
-# ingest day (so keys of day 0 stay untouched).  Source NULLs (unparseable
-# text) overwrite target values, as MERGE's SET does.
+# Target: the harmonized mapping without the keys where ``key % 4 = 3``;
+# source: every typed raw row of those keys (they arrive as inserts) and the
+# rows newer than the first ingest day of the others (keys of day 0 stay
+# untouched).  Every key is in the target or the source, so the result holds
+# all of them.  Source NULLs (unparseable text) overwrite target values, as
+# MERGE's SET does.
 SCD1 = {
     # name: (harmonized reader, CTE, key, numeric key expression for the split)
     "products": (R.harmonized_products, "products", "product_id", "CAST(product_id AS BIGINT)"),
@@ -280,6 +284,17 @@ SCD1 = {
 }
 
 
+# the source's own number for the split (a line item's is its invoice's)
+KNUM = {n: v[3] for n, v in SCD1.items()}
+
+
+def _scd1_source(spark, d, name):
+    """Typed raw rows of the absent keys, and the later days' of the others."""
+    src = typed(spark, d, name)
+    return src.where((F.col("batch_r_timestamp") > R.SEED_TS)
+                     | (F.pmod(F.expr(KNUM[name]), F.lit(4)) == 3))
+
+
 def _scd1_sql(name: str) -> str:
     reader, cte, key, knum = SCD1[name]
     spec = RAW_READERS[name][1]
@@ -294,7 +309,7 @@ def _scd1_sql(name: str) -> str:
         f"CASE WHEN s._here THEN {RUN_TS} ELSE t.h_update_timestamp END AS h_update_timestamp",
         f"CASE WHEN s._here THEN '{JOB}' ELSE t.job_id END AS job_id",
     ]
-    src = f"SELECT * FROM ({TYPED_SQL[name]}) WHERE batch_r_timestamp > {SEED_TS}"
+    src = f"SELECT * FROM ({TYPED_SQL[name]}) WHERE batch_r_timestamp > {SEED_TS} OR {KNUM[name]} % 4 = 3"
     if name == "products":  # re-sent rows: keep the latest batch per key
         src = f"SELECT * FROM ({src}) QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY batch_r_timestamp DESC) = 1"
     return (with_(cte, f"raw_{name}") + f""", tgt AS (SELECT *, true AS _here FROM {cte} WHERE {knum} % 4 <> 3),
@@ -309,7 +324,7 @@ def _scd1_query(name):
         tgt = reader(spark, d)
         knum = F.col("invoice_id" if name == "line_items" else key).cast("bigint")
         tgt = tgt.where(F.pmod(knum, F.lit(4)) != 3)
-        src = typed(spark, d, name).where(F.col("batch_r_timestamp") > R.SEED_TS)
+        src = _scd1_source(spark, d, name)
         return scd1.scd1_upsert(tgt, src, key, run_ts=RUN, job_id=JOB,
                                 on_duplicate="latest" if name == "products" else "error")
     q.__name__ = f"q_scd1_{name}"
@@ -323,8 +338,8 @@ for _n in SCD1:
 # --------------------------------------------------------------- SCD2 merge
 # Target history: the two-version customer dimension, without customers
 # ``k % 7 = 6`` (they arrive new) and with customers ``k % 11 = 5`` closed
-# entirely (inactive only).  Source: typed raw customers newer than day 0,
-# with 7 more loyalty points for ``k % 6 = 1`` (changed rows besides the
+# entirely (inactive only).  Source: typed raw customers newer than day 0 and
+# every row of the absent ones, with 7 more loyalty points for ``k % 6 = 1`` (changed rows besides the
 # re-tiered and re-numbered ones).
 
 def _scd2_target(spark, d):
@@ -336,8 +351,8 @@ def _scd2_target(spark, d):
 
 
 def _scd2_source(spark, d):
-    src = typed(spark, d, "customers").where(F.col("batch_r_timestamp") > R.SEED_TS)
     k = F.col("customer_id").cast("bigint")
+    src = typed(spark, d, "customers").where((F.col("batch_r_timestamp") > R.SEED_TS) | (F.pmod(k, F.lit(7)) == 6))
     return src.withColumn("loyalty_points", F.when(F.pmod(k, F.lit(6)) == 1, F.col("loyalty_points") + 7)
                           .otherwise(F.col("loyalty_points")))
 
@@ -345,7 +360,8 @@ def _scd2_source(spark, d):
 SCD2_CTES = with_("customers2", "raw_customers") + f""", tgt AS (
   SELECT * REPLACE (CASE WHEN CAST(customer_id AS BIGINT) % 11 = 5 THEN false ELSE active_flag END AS active_flag)
   FROM customers2 WHERE CAST(customer_id AS BIGINT) % 7 <> 6),
-src0 AS (SELECT * FROM ({TYPED_SQL['customers']}) WHERE batch_r_timestamp > {SEED_TS}),
+src0 AS (SELECT * FROM ({TYPED_SQL['customers']})
+         WHERE batch_r_timestamp > {SEED_TS} OR CAST(customer_id AS BIGINT) % 7 = 6),
 src AS (SELECT * REPLACE (CASE WHEN CAST(customer_id AS BIGINT) % 6 = 1 THEN loyalty_points + 7
                                 ELSE loyalty_points END AS loyalty_points) FROM src0),
 hsrc AS (SELECT *, {hash_sql(scd2.TRACKED_CUSTOMER_COLUMNS)} AS hash_value FROM src),
@@ -630,7 +646,7 @@ def q_scd1_partitioned_transactions(spark, d):
     tgt = R.harmonized_transactions(spark, d)
     tgt = tgt.where(F.pmod(F.col("invoice_id").cast("bigint"), F.lit(4)) != 3)
     write_partitioned(tgt, path, "transaction_month", order_col="invoice_id")
-    src = typed(spark, d, "transactions").where(F.col("batch_r_timestamp") > R.SEED_TS)
+    src = _scd1_source(spark, d, "transactions")
     table = spark.read.parquet(path)
     touched = scd1.touched_partitions(table, src, "invoice_id", "transaction_month")
     new_parts = scd1.scd1_upsert(scd1.restrict_to(table, "transaction_month", touched), src, "invoice_id",
@@ -640,20 +656,11 @@ def q_scd1_partitioned_transactions(spark, d):
 
 
 # --------------------------------------- streaming: files -> gate -> upsert
-@register("harmonize_stream_products", with_("raw_products") + f"""
-SELECT product_id, product_name, brand, category, gender, size, color,
-       TRY_CAST(price AS DECIMAL(10,2)) AS price, TRY_CAST(availability AS INTEGER) AS availability,
-       TRY_CAST(added_date AS DATE) AS added_date, TRY_CAST(is_active AS BOOLEAN) AS is_active,
-       '{JOB}' AS job_id
-FROM ({_quarantine_sql('raw_products')})
-QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY r_insert_timestamp DESC) = 1""")
-def q_harmonize_stream_products(spark, d):
-    """Raw products land as CSV, one folder per ingest day; after each
-    landing an ``availableNow`` stream runs the products job on the new
-    files via ``foreachBatch`` (quarantine gate, latest row per key, SCD1
-    upsert into a versioned table).  Run stamps are wall-clock here, so the
-    result is compared on the business columns."""
-    from lakeloom.operators.casting import typed_lit
+def _stream_products(spark, d):
+    """Raw products land as CSV, one folder per ingest day; after each landing an
+    ``availableNow`` stream runs the products job on the new files via
+    ``foreachBatch``: raw rows landed, findings logged, held-back rows kept in
+    the quarantine table, the rest upserted into a versioned table."""
     from lakeloom.plans.harmonize import TableJob
     from lakeloom.plans.publish import VersionedTable
     from lakeloom.session import scratch_path
@@ -661,17 +668,75 @@ def q_harmonize_stream_products(spark, d):
     base = scratch_path(spark, "stream-products")
     raw = R.raw_products(spark, d)
     cols = list(S.RAW_COLUMNS["t_products"])
-    days = [r[0] for r in raw.select("r_insert_timestamp").distinct().orderBy("r_insert_timestamp").collect()]
     job = TableJob(S.PRODUCTS, rules=PRODUCT_RULES, mode="quarantine")
     state = VersionedTable(spark, f"{base}/state")
-    for i, day in enumerate(days):   # a handful of ingest days, not rows
-        raw.where(F.col("r_insert_timestamp") == typed_lit(day)).select(*cols) \
-           .write.option("header", True).csv(f"{base}/landing/day_{i}")
-        harmonize_files(spark, f"{base}/landing/day_*/*.csv", cols, f"{base}/ckpt", job, state, JOB)
-    out = state.current()
+    for i, (lo, hi) in enumerate(((None, R.SEED_TS), (R.SEED_TS, CUT), (CUT, None))):   # three landings
+        increment.incremental_batch(raw, lo, hi).select(*cols).write.option("header", True).csv(f"{base}/landing/day_{i}")
+        harmonize_files(spark, f"{base}/landing/day_*/*.csv", cols, f"{base}/ckpt", job, state, JOB,
+                        f"{base}/raw", f"{base}/dq_log", f"{base}/quarantine")
+    return base, state
+
+
+@register("harmonize_stream_products", with_("raw_products") + f"""
+SELECT product_id, product_name, brand, category, gender, size, color,
+       TRY_CAST(price AS DECIMAL(10,2)) AS price, TRY_CAST(availability AS INTEGER) AS availability,
+       TRY_CAST(added_date AS DATE) AS added_date, TRY_CAST(is_active AS BOOLEAN) AS is_active,
+       '{JOB}' AS job_id
+FROM ({_quarantine_sql('raw_products')})
+QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY r_insert_timestamp DESC) = 1""")
+def q_harmonize_stream_products(spark, d):
+    """The stream's state.  Run stamps are wall-clock here, so the result is
+    compared on the business columns."""
+    out = _stream_products(spark, d)[1].current()
     return out.select("product_id", *PRODUCT_VALUE_COLS, "job_id")
 
 
+RAW_PRODUCT_COLS = ", ".join(S.RAW_COLUMNS["t_products"])
+
+
+@register("stream_quarantined_rows", with_("raw_products") + f"""
+SELECT {RAW_PRODUCT_COLS} FROM raw_products EXCEPT ALL
+SELECT {RAW_PRODUCT_COLS} FROM ({_quarantine_sql('raw_products')}) p""")
+def q_stream_quarantined_rows(spark, d):
+    """The rows the stream's gate held back, read from its quarantine table."""
+    from lakeloom.streaming.file_ingest import read_epochs
+    return read_epochs(spark, f"{_stream_products(spark, d)[0]}/quarantine").select(*S.RAW_COLUMNS["t_products"])
+
+
+@register("dq_log_appended", with_("raw_products") + f"""
+SELECT DISTINCT *, {RUN_TS} AS logged_at FROM ({DUP_SQL}\nUNION ALL\n{FMT_SQL}\nUNION ALL\n{NULL_SQL}) f""")
+def q_dq_log_appended(spark, d):
+    """Findings appended to the log by two runs over the same batch (the second
+    adds nothing), read back."""
+    from lakeloom.plans.harmonize import log_once
+    from lakeloom.session import scratch_path
+    path = scratch_path(spark, "dq_log")
+    for _ in range(2):
+        f = quality.dq_findings(R.raw_products(spark, d), "product_id", "r_insert_timestamp", PRODUCT_RULES)
+        log_once(f.distinct(), RUN, path)
+    return spark.read.parquet(path)
+
+
+# ------------------------------------------------- merge: NULL keys, several batches
+@register("scd1_null_keys", with_("stores", "raw_stores") + f"""
+, src AS (SELECT * FROM ({TYPED_SQL['stores']})),
+tgt AS (SELECT * FROM stores)
+SELECT t.* FROM tgt t WHERE t.store_id NOT IN (SELECT store_id FROM src WHERE CAST(store_id AS BIGINT) % 5 <> 0)
+UNION ALL
+SELECT s.store_id, s.store_name, s.location, s.manager_id, s.opening_date, s.batch_r_timestamp, t.h_insert_timestamp,
+       {RUN_TS}, '{JOB}' FROM src s JOIN tgt t ON s.store_id = t.store_id WHERE CAST(s.store_id AS BIGINT) % 5 <> 0
+UNION ALL
+SELECT NULL, store_name, location, manager_id, opening_date, batch_r_timestamp, {RUN_TS}, {RUN_TS}, '{JOB}'
+FROM src WHERE CAST(store_id AS BIGINT) % 5 = 0""")
+def q_scd1_null_keys(spark, d):
+    """The stores upsert with the key of every fifth source row lost: these
+    match nothing and are all inserted, in ``latest`` mode too."""
+    src = typed(spark, d, "stores")
+    key = F.when(F.pmod(F.col("store_id").cast("bigint"), F.lit(5)) != 0, F.col("store_id"))
+    return scd1.scd1_upsert(R.harmonized_stores(spark, d), src.withColumn("store_id", key), "store_id", run_ts=RUN,
+                            job_id=JOB, on_duplicate="latest")
+
+
 # -------------------------------------------- end-to-end SCD2 (customers job)
 def _raw_customers_resent(spark, d):
     """Raw customers plus, on the third ingest day, a re-send of every
@@ -741,6 +806,24 @@ def q_harmonize_customers_scd2(spark, d):
     return second.state
 
 
+@register("scd2_multi_batch", HARMONIZE_SCD2_SQL[:HARMONIZE_SCD2_SQL.index("b1 AS (SELECT")] + f"""
+v AS (SELECT *, {_H} AS hv FROM (SELECT {_CUST_TYPED} FROM rc)),
+w AS (SELECT *, lag(hv) OVER (PARTITION BY customer_id ORDER BY batch_r_timestamp) AS before FROM v),
+x AS (SELECT *, lead(1) OVER (PARTITION BY customer_id ORDER BY batch_r_timestamp) IS NULL AS newest
+      FROM w WHERE before IS NULL OR before <> hv)
+SELECT {_SCD2_COLS}, newest AS active_flag, DATE '2025-01-01' AS begin_effective_date,
+       CASE WHEN newest THEN DATE '9999-12-31' ELSE DATE '2025-01-01' END AS end_effective_date,
+       hv AS s_customer_key, batch_r_timestamp, TIMESTAMP '{RUN1}' AS h_insert_timestamp,
+       TIMESTAMP '{RUN1}' AS h_update_timestamp, '{JOB}' AS job_id
+FROM x""")
+def q_scd2_multi_batch(spark, d):
+    """The customers SCD2 job over all ingest days in one run: re-sent customers
+    come in two batches and get one version each, in stamp order."""
+    from lakeloom.plans.harmonize import TableJob, harmonize
+    return harmonize(TableJob(S.CUSTOMERS, scd=2), _raw_customers_resent(spark, d), None, RUN1, JOB,
+                     as_of="2025-01-01").state
+
+
 @register("scd1_bucketed_products", ORACLE["scd1_upsert_products"])
 def q_scd1_bucketed_products(spark, d):
     """The products upsert against a dimension stored in 16 hash buckets of
@@ -753,7 +836,7 @@ def q_scd1_bucketed_products(spark, d):
     tgt = R.harmonized_products(spark, d)
     tgt = tgt.where(F.pmod(F.col("product_id").cast("bigint"), F.lit(4)) != 3)
     tgt.withColumn(part, scd1.key_bucket("product_id", buckets)).write.partitionBy(part).parquet(path)
-    src = typed(spark, d, "products").where(F.col("batch_r_timestamp") > R.SEED_TS)
+    src = _scd1_source(spark, d, "products")
     src = src.withColumn(part, scd1.key_bucket("product_id", buckets))
     table = spark.read.parquet(path)
     touched = [r[0] for r in src.select(part).distinct().collect()]     # at most 16 values

@@ -77,6 +77,20 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{base}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def cut_lineage(spark: SparkSession, df):
+    """Materialise ``df`` in the shared checkpoint folder (survives executor
+    loss, unlike a local checkpoint) and continue from the written copy."""
+    path = scratch_path(spark, "cut")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Does ``path`` exist on its file system?  Any other failure is raised."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def scale_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
     """Settings sized for a job reading ``input_bytes`` on ``cores`` cores.
 

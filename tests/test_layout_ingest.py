@@ -122,9 +122,9 @@ def test_replayed_stream_epoch_starts_from_the_version_below(spark, tmpdir_path)
     raw.select(*cols).limit(50).write.option("header", True).csv(tmpdir_path + "/landing/day_0")
     job = TableJob(S.PRODUCTS, mode="quarantine")
     state = VersionedTable(spark, tmpdir_path + "/state")
-    harmonize_files(spark, tmpdir_path + "/landing/day_*/*.csv", cols, tmpdir_path + "/ckpt1", job, state, "j")
+    harmonize_files(spark, tmpdir_path + "/landing/day_*/*.csv", cols, tmpdir_path + "/ckpt1", job, state, "j", tmpdir_path + "/raw", tmpdir_path + "/dq", tmpdir_path + "/held")
     first = sorted(r.product_id for r in state.current().collect())
-    harmonize_files(spark, tmpdir_path + "/landing/day_*/*.csv", cols, tmpdir_path + "/ckpt2", job, state, "j")
+    harmonize_files(spark, tmpdir_path + "/landing/day_*/*.csv", cols, tmpdir_path + "/ckpt2", job, state, "j", tmpdir_path + "/raw", tmpdir_path + "/dq", tmpdir_path + "/held")
     assert state.versions() == [0]
     assert sorted(r.product_id for r in state.current().collect()) == first
 

@@ -38,19 +38,18 @@ def test_findings_equal_brute_force(spark, batch):
 
 @settings(**SETTINGS)
 @given(st.dictionaries(st.sampled_from("abcdef"), VALS, max_size=5),
-       st.dictionaries(st.sampled_from("abcdefgh"), VALS, max_size=5),
-       st.sampled_from(["broadcast", "shuffle"]))
-def test_upsert_key_union_and_idempotence(spark, tgt, src, strategy):
+       st.dictionaries(st.sampled_from("abcdefgh"), VALS, max_size=5))
+def test_upsert_key_union_and_idempotence(spark, tgt, src):
     t0 = dt.datetime(2024, 1, 1)
     T = spark.createDataFrame([(k, v, t0, t0, t0, "s") for k, v in tgt.items()],
                               "id string, v string, batch_r_timestamp timestamp_ntz, "
                               "h_insert_timestamp timestamp_ntz, h_update_timestamp timestamp_ntz, job_id string")
     S = spark.createDataFrame([(k, v, dt.datetime(2024, 1, 2)) for k, v in src.items()],
                               "id string, v string, batch_r_timestamp timestamp_ntz")
-    once = scd1.scd1_upsert(T, S, "id", run_ts="2025-01-01 00:00:00", job_id="j", strategy=strategy)
+    once = scd1.scd1_upsert(T, S, "id", run_ts="2025-01-01 00:00:00", job_id="j")
     got = {r.id: r.v for r in once.collect()}
     assert got == {**tgt, **src}
-    twice = scd1.scd1_upsert(once, S, "id", run_ts="2025-01-01 00:00:00", job_id="j", strategy=strategy)
+    twice = scd1.scd1_upsert(once, S, "id", run_ts="2025-01-01 00:00:00", job_id="j")
     assert rows(twice) == rows(once)
 
 

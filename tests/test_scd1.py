@@ -19,10 +19,9 @@ def _t(spark):
                                   ("3", "val", 3, T0, T0, T0, "seed")], TSCHEMA)
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "shuffle", "auto"])
-def test_insert_update_untouched_null_overwrite(spark, strategy):
+def test_insert_update_untouched_null_overwrite(spark):
     s = spark.createDataFrame([("1", "new", 10, T1), ("3", None, None, T1), ("4", "ins", 4, T1)], SSCHEMA)
-    out = rows(scd1.scd1_upsert(_t(spark), s, "id", run_ts=RUN, job_id="j", strategy=strategy))
+    out = rows(scd1.scd1_upsert(_t(spark), s, "id", run_ts=RUN, job_id="j"))
     assert out == [
         ("1", "new", 10, T1, T0, RUN_DT, "j"),
         ("2", "keep", 2, T0, T0, T0, "seed"),
@@ -63,32 +62,30 @@ def test_merge_partitions_moves_rows_between_months(spark):
     assert out == [("1", "a2", 1, dt.date(2024, 3, 1))]
 
 
-def test_broadcast_bound_is_bytes_aware(spark):
-    from lakeloom.operators.joins import broadcast_row_bound, fits_broadcast
-    df = spark.range(100).selectExpr("id", "repeat('x', 10) AS s")
-    assert fits_broadcast(df, max_rows=100) and not fits_broadcast(df, max_rows=99)
-    assert broadcast_row_bound(df, max_rows=10**9, max_bytes=4000) < 100      # 72-byte rows: 55 fit
-    assert not fits_broadcast(df, max_rows=10**9, max_bytes=4000)
-
-
-def test_strategy_choice(spark):
-    big = spark.range(1000).selectExpr("CAST(id AS STRING) AS id")
-    small = spark.range(5).selectExpr("CAST(id AS STRING) AS id")
-    assert scd1.choose_upsert_strategy(big, small) == "broadcast"
-    assert scd1.choose_upsert_strategy(small, small) == "shuffle"            # target not much bigger
-    assert scd1.choose_upsert_strategy(big, small, max_rows=4) == "shuffle"  # batch over the bound
-
-
-def test_null_keys_bypass_the_shuffle_join(spark):
+def test_null_keys_never_match(spark):
     T0_ = dt.datetime(2024, 1, 1)
     t = spark.createDataFrame([(None, "t1", 1, T0_, T0_, T0_, "s"), (None, "t2", 2, T0_, T0_, T0_, "s"),
                                ("1", "x", 1, T0_, T0_, T0_, "s")], TSCHEMA)
     s = spark.createDataFrame([(None, "s1", 3, T1), ("1", "y", 4, T1)], SSCHEMA)
-    for strategy in ("shuffle", "broadcast"):
-        out = rows(scd1.scd1_upsert(t, s, "id", run_ts=RUN, job_id="j", strategy=strategy))
-        assert out == [("1", "y", 4, T1, T0_, RUN_DT, "j"),
-                       (None, "s1", 3, T1, RUN_DT, RUN_DT, "j"),
-                       (None, "t1", 1, T0_, T0_, T0_, "s"), (None, "t2", 2, T0_, T0_, T0_, "s")]
+    out = rows(scd1.scd1_upsert(t, s, "id", run_ts=RUN, job_id="j"))
+    assert out == [("1", "y", 4, T1, T0_, RUN_DT, "j"),
+                   (None, "s1", 3, T1, RUN_DT, RUN_DT, "j"),
+                   (None, "t1", 1, T0_, T0_, T0_, "s"), (None, "t2", 2, T0_, T0_, T0_, "s")]
+
+
+def test_all_null_key_source_rows_are_inserted_in_both_modes(spark):
+    s = spark.createDataFrame([(None, "s1", 3, T1), (None, "s1", 3, T1), (None, "s2", 4, T2), ("9", "n", 1, T1)], SSCHEMA)
+    for mode in ("error", "latest"):
+        out = scd1.scd1_upsert(_t(spark), s, "id", run_ts=RUN, job_id="j", on_duplicate=mode)
+        assert out.count() == 3 + 4 and out.where("id IS NULL").count() == 3
+
+
+def test_omitted_columns_take_their_default_on_insert(spark):
+    from pyspark.sql import functions as F
+    s = spark.createDataFrame([("1", 5, T1), ("8", 6, T1)], "id string, b int, batch_r_timestamp timestamp_ntz")
+    out = {r.id: r.a for r in scd1.scd1_upsert(_t(spark), s, "id", run_ts=RUN, job_id="j",
+                                               defaults={"a": F.lit("dflt")}).collect()}
+    assert out["1"] == "old" and out["8"] == "dflt"
 
 
 def test_overwrite_partitions_moves_keys_and_resumes_from_the_stage(spark, tmpdir_path):
@@ -155,18 +152,44 @@ def test_overwrite_partitions_writes_few_files_per_partition(spark, tmpdir_path)
         assert len(files) <= 8          # about shuffle partitions / touched partitions, not 16
 
 
-def test_shuffle_upsert_scans_each_side_once(spark, tmpdir_path):
+def test_upsert_reads_the_batch_once(spark, tmpdir_path):
     t = spark.createDataFrame([(None, "t1", 1, T0, T0, T0, "s"), ("1", "x", 1, T0, T0, T0, "s")], TSCHEMA)
     s = spark.createDataFrame([(None, "s1", 3, T1), ("1", "y", 4, T1)], SSCHEMA)
     t.write.parquet(tmpdir_path + "/target")
     s.write.parquet(tmpdir_path + "/source")
     out = scd1.scd1_upsert(spark.read.parquet(tmpdir_path + "/target"), spark.read.parquet(tmpdir_path + "/source"),
-                           "id", run_ts=RUN, job_id="j", strategy="shuffle")
+                           "id", run_ts=RUN, job_id="j")
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("/target]") == 1 and plan.count("/source]") == 1
+    assert "/source]" not in plan          # its written copy is read instead
+    assert plan.count("/target]") == 2     # the rows, and the keys alone for the inserts
+    assert "ReadSchema: struct<id:string>" in plan
     assert len(out.collect()) == 3          # NULL-key rows kept apart, never matched
 
 
+def test_hot_partition_is_split_when_staged(spark, tmpdir_path):
+    import glob
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+    from lakeloom.plans.publish import overwrite_partitions
+    path = tmpdir_path + "/t"
+    new = (spark.range(40_000).select(F.sha2(F.col("id").cast("string"), 256).alias("k"),
+                                      F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 20).cast("int").alias("p"))
+           .repartition(8, "k"))
+    spark.createDataFrame([("x", 0)], "k string, p int").write.partitionBy("p").parquet(path)
+    keys = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        overwrite_partitions(spark, new, path, "p", touched=list(range(20)), stage=tmpdir_path + "/stage")
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert spark.read.parquet(path).count() == 40_000
+    hot = [pq.read_metadata(f).num_rows for f in glob.glob(f"{tmpdir_path}/stage/p=0/*.parquet")]
+    assert sum(hot) >= 20_000 and max(hot) <= sum(hot) / 2      # several tasks wrote the hot partition
+
+
 def test_overwrite_partitions_when_every_touched_partition_empties(spark, tmpdir_path):
     from lakeloom.plans.publish import overwrite_partitions
     path = tmpdir_path + "/t"
@@ -174,20 +197,3 @@ def test_overwrite_partitions_when_every_touched_partition_empties(spark, tmpdir
     nothing = spark.createDataFrame([], "k string, v int, p int")
     overwrite_partitions(spark, nothing, path, "p", touched=[1])
     assert sorted((r.k, r.p) for r in spark.read.parquet(path).collect()) == [("c", 2)]
-
-
-def test_identical_null_key_rows_spread_over_the_join(spark):
-    from pyspark.sql import functions as F
-    n = 4000
-    t = spark.createDataFrame([(None, "t", 1, T0, T0, T0, "s")], TSCHEMA).crossJoin(spark.range(n).select()) \
-        .repartition(8).unionByName(spark.createDataFrame([("1", "x", 1, T0, T0, T0, "s")], TSCHEMA))
-    s = spark.createDataFrame([("1", "y", 4, T1)], SSCHEMA)
-    out = scd1.scd1_upsert(t, s, "id", run_ts=RUN, job_id="j", strategy="shuffle")
-    key = "spark.sql.adaptive.coalescePartitions.enabled"     # tiny data: AQE would merge all partitions
-    prev = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        sizes = [r[1] for r in out.groupBy(F.spark_partition_id()).count().collect()]
-    finally:
-        spark.conf.set(key, prev)
-    assert sum(sizes) == n + 1 and max(sizes) < n * 0.6      # not all NULL rows in one task

@@ -24,11 +24,8 @@ and signatures never are):
    them.  Each bucket takes a leader (the key with the most company over all
    bands, which is what a group's original has) and its members are verified
    against it: sizes first, then the exact overlap of the multisets.  Members
-   that fail stay in the bucket and get new leaders, four times as many a round
-   up to ``LEADERS``, until all are settled.  Pairs are members x leaders, never
-   all pairs of a bucket.  The bands are taken in a few passes; a bucket that
-   the passes before have put in one class is left out, so a large group of near
-   copies is verified in the first bands only.
+   that fail stay in the bucket and get more leaders the next round, until all
+   are settled.  Pairs are members x leaders, never all pairs of a bucket.
 3. Verified pairs are links; classes are their connected components.
 4. A link between members of two leaders of a bucket could still be missing.
    As 1 - similarity is a metric, it can exist only where the leaders'
@@ -66,11 +63,8 @@ from lakeloom.session import scratch_path
 SHINGLE, SIMILAR = 5, 0.8
 BANDS, ROWS = 32, 6
 SLOTS = BANDS * ROWS
-#: Bands are worked through in passes that end here; later passes leave out
-#: buckets whose members are in one class by then.
-PASSES = (2, 8, BANDS)
-#: Leaders a bucket gets in one round at most.
-LEADERS = 16
+#: Leaders a bucket gets besides the first, on average, in its first rounds and from then on.
+LEADS = (0, 15, 127)
 SLICE = 128
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)               # splitmix64's increment and multipliers
@@ -211,7 +205,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = written(signed(source), "signed")
     nodes = (rows.where("node IS NOT NULL").groupBy("node")
              .agg(F.min("id").alias("id"), F.first("size").alias("size"), F.first("bands").alias("bands")))
-    entries = nodes.select("id", "node", "size", F.posexplode("bands").alias("nth", "band"))
+    entries = nodes.select("id", "node", "size", F.explode("bands").alias("band"))
     shared = entries.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
     met = written(entries.join(shared, "band"), "met")
     wanted = docs.sparkSession.sparkContext.broadcast(bitmap(met.select("id"), F.col("id").cast("string")))
@@ -225,19 +219,12 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     met = written(met.join(shared, "band"), "shared")
     buckets = written(met.join(met.groupBy("node").agg(F.sum("n").alias("company")), "node").drop("n"), "buckets")
 
-    judged = scratch_path(docs.sparkSession, "judged")
-    comps, lo = None, 0
-    for hi in PASSES:                       # buckets already within one class have nothing left to find
-        open_ = buckets.where(f"nth >= {lo} AND nth < {hi}").drop("nth")
-        if comps is not None:
-            comp = open_.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-            split = comp.groupBy("band").agg((F.min("comp") != F.max("comp")).alias("two")).where("two").select("band")
-            open_ = written(open_.join(split, "band"), "open")
-        _judge(open_, bags, similar, f"{judged}/nth={lo}")
-        links = docs.sparkSession.read.parquet(judged).where(F.col("sim") >= similar).selectExpr("node AS a", "lead AS b")
-        comps, lo = connected_components(links), hi
-    all_judged = docs.sparkSession.read.parquet(judged).withColumnRenamed("lead", "b")
-    member, refused = all_judged.where(F.col("sim") >= similar), all_judged.where(F.col("sim") < similar)
+    path = scratch_path(docs.sparkSession, "judged")
+    _judge(buckets, bags, similar, path)
+    judged = docs.sparkSession.read.parquet(path).withColumnRenamed("lead", "b")
+    member, refused = judged.where(F.col("sim") >= similar), judged.where(F.col("sim") < similar)
+    links = member.selectExpr("node AS a", "b")
+    comps = connected_components(links)
     more = _bridges(member, refused, comps, bags, similar)
     if more.take(1):
         comps = connected_components(links.unionByName(more))
@@ -265,15 +252,14 @@ def _judge(open_: DataFrame, bags: DataFrame, similar: float, path: str) -> None
     ``band, company, node, size, leading, lead, size_b, sim`` under ``path``, one folder a round."""
     spark, turn = open_.sparkSession, 0
     while True:
-        leads = min(4 ** turn, LEADERS)
-        order = [-F.col("company")] + [F.xxhash64("band", "node", F.lit(j)) for j in range(1, leads)]
-        picks = [F.min(F.struct(o.alias("o"), "node", "size")).alias(f"l{j}") for j, o in enumerate(order)]
-        lead = open_.groupBy("band").agg(*picks).select(
-            "band", F.array_distinct(F.array(*[F.struct(f"l{j}.node", f"l{j}.size") for j in range(leads)])).alias("leads"))
-        tried = (open_.join(lead, "band").withColumn("leading", F.expr("exists(leads, l -> l.node = node)"))
-                 .withColumn("l", F.explode("leads"))
-                 .where("node <> l.node AND (NOT leading OR node < l.node)")     # two leaders meet once
-                 .select("band", "company", "node", "size", "leading", F.col("l.node").alias("lead"), F.col("l.size").alias("size_b"))
+        # the member with the most company, and about LEADS[turn] more by hash
+        top = open_.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(-F.col("company"), "node")).alias("top"))
+        by_hash = F.pmod(F.xxhash64("band", "node", F.lit(turn)), F.col("n")) < LEADS[min(turn, len(LEADS) - 1)]
+        members = written(open_.join(top, "band").withColumn("leading", (F.col("node") == F.col("top.node")) | by_hash)
+                          .select("band", "company", "node", "size", "leading"), "members")
+        lead = members.where("leading").select("band", F.col("node").alias("lead"), F.col("size").alias("size_b"))
+        tried = (members.join(lead, "band")
+                 .where("node <> lead AND (NOT leading OR node < lead)")         # two leaders meet once
                  .withColumn("a", F.least("node", "lead")).withColumn("b", F.greatest("node", "lead")))
         tried = written(tried, "tried")
         size_a = F.when(F.col("a") == F.col("node"), F.col("size")).otherwise(F.col("size_b"))

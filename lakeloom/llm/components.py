@@ -10,20 +10,22 @@ from lakeloom.llm.store import written
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """``node, comp`` for every node of ``edges`` (``a, b``): the smallest node
-    it is linked with.  Each round hooks every component on the smallest one a
-    link of it reaches and then halves the way to it, so the number of rounds
-    grows with the logarithm of the longest path; every round's labels are a
-    written table.  A node with very many links is pre-aggregated per task."""
+    it is linked with.  Each round gives a node the smallest label among its
+    neighbours' and its own, then that label's label, which doubles the way a
+    label travels; every round's labels are a written table.  A node with very
+    many links is pre-aggregated per task."""
     edges = edges.where("a <> b").distinct()
     both = written(edges.unionByName(edges.selectExpr("b AS a", "a AS b")), "links")
-    labels = written(both.select(F.col("a").alias("node")).distinct().withColumn("comp", F.col("node")), "labels")
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("comp"))
+    labels = written(labels.withColumn("new", F.lit(True)), "labels")
+    kind = dict(both.dtypes)["a"]
     while True:
-        seen = (both.join(labels.selectExpr("node AS b", "comp"), "b").groupBy(F.col("a").alias("node"))
-                .agg(F.min("comp").alias("near")))
-        hooks = (labels.join(seen, "node").groupBy("comp").agg(F.min(F.least("near", "comp")).alias("up")))
-        hooks = written(hooks, "hooks")
-        jump = hooks.join(hooks.selectExpr("comp AS up", "up AS top"), "up", "left").select(
-            "comp", F.least("up", F.coalesce("top", "up")).alias("next"))
-        if not hooks.where("up <> comp").take(1):
-            return labels
-        labels = written(labels.join(jump, "comp").select("node", F.col("next").alias("comp")), "labels")
+        near = both.join(labels.selectExpr("node AS b", "comp"), "b").select(
+            F.col("a").alias("node"), "comp", F.lit(None).cast(kind).alias("old"))
+        least = (near.unionByName(labels.select("node", "comp", F.col("comp").alias("old")))
+                 .groupBy("node").agg(F.min("comp").alias("comp"), F.max("old").alias("old")))
+        jumped = least.join(labels.selectExpr("node AS comp", "comp AS further"), "comp", "left")
+        labels = written(jumped.withColumn("comp", F.least("comp", F.coalesce("further", "comp")))
+                         .select("node", "comp", (F.col("comp") != F.col("old")).alias("new")), "labels")
+        if not labels.where("new").take(1):
+            return labels.select("node", "comp")

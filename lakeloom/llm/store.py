@@ -25,7 +25,7 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     path, before = scratch_path(spark, purpose), spark.conf.get(BATCH_ROWS)
     spark.conf.set(BATCH_ROWS, ROWS)
     try:
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(BATCH_ROWS, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -50,7 +50,8 @@ SELECT concat(c.first_name, ' ', c.last_name) AS customer_name,
        MAX(c.loyalty_points) AS Loyalty_Points,
        MAX(c.membership_status) AS Membership_Status
 FROM per_customer f JOIN {customers} c ON f.customer_id = c.customer_id
-GROUP BY concat(c.first_name, ' ', c.last_name)""",
+GROUP BY concat(c.first_name, ' ', c.last_name)
+ORDER BY Total_Revenue DESC NULLS LAST, customer_name""",
         "v_product_sales_summary": f"""
 WITH per_product AS (
   SELECT product_id, SUM(quantity * unit_price) AS rev, SUM(quantity) AS units,
@@ -61,7 +62,8 @@ SELECT p.product_name,
        CAST(SUM(f.units) AS BIGINT) AS Units_Sold,
        try_divide(CAST(SUM(f.price_sum) AS DOUBLE), SUM(f.price_n)) AS Average_Selling_Price
 FROM per_product f JOIN {products} p ON f.product_id = p.product_id
-GROUP BY p.product_name""",
+GROUP BY p.product_name
+ORDER BY Total_Sales_Revenue DESC NULLS LAST, product_name""",
         "v_customer_store_loyalty": f"""
 WITH per_customer AS (
   SELECT customer_id, COUNT(DISTINCT store_id) AS store_count FROM {facts} GROUP BY customer_id)

@@ -262,10 +262,16 @@ WHERE r_insert_timestamp > (SELECT max(r_insert_timestamp) FROM raw_products
                             WHERE r_insert_timestamp <= TIMESTAMP '{CUT}')
   AND r_insert_timestamp <= (SELECT max(r_insert_timestamp) FROM raw_products)""")
 def q_incremental_batch(spark, d):
+    """Read from a landed raw table, partitioned by ingest date as the ingest
+    writes it: the bounds prune partitions and reach the scan."""
+    from lakeloom.session import scratch_path
+    path = scratch_path(spark, "raw-products")
     raw = R.raw_products(spark, d)
+    raw.withColumn("r_insert_date", F.to_date("r_insert_timestamp")).write.partitionBy("r_insert_date").parquet(path)
+    landed = spark.read.parquet(path)
     hwm = increment.max_watermark(_loaded_target(spark, d))
-    hi = increment.pin_upper_bound(raw, after=hwm)
-    return increment.incremental_batch(raw, hwm, hi)
+    hi = increment.pin_upper_bound(landed, after=hwm)
+    return increment.incremental_batch(landed, hwm, hi).select(*raw.columns)
 
 
 # ------------------------------------------------------------- SCD1 upserts
@@ -481,9 +487,16 @@ def q_column_defaults_fill(spark, d):
 # --------------------------------------------------------------- z-order
 @register("zorder_facts", with_("facts") + "SELECT * FROM facts")
 def q_zorder_facts(spark, d):
-    f = sales_facts_df(spark, d)
-    return layout.cluster_by_zorder(f, ["customer_id", "product_id", "store_id"], n_files=8,
-                                    partition_col="transaction_month")
+    """The stored month-partitioned fact table, clustered: files from its bytes
+    (small here, so that the small table still makes several)."""
+    from lakeloom.plans.publish import write_partitioned
+    from lakeloom.session import scratch_path
+    path = scratch_path(spark, "t_sales_facts")
+    write_partitioned(sales_facts_df(spark, d), path, "transaction_month", order_col="line_item_id")
+    stored = spark.read.schema(S.SALES_FACTS.struct()).parquet(path)
+    n = layout.files_for(spark, path, target_bytes=1024 * 1024)
+    return layout.cluster_by_zorder(stored, ["customer_id", "product_id", "store_id"], n_files=n,
+                                    partition_col="transaction_month").select(*facts.FACT_COLUMNS)
 
 
 # ---------------------------------------------------------- file ingest
@@ -599,6 +612,48 @@ register("curated_view_customer_store_loyalty", ORACLE["customer_store_loyalty"]
     _view_query("v_customer_store_loyalty"))
 
 
+def _persistent_view_query(view):
+    def q(spark, d):
+        import uuid
+
+        from lakeloom.plans.catalog import create_curated_views
+        from lakeloom.session import scratch_path
+        schema = f"lakeloom_{uuid.uuid4().hex[:12]}"      # a schema of its own, stored in the shared folder
+        base = scratch_path(spark, "schema")
+        spark.sql(f"CREATE SCHEMA {schema} LOCATION '{base}'")
+        for name, df in (("t_sales_facts", sales_facts_df(spark, d)), ("t_customers", R.harmonized_customers(spark, d)),
+                         ("t_products", R.harmonized_products(spark, d))):
+            df.write.option("path", f"{base}/{name}").saveAsTable(f"{schema}.{name}")
+        create_curated_views(spark, f"{schema}.t_sales_facts", f"{schema}.t_customers", f"{schema}.t_products", schema)
+        return spark.table(f"{schema}.{view}")
+    q.__name__ = f"q_persistent_{view}"
+    return q
+
+
+for _v in ("customer_summary", "product_sales_summary", "customer_store_loyalty"):
+    register(f"curated_view_persistent_{_v}", ORACLE[_v])(_persistent_view_query(f"v_{_v}"))
+
+
+HARMONIZE_OMITTED_SQL = with_("raw_customers") + f"""
+SELECT customer_id, TRY_CAST(loyalty_points AS INTEGER) AS loyalty_points, 'Bronze' AS membership_status
+FROM raw_customers WHERE customer_id IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY r_insert_timestamp DESC) = 1"""
+
+
+@register("harmonize_omitted_columns", HARMONIZE_OMITTED_SQL)
+def q_harmonize_omitted_columns(spark, d):
+    """The customers job as an upsert over a raw table without
+    ``membership_status``: first load of the first ingest day, then the rest;
+    inserts take the declared default in both."""
+    from lakeloom.plans.harmonize import TableJob, harmonize
+    from lakeloom.session import cut_lineage
+    job = TableJob(S.CUSTOMERS)
+    raw = R.raw_customers(spark, d).drop("membership_status").where("customer_id IS NOT NULL")
+    first = cut_lineage(spark, harmonize(job, raw, None, RUN1, JOB, as_of="2025-01-01", upper=R.SEED_TS).state)
+    return harmonize(job, raw, first, RUN2, JOB, as_of="2025-01-02").state.select(
+        "customer_id", "loyalty_points", "membership_status")
+
+
 @register("sales_facts_refresh", with_("facts") + "SELECT * FROM facts")
 def q_sales_facts_refresh(spark, d):
     """Full refresh (INSERT OVERWRITE) of the month-partitioned fact table in
@@ -670,7 +725,8 @@ def _stream_products(spark, d):
     cols = list(S.RAW_COLUMNS["t_products"])
     job = TableJob(S.PRODUCTS, rules=PRODUCT_RULES, mode="quarantine")
     state = VersionedTable(spark, f"{base}/state")
-    for i, (lo, hi) in enumerate(((None, R.SEED_TS), (R.SEED_TS, CUT), (CUT, None))):   # three landings
+    marks = (None, R.SEED_TS, CUT, "2024-01-03 00:00:00", None)
+    for i, (lo, hi) in enumerate(zip(marks, marks[1:])):                # four landings
         increment.incremental_batch(raw, lo, hi).select(*cols).write.option("header", True).csv(f"{base}/landing/day_{i}")
         harmonize_files(spark, f"{base}/landing/day_*/*.csv", cols, f"{base}/ckpt", job, state, JOB,
                         f"{base}/raw", f"{base}/dq_log", f"{base}/quarantine")
@@ -695,8 +751,9 @@ RAW_PRODUCT_COLS = ", ".join(S.RAW_COLUMNS["t_products"])
 
 
 @register("stream_quarantined_rows", with_("raw_products") + f"""
-SELECT {RAW_PRODUCT_COLS} FROM raw_products EXCEPT ALL
-SELECT {RAW_PRODUCT_COLS} FROM ({_quarantine_sql('raw_products')}) p""")
+SELECT * REPLACE (nullif(price, '') AS price) FROM (      -- an empty CSV field is read as NULL
+  SELECT {RAW_PRODUCT_COLS} FROM raw_products EXCEPT ALL
+  SELECT {RAW_PRODUCT_COLS} FROM ({_quarantine_sql('raw_products')}) p) x""")
 def q_stream_quarantined_rows(spark, d):
     """The rows the stream's gate held back, read from its quarantine table."""
     from lakeloom.streaming.file_ingest import read_epochs
@@ -844,3 +901,27 @@ def q_scd1_bucketed_products(spark, d):
                                  run_ts=RUN, job_id=JOB, on_duplicate="latest")
     overwrite_partitions(spark, new_parts, path, part, touched=touched)
     return spark.read.parquet(path).select(*[c.name for c in S.PRODUCTS.columns])
+
+
+# ---------------------------------------------- the daily run, end to end
+@register("daily_run_facts", with_("raw_line_items", "raw_transactions") + f"""
+SELECT t.invoice_id, l.line_item_id, t.store_id, t.customer_id, t.employee_id, l.product_id, t.payment_type,
+       t.transaction_date_time, t.transaction_month, l.quantity, l.unit_price, l.total_price, l.discount_applied,
+       t.total_amount
+FROM ({TYPED_SQL['line_items']}) l JOIN ({TYPED_SQL['transactions']}) t ON l.invoice_id = t.invoice_id""")
+def q_daily_run_facts(spark, d):
+    """All raw tables land as CSV in two parts; the daily run is made after each:
+    ingest, harmonize every table, facts, views.  Returns the facts."""
+    from lakeloom.plans.daily import daily_run
+    from lakeloom.session import scratch_path
+    base = scratch_path(spark, "daily")
+    readers = {"t_products": "products", "t_stores": "stores", "t_customers": "customers",
+               "t_sales_transactions": "transactions", "t_sales_line_items": "line_items"}
+    for run, (lo, hi) in enumerate(((None, CUT), (CUT, None)), 1):
+        globs = {}
+        for name, short in readers.items():
+            raw = increment.incremental_batch(RAW_READERS[short][0](spark, d), lo, hi)
+            globs[name] = f"{name}/run_*/*.csv"
+            raw.select(*S.RAW_COLUMNS[name]).write.option("header", True).csv(f"{base}/landing/{name}/run_{run}")
+        out = daily_run(spark, f"{base}/landing", f"{base}/tables", RUN, JOB, AS_OF_DATE, run, globs=globs, views=run == 2)
+    return out["t_sales_facts"]

@@ -57,14 +57,10 @@ class TableSpec:
             for c in self.columns
         ])
 
-    def raw_struct(self) -> T.StructType:
-        """All-string landing schema (the raw layer keeps text as received)."""
-        return T.StructType([T.StructField(c.name, T.StringType(), True) for c in self.columns])
-
     def ddl(self, using: str = "parquet") -> str:
         cols = []
         for c in self.columns:
-            piece = f"`{c.name}` {c.dtype}"
+            piece = f"`{c.name}` {c.dtype}" + (" NOT NULL" if c.required else "")
             if c.default is not None:
                 piece += f" DEFAULT {c.default}"
             if c.comment:
@@ -230,9 +226,11 @@ RAW_COLUMNS = {
 
 def raw_spec(name: str) -> TableSpec:
     cols = tuple(Column(c, "string") for c in RAW_COLUMNS[name])
-    cols += (Column("r_insert_timestamp", "timestamp_ntz", default="current_timestamp()"),)
+    # as the ingest writes them: stamp, source file, and the ingest date as partition
+    cols += (Column("r_insert_timestamp", "timestamp_ntz", default="current_timestamp()"),
+             Column("r_source_file", "string"), Column("r_insert_date", "date"))
     tags = PII_TAGS if name == "t_customers" else {}
-    return TableSpec(RAW_SCHEMA, name, cols, tags=tags)
+    return TableSpec(RAW_SCHEMA, name, cols, partition_by=("r_insert_date",), tags=tags)
 
 
 HARMONIZED = {s.name: s for s in (PRODUCTS, STORES, CUSTOMERS, TRANSACTIONS, LINE_ITEMS, SALES_FACTS)}

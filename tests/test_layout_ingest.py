@@ -149,3 +149,79 @@ def test_ingest_landing_one_call_for_every_raw_table(spark, tmpdir_path):
     assert [r.opening_date for r in stores.collect()] == ["01-02-2021"]
     assert [(r.line_item_id, r.quantity) for r in lines.collect()] == [("L1", "2")]
     assert all(t == "string" for c, t in lines.dtypes if c in RAW_COLUMNS["t_sales_line_items"])
+
+
+def test_no_row_is_lost_at_the_stream_gate(spark):
+    """Passed and quarantined rows together are the input; findings are logged once."""
+    from lakeloom.operators import quality
+    from lakeloom.plans import queries as Q
+    from lakeloom.streaming.file_ingest import read_epochs
+    base, state = Q._stream_products(spark, "/root/testdata/sf0.001")
+    raw, held = read_epochs(spark, base + "/raw"), read_epochs(spark, base + "/quarantine")
+    n = Q.R.raw_products(spark, "/root/testdata/sf0.001").count()
+    passed, kept_back = quality.dq_split(raw, "product_id", "r_insert_timestamp", Q.PRODUCT_RULES)
+    assert raw.count() == n and passed.count() + held.count() == n and held.count() == kept_back.count() > 0
+    assert state.current().count() == passed.select("product_id").distinct().count()
+    log = spark.read.parquet(base + "/dq_log")
+    assert log.count() == log.select(*quality.FINDING_COLUMNS).distinct().count() > 0
+
+
+def test_reordered_header_is_refused(spark, tmpdir_path):
+    import os
+
+    import pytest
+    land = tmpdir_path + "/landing/partition_1"
+    os.makedirs(land)
+    open(land + "/stores_1.csv", "w").write("store_name,store_id\nNorth,1\n")
+    with pytest.raises(Exception, match="reading file"):
+        ingest_files(spark, land + "/*.csv", ("store_id", "store_name"), tmpdir_path + "/raw", tmpdir_path + "/ck")
+
+
+def test_merge_queries_hold_every_key(spark):
+    from lakeloom.plans import queries as Q
+    d = "/root/testdata/sf0.001"
+    for name, table, key, column in (("products", "part", "p_partkey", "product_id"), ("stores", "supplier", "s_suppkey", "store_id"),
+                                     ("transactions", "orders", "o_orderkey", "invoice_id")):
+        want = spark.read.parquet(f"{d}/{table}.parquet").select(key).distinct().count()
+        assert Q.REGISTRY[f"scd1_upsert_{name}"](spark, d).select(column).distinct().count() == want
+    customers = spark.read.parquet(f"{d}/customer.parquet").count()
+    assert Q.REGISTRY["scd2_merge_customers"](spark, d).select("customer_id").distinct().count() == customers
+
+
+def test_incremental_read_prunes(spark):
+    from lakeloom.plans import queries as Q
+    plan = Q.REGISTRY["incremental_batch"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(r_insert_date" in plan and "GreaterThan(r_insert_timestamp" in plan
+
+
+def test_file_count_and_bits_follow_the_bytes(spark, tmpdir_path):
+    spark.range(200_000).selectExpr("sha2(string(id), 256) s").write.parquet(tmpdir_path + "/t")
+    few, many = (layout.files_for(spark, tmpdir_path + "/t", b) for b in (8 << 20, 1 << 20))
+    assert many > few >= 1
+    assert layout.bits_for(8, 3) < layout.bits_for(1 << 20, 3) <= 10
+
+
+def test_mask_role_is_compared_as_given(spark):
+    from lakeloom.functions.masks import register_mask_functions
+    for roles, seen in ((["C'RM"], "**********"), (["x\\"], "**********"), (["CRM", "a'b"], "1")):
+        register_mask_functions(spark, roles)
+        assert spark.sql("SELECT masking_phone('1') p").first().p == seen
+
+
+def test_several_batches_of_a_key_become_versions(spark):
+    import datetime as dt
+
+    from lakeloom.operators import scd2
+    from tests.test_scd2 import SSCHEMA, TRACK, _target
+    t0 = dt.datetime(2024, 1, 1)
+    day = lambda n: t0 + dt.timedelta(days=n)
+    t = _target(spark, [("a", "x", "y", True, dt.date(2020, 1, 1), dt.date(9999, 12, 31)),
+                        ("g", "x", "y", False, dt.date(2020, 1, 1), dt.date(2020, 1, 1))])
+    s = spark.createDataFrame([("a", "x", "y", day(1)), ("a", "x", "z", day(2)), ("a", "x", "z", day(3)), ("a", "x", "y", day(4)),
+                               ("n", "1", "1", day(1)), ("n", "2", "2", day(2)), ("g", "q", "q", day(1)), ("g", "r", "r", day(2)),
+                               (None, "m", "m", day(1)), (None, "m", "m", day(1))], SSCHEMA)
+    out = scd2.scd2_merge(t, s, "customer_id", TRACK, as_of="2025-01-01", run_ts="2025-01-01 00:00:00", on_duplicate="history").collect()
+    versions = lambda k: sorted((r.last_name, r.active_flag) for r in out if r.customer_id == k)
+    assert versions("a") == [("y", False), ("y", True), ("z", False)]
+    assert versions("n") == [("1", False), ("2", True)]
+    assert versions("g") == [("y", False)] and len(versions(None)) == 2

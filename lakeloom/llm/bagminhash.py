@@ -213,9 +213,9 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     met = met.join(_common(bags), "node").where(F.col("common") >= similar * F.col("size"))
     least = met.groupBy("band").agg(F.min("size").alias("least"))
     partner = F.greatest(F.col("least"), similar * F.col("size"))   # no partner in the bucket is smaller
-    met = met.join(least, "band").where(F.col("common") >= similar / (1 + similar) * (F.col("size") + partner) - 1e-6)
-    met = written(met.drop("common", "least"), "met")
-    shared = met.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    enough = F.col("common") >= similar / (1 + similar) * (F.col("size") + partner) - 1e-6
+    met = met.join(least, "band").where(enough).drop("common", "least")
+    shared = met.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")     # already dealt by band
     met = written(met.join(shared, "band"), "shared")
     buckets = written(met.join(met.groupBy("node").agg(F.sum("n").alias("company")), "node").drop("n"), "buckets")
 
@@ -227,7 +227,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     comps = connected_components(links)
     more = _bridges(member, refused, comps, bags, similar)
     if more.take(1):
-        comps = connected_components(links.unionByName(more))
+        comps = connected_components(links.unionByName(more), comps)
     named = (rows.join(comps, "node", "left")
              .select("id", "node", F.coalesce("comp", "node").alias("comp")))
     class_id = named.where("comp IS NOT NULL").groupBy("comp").agg(F.min("id").alias("class_id"))
@@ -255,8 +255,8 @@ def _judge(open_: DataFrame, bags: DataFrame, similar: float, path: str) -> None
         # the member with the most company, and about LEADS[turn] more by hash
         top = open_.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(-F.col("company"), "node")).alias("top"))
         by_hash = F.pmod(F.xxhash64("band", "node", F.lit(turn)), F.col("n")) < LEADS[min(turn, len(LEADS) - 1)]
-        members = written(open_.join(top, "band").withColumn("leading", (F.col("node") == F.col("top.node")) | by_hash)
-                          .select("band", "company", "node", "size", "leading"), "members")
+        members = (open_.join(top, "band").withColumn("leading", (F.col("node") == F.col("top.node")) | by_hash)
+                   .select("band", "company", "node", "size", "leading"))        # stays dealt by band for the next join
         lead = members.where("leading").select("band", F.col("node").alias("lead"), F.col("size").alias("size_b"))
         tried = (members.join(lead, "band")
                  .where("node <> lead AND (NOT leading OR node < lead)")         # two leaders meet once

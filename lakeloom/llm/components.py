@@ -8,16 +8,18 @@ from pyspark.sql import functions as F
 from lakeloom.llm.store import written
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, start: DataFrame | None = None) -> DataFrame:
     """``node, comp`` for every node of ``edges`` (``a, b``): the smallest node
-    it is linked with.  Each round gives a node the smallest label among its
+    it is linked with.  ``start`` may give labels known from some of the edges.  Each round gives a node the smallest label among its
     neighbours' and its own, then that label's label, which doubles the way a
     label travels; every round's labels are a written table.  A node with very
     many links is pre-aggregated per task."""
     edges = edges.where("a <> b").distinct()
     both = written(edges.unionByName(edges.selectExpr("b AS a", "a AS b")), "links")
     labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("comp"))
-    labels = written(labels.withColumn("new", F.lit(True)), "labels")
+    if start is not None:
+        labels = labels.unionByName(start).groupBy("node").agg(F.min("comp").alias("comp"))
+    labels = written(labels, "labels")
     kind = dict(both.dtypes)["a"]
     while True:
         near = both.join(labels.selectExpr("node AS b", "comp"), "b").select(

@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from lakeloom.plans.queries import ORACLE, REGISTRY
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -41,7 +42,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(REGISTRY) == set(ORACLE)
+    assert set(REGISTRY) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 def test_entry_runs(spark):
@@ -49,10 +51,10 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
-    cur = con.execute(E.oracle_sql()[name])
+    df = REGISTRY[name](spark, SF)
+    cur = con.execute(ORACLE[name])
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
     srows = [tuple(r) for r in df.collect()]
@@ -67,10 +69,10 @@ def test_results_do_not_depend_on_session_time_zone(spark, con, name):
     prev = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
     try:
-        df = E.queries()[name](spark, SF)
+        df = REGISTRY[name](spark, SF)
         srows = [tuple(r) for r in df.collect()]
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
-    cur = con.execute(E.oracle_sql()[name])
+    cur = con.execute(ORACLE[name])
     ocols = [d[0] for d in cur.description]
     assert _bag(srows, df.columns) == _bag(cur.fetchall(), ocols)

@@ -189,14 +189,18 @@ def multisets(docs: DataFrame, wanted) -> DataFrame:
 
 
 def _compared(pairs: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
-    """``a, b, sim`` for distinct pairs (``a, b, size_a, size_b``); a pair whose
-    sizes alone rule it out keeps the bound as its similarity."""
-    pairs = pairs.distinct().withColumn("bound", F.least("size_a", "size_b") / F.greatest("size_a", "size_b"))
+    """``a, b, sim`` for distinct pairs (``a, b, size_a, size_b, common``, the
+    smaller of the two counts of elements that occur elsewhere too, which bounds
+    the overlap).  A pair that sizes and ``common`` rule out keeps that bound as
+    its similarity."""
+    size = F.col("size_a") + F.col("size_b")
+    most = F.least("size_a", "size_b", "common")
+    pairs = pairs.distinct().withColumn("bound", most / (size - most))
     same = F.size(F.array_intersect("x", "y"))
-    near = (pairs.where(F.col("bound") >= similar / 2)      # step 4 asks for distances up to 0.6
+    near = (pairs.where(F.col("bound") >= similar - 1e-9)
             .join(bags.selectExpr("node AS a", "elems AS x"), "a").join(bags.selectExpr("node AS b", "elems AS y"), "b")
-            .select("a", "b", (same / (F.col("size_a") + F.col("size_b") - same)).alias("sim")))
-    return near.unionByName(pairs.where(F.col("bound") < similar / 2).select("a", "b", F.col("bound").alias("sim")))
+            .select("a", "b", (same / (size - same)).alias("sim")))
+    return near.unionByName(pairs.where(F.col("bound") < similar - 1e-9).select("a", "b", F.col("bound").alias("sim")))
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
@@ -210,11 +214,12 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     met = written(entries.join(shared, "band"), "met")
     wanted = docs.sparkSession.sparkContext.broadcast(bitmap(met.select("id"), F.col("id").cast("string")))
     bags = written(multisets(source, wanted).groupBy("node").agg(F.first("elems").alias("elems")), "multisets")
-    met = met.join(_common(bags), "node").where(F.col("common") >= similar * F.col("size"))
+    common = written(_common(bags), "common")
+    met = met.join(common.drop("all"), "node").where(F.col("common") >= similar * F.col("size"))
     least = met.groupBy("band").agg(F.min("size").alias("least"))
     partner = F.greatest(F.col("least"), similar * F.col("size"))   # no partner in the bucket is smaller
     enough = F.col("common") >= similar / (1 + similar) * (F.col("size") + partner) - 1e-6
-    met = met.join(least, "band").where(enough).drop("common", "least")
+    met = met.join(least, "band").where(enough).drop("least")
     shared = met.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")     # already dealt by band
     met = written(met.join(shared, "band"), "shared")
     buckets = written(met.join(met.groupBy("node").agg(F.sum("n").alias("company")), "node").drop("n"), "buckets")
@@ -225,7 +230,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     member, refused = judged.where(F.col("sim") >= similar), judged.where(F.col("sim") < similar)
     links = member.selectExpr("node AS a", "b")
     comps = connected_components(links)
-    more = _bridges(member, refused, comps, bags, similar)
+    more = _bridges(member, refused, comps, bags, common, similar)
     if more.take(1):
         comps = connected_components(links.unionByName(more), comps)
     named = (rows.join(comps, "node", "left")
@@ -236,40 +241,41 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def _common(bags: DataFrame) -> DataFrame:
-    """``node, common``: how many of a multiset's elements occur in another one
-    too.  A partner's overlap consists of these (a partner is a candidate
+    """``node, all, common``: a multiset's elements, and how many of them occur in
+    another one too.  A partner's overlap consists of these (a partner is a candidate
     itself), so a node with too few of them has none, and nothing is lost by
     leaving it out."""
     each = bags.select(F.xxhash64("node").alias("h"), F.explode("elems").alias("e"))
     once = each.groupBy("e").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("h")).where("n = 1")
     own = once.groupBy("h").agg(F.count(F.lit(1)).alias("own"))
     return (bags.select("node", F.size("elems").alias("all")).join(own, F.xxhash64("node") == F.col("h"), "left")
-            .select("node", (F.col("all") - F.coalesce("own", F.lit(0))).alias("common")))
+            .select("node", F.col("all").cast("long").alias("all"), (F.col("all") - F.coalesce("own", F.lit(0))).alias("common")))
 
 
 def _judge(open_: DataFrame, bags: DataFrame, similar: float, path: str) -> None:
-    """Step 2 for the buckets ``open_`` (``band, node, size, company``): rows
-    ``band, company, node, size, leading, lead, size_b, sim`` under ``path``, one folder a round."""
+    """Step 2 for the buckets ``open_`` (``band, node, size, common, company``):
+    rows with also ``leading, lead, sim`` under ``path``, one folder a round."""
     spark, turn = open_.sparkSession, 0
     while True:
         # the member with the most company, and about LEADS[turn] more by hash
         top = open_.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(-F.col("company"), "node")).alias("top"))
         by_hash = F.pmod(F.xxhash64("band", "node", F.lit(turn)), F.col("n")) < LEADS[min(turn, len(LEADS) - 1)]
         members = (open_.join(top, "band").withColumn("leading", (F.col("node") == F.col("top.node")) | by_hash)
-                   .select("band", "company", "node", "size", "leading"))        # stays dealt by band for the next join
-        lead = members.where("leading").select("band", F.col("node").alias("lead"), F.col("size").alias("size_b"))
+                   .select("band", "company", "node", "size", "common", "leading"))      # stays dealt by band
+        lead = members.where("leading").select("band", F.col("node").alias("lead"), F.col("size").alias("size_b"),
+                                               F.col("common").alias("common_b"))
         tried = (members.join(lead, "band")
                  .where("node <> lead AND (NOT leading OR node < lead)")         # two leaders meet once
                  .withColumn("a", F.least("node", "lead")).withColumn("b", F.greatest("node", "lead")))
         tried = written(tried, "tried")
         size_a = F.when(F.col("a") == F.col("node"), F.col("size")).otherwise(F.col("size_b"))
-        sims = _compared(tried.select("a", "b", size_a.alias("size_a"), (F.col("size") + F.col("size_b") - size_a).alias("size_b")),
-                         bags, similar)
+        sims = _compared(tried.select("a", "b", size_a.alias("size_a"), (F.col("size") + F.col("size_b") - size_a).alias("size_b"),
+                                      F.least("common", "common_b").alias("common")), bags, similar)
         tried.join(sims, ["a", "b"]).drop("a", "b").write.parquet(f"{path}/turn={turn}")
         judged = spark.read.parquet(f"{path}/turn={turn}")
         open_ = (judged.groupBy("band", "node")
-                 .agg(F.first("company").alias("company"), F.first("size").alias("size"), F.max("sim").alias("best"),
-                      F.max("leading").alias("leading"))
+                 .agg(F.first("company").alias("company"), F.first("size").alias("size"), F.first("common").alias("common"),
+                      F.max("sim").alias("best"), F.max("leading").alias("leading"))
                  .where((F.col("best") < similar) & ~F.col("leading")).drop("best", "leading"))
         open_ = written(open_, "open")
         if not open_.take(1):
@@ -277,7 +283,8 @@ def _judge(open_: DataFrame, bags: DataFrame, similar: float, path: str) -> None
         turn += 1
 
 
-def _bridges(member: DataFrame, refused: DataFrame, comps: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
+def _bridges(member: DataFrame, refused: DataFrame, comps: DataFrame, bags: DataFrame, common: DataFrame,
+             similar: float) -> DataFrame:
     """Step 4: links (``a, b``) between members of different leaders of a bucket
     that are not in one class yet."""
     comp = lambda df, of, name: df.join(comps.selectExpr(f"node AS {of}", f"comp AS {name}"), of, "left").withColumn(
@@ -295,9 +302,9 @@ def _bridges(member: DataFrame, refused: DataFrame, comps: DataFrame, bags: Data
     pairs = (leads.join(one, ["band", "lead1"]).join(two, ["band", "lead2"])
              .where(F.col("sim_a") + F.col("sim_b") - F.col("between") <= 1 + (1 - similar) + 1e-9)
              .where("a <> lead1 OR b <> lead2").select("a", "b").distinct())
-    size = bags.select("node", F.size("elems").cast("long").alias("n"))
-    pairs = (pairs.join(size.selectExpr("node AS a", "n AS size_a"), "a")
-             .join(size.selectExpr("node AS b", "n AS size_b"), "b"))
+    pairs = (pairs.join(common.selectExpr("node AS a", "`all` AS size_a", "common AS common_a"), "a")
+             .join(common.selectExpr("node AS b", "`all` AS size_b", "common AS common_b"), "b")
+             .withColumn("common", F.least("common_a", "common_b")).drop("common_a", "common_b"))
     return written(_compared(pairs, bags, similar).where(F.col("sim") >= similar).select("a", "b"), "bridges")
 
 

@@ -3,8 +3,8 @@ r"""Personal data by weak supervision, in DataFrame expressions alone.
 Base spans are the matches of four fixed patterns with their checks (address
 parts up to 255, card numbers of 13 to 19 digits that pass Luhn, phone numbers
 of 9 to 15 digits).  The method adds spans among wider candidates: written-out
-e-mail addresses, and digit groups that look like a phone or card number but
-match no base span.
+e-mail addresses, and every stretch of neighbouring digit groups, 9 to 19 digits
+in all, that touches no base span; so numbers side by side are told apart.
 
 1. Labelers vote on every candidate and base span (1 for, -1 against, 0 no
    opinion): the base pattern's own check, the Luhn or range checksum, a
@@ -19,7 +19,8 @@ match no base span.
    digits, grouping, neighbours, context), is trained on the posteriors; it is a
    handful of weights that become literals in the second pass.
 4. The second pass adds the candidates whose log odds reach ``ADD`` and that
-   overlap no base span.  A candidate that fails its checksum is never added.
+   overlap no base span, of overlapping ones the best by log odds, then the
+   longer.  A candidate that fails its checksum is never added.
 
 Positions come from splitting the text at the matches: the lengths of the gaps
 and matches before a match add up to its place, in code points.  The patterns
@@ -53,7 +54,9 @@ PATTERNS = {
 # Candidates of the method (kind is set by their form).
 WRITTEN_EMAIL = (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:\(at\)|\[at\])\x20?"
                  r"[A-Za-z0-9-]{1,63}+(?:\x20?(?:\(dot\)|\[dot\]|\.)\x20?[A-Za-z0-9-]{1,63}+){1,4}")
-DIGIT_GROUPS = r"(?<![A-Za-z0-9.+])\(?[0-9](?:[\x20().-]{0,2}+[0-9]){8,24}+(?![A-Za-z0-9])"
+DIGIT_GROUP = r"(?<![A-Za-z0-9])[0-9]++(?![A-Za-z])"
+#: What may stand between two groups of one number, and the digits of a number.
+BETWEEN, LEAST, MOST = r"^[\x20().-]{1,2}$", 9, 19
 # Gazetteers and context words.
 ISSUERS = r"^(?:4|5[1-5]|2[2-7]|3[47]|35|36|38|6011|65|62)"
 DOMAINS = r"(?i)\.(?:com|org|net|edu|gov|info|io|de|fr|es|eu|uk|ch|at|it|nl|us|ca|co|biz)$"
@@ -83,19 +86,57 @@ def _sql(pattern: str) -> str:
     return "r'" + pattern.replace("'", "\\'") + "'"
 
 
-def found_spans(df: DataFrame, name: str, pattern: str, guard: str) -> DataFrame:
+def found_spans(df: DataFrame, name: str, pattern: str, guard: str, lead: int = 0) -> DataFrame:
     """``df`` (with ``text``) and ``name``: array of ``from, upto, value`` of the
-    pattern's matches; ``guard`` is a cheap condition any match needs."""
-    m, g, z = f"_m_{name}", f"_g_{name}", f"_z_{name}"
+    pattern's matches; ``guard`` is a cheap condition any match needs.  With
+    ``lead`` also up to so many characters between the match before and this one."""
+    m, g, z, b = f"_m_{name}", f"_g_{name}", f"_z_{name}", f"_b_{name}"
     nothing = "CAST(array() AS array<string>)"
     df = (df.withColumn(m, F.expr(f"CASE WHEN {guard} THEN regexp_extract_all(text, {_sql(pattern)}, 0) ELSE {nothing} END"))
           .withColumn(g, F.expr(f"CASE WHEN size({m}) > 0 THEN split(text, {_sql(pattern)}, -1) ELSE {nothing} END"))
+          .withColumn(b, F.expr(f"transform({m}, (x, i) -> right({g}[i], {lead}))"))
           .withColumn(z, F.expr(f"transform({m}, (x, i) -> length(x) + length({g}[i]))"))
           .withColumn("sums", F.expr(f"transform(sequence(0, int(size({z}) / 256)), b -> "
                                      f"aggregate(slice({z}, b * 256 + 1, 256), 0, (a, x) -> a + x))"))
           .withColumn(g, F.expr(f"CASE WHEN size({z}) > 0 THEN {_running(z)} ELSE CAST(array() AS array<int>) END"))
-          .withColumn(name, F.expr(f"transform({m}, (x, i) -> struct({g}[i] - length(x) AS from, {g}[i] AS upto, x AS value))")))
-    return df.drop(m, g, z, "sums")
+          .withColumn(name, F.expr(f"transform({m}, (x, i) -> struct({g}[i] - length(x) AS from, {g}[i] AS upto, x AS value"
+                                    f"{f', {b}[i] AS lead' if lead else ''}))")))
+    return df.drop(m, g, z, b, "sums")
+
+
+def stretches(groups: str) -> str:
+    """SQL: ``from, upto, value`` of every stretch of neighbouring ``groups``
+    (``from, upto, value, lead, free``) of ``LEAST`` to ``MOST`` digits, a plus or
+    bracket before it included.  A stretch has at most ``MOST`` groups, so this is
+    linear in the groups."""
+    opened = "(g.lead RLIKE '[^A-Za-z0-9.+][+(]$' OR i = 0 AND g.lead RLIKE '^[+(]$')"
+    joined = f"x.lead RLIKE {_sql(BETWEEN)}"
+    digits = "a.n + length(x.value)"
+    value = f"concat(CASE WHEN x.from > g.from THEN concat(a.value, x.lead) WHEN {opened} THEN right(g.lead, 1) ELSE '' END, x.value)"
+    span = f"struct(g.from - int({opened}) AS from, x.upto AS upto, {value} AS value)"
+    none = "CAST(array() AS array<struct<from: int, upto: int, value: string>>)"
+    return (f"flatten(transform({groups}, (g, i) -> CASE "
+            f"WHEN g.lead RLIKE '[.+]$' AND NOT {opened} AND NOT (i > 0 AND g.lead RLIKE {_sql(BETWEEN)}) THEN {none} "
+            f"ELSE aggregate(slice({groups}, i + 1, {MOST}), struct(0 AS n, '' AS value, {none} AS found), "
+            f"(a, x) -> CASE WHEN a.n >= 0 AND x.free AND (x.from = g.from OR {joined}) AND {digits} <= {MOST} "
+            f"THEN struct({digits} AS n, {value} AS value, CASE WHEN {digits} >= {LEAST} "
+            f"THEN concat(a.found, array({span})) ELSE a.found END AS found) "
+            f"ELSE struct(-1 AS n, '' AS value, a.found AS found) END, a -> a.found) END))")
+
+
+def best_apart(spans: str) -> str:
+    """SQL: the best of ``spans`` (``from, upto, kind, value, odds``) that do not
+    overlap, best first, then the longer, then the earlier; spans that overlap in
+    a chain are settled among themselves."""
+    order = ("(l, r) -> CASE WHEN l.odds > r.odds THEN -1 WHEN l.odds < r.odds THEN 1 "
+             "WHEN l.upto - l.from <> r.upto - r.from THEN r.upto - r.from - l.upto + l.from ELSE l.from - r.from END")
+    none = "CAST(array() AS array<struct<from: int, upto: int, kind: string, value: string, odds: double>>)"
+    settled = lambda chain: (f"aggregate(array_sort({chain}, {order}), {none}, (k, c) -> CASE WHEN "
+                             "exists(k, o -> o.from < c.upto AND c.from < o.upto) THEN k ELSE concat(k, array(c)) END)")
+    return (f"aggregate(array_sort({spans}), struct(0 AS upto, {none} AS chain, {none} AS done), "
+            f"(a, s) -> CASE WHEN s.from < a.upto THEN struct(greatest(a.upto, s.upto) AS upto, concat(a.chain, array(s)) AS chain, a.done AS done) "
+            f"ELSE struct(s.upto AS upto, array(s) AS chain, concat(a.done, {settled('a.chain')}) AS done) END, "
+            f"a -> concat(a.done, {settled('a.chain')}))")
 
 
 def _digits(x: str) -> str:
@@ -131,10 +172,15 @@ def _with_spans(docs: DataFrame, id_col: str, text_col: str, *more: str) -> Data
         df = found_spans(df, kind, PATTERNS[kind], guards[kind])
         df = df.withColumn(kind, F.expr(f"filter({kind}, s -> {_valid(kind, 's.value')})"))
     df = found_spans(df, "_written", WRITTEN_EMAIL, "contains(text, 'at)') OR contains(text, 'at]')")
-    df = found_spans(df, "_groups", DIGIT_GROUPS, "_digit")
+    df = found_spans(df, "_groups", DIGIT_GROUP, r"text RLIKE '[0-9][\x20().-]{0,2}[0-9]'", lead=3)
     df = df.withColumn("base", F.expr("concat(" + ", ".join(
         f"transform({k}, s -> struct('{k}' AS kind, s.from, s.upto, s.value, true AS base))" for k in KINDS) + ")"))
-    kind = f"CASE WHEN length({_digits('s.value')}) >= 13 THEN 'card' ELSE 'phone' END"
+    # no base span lies between two groups: what overlaps one holds a group of it
+    df = df.withColumn("_groups", F.expr("transform(_groups, g -> struct(g.from, g.upto, g.value, g.lead, "
+                                         "NOT exists(base, b -> b.from < g.upto AND g.from < b.upto) AS free))"))
+    df = df.withColumn("_groups", F.expr(stretches("_groups")))
+    n = f"length({_digits('s.value')})"
+    kind = f"CASE WHEN {n} >= 13 AND NOT (s.value LIKE '+%' AND {n} <= 15) THEN 'card' ELSE 'phone' END"
     df = df.withColumn("others", F.expr(
         "filter(concat(transform(_written, s -> struct('email' AS kind, s.from, s.upto, s.value, false AS base)), "
         f"transform(_groups, s -> struct({kind} AS kind, s.from, s.upto, s.value, false AS base))), "
@@ -249,8 +295,9 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ke
     if not bias:                            # no candidate anywhere
         added = "others"
     else:
-        sums = _votes("c")["checksum"]
-        added = f"filter({_around('others')}, c -> {sums} >= 0 AND {_odds('c', bias, weight)} >= {ADD})"
+        passed = f"filter({_around('others')}, c -> {_votes('c')['checksum']} >= 0)"
+        scored = f"transform({passed}, c -> struct(c.from, c.upto, c.kind, c.value, {_odds('c', bias, weight)} AS odds))"
+        added = best_apart(f"filter({scored}, c -> c.odds >= {ADD})")
     plain = "transform({0}, s -> struct(s.kind, s.from, s.upto, s.value))"
     return (spans.withColumn("added", F.expr(f"CASE WHEN size(others) > 0 THEN {added} END"))
             .select("id", "text", F.expr(plain.format("base")).alias("base"),

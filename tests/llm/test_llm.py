@@ -182,6 +182,25 @@ def test_pii_adds_what_labelers_support(spark):
     assert all(len(got[i].base) == 1 and not got[i].added for i in range(40))
 
 
+def test_pii_numbers_side_by_side(spark):
+    from lakeloom.llm.pii import find_pii
+    cards = ("4111111111111111", "5500005555555559", "7536784127813050", "4845168114407329")
+    apart = [(i, f"card {cards[i % 4]} x") for i in range(40)] + [(50 + i, f"call (41{i % 10}) 555-01{i:02d} now") for i in range(40)]
+    rows = [(100, f"card {cards[0]} {cards[1]}"), (101, "phone (415) 555-0100 (212) 555-0199"), (102, f"card: 12 {cards[0]}"),
+            (103, f"pay {' '.join(cards * 3)} now"), (104, "tel (415) 555-0100 (212) 555-0199 (646) 555-0123 end")]
+    got = {r.id: r for r in find_pii(docs_df(spark, apart + rows)).collect()}
+    have = lambda i: sorted((s["from"], s.kind, s.value) for s in got[i].added)
+    assert have(100) == [(5, "card", cards[0]), (22, "card", cards[1])]
+    assert have(101) == [(6, "phone", "(415) 555-0100"), (21, "phone", "(212) 555-0199")]
+    assert have(102) == [(9, "card", cards[0])]
+    assert [v for _, _, v in have(103)] == list(cards * 3)
+    assert [v for _, _, v in have(104)] == ["(415) 555-0100", "(212) 555-0199", "(646) 555-0123"]
+    for r in got.values():
+        assert all(r.text[s["from"]:s.upto] == s.value for s in r.added)
+        ends = sorted((s["from"], s.upto) for s in list(r.base) + list(r.added))
+        assert r.id < 100 or all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+
+
 def test_pii_masks_and_keeps_columns(spark):
     from lakeloom.llm.pii import mask_documents
     df = spark.createDataFrame([(1, "x a@b.co y 10.0.0.1", "en", 20, "k"), (2, None, None, None, "t"), (None, "+1 938 555 1226", "fr", 1, "b")],

@@ -313,9 +313,16 @@ def listed(spans: str) -> str:
 
 def masked(found: DataFrame, out: str = "text") -> DataFrame:
     """``found`` with the spans of ``text`` replaced by their kind in capitals
-    and brackets; of overlapping spans the one that starts first is taken."""
-    return (found.withColumn("_s", F.expr("array_sort(transform(concat(base, added), s -> struct(s.from, -s.upto AS w, s.upto, s.kind)))"))
-            .withColumn("_s", F.expr("filter(_s, (s, i) -> i = 0 OR s.from >= array_max(transform(slice(_s, 1, i), t -> t.upto)))"))
+    and brackets; overlapping spans are replaced as one, by the kind of the one
+    that starts first (the longest of those), so nothing of any span stays."""
+    none = "CAST(array() AS array<struct<from: int, upto: int, kind: string>>)"
+    merged = (f"aggregate(array_sort(transform(concat(base, added), s -> struct(s.from, -s.upto AS w, s.upto, s.kind))), "
+              f"struct({none} AS done, -1 AS from, -1 AS upto, '' AS kind), (a, s) -> CASE "
+              "WHEN s.from < a.upto THEN struct(a.done AS done, a.from AS from, greatest(a.upto, s.upto) AS upto, a.kind AS kind) "
+              "ELSE struct(IF(a.upto < 0, a.done, concat(a.done, array(struct(a.from, a.upto, a.kind)))) AS done, "
+              "s.from AS from, s.upto AS upto, s.kind AS kind) END, "
+              "a -> IF(a.upto < 0, a.done, concat(a.done, array(struct(a.from, a.upto, a.kind)))))")
+    return (found.withColumn("_s", F.expr(merged))
             .withColumn(out, F.expr(
                 "CASE WHEN size(_s) = 0 THEN text ELSE concat(array_join(transform(_s, (s, i) -> concat("
                 "substr(text, if(i = 0, 0, _s[greatest(0, i - 1)].upto) + 1, s.from - if(i = 0, 0, _s[greatest(0, i - 1)].upto)), "

@@ -211,6 +211,20 @@ def test_pii_masks_and_keeps_columns(spark):
                                                     (None, "[PHONE]", "fr", 7, "b")])
 
 
+def test_pii_masks_the_union_of_overlapping_spans(spark):
+    from lakeloom.llm.pii import mask_documents, masked
+    texts = [(1, "+1 415 555 0100.bob@x.com"), (2, "4111 1111 1111 1111@x.com, a@b.co a@b.co"), (3, "x +1 415 555 0100.bob@x.com y 10.0.0.1")]
+    got = {r.doc_id: r.text for r in mask_documents(docs_df(spark, texts)).collect()}
+    assert got == {1: "[PHONE]", 2: "[CARD], [EMAIL] [EMAIL]", 3: "x [PHONE] y [IP]"}
+    # chains of two and three: the third overlaps the second only; touching spans stay apart
+    spans = "array<struct<kind: string, from: int, upto: int, value: string>>"
+    chains = [(1, [("card", 0, 10, ""), ("ip", 5, 15, ""), ("email", 12, 20, "")], []), (2, [("ip", 5, 15, ""), ("card", 2, 10, "")], []),
+              (3, [("card", 2, 9, "")], [("phone", 9, 12, ""), ("email", 3, 5, "")]), (4, [], [])]
+    df = spark.createDataFrame([(i, "abcdefghijklmnopqrstuvwxyz", b, a) for i, b, a in chains], f"id int, text string, base {spans}, added {spans}")
+    got = {r.id: r.new for r in masked(df, "new").collect()}
+    assert got == {1: "[CARD]uvwxyz", 2: "ab[CARD]pqrstuvwxyz", 3: "ab[CARD][PHONE]mnopqrstuvwxyz", 4: "abcdefghijklmnopqrstuvwxyz"}
+
+
 def test_native_operators_run_no_python(spark):
     from lakeloom.llm.queries import REGISTRY
     for name in ("op4_pii", "op7_url_filter", "op10_tool_calls"):

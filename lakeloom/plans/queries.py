@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeloom.operators import curated, facts
+from lakeloom.plans.daily import PRODUCT_CHECK_COLUMNS, PRODUCT_RULES
 from lakeloom.plans.oracle import with_
 from lakeloom.sources import retail as R
 
@@ -153,11 +154,7 @@ for _n in ("products", "stores", "transactions", "line_items"):
 
 
 # ------------------------------------------------------------ data quality
-# The checked columns, the issue texts and the number pattern.
-PRODUCT_CHECK_COLUMNS = ("product_name", "brand", "category", "gender", "size", "color", "price",
-                         "availability")
-PRODUCT_RULES = (quality.Duplicate("Duplicate product_id"), quality.Format("price", issue="Invalid price format"),
-                 quality.NotNull(PRODUCT_CHECK_COLUMNS))
+# Fixed value: the number pattern.
 NUM_RE = NUMBER_PATTERN
 DUP_SQL = """SELECT product_id AS unique_identifier, r_insert_timestamp AS r_batch_timestamp,
        'Duplicate product_id' AS issue
@@ -911,7 +908,12 @@ SELECT t.invoice_id, l.line_item_id, t.store_id, t.customer_id, t.employee_id, l
 FROM ({TYPED_SQL['line_items']}) l JOIN ({TYPED_SQL['transactions']}) t ON l.invoice_id = t.invoice_id""")
 def q_daily_run_facts(spark, d):
     """All raw tables land as CSV in two parts; the daily run is made after each:
-    ingest, harmonize every table, facts, views.  Returns the facts."""
+    ingest, gate and harmonize every table, clustered facts, views.  Returns the facts."""
+    return daily_runs(spark, d)[1]["t_sales_facts"]
+
+
+def daily_runs(spark, d):
+    """The folder and the tables of the two daily runs."""
     from lakeloom.plans.daily import daily_run
     from lakeloom.session import scratch_path
     base = scratch_path(spark, "daily")
@@ -924,4 +926,4 @@ def q_daily_run_facts(spark, d):
             globs[name] = f"{name}/run_*/*.csv"
             raw.select(*S.RAW_COLUMNS[name]).write.option("header", True).csv(f"{base}/landing/{name}/run_{run}")
         out = daily_run(spark, f"{base}/landing", f"{base}/tables", RUN, JOB, AS_OF_DATE, run, globs=globs, views=run == 2)
-    return out["t_sales_facts"]
+    return f"{base}/tables", out

@@ -214,3 +214,33 @@ def test_shared_checkpoint_folder_required_off_local(spark):
     assert is_local("local[8]") and is_local("local[*, 4]") and is_local("local")
     assert not is_local("spark://master:7077") and not is_local("yarn") and not is_local("k8s://h:443")
     assert ensure_checkpoint_dir(spark)          # the test session names one (set where unset)
+
+
+def test_daily_run_gates_products_and_clusters_facts(spark):
+    from pyspark.sql import functions as F
+
+    from lakeloom.operators import increment
+    from lakeloom.plans import queries as Q
+    from lakeloom.plans.daily import CLUSTER_COLUMNS, JOBS
+    from tests.conftest import rows
+    sf = "/root/testdata/sf0.001"
+    base, out = Q.daily_runs(spark, sf)
+    job, cols = JOBS["t_products"], specs.RAW_COLUMNS["t_products"]
+    held, found, passed = [], 0, set()
+    for lo, hi in ((None, Q.CUT), (Q.CUT, None)):       # a run's rows have one ingest stamp
+        batch = increment.incremental_batch(R.raw_products(spark, sf), lo, hi)
+        # CSV has no empty text: it is read as NULL
+        batch = batch.select(*[F.expr(f"nullif({c}, '')").alias(c) for c in cols]).withColumn(job.ts_col, F.lit(Q.RUN))
+        good, bad = quality.dq_split(batch, job.key, job.ts_col, job.rules)
+        held += rows(bad.select(*cols))
+        passed |= {r[0] for r in good.select("product_id").collect()}
+        found += quality.dq_findings(batch, job.key, job.ts_col, job.rules).distinct().count()
+    stored = spark.read.parquet(base + "/quarantine/t_products")
+    assert {r[0] for r in stored.select("run").distinct().collect()} <= {1, 2}
+    assert rows(stored.select(*cols)) == sorted(held, key=lambda t: tuple((x is None, str(x)) for x in t)) != []
+    log = spark.read.parquet(base + "/dq_log")
+    assert log.select(*quality.FINDING_COLUMNS).distinct().count() == found > 0
+    assert {r[0] for r in out["t_products"].select("product_id").collect()} == passed
+    assert out["t_products"].where("price IS NULL").count() == 0
+    stored_facts = spark.read.parquet(base + "/t_sales_facts")
+    assert set(CLUSTER_COLUMNS) <= set(stored_facts.columns) and stored_facts.count() == out["t_sales_facts"].count()

@@ -181,3 +181,23 @@ def op10_tool_calls(spark, d):
     rules = spark.createDataFrame(list(CHAT_TOOLS), "tool string, arg string, type string, required boolean, "
                                                     "least double, most double")
     return link_tool_calls(chat_messages(table(spark, d, "conversations")), rules)
+
+
+@register("op11_vptree")
+def op11_vptree(spark, d):
+    from pyspark.sql import functions as F
+
+    from lakeloom.llm.vptree import nearest, usable_vectors
+    return nearest(usable_vectors(table(spark, d, "embeddings"), "vec_id", "embedding"), F.col("id") % 100 == 0, 10)
+
+
+@register("op12_spelling")
+def op12_spelling(spark, d):
+    from lakeloom.llm.spelling import spelling_variants
+    return spelling_variants(table(spark, d, "documents"))
+
+
+@register("op13_resampling")
+def op13_resampling(spark, d):
+    from lakeloom.llm.resample import resample
+    return resample(table(spark, d, "documents"), table(spark, d, "benchmark"))

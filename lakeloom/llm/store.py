@@ -17,13 +17,13 @@ BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 ROWS = "1000"
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str, rows: str = ROWS) -> DataFrame:
     """``df`` written once as Parquet under ``spark.checkpoint.dir`` and read
     back: later uses read files every executor shares instead of computing it
-    again, and a lost executor costs no lineage."""
+    again, and a lost executor costs no lineage.  ``rows``: of one Arrow batch."""
     spark = df.sparkSession
     path, before = scratch_path(spark, purpose), spark.conf.get(BATCH_ROWS)
-    spark.conf.set(BATCH_ROWS, ROWS)
+    spark.conf.set(BATCH_ROWS, rows)
     try:
         df.write.option("compression", "zstd").parquet(path)
     finally:

@@ -182,3 +182,76 @@ def judge(url, rules, default="allow"):
 
 def crc_mod(i, m):
     return zlib.crc32(str(i).encode()) % m
+
+
+# ------------------------------------------------------------------ nearest vectors
+def nearest(vectors, k=10, every=100):
+    """Per query row its k nearest (distance, id), other rows only."""
+    usable = [(i, v) for i, v in vectors if i is not None and v is not None and any(v)
+              and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for a, (i, v) in enumerate(usable):
+        if i % every == 0:
+            best = sorted((math.sqrt(sum((x - y) ** 2 for x, y in zip(v + [0.0] * (len(w) - len(v)), w + [0.0] * (len(v) - len(w))))), j)
+                          for b, (j, w) in enumerate(usable) if a != b)[:k]
+            out += [(i, r + 1, j, d) for r, (d, j) in enumerate(best)]
+    return out
+
+
+# ------------------------------------------------------------------ spelling
+def spelling_words(docs, least=5, times=3):
+    n = Counter()
+    for i, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % 97 == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            n[run] += 1
+    return {w: c for w, c in n.items() if len(w) >= least and c >= times}
+
+
+def one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def spelling(words):
+    near = {w: [v for v in words if one_edit(w, v)] for w in words}
+    form = {}
+    for w, vs in near.items():
+        best = min(vs, key=lambda v: (-words[v], v), default=None)
+        form[w] = best if best is not None and words[best] >= 2 * words[w] else None
+    out = []
+    for w in words:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, words[w], len(near[w]), words.get(form[w])))
+    return out
+
+
+# ------------------------------------------------------------------ resampling
+def resample(docs, target, percent=5, least=20, buckets=10000):
+    def feats(text):
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        w = re.findall("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+        return len(w), [zlib.crc32(" ".join(w[i:i + n]).encode()) % buckets for n in (1, 2, 3) for i in range(len(w) - n + 1)]
+    own, s, t = [feats(x) for _, x in docs], Counter(), Counter()
+    for _, f in own:
+        s.update(f)
+    for x in target:
+        t.update(feats(x)[1])
+    S, T = float(sum(s.values())), float(sum(t.values()))
+    gain = [math.floor(1000 * math.log((t[b] + 1.0) * (S + buckets) / ((s[b] + 1.0) * (T + buckets)))) for b in range(buckets)]
+    rows = []
+    for (i, _), (n, f) in zip(docs, own):
+        h = int(hashlib.sha256(f"42:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        w = sum(gain[b] for b in f)
+        rows.append([i, len(f), w, w + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), None, n])
+    able = sorted((r for r in rows if r[5] >= least), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    for k, r in enumerate(able[:percent * len(able) // 100]):
+        r[4] = k + 1
+    return [tuple(r[:5]) for r in rows]

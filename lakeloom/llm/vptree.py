@@ -230,6 +230,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, factor: float = F
     queries = rows.where(is_query)
     n_blocks = max(1, -(-queries.count() // QUERIES))
     first = _blocks(queries.withColumn("bound", F.lit(float("inf"))), n_blocks).withColumn("shard", F.lit(0).cast("long"))
+    first = written(first, "query-blocks")       # a stored key: a constant one would be planned as a cross join
     hits = _hits(first.join(shards, "shard"), k, factor, "hits")
     if n > 1:
         bounds = hits.groupBy("q_row").agg(F.max("score").alias("d"), F.count("*").alias("c")).where(F.col("c") == k)

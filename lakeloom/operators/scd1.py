@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from lakeloom.operators.casting import ts_literal, typed_lit
 from lakeloom.session import cut_lineage
 
+#: Batches of up to so many keys are looked up by literals (see ``locate``).
+LITERAL_KEYS = 1000
 AUDIT_TAIL = ("batch_r_timestamp", "h_insert_timestamp", "h_update_timestamp", "job_id")
 
 
@@ -55,7 +57,8 @@ def dedupe_source(source: DataFrame, key, order_col: str = "batch_r_timestamp",
 
 
 def scd1_upsert(target: DataFrame, source: DataFrame, key, columns=None, run_ts=None,
-                job_id: str | None = None, on_duplicate: str = "error", defaults: dict | None = None) -> DataFrame:
+                job_id: str | None = None, on_duplicate: str = "error", defaults: dict | None = None,
+                cut: bool = True) -> DataFrame:
     """New state of ``target`` after merging ``source``.
 
     ``columns``: mapped business columns (default: source columns that are in
@@ -64,12 +67,15 @@ def scd1_upsert(target: DataFrame, source: DataFrame, key, columns=None, run_ts=
     ``h_insert_timestamp`` and get ``h_update_timestamp = run_ts``; both take
     ``batch_r_timestamp`` from the source; ``job_id`` from the parameter.
     ``defaults``: expressions for columns the source lacks, used on insert.
+    ``cut``: write the source once before it is read (off when the caller's
+    source is a stored table already).
     """
     keys = [key] if isinstance(key, str) else list(key)
     if columns is None:
         columns = [c for c in source.columns if c in target.columns and c not in keys
                    and c not in AUDIT_TAIL]
-    source = cut_lineage(source.sparkSession, source)       # read by the check and both joins
+    if cut:
+        source = cut_lineage(source.sparkSession, source)   # read by the check and both joins
     src = dedupe_source(source, keys, on_duplicate=on_duplicate)
     stamp = ts_literal(run_ts) if run_ts is not None else F.current_timestamp().cast("timestamp_ntz")
     s = src.select(*[F.col(k) for k in keys],
@@ -127,11 +133,35 @@ def touched_partitions(target: DataFrame, source: DataFrame, key, part_col: str)
     partition value changes moves between them).  One value per partition, so
     what reaches the driver is bounded by the partition count."""
     keys = [key] if isinstance(key, str) else list(key)
-    moved_from = target.select(*keys, part_col).join(
-        source.select(*keys).distinct(), keys, "left_semi").select(part_col)
+    moved_from = locate(target, source, keys if len(keys) > 1 else keys[0], part_col).select(part_col)
     return [r[0] for r in source.select(part_col).union(moved_from).distinct().collect()]
 
 
+def locate(target: DataFrame, source: DataFrame, key, part_col: str, most: int = LITERAL_KEYS) -> DataFrame:
+    """Keys of ``target`` that ``source`` holds, with their ``part_col``.
+
+    Reads the key column only, and of that the row groups that may hold a batch
+    key: the batch's least and greatest key bound the scan, and a batch of at
+    most ``most`` keys is stated as literals, which Parquet tests against the
+    files' Bloom filters.  Both only skip row groups without a match; the join
+    decides, so a larger batch gives the same rows from a longer read."""
+    keys = [key] if isinstance(key, str) else list(key)
+    wanted = source.select(*keys).dropna().distinct()
+    few = wanted.limit(most + 1).collect()
+    if not few:
+        return target.select(*keys, part_col).limit(0)
+    rows = target
+    if len(keys) == 1 and len(few) <= most:
+        values = [r[0] for r in few]
+        tens = [F.col(keys[0]).isin(*map(typed_lit, values[i:i + 10])) for i in range(0, len(values), 10)]
+        rows = rows.where(reduce(lambda a, b: a | b, tens))     # ten at a time: longer lists become a range
+    else:
+        ends = wanted.agg(*[f(k).alias(f"{n}_{i}") for i, k in enumerate(keys) for n, f in (("lo", F.min), ("hi", F.max))]).first()
+        for i, k in enumerate(keys):
+            rows = rows.where(F.col(k).between(typed_lit(ends[f"lo_{i}"]), typed_lit(ends[f"hi_{i}"])))
+    return rows.select(*dict.fromkeys([*keys, part_col])).join(wanted, keys, "left_semi")
+
+
 def restrict_to(df: DataFrame, part_col: str, values) -> DataFrame:
     """Rows of the given partitions; NULL is a partition value too (null-safe)."""
     if not values:
@@ -146,4 +176,4 @@ def restrict_to(df: DataFrame, part_col: str, values) -> DataFrame:
 
 
 __all__ = ["scd1_upsert", "dedupe_source", "DuplicateKeyError", "key_bucket", "merge_partitions",
-           "touched_partitions", "restrict_to"]
+           "touched_partitions", "restrict_to", "locate"]

@@ -914,9 +914,12 @@ def q_daily_run_facts(spark, d):
 
 def daily_runs(spark, d):
     """The folder and the tables of the two daily runs."""
+    import uuid
+
     from lakeloom.plans.daily import daily_run
     from lakeloom.session import scratch_path
     base = scratch_path(spark, "daily")
+    schema = f"lakeloom_{uuid.uuid4().hex[:12]}"          # a schema of its own
     readers = {"t_products": "products", "t_stores": "stores", "t_customers": "customers",
                "t_sales_transactions": "transactions", "t_sales_line_items": "line_items"}
     for run, (lo, hi) in enumerate(((None, CUT), (CUT, None)), 1):
@@ -925,5 +928,6 @@ def daily_runs(spark, d):
             raw = increment.incremental_batch(RAW_READERS[short][0](spark, d), lo, hi)
             globs[name] = f"{name}/run_*/*.csv"
             raw.select(*S.RAW_COLUMNS[name]).write.option("header", True).csv(f"{base}/landing/{name}/run_{run}")
-        out = daily_run(spark, f"{base}/landing", f"{base}/tables", RUN, JOB, AS_OF_DATE, run, globs=globs, views=run == 2)
+        out = daily_run(spark, f"{base}/landing", f"{base}/tables", RUN, JOB, AS_OF_DATE, run, globs=globs, views=run == 2,
+                        schema=schema)
     return f"{base}/tables", out

@@ -1,0 +1,212 @@
+"""Tables whose partitions are switched by location: what readers see between
+write and switch, recovery, repeated runs, and which partitions a run reads."""
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakeloom.operators import scd1
+from lakeloom.plans import located
+from lakeloom.plans.located import ByHistory, ByInsertRun, LocatedTable
+
+
+class Killed(Exception):
+    pass
+
+
+def table(spark, base, name, key=None, part="p string"):
+    struct = spark.createDataFrame([], f"k string, v int, {part}").schema
+    return LocatedTable(spark, name, struct, part.split()[0], base, key)
+
+
+def content(t):
+    return sorted((tuple(r) for r in t.read().collect()), key=str)
+
+
+def parts(spark, rows):
+    return spark.createDataFrame(rows, "k string, v int, p string")
+
+
+@pytest.fixture()
+def name(spark, tmpdir_path):
+    out = "located_" + os.path.basename(tmpdir_path).replace("-", "_") + ".t"
+    yield out
+    spark.sql(f"DROP SCHEMA IF EXISTS {out.split('.')[0]} CASCADE")
+
+
+def test_switch_replaces_touched_partitions_only(spark, tmpdir_path, name):
+    t = table(spark, tmpdir_path + "/t", name)
+    assert t.before(1) is None and content(t) == []
+    t.publish(parts(spark, [("1", 1, "a:b"), ("2", 2, "c'd"), ("3", 3, None), ("4", 4, "01")]), 1)
+    first = t.locations()
+    t.publish(parts(spark, [("2", 20, "c'd"), ("5", 5, "new")]), 2, touched=["c'd", None])
+    assert content(t) == sorted([("1", 1, "a:b"), ("2", 20, "c'd"), ("4", 4, "01"), ("5", 5, "new")], key=str)
+    now = t.locations()
+    assert now["a:b"] == first["a:b"] and now["01"] == first["01"] and now["c'd"] != first["c'd"] and None not in now
+
+
+def test_kill_between_write_and_switch(spark, tmpdir_path, name, monkeypatch):
+    t = table(spark, tmpdir_path + "/t", name)
+    t.publish(parts(spark, [("1", 1, "a"), ("2", 2, "b")]), 1)
+    old = content(t)
+    reader = t.read()
+
+    # killed while writing: no record, the table is as before, and a repeat succeeds
+    new = parts(spark, [("1", 10, "a"), ("9", 9, "z")])
+    monkeypatch.setattr(located, "partition_dir_name", lambda v: (_ for _ in ()).throw(Killed()))
+    with pytest.raises(Killed):
+        t.publish(new, 2)
+    monkeypatch.undo()
+    assert content(t) == old and sorted(map(str, reader.collect())) == sorted(map(str, t.read().collect()))
+
+    # killed after the record, before and in the middle of the switch: readers see
+    # whole partitions, the next open finishes the run
+    t.before(2)
+    t.write(new, 2)
+    assert content(t) == old
+    sql, calls = spark.sql, []
+
+    def dying(text, *a, **k):
+        if "ADD IF NOT EXISTS" in text:
+            raise Killed()
+        calls.append(text)
+        return sql(text, *a, **k)
+
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **k: dying(text, *a, **k))
+    with pytest.raises(Killed):
+        t.switch()
+    monkeypatch.undo()
+    assert any("SET LOCATION" in c for c in calls)
+    spark.catalog.refreshTable(name)
+    assert content(t) == [("1", 10, "a"), ("2", 2, "b")]             # "a" switched whole, "z" not yet
+    assert content(table(spark, tmpdir_path + "/t", name)) == [("1", 10, "a"), ("2", 2, "b"), ("9", 9, "z")]
+
+
+def test_repeated_run_starts_below_itself(spark, tmpdir_path, name):
+    t = table(spark, tmpdir_path + "/t", name)
+    t.publish(parts(spark, [("1", 1, "a")]), 1)
+    t.publish(parts(spark, [("1", 2, "a"), ("2", 2, "b")]), 2, touched=["a", "b"])
+    assert content(t.__class__(spark, name, t.struct, "p", t.base)) == [("1", 2, "a"), ("2", 2, "b")]
+    assert sorted(map(tuple, t.before(2).collect())) == [("1", 1, "a")]
+    t.publish(parts(spark, [("1", 3, "a")]), 2, touched=["a"])
+    assert content(t) == [("1", 3, "a")]
+    t.publish(parts(spark, [("1", 4, "a")]), 3)
+    with pytest.raises(ValueError, match="no longer kept"):
+        t.before(2)
+
+
+def test_old_folders_go_one_generation_later(spark, tmpdir_path, name):
+    t = table(spark, tmpdir_path + "/t", name)
+    seen = []
+    for run in range(1, 5):
+        t.publish(parts(spark, [("1", run, "a")] + ([("2", 0, "b")] if run == 1 else [])), run)
+        seen.append(t.locations()["a"])
+    there = [os.path.exists(p) for p in seen]
+    assert there == [False, False, True, True] and os.path.exists(t.locations()["b"])
+
+
+def test_lost_catalog_is_restored_from_the_records(spark, tmpdir_path, name):
+    t = table(spark, tmpdir_path + "/t", name)
+    t.publish(parts(spark, [("1", 1, "a"), ("2", 2, None)]), 1)
+    spark.sql(f"DROP TABLE {name}")
+    assert content(table(spark, tmpdir_path + "/t", name)) == [("1", 1, "a"), ("2", 2, None)]
+
+
+def test_empty_and_boolean_partitions(spark, tmpdir_path, name):
+    t = table(spark, tmpdir_path + "/t", name, part="p boolean")
+    t.publish(spark.createDataFrame([("1", 1, True), ("2", 2, False)], "k string, v int, p boolean"), 1)
+    t.publish(spark.createDataFrame([], "k string, v int, p boolean"), 2, touched=[True])
+    assert content(t) == [("2", 2, False)]
+
+
+def test_partition_filter_reaches_the_catalog(spark, tmpdir_path, name):
+    t = table(spark, tmpdir_path + "/t", name)
+    t.publish(parts(spark, [(str(i), i, f"p{i % 5}") for i in range(50)]), 1)
+    plan = t.read().where("p = 'p3'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(p" in plan and t.read().where("p = 'p3'").count() == 10
+
+
+# ------------------------------------------------------------- pruned key lookup
+def scanned(df):
+    """Rows the scans of ``df`` handed on (after row groups were skipped)."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.finalPhysicalPlan() if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else plan
+    todo, n = [plan], 0
+    while todo:
+        p = todo.pop()
+        kind = p.getClass().getSimpleName()
+        if kind.endswith("QueryStageExec"):
+            todo.append(p.plan())
+            continue
+        if kind == "FileSourceScanExec":
+            n += p.metrics().get("numOutputRows").get().value()
+        todo += [p.children().apply(i) for i in range(p.children().size())]
+    return n
+
+
+def test_key_lookup_reads_few_rows(spark, tmpdir_path, name):
+    """A small batch's keys reach the key-sorted files as literals; row groups
+    that cannot hold them are not read, and Bloom filters rule out absent keys."""
+    n = 40_000
+    t = LocatedTable(spark, name, spark.createDataFrame([], "k string, v int, _run int").schema, "_run", tmpdir_path + "/t", "k")
+    rows = spark.range(n).selectExpr("md5(cast(id AS string)) AS k", "cast(id AS int) AS v", "cast(id % 4 AS int) AS _run")
+    prev = spark.conf.get("parquet.block.size", None)
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.block.size", str(64 * 1024))
+    try:
+        t.publish(rows, 1)
+    finally:
+        if prev is None:
+            spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.block.size")
+    some = spark.range(0, 30, 10).selectExpr("md5(cast(id AS string)) AS k")
+    none = spark.range(n, n + 3).selectExpr("md5(cast(id AS string)) AS k")
+    few = scd1.locate(t.read(), some, "k", "_run")
+    assert sorted(tuple(r) for r in few.collect()) == sorted(
+        (r.k, r._run) for r in rows.join(some, "k", "left_semi").select("k", "_run").collect())
+    assert scanned(few) < n / 4
+    assert scanned(scd1.locate(t.read(), none, "k", "_run")) < scanned(few)
+    # beyond the literal bound the same rows come from a longer read
+    whole = scd1.locate(t.read(), some, "k", "_run", most=0)
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, few.collect()))
+
+
+def test_locate_nulls_and_empty(spark):
+    t = spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "k string, p int")
+    src = spark.createDataFrame([("a",), (None,), ("zz",)], "k string")
+    for most in (0, 1000):
+        assert [tuple(r) for r in scd1.locate(t, src, "k", "p", most).collect()] == [("a", 1)]
+    assert scd1.locate(t, src.where("k IS NULL"), "k", "p").count() == 0
+
+
+def test_placed_upsert_equals_whole_upsert(spark, tmpdir_path, name):
+    place = ByInsertRun()
+    struct = spark.createDataFrame([], "k string, v int, batch_r_timestamp timestamp_ntz").schema
+    t = LocatedTable(spark, name, place.struct(struct), "_run", tmpdir_path + "/t", "k")
+    stamp = F.lit("2024-01-01").cast("timestamp_ntz")
+    whole, moved = None, []
+    for run, ids in enumerate((range(0, 40), range(30, 60), range(50, 55), range(0, 0)), 1):
+        src = spark.createDataFrame([(str(i), run * 100 + i) for i in ids] + [(None, run)], "k string, v int").withColumn("batch_r_timestamp", stamp)
+        target = t.before(run)
+        if target is None:
+            state, touched, whole = src, [], src
+        else:
+            scope, touched = place.scope(target, src, "k", run)
+            before = t.locations()
+            state = scd1.scd1_upsert(scope, src, "k", run_ts="2025-01-01")
+            whole = scd1.scd1_upsert(whole, src, "k", run_ts="2025-01-01")
+        t.publish(place.place(state, run), run, touched)
+        if target is not None:
+            moved.append({v for v, p in t.locations().items() if before.get(v) != p})
+        assert sorted(map(str, t.read().drop("_run").collect())) == sorted(map(str, whole.collect()))
+    assert moved == [{"1", "2"}, {"2", "3"}, {"4"}]                # only partitions with updated keys, and the new one
+
+
+def test_history_leaves_closed_partitions_alone(spark):
+    place = ByHistory("k", buckets=4)
+    t = spark.createDataFrame([("a", True, "x"), ("a", False, "closed-1"), ("b", False, "closed-1"), ("c", False, "closed-2")],
+                              "k string, active_flag boolean, _part string")
+    t = t.withColumn("_part", F.when(F.col("active_flag"), place._bucket()).otherwise(F.col("_part")))
+    scope, touched = place.scope(t, spark.createDataFrame([("a",), ("b",)], "k string"), "k", 3)
+    assert sorted((r.k, r.active_flag) for r in scope.collect()) == [("a", False), ("a", True), ("b", False)]
+    out = place.place(scope.withColumn("active_flag", F.lit(False)), 3).collect()
+    assert [(r.k, r._part) for r in out] == [("a", "closed-3")] and "closed-3" in touched

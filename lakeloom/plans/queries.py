@@ -900,6 +900,101 @@ def q_scd1_bucketed_products(spark, d):
     return spark.read.parquet(path).select(*[c.name for c in S.PRODUCTS.columns])
 
 
+# ------------------------- tables switched by partition location, two runs each
+def _located(spark, name, place, spec, key=None):
+    """A new located table in a schema and folder of its own."""
+    import uuid
+
+    from lakeloom.plans.located import LocatedTable
+    from lakeloom.session import scratch_path
+    return LocatedTable(spark, f"lakeloom_{uuid.uuid4().hex[:12]}.{name}", place.struct(spec.struct()), place.column,
+                        scratch_path(spark, name), key)
+
+
+def _two_runs(table, place, spec, first, source, key, merge):
+    """Run 1 loads ``first``; run 2 merges ``source`` into the partitions it touches."""
+    from lakeloom.session import cut_lineage
+    table.publish(place.place(first, 1), 1)
+    source = cut_lineage(source.sparkSession, source)
+    scope, touched = place.scope(table.before(2), source, key, 2)
+    table.publish(place.place(merge(scope, source), 2), 2, touched)
+    return table.read().select(*spec.names)
+
+
+@register("scd1_located_transactions", ORACLE["scd1_upsert_transactions"])
+def q_scd1_located_transactions(spark, d):
+    """The transactions upsert on a month-partitioned catalog table: new folders
+    for the touched months, switched by location."""
+    from lakeloom.plans.located import ByColumn
+    place, tgt = ByColumn("transaction_month"), R.harmonized_transactions(spark, d)
+    return _two_runs(_located(spark, "t_sales_transactions", place, S.TRANSACTIONS, "invoice_id"), place, S.TRANSACTIONS,
+                     tgt.where(F.pmod(F.col("invoice_id").cast("bigint"), F.lit(4)) != 3),
+                     _scd1_source(spark, d, "transactions"), "invoice_id",
+                     lambda t, s: scd1.scd1_upsert(t, s, "invoice_id", run_ts=RUN, job_id=JOB, cut=False))
+
+
+@register("scd1_pruned_line_items", ORACLE["scd1_upsert_line_items"])
+def q_scd1_pruned_line_items(spark, d):
+    """The line items upsert on key-sorted files with Bloom filters, placed by the
+    run that inserted the key: the batch's keys are looked up in the key column
+    alone, and only partitions that hold one are read whole and rewritten."""
+    from lakeloom.plans.located import ByInsertRun
+    place, tgt = ByInsertRun(), R.harmonized_line_items(spark, d)
+    return _two_runs(_located(spark, "t_sales_line_items", place, S.LINE_ITEMS, "line_item_id"), place, S.LINE_ITEMS,
+                     tgt.where(F.pmod(F.col("invoice_id").cast("bigint"), F.lit(4)) != 3),
+                     _scd1_source(spark, d, "line_items"), "line_item_id",
+                     lambda t, s: scd1.scd1_upsert(t, s, "line_item_id", run_ts=RUN, job_id=JOB, cut=False))
+
+
+@register("scd2_located_customers", ORACLE["scd2_merge_customers"])
+def q_scd2_located_customers(spark, d):
+    """The customers history with its active versions in hash buckets and closed
+    ones in a partition per run: a merge rewrites touched active buckets only."""
+    from lakeloom.plans.located import ByHistory
+    place = ByHistory("customer_id")
+    return _two_runs(_located(spark, "t_customers", place, S.CUSTOMERS, "customer_id"), place, S.CUSTOMERS,
+                     _scd2_target(spark, d).select(*S.CUSTOMERS.names), _scd2_source(spark, d), "customer_id",
+                     lambda t, s: scd2.scd2_merge(t, s, as_of=AS_OF_DATE, run_ts=RUN))
+
+
+# --------------------------------------------- KPIs from stored partial sums
+def _kpi_state(spark, d, *states):
+    """Facts stored by month; run 1 lacks every fourth invoice of the odd months,
+    run 2 brings them.  Only the odd months' partial sums are computed again."""
+    import uuid
+
+    from lakeloom.plans.kpi_state import KpiState
+    from lakeloom.plans.located import ByColumn
+    from lakeloom.session import cut_lineage, scratch_path
+    all_facts = cut_lineage(spark, sales_facts_df(spark, d))
+    month, odd = F.col("transaction_month"), F.month("transaction_month") % 2 == 1
+    late = odd & (F.pmod(F.col("invoice_id").cast("bigint"), F.lit(4)) == 3)
+    table = _located(spark, "t_sales_facts", ByColumn("transaction_month"), S.SALES_FACTS)
+    kpis = KpiState(spark, f"lakeloom_{uuid.uuid4().hex[:12]}", scratch_path(spark, "kpi-state"), states)
+    table.publish(all_facts.where(~F.coalesce(late, F.lit(False))), 1)
+    kpis.refresh(table.read(), None, 1)
+    months = [r[0] for r in all_facts.where(late).select(month).distinct().collect()]      # one value per month
+    table.publish(all_facts.where(odd), 2, months)
+    kpis.refresh(table.read(), months, 2)
+    return kpis
+
+
+@register("kpi_state_product_sales", ORACLE["product_sales_summary"])
+def q_kpi_state_product_sales(spark, d):
+    return _kpi_state(spark, d, "products").product_sales_summary(R.harmonized_products(spark, d), ordered=False)
+
+
+@register("kpi_state_customer_summary", ORACLE["customer_summary_scd2_fanout"])
+def q_kpi_state_customer_summary(spark, d):
+    return _kpi_state(spark, d, "customers").customer_summary(R.customers_two_versions(spark, d), ordered=False)
+
+
+@register("kpi_state_store_loyalty", ORACLE["customer_store_loyalty"])
+def q_kpi_state_store_loyalty(spark, d):
+    """Distinct stores from bitmaps per customer and month, merged without the facts."""
+    return _kpi_state(spark, d, "stores").customer_store_loyalty()
+
+
 # ---------------------------------------------- the daily run, end to end
 @register("daily_run_facts", with_("raw_line_items", "raw_transactions") + f"""
 SELECT t.invoice_id, l.line_item_id, t.store_id, t.customer_id, t.employee_id, l.product_id, t.payment_type,

@@ -112,6 +112,36 @@ def dq_unique(df: DataFrame, key, audit: str, column: str, issue: str | None = N
     return _finding(rows, key, audit, issue)
 
 
+def dq_unique_history(df: DataFrame, stored: DataFrame | None, key: str, audit: str, column: str,
+                      issue: str | None = None) -> DataFrame:
+    """Rows of ``df`` whose ``column`` value belongs to another key already: one
+    in ``stored``, or one of an earlier batch of ``df`` (equal values inside one
+    batch are ``dq_unique``'s).  Of ``stored`` only the key and the column are
+    read.  Per value only the first batch and the first batch of any other key
+    are kept, so a value that very many rows share pairs nothing with nothing."""
+    issue = issue or f"{column} belongs to another {key}"
+    owned = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_v"), F.col(key).alias("_k")).agg(F.min(audit).alias("_at"))
+    if stored is not None:
+        before = stored.where(F.col(column).isNotNull()).select(F.col(column).alias("_v"), F.col(key).alias("_k")).distinct()
+        before = before.join(owned.select("_v").distinct(), "_v", "left_semi")
+        owned = owned.unionByName(before.withColumn("_at", F.lit(None).cast(dict(df.dtypes)[audit])))
+    # a NULL stamp sorts first: what is stored is older than any batch
+    first = owned.groupBy("_v").agg(F.min(F.struct("_at", "_k")).alias("_first"))
+    other = (owned.join(first, "_v").where(~F.col("_k").eqNullSafe(F.col("_first._k")))
+             .groupBy("_v").agg(F.min(F.struct("_at")).alias("_other")))
+    seen = first.join(other, "_v").select("_v", "_first", "_other._at")     # values of one key only are no finding
+    own = F.col(key).eqNullSafe(F.col("_first._k"))
+    since = F.when(own, F.col("_at")).otherwise(F.col("_first._at"))
+    rows = df.join(seen, F.col(column) == F.col("_v")).where(since.isNull() | (since < F.col(audit)))
+    return _finding(rows, key, audit, issue)
+
+
+def history_findings(df: DataFrame, stored: DataFrame | None, key: str, audit: str, spec) -> DataFrame | None:
+    """``dq_unique_history`` for every UNIQUE column of ``spec`` that ``df`` has."""
+    parts = [dq_unique_history(df, stored, key, audit, c) for c in spec.unique if c in df.columns]
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
 def dq_castable(df: DataFrame, key, audit: str, spec, issue: str = Castable.issue) -> DataFrame:
     return _finding(df.where(cast_failures(df, spec)), key, audit, issue)
 

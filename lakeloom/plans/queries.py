@@ -758,19 +758,112 @@ def q_stream_quarantined_rows(spark, d):
 
 
 @register("dq_log_appended", with_("raw_products") + f"""
-SELECT DISTINCT *, {RUN_TS} AS logged_at FROM ({DUP_SQL}\nUNION ALL\n{FMT_SQL}\nUNION ALL\n{NULL_SQL}) f""")
+SELECT *, {RUN_TS} AS logged_at FROM ({DUP_SQL}\nUNION ALL\n{FMT_SQL}\nUNION ALL\n{NULL_SQL}) f""")
 def q_dq_log_appended(spark, d):
-    """Findings appended to the log by two runs over the same batch (the second
-    adds nothing), read back."""
+    """All findings appended to the log by two runs over the same batch (the
+    second adds nothing), read back."""
     from lakeloom.plans.harmonize import log_once
     from lakeloom.session import scratch_path
     path = scratch_path(spark, "dq_log")
     for _ in range(2):
         f = quality.dq_findings(R.raw_products(spark, d), "product_id", "r_insert_timestamp", PRODUCT_RULES)
-        log_once(f.distinct(), RUN, path)
+        log_once(f, RUN, path)
     return spark.read.parquet(path)
 
 
+def _history_sql(column: str) -> str:
+    return f"""SELECT r.customer_id AS unique_identifier, r.r_insert_timestamp AS r_batch_timestamp,
+       '{column} belongs to another customer_id' AS issue FROM raw_customers r
+WHERE r.r_insert_timestamp > {SEED_TS} AND EXISTS (SELECT 1 FROM raw_customers x WHERE x.{column} = r.{column}
+      AND x.r_insert_timestamp < r.r_insert_timestamp AND x.customer_id IS DISTINCT FROM r.customer_id)"""
+
+
+@register("dq_constraints_history", with_("raw_customers") + f"{_history_sql('email')}\nUNION ALL\n{_history_sql('phone_number')}")
+def q_dq_constraints_history(spark, d):
+    """UNIQUE against stored state: the first ingest day's customers are stored,
+    the later days' batches share phone numbers with them and with each other."""
+    raw = R.raw_customers(spark, d)
+    first = F.col("r_insert_timestamp") == F.lit(R.SEED_TS).cast("timestamp_ntz")
+    stored = cast_to_spec(raw.where(first), S.CUSTOMERS, RUN, JOB)
+    return quality.history_findings(raw.where(~first), stored, "customer_id", "r_insert_timestamp", S.CUSTOMERS)
+
+
+# ------------------------------------------- ingest that holds malformed lines
+def _checked_stores(spark, d):
+    """Stores landed as CSV in three loads: in declared order; with the columns in
+    reverse; and, for every third store, malformed lines (an id alone, a field too
+    many) and a file with an unknown header.  Returns the raw table and folder."""
+    import uuid
+    from dataclasses import replace
+
+    from lakeloom.session import scratch_path
+    from lakeloom.streaming.checked_ingest import ingest_checked
+    base = scratch_path(spark, "checked")
+    spec = replace(S.raw_spec("t_stores"), schema=f"lakeloom_{uuid.uuid4().hex[:12]}")
+    stores, k = R.raw_stores(spark, d).select(*STORE_RAW_COLS), F.col("store_id").cast("bigint")
+
+    def land(rows, folder, columns):
+        rows.select(*columns).write.option("header", True).csv(f"{base}/landing/{folder}")
+
+    def land_lines(line, header, folder, rows):      # whole lines under a header line (no field holds \x01)
+        rows.select(line.alias(header)).write.option("header", True).option("sep", "\x01").csv(f"{base}/landing/{folder}")
+
+    def load():
+        ingest_checked(spark, f"{base}/landing/*/*.csv", spec, f"{base}/raw", f"{base}/ledger")
+
+    land(stores.where(F.pmod(k, F.lit(2)) == 0), "declared", STORE_RAW_COLS)
+    load()
+    land(stores.where(F.pmod(k, F.lit(2)) == 1), "reversed", STORE_RAW_COLS[::-1])
+    load()
+    third = stores.where(F.pmod(k, F.lit(3)) == 0)
+    land_lines(F.col("store_id"), ",".join(STORE_RAW_COLS), "short", third)
+    land_lines(F.concat("store_id", F.lit(",a,b,c,d,e")), ",".join(STORE_RAW_COLS), "long", third)
+    land_lines(F.concat("store_id", F.lit(",x")), "store_id,nickname", "unknown", third)
+    load()
+    load()                                            # nothing new
+    return spark.table(spec.qualified), f"{base}/raw"
+
+
+@register("ingest_malformed_rows", with_("raw_stores") + """
+SELECT store_id AS line, 'Wrong number of fields' AS reason FROM raw_stores WHERE CAST(store_id AS BIGINT) % 3 = 0
+UNION ALL SELECT store_id || ',a,b,c,d,e', 'Wrong number of fields' FROM raw_stores WHERE CAST(store_id AS BIGINT) % 3 = 0
+UNION ALL SELECT store_id || ',x', 'Unknown header' FROM raw_stores WHERE CAST(store_id AS BIGINT) % 3 = 0""")
+def q_ingest_malformed_rows(spark, d):
+    from lakeloom.streaming.checked_ingest import held_lines
+    return held_lines(spark, _checked_stores(spark, d)[1]).select("line", "reason")
+
+
+@register("ingest_mapped_rows", with_("raw_stores") + """
+SELECT store_id, store_name, location, manager_id, opening_date, CAST(store_id AS BIGINT) % 2 AS load, 1 AS n_stamps
+FROM raw_stores""")
+def q_ingest_mapped_rows(spark, d):
+    """The rows that landed, by name whatever the file's column order, with their
+    load and the number of ingest stamps that load has."""
+    table = _checked_stores(spark, d)[0]
+    stamps = table.groupBy("r_batch").agg(F.countDistinct("r_insert_timestamp").cast("int").alias("n_stamps"))
+    return table.join(stamps, "r_batch").select(*STORE_RAW_COLS, F.col("r_batch").alias("load"), "n_stamps")
+
+
+@register("incremental_by_ledger", with_("raw_products") + f"""
+SELECT product_id, r_insert_timestamp, CASE WHEN r_insert_timestamp <= TIMESTAMP '{CUT}'
+       AND CAST(product_id AS BIGINT) % 5 <> 2 THEN 1 ELSE 2 END AS run FROM raw_products""")
+def q_incremental_by_ledger(spark, d):
+    """Two runs by file ledger.  The files of every fifth product land after the
+    first run with stamps it has already read, the watermark's own among them;
+    the second run reads exactly these and what is newer."""
+    from lakeloom.session import scratch_path
+    k = F.col("product_id").cast("bigint")
+    raw = R.raw_products(spark, d).withColumn("r_source_file", F.concat(
+        F.lit("part-"), F.pmod(k, F.lit(5)).cast("string"), F.lit("/"), F.to_date("r_insert_timestamp").cast("string")))
+    ledger = increment.FileLedger(spark, scratch_path(spark, "files"))
+    early, files = ledger.batch(raw.where((F.col("r_insert_timestamp") <= F.lit(CUT).cast("timestamp_ntz"))
+                                          & (F.pmod(k, F.lit(5)) != 2)), 1)
+    ledger.record(files, 1)
+    late = ledger.batch(raw, 2)[0]
+    cols = ("product_id", "r_insert_timestamp")
+    return early.select(*cols, F.lit(1).alias("run")).unionByName(late.select(*cols, F.lit(2).alias("run")))
+
+
 # ------------------------------------------------- merge: NULL keys, several batches
 @register("scd1_null_keys", with_("stores", "raw_stores") + f"""
 , src AS (SELECT * FROM ({TYPED_SQL['stores']})),

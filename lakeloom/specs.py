@@ -226,11 +226,11 @@ RAW_COLUMNS = {
 
 def raw_spec(name: str) -> TableSpec:
     cols = tuple(Column(c, "string") for c in RAW_COLUMNS[name])
-    # as the ingest writes them: stamp, source file, and the ingest date as partition
+    # as the ingest writes them: stamp, source file; ingest date and batch number as partition
     cols += (Column("r_insert_timestamp", "timestamp_ntz", default="current_timestamp()"),
-             Column("r_source_file", "string"), Column("r_insert_date", "date"))
+             Column("r_source_file", "string"), Column("r_insert_date", "date"), Column("r_batch", "bigint"))
     tags = PII_TAGS if name == "t_customers" else {}
-    return TableSpec(RAW_SCHEMA, name, cols, partition_by=("r_insert_date",), tags=tags)
+    return TableSpec(RAW_SCHEMA, name, cols, partition_by=("r_insert_date", "r_batch"), tags=tags)
 
 
 HARMONIZED = {s.name: s for s in (PRODUCTS, STORES, CUSTOMERS, TRANSACTIONS, LINE_ITEMS, SALES_FACTS)}

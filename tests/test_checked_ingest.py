@@ -1,0 +1,97 @@
+"""Every line lands or is held; files are processed once, whatever their stamps."""
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakeloom import specs as S
+from lakeloom.operators.increment import FileLedger, incremental_batch
+from lakeloom.streaming.checked_ingest import held_lines, ingest_checked
+from tests.conftest import rows
+
+SPEC_COLS = ("a", "b")
+
+
+@pytest.fixture()
+def spec(spark, tmpdir_path):
+    name = "checked_" + os.path.basename(tmpdir_path).replace("-", "_")
+    yield S.TableSpec(name, "t", tuple(S.Column(c, "string") for c in SPEC_COLS) + S.raw_spec("t_stores").columns[-4:],
+                      partition_by=("r_insert_date", "r_batch"))
+    spark.sql(f"DROP SCHEMA IF EXISTS {name} CASCADE")
+
+
+def land(base, name, text):
+    os.makedirs(base + "/landing", exist_ok=True)
+    with open(f"{base}/landing/{name}", "w", encoding="utf-8", newline="") as fh:
+        fh.write(text)
+
+
+def load(spark, spec, base, **kw):
+    ingest_checked(spark, base + "/landing/*.csv", spec, base + "/raw", base + "/ck", **kw)
+    return rows(spark.table(spec.qualified).select(*SPEC_COLS)), rows(held_lines(spark, base + "/raw").select("line", "reason"))
+
+
+def test_every_line_lands_or_is_held(spark, tmpdir_path, spec):
+    land(tmpdir_path, "1.csv", 'a,b\n1,x\n"2","y, z"\n3\n4,5,6\n\n  \n7,\n"8,open\na,b\n')
+    land(tmpdir_path, "2.csv", '\ufeffb,"a"\r\nx9,9\r\n,10\r\n')                   # columns by name, byte order mark
+    land(tmpdir_path, "3.csv", "a,c\n1,2\n")
+    land(tmpdir_path, "4.csv", "a,b,c\n1,2,3\n")
+    land(tmpdir_path, "5.csv", "")
+    land(tmpdir_path, "6.csv", "a,b\n")
+    landed, held = load(spark, spec, tmpdir_path)
+    key = lambda t: tuple((x is None, str(x)) for x in t)
+    assert [r for r in landed if r[0] != "8,open"] == sorted(
+        [("1", "x"), ("2", "y, z"), ("7", None), ("a", "b"), ("9", "x9"), ("10", None)], key=key)
+    assert ("3", "Wrong number of fields") in held and ("4,5,6", "Wrong number of fields") in held
+    assert ("1,2", "Unknown header") in held and ("1,2,3", "Unknown header") in held
+    assert len(landed) + len(held) == 11                                       # data lines of all files
+    again = load(spark, spec, tmpdir_path)
+    assert again == (landed, held)
+    land(tmpdir_path, "7.csv", "b,a\n2,1\n9\n")
+    more = load(spark, spec, tmpdir_path)
+    assert len(more[0]) == len(landed) + 1 and len(more[1]) == len(held) + 1
+    stamps = spark.table(spec.qualified).groupBy("r_batch").agg(F.countDistinct("r_insert_timestamp").alias("n")).collect()
+    assert [r.n for r in stamps] == [1, 1]
+    assert spark.table(spec.qualified).where("r_source_file NOT LIKE '%.csv'").count() == 0
+
+
+def test_large_file_in_many_blocks_and_many_files(spark, tmpdir_path, spec):
+    land(tmpdir_path, "big.csv", "b,a\n" + "".join(f"v{i},{i}\n" if i % 100 else f"{i}\n" for i in range(1, 30_001)))
+    for i in range(9):
+        land(tmpdir_path, f"s{i}.csv", f"a,b\n{100_000 + i},s\n")
+    prev = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        landed, held = load(spark, spec, tmpdir_path, max_files_per_trigger=4)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", prev)
+    assert len(landed) == 29_700 + 9 and len(held) == 300
+    assert all(b == f"v{a}" for a, b in landed if int(a) < 100_000)
+    assert spark.table(spec.qualified).select("r_batch").distinct().count() == 3
+
+
+def test_replayed_batch_replaces_itself(spark, tmpdir_path, spec):
+    land(tmpdir_path, "1.csv", "a,b\n1,x\n2\n")
+    first = load(spark, spec, tmpdir_path)
+    os.remove(tmpdir_path + "/ck/commits/0")                         # died after the batch, before the checkpoint
+    for f in os.listdir(tmpdir_path + "/ck/commits"):
+        if f.startswith(".0"):
+            os.remove(f"{tmpdir_path}/ck/commits/{f}")
+    assert load(spark, spec, tmpdir_path) == first
+
+
+def test_ledger_reads_a_late_file_with_an_old_stamp(spark, tmpdir_path):
+    raw = lambda *r: spark.createDataFrame(list(r), "k string, ts string, r_source_file string").withColumn(
+        "r_insert_timestamp", F.col("ts").cast("timestamp_ntz"))
+    one = raw(("1", "2024-01-02", "f1"), ("2", "2024-01-01", "f1"), ("3", "2024-01-02", None))
+    ledger = FileLedger(spark, tmpdir_path + "/ledger")
+    batch, files = ledger.batch(one, 1)
+    assert sorted(r.k for r in batch.collect()) == ["1", "2"]
+    ledger.record(files, 1)
+    two = one.unionByName(raw(("9", "2024-01-02", "f2"), ("8", "2023-12-31", "f3")))
+    assert incremental_batch(two, "2024-01-02").count() == 0         # what a watermark would read
+    for _ in range(2):                                               # a repeated run gets its files again
+        batch, files = ledger.batch(two, 2)
+        assert sorted(r.k for r in batch.collect()) == ["8", "9"]
+        ledger.record(files, 2)
+    assert ledger.batch(two, 3)[0].count() == 0

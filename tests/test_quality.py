@@ -70,3 +70,25 @@ def test_log_findings_dedupes_reruns(spark, tmpdir_path):
     f2 = Q.dq_format(_df(spark, [("1", B2, "bad", "x", "y")]), "id", "ts", "price")
     later = Q.log_findings(f2, "2025-01-03 00:00:00", path=path, dedupe_against=spark.read.parquet(path))
     assert [(r.unique_identifier, r.r_batch_timestamp) for r in later.collect()] == [("1", B2)]
+
+
+def test_unique_history(spark):
+    import datetime as dt
+    day = [dt.datetime(2024, 1, i) for i in range(1, 5)]
+    df = spark.createDataFrame(
+        [("1", "x", day[1]), ("2", "x", day[2]), ("1", "x", day[3]),     # 2 takes 1's value; 1 then meets 2's
+         ("3", "s", day[1]), ("4", "own", day[1]), ("4", "own", day[2]),  # s is stored for 9; own stays with its key
+         ("5", None, day[1]), (None, "n", day[2]), ("6", "n", day[3]), ("9", "s", day[2]),
+         ("7", "same", day[1]), ("8", "same", day[1])], "k string, v string, ts timestamp_ntz")
+    stored = spark.createDataFrame([("9", "s"), ("4", "own"), ("5", None), ("z", "unused")], "k string, v string")
+    found = sorted(tuple(r)[:2] for r in Q.dq_unique_history(df, stored, "k", "ts", "v").collect())
+    # 3 meets stored 9; stored 9 itself meets 3 of the day before; equal values of one batch are dq_unique's
+    assert found == [("1", day[3]), ("2", day[2]), ("3", day[1]), ("6", day[3]), ("9", day[2])]
+    without = sorted(tuple(r)[0] for r in Q.dq_unique_history(df, None, "k", "ts", "v").collect())
+    assert without == ["1", "2", "6", "9"]
+    assert Q.dq_unique_history(df.limit(0), stored, "k", "ts", "v").count() == 0
+
+
+def test_unique_history_of_a_hot_value(spark):
+    df = spark.range(20_000).selectExpr("cast(id AS string) k", "'hot' v", "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, cast(id % 2 AS int)) ts")
+    assert Q.dq_unique_history(df, None, "k", "ts", "v").count() == 10_000

@@ -17,6 +17,10 @@ from lakeloom.functions.masks import mask_address, mask_email, mask_phone, role_
 # The customer table's mask policy (column -> mask function).
 CUSTOMER_MASKS = {"phone_number": mask_phone, "email": mask_email, "address": mask_address}
 
+# The mask function of each value of the column tag ``pii``.
+MASKS = {"phone": mask_phone, "email": mask_email, "address": mask_address}
+COLUMN_TAG_SCHEMA = "schema_name string, table_name string, column_name string, tag string, value string"
+
 TAG_SCHEMA = T.StructType([
     T.StructField("schema_name", T.StringType()),
     T.StructField("table_name", T.StringType()),
@@ -61,3 +65,52 @@ def catalog_tags(spark: SparkSession, schema: str) -> DataFrame:
         tags = {r["key"][4:]: r["value"] for r in props if r["key"].startswith("tag.")}
         rows.append((schema, t.name, tags))
     return spark.createDataFrame(rows, TAG_SCHEMA)
+
+
+# ------------------------------------------------------------------ column tags
+def column_tags(spark: SparkSession, specs) -> DataFrame:
+    """Declared column tags: ``schema_name, table_name, column_name, tag, value``."""
+    return spark.createDataFrame([(s.schema, s.name, c.name, k, v) for s in specs for c in s.columns for k, v in c.tags.items()],
+                                 COLUMN_TAG_SCHEMA)
+
+
+def set_column_tag(spark: SparkSession, table: str, column: str, tag: str, value: str | None) -> None:
+    """Set a column's tag on a catalog table, or with None take it away.  Tags are
+    table properties ``coltag.<column>.<tag>``."""
+    name = f"coltag.{column}.{tag}".replace("'", "\\'")
+    if value is None:
+        spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{name}')")
+    else:
+        text = value.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{name}' = '{text}')")
+
+
+def catalog_column_tags(spark: SparkSession, schema: str) -> DataFrame:
+    """Column tags of every table of a catalog schema, as ``column_tags`` has them.
+    Metadata only: one small row per tagged column."""
+    rows = []
+    for t in spark.catalog.listTables(schema):
+        if not t.isTemporary:
+            for r in spark.sql(f"SHOW TBLPROPERTIES {schema}.{t.name}").collect():
+                if r["key"].startswith("coltag."):
+                    column, _, tag = r["key"][len("coltag."):].rpartition(".")
+                    rows.append((schema, t.name, column, tag, r["value"]))
+    return spark.createDataFrame(rows, COLUMN_TAG_SCHEMA)
+
+
+def mask_policies(tags: DataFrame, table: str, tag: str = "pii", masks=None) -> dict:
+    """Mask function per column of ``table`` (``schema.name``) from its tags.  A
+    tag value without a mask function is an error: the column must not show."""
+    masks = MASKS if masks is None else masks
+    schema, _, name = table.rpartition(".")
+    rows = tags.where((F.col("schema_name") == schema) & (F.col("table_name") == name) & (F.col("tag") == tag)).collect()
+    unknown = sorted({r["value"] for r in rows} - set(masks))
+    if unknown:
+        raise ValueError(f"{table}: no mask for {tag} = {', '.join(unknown)}")
+    return {r["column_name"]: masks[r["value"]] for r in rows}
+
+
+def masked_by_tags(df: DataFrame, tags: DataFrame, table: str, roles=(), tag: str = "pii") -> DataFrame:
+    """``masked_view`` with the masks that the tags of ``table`` ask for when the
+    view is built: re-tagging a column changes the next view, no code."""
+    return masked_view(df, mask_policies(tags, table, tag), roles)

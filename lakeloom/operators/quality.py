@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakeloom.functions.hashing import FIELD_SEP, NULL_MARK
@@ -252,7 +252,7 @@ def with_logged_at(findings: DataFrame, run_ts) -> DataFrame:
 
 
 def log_findings(findings: DataFrame, run_ts, path: str | None = None, table: str | None = None,
-                 dedupe_against: DataFrame | None = None) -> DataFrame:
+                 dedupe_against: DataFrame | None = None, observed: Observation | None = None) -> DataFrame:
     """Append findings (stamped ``logged_at``) to the audit log sink.
 
     ``dedupe_against`` (the existing log) keeps a re-run from logging the
@@ -268,6 +268,8 @@ def log_findings(findings: DataFrame, run_ts, path: str | None = None, table: st
                 .select(*FINDING_COLUMNS).distinct())
         cond = reduce(lambda a, b: a & b, [out[c].eqNullSafe(seen[c]) for c in FINDING_COLUMNS])
         out = out.join(seen, cond, "left_anti")
+    if observed is not None:
+        out = out.observe(observed, F.count(F.lit(1)).alias("n"))
     if table:
         out.write.mode("append").saveAsTable(table)
     elif path:

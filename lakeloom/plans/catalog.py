@@ -22,11 +22,11 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def create_table(spark: SparkSession, spec: TableSpec, using: str = "parquet") -> None:
-    """CREATE TABLE IF NOT EXISTS from the spec (defaults, comments,
-    partitioning, tags as ``tag.*`` properties)."""
+def create_table(spark: SparkSession, spec: TableSpec, using: str = "parquet", location: str | None = None) -> None:
+    """CREATE TABLE IF NOT EXISTS from the spec (defaults, comments, partitioning,
+    tags as ``tag.*`` and ``coltag.<column>.*`` properties)."""
     ensure_schema(spark, spec.schema)
-    spark.sql(spec.ddl(using))
+    spark.sql(spec.ddl(using, location))
 
 
 def create_all(spark: SparkSession, specs=ALL_SPECS) -> None:

@@ -446,6 +446,27 @@ def q_masked_customers_sql(spark, d):
                         FROM lakeloom_customers""")
 
 
+@register("masked_by_tag", with_("customers") + "SELECT " + CUSTOMER_COLS.replace(
+    "email, phone_number", "'***' || substr(email, instr(email, '@')) AS email, '**********' AS phone_number").replace(
+    "last_name,", "'**********' AS last_name,") + " FROM customers")
+def q_masked_by_tag(spark, d):
+    """Customers through a view whose masks follow the catalog's column tags: as
+    declared, but with the address untagged and the last name tagged as a phone."""
+    import uuid
+    from dataclasses import replace
+
+    from lakeloom.plans.catalog import create_table
+    from lakeloom.session import scratch_path
+    spec = replace(S.CUSTOMERS, schema=f"lakeloom_{uuid.uuid4().hex[:12]}")
+    path = scratch_path(spark, "t_customers")
+    R.harmonized_customers(spark, d).select(*spec.names).write.parquet(path)
+    create_table(spark, spec, location=path)
+    governance.set_column_tag(spark, spec.qualified, "address", "pii", None)
+    governance.set_column_tag(spark, spec.qualified, "last_name", "pii", "phone")
+    return governance.masked_by_tags(spark.table(spec.qualified), governance.catalog_column_tags(spark, spec.schema),
+                                     spec.qualified, roles=())
+
+
 # ------------------------------------------------------------ column defaults
 def _defaults_input(spark, d):
     src = typed(spark, d, "customers").drop("membership_status")
@@ -584,6 +605,32 @@ def q_harmonize_products(spark, d):
     return second.state
 
 
+@register("harmonize_run_log", with_("raw_products") + f""",
+b1 AS (SELECT * FROM raw_products WHERE r_insert_timestamp <= {SEED_TS}),
+b2 AS (SELECT * FROM raw_products WHERE r_insert_timestamp > {SEED_TS}),
+f AS ({DUP_SQL}\nUNION ALL\n{FMT_SQL}\nUNION ALL\n{NULL_SQL})
+SELECT 1 AS run_no, (SELECT max(r_insert_timestamp) FROM ({_quarantine_sql('b1')})) AS watermark,
+       (SELECT count(*) FROM b1) AS n_rows, (SELECT count(*) FROM f WHERE r_batch_timestamp <= {SEED_TS}) AS n_findings
+UNION ALL
+SELECT 2, (SELECT max(r_insert_timestamp) FROM ({_quarantine_sql('b2')})), (SELECT count(*) FROM b2),
+       (SELECT count(*) FROM f WHERE r_batch_timestamp > {SEED_TS})""")
+def q_harmonize_run_log(spark, d):
+    """The run log of two runs of the products job: rows read, findings logged and
+    the new watermark, each taken while something else was written."""
+    from lakeloom.plans.harmonize import RunLog, TableJob, harmonize
+    from lakeloom.plans.located import ByInsertRun
+    from lakeloom.session import scratch_path
+    job, place = TableJob(S.PRODUCTS, rules=PRODUCT_RULES, mode="quarantine"), ByInsertRun()
+    table, base = _located(spark, "t_products", place, S.PRODUCTS, "product_id"), scratch_path(spark, "run-log")
+    log = RunLog(spark, f"{base}/run_log")
+    for run, upper in ((1, R.SEED_TS), (2, None)):
+        result = harmonize(job, R.raw_products(spark, d), table.before(run), RUN, JOB, upper=upper, run_log=log, table_name="t_products",
+                           dq_log_path=f"{base}/dq_log", placement=place, run_no=run)
+        table.publish(result.state, run, result.touched)
+        log.record("t_products", result, RUN, run)
+    return spark.read.schema(log.SCHEMA).parquet(log.path).select("run_no", "watermark", "n_rows", "n_findings")
+
+
 # --------------------------------------------- SQL views and the facts refresh
 def _register_retail_views(spark, d) -> None:
     sales_facts_df(spark, d).createOrReplaceTempView("lakeloom_sales_facts")

@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 # Settings that matter at scale as much as locally: AQE re-plans joins and
 # coalesces small shuffle partitions, the skew-join split handles a hot key.
@@ -85,6 +85,14 @@ def cut_lineage(spark: SparkSession, df):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut_observed(spark: SparkSession, df, **metrics):
+    """``cut_lineage``, and aggregates of the rows taken while they are written:
+    no job of their own.  Returns the written copy and ``{name: value}``."""
+    seen, path = Observation(), scratch_path(spark, "cut")
+    df.observe(seen, *[m.alias(n) for n, m in metrics.items()]).write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), dict(seen.get)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Does ``path`` exist on its file system?  Any other failure is raised."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -20,6 +20,7 @@ class Column:
     default: str | None = None      # SQL literal used when the column is omitted
     fmt: str | None = None          # parse pattern for date/timestamp raw strings
     comment: str | None = None
+    tags: dict = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -57,7 +58,7 @@ class TableSpec:
             for c in self.columns
         ])
 
-    def ddl(self, using: str = "parquet") -> str:
+    def ddl(self, using: str = "parquet", location: str | None = None) -> str:
         cols = []
         for c in self.columns:
             piece = f"`{c.name}` {c.dtype}" + (" NOT NULL" if c.required else "")
@@ -69,9 +70,12 @@ class TableSpec:
         sql = f"CREATE TABLE IF NOT EXISTS {self.qualified} ({', '.join(cols)}) USING {using}"
         if self.partition_by:
             sql += f" PARTITIONED BY ({', '.join(self.partition_by)})"
-        if self.tags:
-            props = ", ".join(f"'tag.{k}' = '{v}'" for k, v in self.tags.items())
-            sql += f" TBLPROPERTIES ({props})"
+        if location:
+            sql += f" LOCATION '{location}'"
+        tags = [f"'tag.{k}' = '{v}'" for k, v in self.tags.items()]
+        tags += [f"'coltag.{c.name}.{k}' = '{v}'" for c in self.columns for k, v in c.tags.items()]
+        if tags:
+            sql += f" TBLPROPERTIES ({', '.join(tags)})"
         return sql
 
 
@@ -129,11 +133,11 @@ CUSTOMERS = TableSpec(
         Column("customer_id", "string", required=True),
         Column("first_name", "string", required=True),
         Column("last_name", "string", required=True),
-        Column("email", "string"),
-        Column("phone_number", "string"),
+        Column("email", "string", tags={"pii": "email"}),
+        Column("phone_number", "string", tags={"pii": "phone"}),
         Column("loyalty_points", "int", default="0"),
         Column("membership_status", "string", default="'Bronze'"),
-        Column("address", "string"),
+        Column("address", "string", tags={"pii": "address"}),
         Column("active_flag", "boolean", default="true"),
         Column("begin_effective_date", "date", default="current_date()"),
         Column("end_effective_date", "date", default=f"DATE'{OPEN_END_DATE}'"),

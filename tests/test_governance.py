@@ -40,3 +40,33 @@ def test_tag_discovery(spark):
                                 specs.TableSpec("x", "other", (), tags={"sensitivity": "internal"})])
     got = [(r.schema_name, r.table_name) for r in G.tagged_tables(cat).collect()]
     assert got == [("harmonized", "t_customers")]      # key missing / other value not matched
+
+
+def test_masks_follow_column_tags(spark):
+    from dataclasses import replace
+
+    import pytest
+
+    from lakeloom import specs
+    from lakeloom.operators import governance as G
+    from lakeloom.plans.catalog import create_table
+    spec = replace(specs.CUSTOMERS, schema="lakeloom_tag_test")
+    cols = [c.name for c in spec.columns]
+    df = spark.createDataFrame([("1", "Ann", "Lee", "a@x.com", "123", "1 Road, Rome")],
+                               "customer_id string, first_name string, last_name string, email string, phone_number string, address string")
+    try:
+        create_table(spark, spec)
+        tags = G.catalog_column_tags(spark, spec.schema)
+        assert sorted(map(tuple, tags.collect())) == sorted(map(tuple, G.column_tags(spark, [spec]).collect()))
+        assert {r.column_name for r in tags.collect()} == {"email", "phone_number", "address"} <= set(cols)
+        see = lambda roles=(): G.masked_by_tags(df, G.catalog_column_tags(spark, spec.schema), spec.qualified, roles).first()
+        assert tuple(see()) == ("1", "Ann", "Lee", "***@x.com", "**********", " Rome")
+        assert tuple(see(("CRM",))) == tuple(df.first())
+        G.set_column_tag(spark, spec.qualified, "address", "pii", None)
+        G.set_column_tag(spark, spec.qualified, "last_name", "pii", "phone")
+        assert tuple(see()) == ("1", "Ann", "**********", "***@x.com", "**********", "1 Road, Rome")
+        G.set_column_tag(spark, spec.qualified, "first_name", "pii", "o'dd")
+        with pytest.raises(ValueError, match="no mask"):
+            see()
+    finally:
+        spark.sql("DROP SCHEMA IF EXISTS lakeloom_tag_test CASCADE")

@@ -239,7 +239,9 @@ def test_daily_run_gates_products_and_clusters_facts(spark):
     assert {r[0] for r in stored.select("run").distinct().collect()} <= {1, 2}
     assert rows(stored.select(*cols)) == sorted(held, key=lambda t: tuple((x is None, str(x)) for x in t)) != []
     log = spark.read.parquet(base + "/dq_log")
-    assert log.select(*quality.FINDING_COLUMNS).distinct().count() == found > 0
+    taken = F.col("issue").contains("belongs to another")        # of customers, against stored ones
+    assert log.where(~taken).select(*quality.FINDING_COLUMNS).distinct().count() == found > 0
+    assert log.where(taken).count() > 0
     assert {r[0] for r in out["t_products"].select("product_id").collect()} == passed
     assert out["t_products"].where("price IS NULL").count() == 0
     assert set(CLUSTER_COLUMNS) <= set(out["t_sales_facts"].columns)

@@ -24,13 +24,14 @@ and signatures never are):
    them.  Each bucket takes a leader (the key with the most company over all
    bands, which is what a group's original has) and its members are verified
    against it: sizes first, then the exact overlap of the multisets.  Members
-   that fail stay in the bucket and get more leaders the next round, until all
-   are settled.  Pairs are members x leaders, never all pairs of a bucket.
+   that fail stay in the bucket and meet a few more leaders, as long as a round
+   still finds partners for a tenth of them.  Pairs are members x leaders.
 3. Verified pairs are links; classes are their connected components.
-4. A link between members of two leaders of a bucket could still be missing.
-   As 1 - similarity is a metric, it can exist only where the leaders'
-   distance is at most 0.2 plus the members' distances from them; where the
-   two sides are not yet in one class, these pairs are verified too.
+4. What could be missing are links between members of one bucket that are not
+   yet in one class.  Every element falls into one of ``CLASSES`` hash classes;
+   the sum of the class-wise minima of two keys' counts is never below their
+   overlap, so it rules pairs out inside the join on the bucket, without losing
+   a link.  The few left are verified, and their links close the classes.
 
 The multisets of candidates (not of all documents) are a written table keyed by
 text key; bitmaps of fixed size pick the rows to read again.  With 32 bands of
@@ -58,13 +59,15 @@ from lakeloom.llm.components import connected_components
 from lakeloom.llm.decontaminate import byte_words
 from lakeloom.llm.slots import bitmap, found
 from lakeloom.llm.store import written
-from lakeloom.session import scratch_path
 
 SHINGLE, SIMILAR = 5, 0.8
 BANDS, ROWS = 32, 6
 SLOTS = BANDS * ROWS
-#: Leaders a bucket gets besides the first, on average, in its first rounds and from then on.
-LEADS = (0, 15, 127)
+#: Leaders a bucket gets besides the first, on average, in its first round and from then on;
+#: a further round follows while the last one settled this share of the members it tried.
+LEADS, WORTH = (0, 7), 0.1
+#: Hash classes of the elements (step 4).
+CLASSES = 256
 SLICE = 128
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)               # splitmix64's increment and multipliers
@@ -153,8 +156,13 @@ def _text_key(words: list[bytes]) -> bytes:
     return xxh3_128_digest(b" ".join(words))
 
 
+def _bytes_key(text):
+    return F.unhex(F.md5(text.cast("binary")))
+
+
 def signed(docs: DataFrame) -> DataFrame:
-    """``id, node, size, bands`` per row; no words: ``node`` is NULL."""
+    """``id, key, filled, node, size, bands`` per row of ``id, text, key, filled``;
+    no words: ``node`` is NULL."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, SLICE):
@@ -162,16 +170,17 @@ def signed(docs: DataFrame) -> DataFrame:
                 bags = [shingle_counts(w) for w in words]
                 keys = band_keys(signatures(bags))
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(lo, SLICE),
+                    *(batch.column(c).slice(lo, SLICE) for c in (0, 2, 3)),
                     pa.array([_text_key(w) if w else None for w in words], pa.binary()),
                     pa.array([int(c.sum()) for _, c in bags], pa.int64()),
                     pa.array([k if w else None for k, w in zip(keys, words)], pa.list_(pa.int64()))],
-                    names=["id", "node", "size", "bands"])
-    return docs.mapInArrow(run, "id long, node binary, size long, bands array<long>")
+                    names=["id", "key", "filled", "node", "size", "bands"])
+    return docs.mapInArrow(run, "id long, key binary, filled boolean, node binary, size long, bands array<long>")
 
 
 def multisets(docs: DataFrame, wanted) -> DataFrame:
-    """``node, elems`` for the rows whose id is in the bitmap ``wanted``."""
+    """``node, elems, classes`` (elements per hash class) for the rows whose id is
+    in the bitmap ``wanted``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         on = wanted.value
         for batch in batches:
@@ -181,31 +190,40 @@ def multisets(docs: DataFrame, wanted) -> DataFrame:
             for lo in range(0, len(rows), SLICE):
                 words = [byte_words(batch.column(1)[i].as_py()) for i in rows[lo:lo + SLICE].tolist()]
                 words = [w for w in words if w]
+                bags = [elements(*shingle_counts(w)) for w in words]
+                classes = [np.bincount(e & (CLASSES - 1), minlength=CLASSES) for e in bags]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(map(_text_key, words), pa.binary()),
-                    pa.array([elements(*shingle_counts(w)) for w in words], pa.list_(pa.int64()))],
-                    names=["node", "elems"])
-    return docs.mapInArrow(run, "node binary, elems array<long>")
+                    pa.array(map(_text_key, words), pa.binary()), pa.array(bags, pa.list_(pa.int64())),
+                    pa.array(classes, pa.list_(pa.int32()))], names=["node", "elems", "classes"])
+    return docs.mapInArrow(run, "node binary, elems array<long>, classes array<int>")
 
 
 def _compared(pairs: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
-    """``a, b, sim`` for distinct pairs (``a, b, size_a, size_b, common``, the
-    smaller of the two counts of elements that occur elsewhere too, which bounds
-    the overlap).  A pair that sizes and ``common`` rule out keeps that bound as
-    its similarity."""
+    """``a, b, sim`` for the pairs (distinct ``a, b, size_a, size_b, common``) that
+    their sizes and ``common`` do not rule out (the smaller of the two counts of
+    elements that occur elsewhere too: it bounds the overlap)."""
     size = F.col("size_a") + F.col("size_b")
     most = F.least("size_a", "size_b", "common")
-    pairs = pairs.distinct().withColumn("bound", most / (size - most))
     same = F.size(F.array_intersect("x", "y"))
-    near = (pairs.where(F.col("bound") >= similar - 1e-9)
+    return (pairs.where(most / (size - most) >= similar - 1e-9)
             .join(bags.selectExpr("node AS a", "elems AS x"), "a").join(bags.selectExpr("node AS b", "elems AS y"), "b")
             .select("a", "b", (same / (size - same)).alias("sim")))
-    return near.unionByName(pairs.where(F.col("bound") < similar - 1e-9).select("a", "b", F.col("bound").alias("sim")))
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similar: float = SIMILAR) -> DataFrame:
     """``id_col, class_id`` for every row of ``docs``."""
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
+    named = _classed(docs, id_col, text_col, similar)
+    class_id = named.where("comp IS NOT NULL").groupBy("comp").agg(F.min("id").alias("class_id"))
+    return (named.join(class_id, "comp", "left")
+            .select(F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id")))
+
+
+def _classed(docs: DataFrame, id_col: str, text_col: str, similar: float) -> DataFrame:
+    """``id, key, filled, comp`` per row: the hash of its bytes, whether the text
+    is not empty, and its class (NULL: a text without words)."""
+    text = F.col(text_col).cast("string")
+    source = docs.select(F.col(id_col).cast("long").alias("id"), text.cast("binary").alias("text"), _bytes_key(text).alias("key"),
+                         (F.coalesce(F.length(text), F.lit(0)) > 0).alias("filled"))
     rows = written(signed(source), "signed")
     nodes = (rows.where("node IS NOT NULL").groupBy("node")
              .agg(F.min("id").alias("id"), F.first("size").alias("size"), F.first("bands").alias("bands")))
@@ -213,7 +231,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shared = entries.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
     met = written(entries.join(shared, "band"), "met")
     wanted = docs.sparkSession.sparkContext.broadcast(bitmap(met.select("id"), F.col("id").cast("string")))
-    bags = written(multisets(source, wanted).groupBy("node").agg(F.first("elems").alias("elems")), "multisets")
+    bags = written(multisets(source.select("id", "text"), wanted).groupBy("node").agg(F.first("elems").alias("elems"), F.first("classes").alias("classes")), "multisets")
     common = written(_common(bags), "common")
     met = met.join(common.drop("all"), "node").where(F.col("common") >= similar * F.col("size"))
     least = met.groupBy("band").agg(F.min("size").alias("least"))
@@ -224,20 +242,13 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     met = written(met.join(shared, "band"), "shared")
     buckets = written(met.join(met.groupBy("node").agg(F.sum("n").alias("company")), "node").drop("n"), "buckets")
 
-    path = scratch_path(docs.sparkSession, "judged")
-    _judge(buckets, bags, similar, path)
-    judged = docs.sparkSession.read.parquet(path).withColumnRenamed("lead", "b")
-    member, refused = judged.where(F.col("sim") >= similar), judged.where(F.col("sim") < similar)
-    links = member.selectExpr("node AS a", "b")
+    links = _judge(buckets, bags, similar)
     comps = connected_components(links)
-    more = _bridges(member, refused, comps, bags, common, similar)
+    more = _bridges(buckets, comps, bags, similar)
     if more.take(1):
         comps = connected_components(links.unionByName(more), comps)
-    named = (rows.join(comps, "node", "left")
-             .select("id", "node", F.coalesce("comp", "node").alias("comp")))
-    class_id = named.where("comp IS NOT NULL").groupBy("comp").agg(F.min("id").alias("class_id"))
-    return (named.join(class_id, "comp", "left")
-            .select(F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id")))
+    return (rows.join(comps, "node", "left")
+            .select("id", "key", "filled", F.coalesce("comp", "node").alias("comp")))
 
 
 def _common(bags: DataFrame) -> DataFrame:
@@ -252,10 +263,10 @@ def _common(bags: DataFrame) -> DataFrame:
             .select("node", F.col("all").cast("long").alias("all"), (F.col("all") - F.coalesce("own", F.lit(0))).alias("common")))
 
 
-def _judge(open_: DataFrame, bags: DataFrame, similar: float, path: str) -> None:
+def _judge(open_: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
     """Step 2 for the buckets ``open_`` (``band, node, size, common, company``):
-    rows with also ``leading, lead, sim`` under ``path``, one folder a round."""
-    spark, turn = open_.sparkSession, 0
+    the links found, ``a, b``."""
+    turn, links = 0, None
     while True:
         # the member with the most company, and about LEADS[turn] more by hash
         top = open_.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(-F.col("company"), "node")).alias("top"))
@@ -269,50 +280,56 @@ def _judge(open_: DataFrame, bags: DataFrame, similar: float, path: str) -> None
                  .withColumn("a", F.least("node", "lead")).withColumn("b", F.greatest("node", "lead")))
         tried = written(tried, "tried")
         size_a = F.when(F.col("a") == F.col("node"), F.col("size")).otherwise(F.col("size_b"))
-        sims = _compared(tried.select("a", "b", size_a.alias("size_a"), (F.col("size") + F.col("size_b") - size_a).alias("size_b"),
-                                      F.least("common", "common_b").alias("common")), bags, similar)
-        tried.join(sims, ["a", "b"]).drop("a", "b").write.parquet(f"{path}/turn={turn}")
-        judged = spark.read.parquet(f"{path}/turn={turn}")
-        open_ = (judged.groupBy("band", "node")
-                 .agg(F.first("company").alias("company"), F.first("size").alias("size"), F.first("common").alias("common"),
-                      F.max("sim").alias("best"), F.max("leading").alias("leading"))
-                 .where((F.col("best") < similar) & ~F.col("leading")).drop("best", "leading"))
-        open_ = written(open_, "open")
-        if not open_.take(1):
-            return
+        pairs = tried.select("a", "b", size_a.alias("size_a"), (F.col("size") + F.col("size_b") - size_a).alias("size_b"),
+                             F.least("common", "common_b").alias("common")).distinct()
+        near = written(_compared(pairs, bags, similar).where(F.col("sim") >= similar).select("a", "b"), "near")
+        links = near if links is None else links.unionByName(near)
+        judged = tried.join(near.withColumn("near", F.lit(True)), ["a", "b"], "left")
+        rest = (judged.where(~F.col("leading")).groupBy("band", "node")
+                .agg(F.first("company").alias("company"), F.first("size").alias("size"), F.first("common").alias("common"),
+                     F.max(F.coalesce("near", F.lit(False))).alias("settled")))
+        rest = written(rest, "open")
+        count = rest.agg(F.count(F.lit(1)).alias("n"), F.count_if("settled").alias("settled")).first()
+        open_ = rest.where(~F.col("settled")).drop("settled")
+        if count.settled == count.n or (turn and count.settled < WORTH * count.n):
+            return links
         turn += 1
 
 
-def _bridges(member: DataFrame, refused: DataFrame, comps: DataFrame, bags: DataFrame, common: DataFrame,
-             similar: float) -> DataFrame:
-    """Step 4: links (``a, b``) between members of different leaders of a bucket
-    that are not in one class yet."""
-    comp = lambda df, of, name: df.join(comps.selectExpr(f"node AS {of}", f"comp AS {name}"), of, "left").withColumn(
-        name, F.coalesce(name, of))
-    sides = member.select("band", F.col("b").alias("lead"), "node", "size", "sim")
-    # two leaders of a bucket: the later one was refused by the earlier one, or both by each other
-    leads = (refused.selectExpr("band", "node AS lead2", "b AS lead1", "sim AS between")
-             .where(F.col("between") >= 1 - 3 * (1 - similar) - 1e-9))
-    one = sides.selectExpr("band", "lead AS lead1", "node AS a", "size AS size_a", "sim AS sim_a").unionByName(
-        leads.selectExpr("band", "lead1").distinct().selectExpr("band", "lead1", "lead1 AS a", "CAST(NULL AS long) size_a", "1D sim_a"))
-    two = sides.selectExpr("band", "lead AS lead2", "node AS b", "size AS size_b", "sim AS sim_b").unionByName(
-        leads.selectExpr("band", "lead2").distinct().selectExpr("band", "lead2", "lead2 AS b", "CAST(NULL AS long) size_b", "1D sim_b"))
-    leads = comp(comp(leads, "lead1", "comp1"), "lead2", "comp2").where("comp1 <> comp2").select(
-        "band", "lead1", "lead2", "between")
-    pairs = (leads.join(one, ["band", "lead1"]).join(two, ["band", "lead2"])
-             .where(F.col("sim_a") + F.col("sim_b") - F.col("between") <= 1 + (1 - similar) + 1e-9)
-             .where("a <> lead1 OR b <> lead2").select("a", "b").distinct())
-    pairs = (pairs.join(common.selectExpr("node AS a", "`all` AS size_a", "common AS common_a"), "a")
-             .join(common.selectExpr("node AS b", "`all` AS size_b", "common AS common_b"), "b")
-             .withColumn("common", F.least("common_a", "common_b")).drop("common_a", "common_b"))
+def _bridges(buckets: DataFrame, comps: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
+    """Step 4: links (``a, b``) between members of one bucket that are in no
+    common class yet."""
+    sides = (buckets.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+             .select("band", "node", "size", "common", "comp"))
+    mixed = sides.groupBy("band").agg((F.min("comp") != F.max("comp")).alias("mixed")).where("mixed").select("band")
+    sides = written(sides.join(mixed, "band", "left_semi").join(bags.select("node", "classes"), "node"), "sides")
+    one = sides.selectExpr("band", "node AS a", "size AS size_a", "common AS common_a", "comp AS comp_a", "classes AS x")
+    two = sides.selectExpr("band", "node AS b", "size AS size_b", "common AS common_b", "comp AS comp_b", "classes AS y")
+    size = F.col("size_a") + F.col("size_b")
+    least = similar / (1 + similar) * size - 1e-6           # the overlap a link needs
+    most = F.expr("aggregate(zip_with(x, y, (p, q) -> least(p, q)), 0, (t, v) -> t + v)")
+    pairs = (one.join(two, "band")
+             .where((F.col("comp_a") < F.col("comp_b")) & (F.least("size_a", "size_b", "common_a", "common_b") >= least)
+                    & (most >= least))
+             .withColumn("common", F.least("common_a", "common_b")))
+    pairs = pairs.select("a", "b", "size_a", "size_b", "common").distinct()
     return written(_compared(pairs, bags, similar).where(F.col("sim") >= similar).select("a", "b"), "bridges")
 
 
 def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is their class's id: one document of every
-    group of copies and near copies.  Of repeated rows with that id one stays;
-    rows without an id cannot name a class and all stay."""
-    keep = (near_classes(docs, id_col, text_col).where(F.col(id_col) == F.col("class_id"))
-            .select(F.col(id_col).alias("_keep")).distinct())
-    kept = (docs.join(keep, F.col(id_col) == F.col("_keep"), "left_semi").dropDuplicates([id_col]))
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    """One row of ``docs`` of every group of copies and near copies: the one with
+    the smallest id, of its texts under that id the one with the smallest hash.
+    Wordless texts (punctuation only) are copies if equal byte by byte; empty
+    and NULL texts are nobody's copy.  Repeated rows (id and text) stay once;
+    rows without an id cannot name a class and all stay.  All columns pass
+    through, whatever their names."""
+    text = F.col(text_col).cast("string")
+    named = _classed(docs, id_col, text_col, SIMILAR).where("id IS NOT NULL")
+    group = F.coalesce("comp", F.when(F.col("filled"), F.concat(F.lit("-").cast("binary"), "key")))
+    named = written(named.select("id", "key", group.alias("comp")), "grouped")
+    keep = (named.where("comp IS NOT NULL").groupBy("comp").agg(F.min(F.struct("id", "key")).alias("k")).select("k.*")
+            .unionByName(named.where("comp IS NULL").select("id", "key"))
+            .selectExpr("id AS keep_id", "key AS keep_key").distinct())
+    keyed = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), _bytes_key(text).alias("key"))
+    kept = keyed.join(keep, (F.col("id") == F.col("keep_id")) & F.col("key").eqNullSafe(F.col("keep_key")), "left_semi")
+    return kept.dropDuplicates(["id", "key"]).unionByName(keyed.where("id IS NULL")).select("row.*")

@@ -30,8 +30,9 @@ and signatures never are):
 4. What could be missing are links between members of one bucket that are not
    yet in one class.  Every element falls into one of ``CLASSES`` hash classes;
    the sum of the class-wise minima of two keys' counts is never below their
-   overlap, so it rules pairs out inside the join on the bucket, without losing
-   a link.  The few left are verified, and their links close the classes.
+   overlap, so it rules out pairs without losing a link.  Buckets are dealt into
+   blocks, pairs of blocks are tested in a task each, and the few pairs left are
+   verified: their links close the classes.
 
 The multisets of candidates (not of all documents) are a written table keyed by
 text key; bitmaps of fixed size pick the rows to read again.  With 32 bands of
@@ -66,8 +67,8 @@ SLOTS = BANDS * ROWS
 #: Leaders a bucket gets besides the first, on average, in its first round and from then on;
 #: a further round follows while the last one settled this share of the members it tried.
 LEADS, WORTH = (0, 7), 0.1
-#: Hash classes of the elements (step 4).
-CLASSES = 256
+#: Hash classes of the elements, members of a block, and pairs of blocks that a worker holds (step 4).
+CLASSES, BLOCK, BLOCK_ROWS = 256, 128, "64"
 SLICE = 128
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)               # splitmix64's increment and multipliers
@@ -298,22 +299,62 @@ def _judge(open_: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
 
 def _bridges(buckets: DataFrame, comps: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
     """Step 4: links (``a, b``) between members of one bucket that are in no
-    common class yet."""
+    common class yet.  A bucket is dealt into blocks of about ``BLOCK`` members
+    by hash; two blocks at a time meet in a task, which hands on only the pairs
+    that the class-wise bound leaves."""
     sides = (buckets.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
              .select("band", "node", "size", "common", "comp"))
-    mixed = sides.groupBy("band").agg((F.min("comp") != F.max("comp")).alias("mixed")).where("mixed").select("band")
-    sides = written(sides.join(mixed, "band", "left_semi").join(bags.select("node", "classes"), "node"), "sides")
-    one = sides.selectExpr("band", "node AS a", "size AS size_a", "common AS common_a", "comp AS comp_a", "classes AS x")
-    two = sides.selectExpr("band", "node AS b", "size AS size_b", "common AS common_b", "comp AS comp_b", "classes AS y")
-    size = F.col("size_a") + F.col("size_b")
-    least = similar / (1 + similar) * size - 1e-6           # the overlap a link needs
-    most = F.expr("aggregate(zip_with(x, y, (p, q) -> least(p, q)), 0, (t, v) -> t + v)")
-    pairs = (one.join(two, "band")
-             .where((F.col("comp_a") < F.col("comp_b")) & (F.least("size_a", "size_b", "common_a", "common_b") >= least)
-                    & (most >= least))
-             .withColumn("common", F.least("common_a", "common_b")))
-    pairs = pairs.select("a", "b", "size_a", "size_b", "common").distinct()
-    return written(_compared(pairs, bags, similar).where(F.col("sim") >= similar).select("a", "b"), "bridges")
+    mixed = (sides.groupBy("band").agg((F.min("comp") != F.max("comp")).alias("mixed"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+             .where("mixed").select("band", "blocks"))
+    member = F.struct("node", "comp", "size", "common", "classes")
+    blocks = written(sides.join(mixed, "band").join(bags.select("node", "classes"), "node")
+                     .groupBy("band", F.pmod(F.xxhash64("node", "band"), F.col("blocks")).alias("block"))
+                     .agg(F.collect_list(member).alias("members")), "blocks", BLOCK_ROWS)
+    met = (blocks.selectExpr("band", "block AS x_block", "members AS x")
+           .join(blocks.selectExpr("band", "block AS y_block", "members AS y"), "band").where("x_block <= y_block")
+           .selectExpr("x_block = y_block AS same", "x", "y"))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from _block_pairs(batch, similar)
+
+    pairs = written(met.mapInArrow(search, "a binary, b binary, size_a long, size_b long, common long"), "open-pairs", BLOCK_ROWS)
+    return written(_compared(pairs.distinct(), bags, similar).where(F.col("sim") >= similar).select("a", "b"), "bridges")
+
+
+def _block_pairs(batch: pa.RecordBatch, similar: float) -> Iterator[pa.RecordBatch]:
+    """Pairs of members of two blocks (``same, x, y``) that are in different
+    classes and that no bound rules out, the smaller key as ``a``."""
+    same = batch.column(0).to_pylist()
+    x, y = batch.column(1), batch.column(2)
+    ends = [np.asarray(c.offsets) for c in (x, y)]
+    flat = [c.values for c in (x, y)]
+    comp = pa.chunked_array([f.field("comp") for f in flat]).dictionary_encode()
+    comp = [np.asarray(c.indices) for c in comp.chunks] if comp.num_chunks == 2 else np.split(
+        np.concatenate([np.asarray(c.indices) for c in comp.chunks]), [len(flat[0])])
+    size, common = ([f.field(n).to_numpy() for f in flat] for n in ("size", "common"))
+    classes = [np.asarray(f.field("classes").flatten()).reshape(-1, CLASSES) for f in flat]
+    for r, one in enumerate(same):
+        at = [slice(e[r], e[r + 1]) for e in ends]
+        (sa, sb), (ca, cb), (pa_, pb), (ka, kb) = ([v[0][at[0]], v[1][at[1]]] for v in (size, common, comp, classes))
+        need = similar / (1 + similar) * (sa[:, None] + sb[None]) - 1e-6        # the overlap a link needs
+        most = np.minimum(np.minimum(sa, ca)[:, None], np.minimum(sb, cb)[None])
+        hope = (pa_[:, None] != pb[None]) & (most >= need)
+        i, j = np.nonzero(np.triu(hope, 1) if one else hope)
+        left = [np.empty(0, np.int64)]
+        for lo in range(0, len(i), 4096):
+            p, q = i[lo:lo + 4096], j[lo:lo + 4096]
+            left.append(lo + np.flatnonzero(np.minimum(ka[p], kb[q]).sum(1) >= need[p, q]))
+        keep = np.concatenate(left)
+        if len(keep):
+            i, j = i[keep], j[keep]
+            nodes = [flat[k].field("node").slice(at[k].start, at[k].stop - at[k].start).take(pa.array(w)).to_pylist()
+                     for k, w in enumerate((i, j))]
+            swap = np.fromiter((u > v for u, v in zip(*nodes)), bool, len(i))
+            yield pa.RecordBatch.from_arrays([
+                pa.array([min(p) for p in zip(*nodes)], pa.binary()), pa.array([max(p) for p in zip(*nodes)], pa.binary()),
+                pa.array(np.where(swap, sb[j], sa[i])), pa.array(np.where(swap, sa[i], sb[j])),
+                pa.array(np.minimum(ca[i], cb[j]))], names=["a", "b", "size_a", "size_b", "common"])
 
 
 def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -68,7 +68,7 @@ SLOTS = BANDS * ROWS
 #: a further round follows while the last one settled this share of the members it tried.
 LEADS, WORTH = (0, 7), 0.1
 #: Hash classes of the elements, members of a block, and pairs of blocks that a worker holds (step 4).
-CLASSES, BLOCK, BLOCK_ROWS = 256, 128, "64"
+CLASSES, BLOCK, BLOCK_ROWS = 256, 512, "16"
 SLICE = 128
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)               # splitmix64's increment and multipliers
@@ -306,13 +306,12 @@ def _bridges(buckets: DataFrame, comps: DataFrame, bags: DataFrame, similar: flo
              .select("band", "node", "size", "common", "comp"))
     mixed = (sides.groupBy("band").agg((F.min("comp") != F.max("comp")).alias("mixed"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
              .where("mixed").select("band", "blocks"))
-    member = F.struct("node", "comp", "size", "common", "classes")
-    blocks = written(sides.join(mixed, "band").join(bags.select("node", "classes"), "node")
-                     .groupBy("band", F.pmod(F.xxhash64("node", "band"), F.col("blocks")).alias("block"))
-                     .agg(F.collect_list(member).alias("members")), "blocks", BLOCK_ROWS)
-    met = (blocks.selectExpr("band", "block AS x_block", "members AS x")
-           .join(blocks.selectExpr("band", "block AS y_block", "members AS y"), "band").where("x_block <= y_block")
-           .selectExpr("x_block = y_block AS same", "x", "y"))
+    member = F.struct("node", "comp", "size", "common", "classes", "block")
+    met = (sides.join(mixed, "band").join(bags.select("node", "classes"), "node")
+           .withColumn("block", F.pmod(F.xxhash64("node", "band"), F.col("blocks")))
+           .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+           .groupBy("band", F.least("block", "with").alias("x"), F.greatest("block", "with").alias("y"))
+           .agg(F.collect_list(member).alias("members")).select("x", "y", "members"))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -323,38 +322,33 @@ def _bridges(buckets: DataFrame, comps: DataFrame, bags: DataFrame, similar: flo
 
 
 def _block_pairs(batch: pa.RecordBatch, similar: float) -> Iterator[pa.RecordBatch]:
-    """Pairs of members of two blocks (``same, x, y``) that are in different
+    """Pairs of ``members`` of the blocks ``x`` and ``y`` that are in different
     classes and that no bound rules out, the smaller key as ``a``."""
-    same = batch.column(0).to_pylist()
-    x, y = batch.column(1), batch.column(2)
-    ends = [np.asarray(c.offsets) for c in (x, y)]
-    flat = [c.values for c in (x, y)]
-    comp = pa.chunked_array([f.field("comp") for f in flat]).dictionary_encode()
-    comp = [np.asarray(c.indices) for c in comp.chunks] if comp.num_chunks == 2 else np.split(
-        np.concatenate([np.asarray(c.indices) for c in comp.chunks]), [len(flat[0])])
-    size, common = ([f.field(n).to_numpy() for f in flat] for n in ("size", "common"))
-    classes = [np.asarray(f.field("classes").flatten()).reshape(-1, CLASSES) for f in flat]
-    for r, one in enumerate(same):
-        at = [slice(e[r], e[r + 1]) for e in ends]
-        (sa, sb), (ca, cb), (pa_, pb), (ka, kb) = ([v[0][at[0]], v[1][at[1]]] for v in (size, common, comp, classes))
-        need = similar / (1 + similar) * (sa[:, None] + sb[None]) - 1e-6        # the overlap a link needs
-        most = np.minimum(np.minimum(sa, ca)[:, None], np.minimum(sb, cb)[None])
-        hope = (pa_[:, None] != pb[None]) & (most >= need)
-        i, j = np.nonzero(np.triu(hope, 1) if one else hope)
+    ends, flat = np.asarray(batch.column(2).offsets), batch.column(2).values
+    comp = np.asarray(flat.field("comp").dictionary_encode().indices)
+    size, common, block = (flat.field(n).to_numpy() for n in ("size", "common", "block"))
+    classes = np.asarray(flat.field("classes").flatten()).reshape(-1, CLASSES)
+    node = flat.field("node")
+    for x, y, start, stop in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), ends, ends[1:]):
+        here = np.arange(start, stop)
+        one, two = here[block[here] == x], here[block[here] == y]
+        need = similar / (1 + similar) * (size[one][:, None] + size[two][None]) - 1e-6      # the overlap a link needs
+        hope = (comp[one][:, None] != comp[two][None]) & (np.minimum(
+            np.minimum(size, common)[one][:, None], np.minimum(size, common)[two][None]) >= need)
+        i, j = np.nonzero(np.triu(hope, 1) if x == y else hope)
         left = [np.empty(0, np.int64)]
         for lo in range(0, len(i), 4096):
             p, q = i[lo:lo + 4096], j[lo:lo + 4096]
-            left.append(lo + np.flatnonzero(np.minimum(ka[p], kb[q]).sum(1) >= need[p, q]))
+            left.append(lo + np.flatnonzero(np.minimum(classes[one[p]], classes[two[q]]).sum(1) >= need[p, q]))
         keep = np.concatenate(left)
         if len(keep):
-            i, j = i[keep], j[keep]
-            nodes = [flat[k].field("node").slice(at[k].start, at[k].stop - at[k].start).take(pa.array(w)).to_pylist()
-                     for k, w in enumerate((i, j))]
-            swap = np.fromiter((u > v for u, v in zip(*nodes)), bool, len(i))
+            i, j = one[i[keep]], two[j[keep]]
+            pairs = list(zip(node.take(pa.array(i)).to_pylist(), node.take(pa.array(j)).to_pylist()))
+            swap = np.fromiter((u > v for u, v in pairs), bool, len(i))
             yield pa.RecordBatch.from_arrays([
-                pa.array([min(p) for p in zip(*nodes)], pa.binary()), pa.array([max(p) for p in zip(*nodes)], pa.binary()),
-                pa.array(np.where(swap, sb[j], sa[i])), pa.array(np.where(swap, sa[i], sb[j])),
-                pa.array(np.minimum(ca[i], cb[j]))], names=["a", "b", "size_a", "size_b", "common"])
+                pa.array(map(min, pairs), pa.binary()), pa.array(map(max, pairs), pa.binary()),
+                pa.array(np.where(swap, size[j], size[i])), pa.array(np.where(swap, size[i], size[j])),
+                pa.array(np.minimum(common[i], common[j]))], names=["a", "b", "size_a", "size_b", "common"])
 
 
 def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

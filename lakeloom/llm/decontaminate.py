@@ -163,6 +163,7 @@ def clean_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
                     item_col: str = "item_id", item_text_col: str = "text", width: int = WINDOW) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no window of any item."""
     _, matches = contamination(docs, items, id_col, text_col, item_col, item_text_col, width)
-    hit = matches.select(F.col("key").alias("_hit")).distinct()
+    hit = matches.select("key").distinct()
     key = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    return docs.withColumn("_key", key).join(hit, F.col("_key") == F.col("_hit"), "left_anti").drop("_key")
+    rows = docs.select(F.struct("*").alias("row"), key.alias("key"))        # whatever the columns are called
+    return rows.join(hit, "key", "left_anti").select("row.*")

@@ -19,9 +19,9 @@ Nothing is broadcast or collected.  The threshold carries over from shard to
 shard of one query block within a task.
 
 Defined cases: vectors that are NULL or hold NULL, NaN or infinite components,
-and rows without an id, take no part; a missing dimension counts as zero; of
-several vectors with one id the smallest counts; equal scores go to the smaller
-id; fewer than k candidates are all returned; empty tables give no rows; other
+and rows without an id, take no part; a missing dimension counts as zero; rows
+that share an id are rows of their own (each query row gets its own list, only
+the row itself is left out); equal scores go to the smaller id; fewer than k candidates are all returned; empty tables give no rows; other
 columns are ignored.  Scores are exact in 64-bit integers.
 """
 
@@ -44,35 +44,32 @@ SLACK = 0.25
 
 
 def integer_vectors(df: DataFrame, id_col: str, vec_col: str, scale: int = 64) -> DataFrame:
-    """``id, v``: floor(scale * x) per component, usable rows only, one per id."""
+    """``id, v``: floor(scale * x) per component, usable rows only."""
     x = F.col(vec_col).cast("array<double>")
     odd = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     return (df.where(F.col(id_col).isNotNull() & x.isNotNull() & ~odd)
-            .select(F.col(id_col).cast("long").alias("id"), F.transform(x, lambda c: F.floor(c * scale)).alias("v"))
-            .groupBy("id").agg(F.min("v").alias("v")))
+            .select(F.col(id_col).cast("long").alias("id"), F.transform(x, lambda c: F.floor(c * scale)).alias("v")))
 
 
 def _packed(vectors: DataFrame, size: int, name: str) -> DataFrame:
-    """Blocks of about ``size`` vectors: ``name, ids, dims, data`` (row-major int64)."""
+    """Blocks of about ``size`` vectors: ``name, ids, rows, dims, data`` (row-major int64)."""
     n = max(1, -(-vectors.count() // size))
 
     def pack(key, pdf):
-        pdf = pdf.sort_values("id")
+        pdf = pdf.sort_values(["id", "row"])
         m = np.zeros((len(pdf), max(map(len, pdf["v"]))), np.int64)
         for row, v in zip(m, pdf["v"]):
             row[:len(v)] = v
-        return pd.DataFrame({name: [key[0]], "ids": [pdf["id"].to_numpy(np.int64).tobytes()], "dims": [m.shape[1]],
-                             "data": [m.tobytes()]})
+        return pd.DataFrame({name: [key[0]], "ids": [pdf["id"].to_numpy(np.int64).tobytes()], "rows": [pdf["row"].to_numpy(np.int64).tobytes()],
+                             "dims": [m.shape[1]], "data": [m.tobytes()]})
 
-    return (vectors.groupBy(F.pmod(F.xxhash64("id"), F.lit(n)).alias(name))
-            .applyInPandas(pack, f"{name} long, ids binary, dims long, data binary"))
+    return (vectors.groupBy(F.pmod(F.xxhash64("row"), F.lit(n)).alias(name))
+            .applyInPandas(pack, f"{name} long, ids binary, rows binary, dims long, data binary"))
 
 
-def _matrix(ids: bytes, dims: int, data: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
-    ids = np.frombuffer(ids, np.int64)
-    m = np.zeros((len(ids), width), np.int64)
-    m[:, :dims] = np.frombuffer(data, np.int64).reshape(len(ids), dims)
-    return ids, m
+def _matrix(dims: int, data: bytes, width: int) -> np.ndarray:
+    own = np.frombuffer(data, np.int64).reshape(-1, dims)
+    return own if dims == width else np.pad(own, ((0, 0), (0, width - dims)))
 
 
 def _essential(q: np.ndarray, x: np.ndarray, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -87,19 +84,20 @@ def _essential(q: np.ndarray, x: np.ndarray, floor: np.ndarray) -> tuple[np.ndar
     return essential, np.where(essential, 0, bound).sum(1)
 
 
-def shard_topk(q_ids, q, ids, x, k: int, best: np.ndarray):
-    """Top-k candidates (query index, row index, score) of one shard.  ``best``
-    (queries x k) holds the best scores so far and is updated."""
+def shard_topk(q_rows, q, rows, x, k: int, best: np.ndarray):
+    """Top-k candidates (query index, row index, score) of one shard, whose rows
+    are in the order of their ids.  ``best`` (queries x k) holds the best scores
+    so far and is updated."""
     big = int(np.abs(q).max(initial=0)) * int(np.abs(x).max(initial=0)) * max(1, q.shape[1]) >= 1 << 53
     kind = np.int64 if big else np.float64       # below 2 ** 53 doubles are exact (and far faster)
     qk = q.astype(kind)
     found = []
-    for lo in range(0, len(ids), CHUNK):
+    for lo in range(0, len(rows), CHUNK):
         part = x[lo:lo + CHUNK]
         floor = best[:, -1]
         essential, rest = _essential(qk, part, floor)
         partial = (qk * essential) @ part.T.astype(kind)
-        hope = (partial + rest[:, None] >= floor[:, None]) & (q_ids[:, None] != ids[None, lo:lo + CHUNK])
+        hope = (partial + rest[:, None] >= floor[:, None]) & (q_rows[:, None] != rows[None, lo:lo + CHUNK])
         qi, ri = np.nonzero(hope)
         score = partial[qi, ri]
         probe = np.flatnonzero(rest[qi] > 0)
@@ -128,9 +126,9 @@ def shard_topk(q_ids, q, ids, x, k: int, best: np.ndarray):
 def top_k(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     """``query_id, rank, vec_id, score`` over ``vectors`` (``id, v``): for the
     rows where ``is_query`` holds, the k best of all rows but their own."""
-    vectors = written(vectors, "vectors")
+    vectors = written(vectors.withColumn("row", F.monotonically_increasing_id()), "vectors")
     shards = written(_packed(vectors, SHARD, "shard"), "shards")
-    blocks = _packed(vectors.where(is_query), QUERIES, "block").selectExpr("block", "ids q_ids", "dims q_dims", "data q_data")
+    blocks = _packed(vectors.where(is_query), QUERIES, "block").selectExpr("block", "ids q_ids", "rows q_rows", "dims q_dims", "data q_data")
     blocks = written(blocks, "query-blocks")
     pairs = (shards.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(max(0, blocks.count() - 1)))))
              .join(blocks, "block"))
@@ -140,15 +138,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
         for part in parts:
             for r in part.itertuples():
                 width = max(r.dims, r.q_dims)
-                q_ids, q = _matrix(r.q_ids, r.q_dims, r.q_data, width)
-                ids, x = _matrix(r.ids, r.dims, r.data, width)
+                q_ids, q_rows, ids, rows = (np.frombuffer(v, np.int64) for v in (r.q_ids, r.q_rows, r.ids, r.rows))
                 if r.block != at:
                     at, best = r.block, np.full((len(q_ids), k), -np.inf)
-                qi, ri, score = shard_topk(q_ids, q, ids, x, k, best)
-                yield pd.DataFrame({"query_id": q_ids[qi], "vec_id": ids[ri], "score": score})
+                qi, ri, score = shard_topk(q_rows, _matrix(r.q_dims, r.q_data, width), rows, _matrix(r.dims, r.data, width), k, best)
+                yield pd.DataFrame({"q_row": q_rows[qi], "query_id": q_ids[qi], "vec_id": ids[ri], "row": rows[ri], "score": score})
 
-    found = pairs.select("block", "ids", "dims", "data", "q_ids", "q_dims", "q_data").mapInPandas(
-        search, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = pairs.select("block", "ids", "rows", "dims", "data", "q_ids", "q_rows", "q_dims", "q_data").mapInPandas(
+        search, "q_row long, query_id long, vec_id long, row long, score long")
+    order = Window.partitionBy("q_row").orderBy(F.desc("score"), "vec_id", "row")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -70,12 +70,12 @@ def op5_decontamination(spark, d):
 
 
 @register("op3_maxscore", """
-WITH v AS (SELECT vec_id, min([floor(64 * x::DOUBLE) for x in embedding]) AS q FROM embeddings
+WITH v AS (SELECT vec_id, row_number() OVER () AS r, [floor(64 * x::DOUBLE) for x in embedding] AS q FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding
-                 if x IS NULL OR isnan(x) OR isinf(x)]) = 0 GROUP BY vec_id),
-s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
-      FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id)
-SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+                 if x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+s AS (SELECT a.r, a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.r <> b.r)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
        vec_id, score FROM s QUALIFY rank <= 20""")
 def op3_maxscore(spark, d):
     from pyspark.sql import functions as F
@@ -100,7 +100,7 @@ def op2_quality(spark, d):
     docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
     scored = score_documents(docs, learn(docs, quality_training(docs, labels)))
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
-    return scored.select("doc_id", held.alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 @register("op9_bagminhash")

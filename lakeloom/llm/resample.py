@@ -127,7 +127,7 @@ def bucket_counts(texts: DataFrame, text_col: str = "text", buckets: int = BUCKE
     counts = (texts.select(F.col(text_col).cast("string").cast("binary").alias("text"))
               .mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")))
     out = np.zeros(buckets, np.int64)
-    for row in counts.toLocalIterator():    # at most ``buckets`` rows
+    for row in counts.collect():            # at most ``buckets`` rows
         out[row.bucket] = row.n
     return out
 
@@ -189,7 +189,7 @@ def ranked(rows: DataFrame, after: int, purpose: str) -> DataFrame:
     parts = max(1, -(-rows.count() // RANGE_ROWS))
     dealt = written(rows.repartitionByRange(parts, *order).withColumn("range", F.spark_partition_id()), purpose)
     before, starts = after, {}
-    for r in dealt.groupBy("range").count().orderBy("range").toLocalIterator():     # one row per range
+    for r in dealt.groupBy("range").count().orderBy("range").collect():     # one row per range
         starts[r["range"]] = before
         before += r["count"]
     offsets = rows.sparkSession.createDataFrame(list(starts.items()), "range int, before long")

@@ -31,7 +31,7 @@ def bitmap(keys: DataFrame, key: Column, bits: int = BITS) -> np.ndarray:
     out = np.zeros((1 << bits) // 8, np.uint8)
     size = (1 << PAGE) // 8
     pages = slots.groupBy(F.shiftright("slot", PAGE)).applyInPandas(page, "page long, data binary")
-    for row in pages.toLocalIterator():     # at most 2 ** (bits - PAGE) pages of 8 KB
+    for row in pages.collect():             # at most 2 ** (bits - PAGE) pages of 8 KB: the bitmap itself
         out[row.page * size:(row.page + 1) * size] = np.frombuffer(row.data, np.uint8)
     return out
 

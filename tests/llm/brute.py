@@ -153,15 +153,12 @@ def near_classes(docs, similar=0.8):
 
 # ------------------------------------------------------------------ search
 def top_k(vectors, k=20):
-    usable = {}
-    for i, v in vectors:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            q = [math.floor(64 * x) for x in v]
-            usable[i] = min(usable.get(i, q), q)
+    usable = [(i, [math.floor(64 * x) for x in v]) for i, v in vectors
+              if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for i, v in usable.items():
+    for a, (i, v) in enumerate(usable):
         if i % 20 == 0:
-            best = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in usable.items() if j != i)[:k]
+            best = sorted((-sum(x * y for x, y in zip(v, w)), j) for b, (j, w) in enumerate(usable) if a != b)[:k]
             out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best)]
     return out
 

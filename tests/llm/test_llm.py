@@ -132,6 +132,25 @@ def test_maxscore(spark):
     assert none.count() == 0
 
 
+def test_maxscore_keeps_rows_that_share_an_id(spark):
+    from pyspark.sql import functions as F
+
+    from lakeloom.llm.maxscore import integer_vectors, top_k
+    vecs = [(20, [1.0, 0.5]), (20, [0.25, 1.0]), (3, [1.0, 1.0]), (3, [1.0, 1.0]), (7, [-1.0, 0.0])]
+    df = spark.createDataFrame(vecs, "vec_id long, embedding array<double>")
+    got = result(top_k(integer_vectors(df, "vec_id", "embedding"), F.col("id") % 20 == 0, 20), "query_id", "rank", "vec_id", "score")
+    assert same(got, brute.top_k(vecs)) and len(got) == 8
+
+
+def test_clean_documents_with_clashing_names(spark):
+    from lakeloom.llm.decontaminate import clean_documents
+    text = " ".join(f"w{i}" for i in range(12))
+    df = spark.createDataFrame([(1, text, 1, 2, 3, 4), (2, "clean words", 5, 6, 7, 8)],
+                               "doc_id long, text string, _key int, _hit int, key int, row int")
+    bench = spark.createDataFrame([(1, text)], "item_id long, text string")
+    assert [tuple(r) for r in clean_documents(df, bench).collect()] == [(2, "clean words", 5, 6, 7, 8)]
+
+
 def test_maxscore_shards_and_pruning():
     from lakeloom.llm.maxscore import shard_topk
     rng = np.random.default_rng(1)

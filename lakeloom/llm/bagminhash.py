@@ -68,7 +68,7 @@ SLOTS = BANDS * ROWS
 #: a further round follows while the last one settled this share of the members it tried.
 LEADS, WORTH = (0, 7), 0.1
 #: Hash classes of the elements, members of a block, and pairs of blocks that a worker holds (step 4).
-CLASSES, BLOCK, BLOCK_ROWS = 256, 512, "16"
+CLASSES, BLOCK, BLOCK_ROWS = 256, 512, "4"
 SLICE = 128
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)               # splitmix64's increment and multipliers
@@ -158,7 +158,8 @@ def _text_key(words: list[bytes]) -> bytes:
 
 
 def _bytes_key(text):
-    return F.unhex(F.md5(text.cast("binary")))
+    """Hash of a text's bytes; empty for NULL (never NULL: joins on it stay dealt by it)."""
+    return F.coalesce(F.unhex(F.md5(text.cast("binary"))), F.lit(b""))
 
 
 def signed(docs: DataFrame) -> DataFrame:
@@ -366,5 +367,5 @@ def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             .unionByName(named.where("comp IS NULL").select("id", "key"))
             .selectExpr("id AS keep_id", "key AS keep_key").distinct())
     keyed = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), _bytes_key(text).alias("key"))
-    kept = keyed.join(keep, (F.col("id") == F.col("keep_id")) & F.col("key").eqNullSafe(F.col("keep_key")), "left_semi")
+    kept = keyed.join(keep, (F.col("id") == F.col("keep_id")) & (F.col("key") == F.col("keep_key")), "left_semi")
     return kept.dropDuplicates(["id", "key"]).unionByName(keyed.where("id IS NULL")).select("row.*")

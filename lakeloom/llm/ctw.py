@@ -1,43 +1,42 @@
 """Language-model scoring by context-tree weighting over bytes.
 
-A text is read as its tokens (runs of non-blank bytes, A-Z lower-cased) and an
-end.  A token is coded byte by byte, then a mark that ends it; the end of the
-text is one more symbol at the start of a token.  A byte's context are the up
-to ``DEPTH`` bytes before it within its token, the token's start included, so a
-short token is known whole and the code length of a token is the same wherever
-it stands.  Each byte is decomposed into 8 binary choices; every pair of a
-context (of each length from 0 to ``DEPTH``) and a prefix of the byte's bits has
-a Krichevsky-Trofimov estimate.  Weighting mixes the estimates of all depths:
-a node's probability is half its own estimate and half the product of its
-children's, which after training gives each node the share it keeps for its
-own estimate and the share it leaves to longer contexts.  A context not met in
-training has no node; the longest one that was met predicts alone.
+A text is read as its tokens (runs of non-blank bytes, A-Z lower-cased), each
+followed by one blank, and an end.  This sequence is coded byte by byte.  A
+byte's context are the up to ``DEPTH`` bytes before it, across blanks into the
+tokens before, the text's start included.  Each byte is decomposed into 8 binary
+choices; every pair of a context (of each length from 0 to ``DEPTH``) and a
+prefix of the byte's bits has a Krichevsky-Trofimov estimate.  Weighting mixes
+the estimates of all depths: a node's probability is half its own estimate and
+half the product of its children's, which after training gives each node the
+share it keeps for its own estimate and the share it leaves to the longer
+context.  A longer context that training never met says one half.
 
 The model is as large as the corpus makes it, so it stays distributed, cut below
 its two-symbol contexts; only the crown above the cut (at most 258 contexts of
 255 nodes) is broadcast.
-Texts are read once:
-
-1. A pass over the scan turns each block of documents (bounded in bytes) into
-   its distinct tokens, one row each with the number of training occurrences,
-   and one row with the block's postings.  A token in all documents is one row
-   per block, so no key is hotter than the number of blocks.
-2. Tokens are counted; distinct tokens, in bounded groups, give the distinct
-   (context, byte) keys with their training counts.
+
+1. A pass over the scan packs documents into blocks (bounded in bytes): one row
+   with the coded texts, and one row for each distinct key, with its number of
+   training occurrences.  A key is a (context, byte) of 53 bits, or, with the
+   sign set, a 63-bit digest of a token, for the base score.  Keys of all texts
+   are one row per block, so no key is hotter than the number of blocks.
+2. Keys are counted.
 3. Parts of the tree get their node counts and weights, bottom up, then their
-   mixtures, top down from the crown.
-4. Keys get their probability, tokens their code length, and the code lengths
-   go back to the blocks, where the postings turn them into sums per document.
+   mixtures, top down from the crown, and price their keys.
+4. Prices (counts for tokens) go back to the blocks, where each text's are
+   summed.
 
 Defined cases: NULL text is empty (one token, the end); repeated rows count and
 are scored each; without training texts every bit costs one bit and the base
 score is 0 per token; ids may be NULL; an empty table gives an empty result;
-other columns are ignored.
+other columns are ignored.  Two tokens of one digest would share their count:
+expected pairs among a billion distinct tokens, 0.05.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -48,68 +47,114 @@ from pyspark.sql import functions as F
 
 from lakeloom.llm.store import written
 
-DEPTH = 6
-#: Bytes and documents of a block, and distinct tokens of a group.
-BLOCK_BYTES, BLOCK_DOCS, GROUP = 16 << 20, 60_000, 250_000
+DEPTH = 5
+#: Bytes and documents of a block, and positions worked on at once.
+BLOCK_BYTES, BLOCK_DOCS, STEP = 32 << 20, 60_000, 1 << 20
 #: Keys of a part of the tree, on average.
 PART = 100_000
-#: A-Z lower-cased, blanks (space, tab to carriage return) to one blank.
-FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if b in (9, 10, 11, 12, 13) else b for b in range(256))
-#: Context symbols take 9 bits: 0 none, byte + 1, or the token's start.
+#: Context symbols take 9 bits: 0 none, byte + 1, or the text's start.
 BITS, START = 9, 257
-END_TOKEN, END_TEXT = 0x20, 0x0A
-TEXT_END_KEY = END_TEXT | START << 8
+END_TEXT = b"\n"
+
+
+# ------------------------------------------------------------- keys of texts
+
+def coded(text: bytes | None) -> bytes:
+    """The bytes to code: folded tokens, a blank after each, and the end."""
+    words = text.lower().split() if text else []
+    return b" ".join(words) + b" " + END_TEXT if words else END_TEXT
+
+
+def symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' symbols, each text behind ``DEPTH`` places of which the last
+    is its start; and the place of each text's first byte."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + DEPTH
+    first = np.cumsum(sizes) - sizes + DEPTH
+    blank = bytes(DEPTH)
+    out = np.frombuffer(blank + blank.join(texts), np.uint8).astype(np.uint16) + 1
+    for k in range(1, DEPTH + 1):
+        out[first - k] = START if k == 1 else 0
+    return out, first
+
+
+def keys_between(symbol: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+    """Key (byte and context) of the places ``lo`` to ``hi``, and which of them
+    hold a byte.  ``lo`` is at least ``DEPTH``."""
+    here = symbol[lo:hi]
+    real = (here > 0) & (here < START)
+    key = here.astype(np.int64) - 1
+    for k in range(DEPTH):
+        key |= symbol[lo - k - 1:hi - k - 1].astype(np.int64) << (8 + BITS * k)
+    return key, real
+
+
+def counted(symbol: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of the places ``lo`` to ``hi`` and how often each occurs."""
+    keys, counts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for at in range(max(lo, DEPTH), hi, STEP):
+        key, real = keys_between(symbol, at, min(at + STEP, hi))
+        k, c = np.unique(key[real], return_counts=True)
+        keys.append(k)
+        counts.append(c)
+    return merged(np.concatenate(keys), np.concatenate(counts))
+
+
+def merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    found, which = np.unique(keys, return_inverse=True)
+    return found, np.bincount(which, weights=counts, minlength=len(found)).astype(np.int64)
+
+
+def token_key(word: bytes) -> int:
+    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True) | -1 << 63
+
+
+def token_codes(texts: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Keys of the distinct tokens, and each text's tokens as places in them."""
+    code: dict[bytes, int] = {}
+    each = [np.fromiter((code.setdefault(w, len(code)) for w in t.split()), np.int64) for t in texts]
+    return np.fromiter(map(token_key, code), np.int64, len(code)), each
 
 
 # ------------------------------------------------------------- blocks of texts
 
+INDEX_SCHEMA = pa.schema([("block", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("ids", pa.list_(pa.int64())),
+                          ("sizes", pa.list_(pa.int64())), ("texts", pa.binary())])
+INDEX_TYPE = "block long, key long, n long, ids array<long>, sizes array<long>, texts binary"
+
+
 def _block(number: int, docs: list[tuple]) -> Iterator[pa.RecordBatch]:
-    """Rows of one block: the postings row (code -1), then one row per token."""
-    code: dict[bytes, int] = {}
-    codes, sizes = [], []
-    for _, _, text in docs:
-        words = text.translate(FOLD).split(b" ") if text else []
-        c = [code.setdefault(w, len(code)) for w in words if w]
-        codes.append(np.array(c, np.int64))
-        sizes.append(len(c))
-    train = np.array([not held for _, held, _ in docs], bool)
-    doc = np.repeat(np.arange(len(docs)), sizes)
-    flat = np.concatenate(codes) if codes else np.empty(0, np.int64)
-    pair, count = np.unique(flat * len(docs) + doc, return_counts=True)
-    of, at = pair // max(1, len(docs)), pair % max(1, len(docs))
-    n_train = np.bincount(of, weights=count * train[at], minlength=len(code)).astype(np.int64)
-    schema = INDEX_SCHEMA
+    """Rows of one block: the texts (key NULL, training texts first, ``n`` of
+    them), then one row per distinct key."""
+    docs.sort(key=lambda d: d[1])
+    texts, n_train = [d[2] for d in docs], sum(not d[1] for d in docs)
     yield pa.RecordBatch.from_arrays([
-        pa.array([number], pa.int64()), pa.array([-1], pa.int32()), pa.array([None], pa.binary()),
-        pa.array([int(train.sum())], pa.int64()), pa.array([[d[0] for d in docs]], pa.list_(pa.int64())),
-        pa.array([train.tobytes()], pa.binary()), 
-        pa.array([np.bincount(of, minlength=len(code)).astype(np.uint16).tobytes()], pa.binary()),
-        pa.array([at.astype(np.uint16).tobytes()], pa.binary()), pa.array([count.astype(np.uint32).tobytes()], pa.binary())],
-        schema=schema)
-    words = list(code)
-    for lo in range(0, len(words), 50_000):
-        n = len(words[lo:lo + 50_000])
-        none = [pa.nulls(n, f.type) for f in list(schema)[4:]]
-        yield pa.RecordBatch.from_arrays([
-            pa.array(np.full(n, number), pa.int64()), pa.array(np.arange(lo, lo + n), pa.int32()),
-            pa.array(words[lo:lo + n], pa.binary()), pa.array(n_train[lo:lo + n], pa.int64()), *none], schema=schema)
-
-
-INDEX_SCHEMA = pa.schema([("block", pa.int64()), ("code", pa.int32()), ("word", pa.binary()), ("n", pa.int64()),
-                          ("ids", pa.list_(pa.int64())), ("train", pa.binary()), ("df", pa.binary()),
-                          ("docs", pa.binary()), ("counts", pa.binary())])
-INDEX_TYPE = "block long, code int, word binary, n long, ids array<long>, train binary, df binary, docs binary, counts binary"
+        pa.array([number], pa.int64()), pa.array([None], pa.int64()), pa.array([n_train], pa.int64()),
+        pa.array([[d[0] for d in docs]], pa.list_(pa.int64())), pa.array([[len(t) for t in texts]], pa.list_(pa.int64())),
+        pa.array([b"".join(texts)], pa.binary())], schema=INDEX_SCHEMA)
+    symbol, first = symbols(texts)
+    cut = int(first[n_train]) if n_train < len(texts) else len(symbol)
+    taught, n = counted(symbol, 0, cut)
+    other, _ = counted(symbol, cut, len(symbol))
+    words, each = token_codes(texts)
+    n_words = np.bincount(np.concatenate([*each[:n_train], np.empty(0, np.int64)]), minlength=len(words))
+    key, n = merged(np.concatenate([taught, other, words]),
+                    np.concatenate([n, np.zeros(len(other), np.int64), n_words.astype(np.int64)]))
+    for lo in range(0, len(key), 50_000):
+        k = key[lo:lo + 50_000]
+        none = [pa.nulls(len(k), f.type) for f in list(INDEX_SCHEMA)[3:]]
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), number), pa.int64()), pa.array(k, pa.int64()),
+                                          pa.array(n[lo:lo + 50_000], pa.int64()), *none], schema=INDEX_SCHEMA)
 
 
 def block_index(docs: DataFrame) -> DataFrame:
-    """Postings and tokens of blocks of ``docs`` (``id, held, text``)."""
+    """Texts and keys of blocks of ``docs`` (``id, held, text``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, seq, part, size = TaskContext.get().partitionId() << 32, 0, [], 0
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
-                for row in zip(*(c.slice(lo, 64).to_pylist() for c in batch.columns)):
-                    part.append(row)
-                    size += len(row[2] or b"")
+                for id_, held, text in zip(*(c.slice(lo, 64).to_pylist() for c in batch.columns)):
+                    part.append((id_, held, coded(text)))
+                    size += len(part[-1][2])
                     if size >= BLOCK_BYTES or len(part) >= BLOCK_DOCS:
                         yield from _block(base + seq, part)
                         seq, part, size = seq + 1, [], 0
@@ -118,35 +163,6 @@ def block_index(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, INDEX_TYPE)
 
 
-# ------------------------------------------------------------- contexts of tokens
-
-def token_keys(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Key (byte and context) of every coding step of the tokens, and the
-    token's number."""
-    buf = np.frombuffer(b" ".join(words) + b" ", np.uint8).astype(np.int64)
-    steps = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    start = np.cumsum(steps) - steps
-    pos = np.arange(len(buf)) - np.repeat(start, steps)
-    key = buf.copy()
-    key[start + steps - 1] = END_TOKEN
-    for k in range(DEPTH):
-        before = np.zeros(len(buf), np.int64)
-        before[k + 1:] = buf[:max(0, len(buf) - k - 1)] + 1
-        key |= np.where(pos > k, before, np.where(pos == k, START, 0)) << (8 + BITS * k)
-    return key, np.repeat(np.arange(len(words)), steps)
-
-
-def group_keys(tokens: DataFrame) -> DataFrame:
-    """``grp, key, n``: the distinct keys of every group of ``tokens`` (``grp,
-    word, n``), with their occurrences in training."""
-    def run(pdf):
-        key, of = token_keys(pdf["word"].tolist())
-        found, which = np.unique(key, return_inverse=True)
-        n = np.bincount(which, weights=pdf["n"].to_numpy(np.float64)[of], minlength=len(found))
-        return pd.DataFrame({"grp": np.full(len(found), pdf["grp"].iloc[0]), "key": found, "n": n.astype(np.int64)})
-    return tokens.groupBy("grp").applyInPandas(run, "grp long, key long, n long")
-
-
 # ------------------------------------------------------------- the tree
 
 def lgamma(x: np.ndarray) -> np.ndarray:
@@ -212,14 +228,14 @@ class Subtrees:
                                           "kt": (n1 + 0.5) / (n0 + n1 + 1)}
 
     def mix(self, top: dict) -> None:
-        """Top down: probability of a 1 where no longer context is known."""
+        """Top down: probability of a 1 where no longer context was met."""
         above = top
         for depth in range(2, DEPTH + 1):
             level = self.levels[depth]
             up = (level["ids"] >> 8 & _mask(depth - 1)) << 8 | level["ids"] & 255
             at = np.searchsorted(above["ids"], up)
             said, left = above["said"][at], above["left"][at]
-            level["p"] = said + left * level["kt"]
+            level["p"] = said + left * (level["keep"] * level["kt"] + (1 - level["keep"]) / 2)
             level["said"], level["left"] = said + left * level["keep"] * level["kt"], left * (1 - level["keep"])
             above = level
 
@@ -249,7 +265,7 @@ def bottom(keys: DataFrame) -> DataFrame:
     def run(pdf):
         key, n = pdf["key"].to_numpy(), pdf["n"].to_numpy()
         two = Subtrees(key, n).levels[2]
-        start = (key >> 8 == START) & (n > 0)       # a token's first byte: the context ends at one symbol
+        start = (key >> 8 == START) & (n > 0)       # a text's first byte: the context ends at one symbol
         ids = [two["ids"]] + [i for i, _ in _paths(key[start] >> 8, key[start] & 255)]
         n1 = [two["n1"]] + [n[start] * bit for _, bit in _paths(key[start] >> 8, key[start] & 255)]
         n0 = [two["n0"]] + [n[start] * (1 - bit) for _, bit in _paths(key[start] >> 8, key[start] & 255)]
@@ -274,8 +290,8 @@ def crown(one: pd.DataFrame) -> dict:
     _, r_keep = weigh(log_kt(r0, r1), add(w), np.zeros(len(root), bool))
     r_kt = (r1 + 0.5) / (r0 + r1 + 1)
     said, left = (r_keep * r_kt)[which], (1 - r_keep)[which]
-    return {"ids": ids, "p": said + left * kt, "said": said + left * keep * kt, "left": left * (1 - keep),
-            "root_ids": root, "root_p": r_kt}
+    return {"ids": ids, "p": said + left * (keep * kt + (1 - keep) / 2), "said": said + left * keep * kt, "left": left * (1 - keep),
+            "root_ids": root, "root_p": r_keep * r_kt + (1 - r_keep) / 2}
 
 
 def key_costs(keys: DataFrame) -> DataFrame:
@@ -301,63 +317,51 @@ def key_costs(keys: DataFrame) -> DataFrame:
 
 def score_documents(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, held_out, n_tokens, n_known, train_tokens, base_score, score``
-    (log10 probabilities) for every row; rows where ``held`` is true teach nothing."""
+    (log10 probabilities) and ``n_coded, bits_per_byte`` (bytes coded and code
+    length of each) for every row; rows where ``held`` is true teach nothing."""
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(held, F.lit(False)).alias("held"),
                          F.col(text_col).cast("string").cast("binary").alias("text"))
     index = written(block_index(source), "blocks")
-    tokens = index.where("code >= 0").select("block", "code", "word", "n")
-    texts = index.where("code = -1")
+    texts = index.where("key IS NULL").select("block", "n", "ids", "sizes", "texts")
+    rows = index.where("key IS NOT NULL").select("block", "key", "n")
+    keys = written(rows.groupBy("key").agg(F.sum("n").alias("n")), "keys")
     n_texts = texts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    words = tokens.groupBy("word").agg(F.sum("n").alias("n"))
-    words = written(words, "words")
-    total, kinds, all_words = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1)), F.count("word")).first()
+    total, kinds = keys.where("key < 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
     total, kinds = total + n_texts, kinds + (1 if n_texts else 0)
 
-    groups = max(1, -(-all_words // GROUP))
-    grouped = words.withColumn("grp", F.pmod(F.xxhash64("word"), F.lit(groups)))
-    by_group = written(group_keys(grouped), "keys")
-    end = docs.sparkSession.createDataFrame([(TEXT_END_KEY, n_texts)], "key long, n long")
-    keys = written(by_group.select("key", "n").unionByName(end).groupBy("key").agg(F.sum("n").alias("n")), "key-counts")
-    costs = written(key_costs(keys), "key-costs")
-    end_lp = costs.where(F.col("key") == TEXT_END_KEY).first().lp
-
-    def spell(left, right):
-        if not len(left):
-            return pd.DataFrame({"word": [], "c": [], "lp": []})
-        o = np.argsort(right["key"].to_numpy())
-        keys, lp = right["key"].to_numpy()[o], right["lp"].to_numpy()[o]
-        key, of = token_keys(left["word"].tolist())
-        cost = np.bincount(of, weights=lp[np.searchsorted(keys, key)], minlength=len(left))
-        return pd.DataFrame({"word": left["word"], "c": left["n"], "lp": cost})
-
-    priced = (grouped.groupBy("grp").cogroup(by_group.join(costs, "key").select("grp", "key", "lp").groupBy("grp"))
-              .applyInPandas(spell, "word binary, c long, lp double"))
-    answers = tokens.select("block", "code", "word").join(priced, "word").select(F.col("block").alias("of_block"), "code", "c", "lp")
+    values = (key_costs(keys.where("key >= 0")).withColumnRenamed("lp", "value")
+              .unionByName(keys.where("key < 0").select("key", F.col("n").cast("double").alias("value"))))
+    answers = rows.select("block", "key").join(values, "key").select(F.col("block").alias("of_block"), "key", "value")
     log_all = float(np.log10(total + 0.5 * (kinds + 1)))
     end_base = float(np.log10(n_texts + 0.5)) - log_all
-    ln10 = float(np.log(10))
 
     def add_up(left, right):
         r = left.iloc[0]
-        ids, train = r["ids"], np.frombuffer(r["train"], bool)
-        df = np.frombuffer(r["df"], np.uint16)
-        n_codes = len(df)
-        c, lp = np.zeros(n_codes, np.int64), np.zeros(n_codes)
-        c[right["code"].to_numpy()] = right["c"].to_numpy()
-        lp[right["code"].to_numpy()] = right["lp"].to_numpy()
-        doc, count = np.frombuffer(r["docs"], np.uint16), np.frombuffer(r["counts"], np.uint32)
-        of = np.repeat(np.arange(n_codes), df)
-        add = lambda w: np.bincount(doc, weights=w, minlength=len(train))
-        n_tokens = add(count) + 1
+        cuts = np.cumsum(np.concatenate([[0], r["sizes"]])).tolist()
+        texts = [r["texts"][a:b] for a, b in zip(cuts, cuts[1:])]
+        order = np.argsort(right["key"].to_numpy())
+        key, value = right["key"].to_numpy()[order], right["value"].to_numpy()[order]
+        words, each = token_codes(texts)
+        c = value[np.searchsorted(key, words)]
+        base = [float(np.log10(c[t] + 0.5).sum()) - len(t) * log_all + end_base for t in each]
+        known = [int(np.count_nonzero(c[t])) + (n_texts > 0) for t in each]
+        symbol, first = symbols(texts)
+        cost = np.zeros(len(texts))
+        for lo in range(DEPTH, len(symbol), STEP):
+            hi = min(lo + STEP, len(symbol))
+            k, real = keys_between(symbol, lo, hi)
+            lp = np.zeros(hi - lo)
+            lp[real] = value[np.searchsorted(key, k[real])]
+            a, b = np.searchsorted(first, [lo, hi - 1], "right") - 1
+            cost[a:b + 1] += np.add.reduceat(lp, np.maximum(first[a:b + 1], lo) - lo)
         return pd.DataFrame({
-            "id": pd.array([None if i is None or i != i else int(i) for i in ids], "Int64"), "held_out": ~train,
-            "n_tokens": n_tokens.astype(np.int64),
-            "n_known": (add(count * (c[of] > 0)) + (n_texts > 0)).astype(np.int64),
-            "base_score": add(count * (np.log10(c[of] + 0.5) - log_all)) + end_base,
-            "score": (add(count * lp[of]) + end_lp) / ln10})
-
-    out = (texts.select("block", "ids", "train", "df", "docs", "counts").groupBy("block")
-           .cogroup(answers.groupBy("of_block"))
-           .applyInPandas(add_up, "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"))
+            "id": pd.array([None if i is None or i != i else int(i) for i in r["ids"]], "Int64"),
+            "held_out": np.arange(len(texts)) >= r["n"], "n_tokens": np.fromiter(map(len, each), np.int64, len(each)) + 1,
+            "n_known": np.array(known, np.int64), "base_score": base, "score": cost / np.log(10),
+            "n_coded": np.array(r["sizes"], np.int64), "bits_per_byte": -cost / np.log(2) / np.array(r["sizes"])})
+
+    out = (texts.groupBy("block").cogroup(answers.groupBy("of_block"))
+           .applyInPandas(add_up, "id long, held_out boolean, n_tokens long, n_known long, base_score double, "
+                                  "score double, n_coded long, bits_per_byte double"))
     return out.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known",
-                      F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+                      F.lit(total).cast("long").alias("train_tokens"), "base_score", "score", "n_coded", "bits_per_byte")

@@ -28,21 +28,17 @@ def context_tree(docs, held, depth):
     total, kinds = sum(count.values()) + ends, len(count) + (1 if ends else 0)
     log_all = math.log10(total + .5 * (kinds + 1))
 
-    def steps(w):
-        s = (257,) + tuple(b + 1 for b in w)
-        for j in range(len(w) + 1):
-            yield s[max(0, j + 1 - depth):j + 1], (w[j] if j < len(w) else 0x20)
+    def steps(t):
+        text = b"".join(w + b" " for w in t) + b"\n"
+        s = (257,) + tuple(b + 1 for b in text)
+        for j, b in enumerate(text):
+            yield s[max(0, j + 1 - depth):j + 1], b
     nodes = defaultdict(lambda: [0, 0])
-
-    def feed(ctx, b, n):
-        for d in range(len(ctx) + 1):
-            for k in range(8):
-                nodes[ctx[len(ctx) - d:], (256 | b) >> (8 - k)][(b >> (7 - k)) & 1] += n
-    for w, n in count.items():
-        for c, b in steps(w):
-            feed(c, b, n)
-    if ends:
-        feed((257,), 0x0A, ends)
+    for h, t in zip(held, toks):
+        for ctx, b in steps(t) if not h else ():
+            for d in range(len(ctx) + 1):
+                for k in range(8):
+                    nodes[ctx[len(ctx) - d:], (256 | b) >> (8 - k)][(b >> (7 - k)) & 1] += 1
     kids, weight, keep = defaultdict(list), {}, {}
     for c, u in nodes:
         if c:
@@ -58,18 +54,13 @@ def context_tree(docs, held, depth):
             weight[c, u] = m + math.log(math.exp(own - m) + math.exp(s - m)) - math.log(2)
             keep[c, u] = 1 / (1 + math.exp(max(-700, min(700, s - own))))
 
-    def one(ctx, u):
-        said, left, p = 0, 1, .5
-        for d in range(len(ctx) + 1):
-            c = ctx[len(ctx) - d:]
-            if (c, u) not in nodes:
-                break
-            a, b = nodes[c, u]
-            kt = (b + .5) / (a + b + 1)
-            p = said + left * kt
-            said += left * keep[c, u] * kt
-            left *= 1 - keep[c, u]
-        return p
+    def one(ctx, u, d=0):
+        c = ctx[len(ctx) - d:]
+        if (c, u) not in nodes:
+            return .5
+        a, b = nodes[c, u]
+        own, share = (b + .5) / (a + b + 1), keep[c, u]
+        return own if share == 1 and d == len(ctx) else share * own + (1 - share) * one(ctx, u, d + 1)
 
     def cost(ctx, b):
         ps = [one(ctx, (256 | b) >> (8 - k)) for k in range(8)]
@@ -77,7 +68,7 @@ def context_tree(docs, held, depth):
     out = []
     for (i, _), h, t in zip(docs, held, toks):
         base = sum(math.log10(count[w] + .5) - log_all for w in t) + math.log10(ends + .5) - log_all
-        score = sum(cost(c, b) for w in t for c, b in steps(w)) + cost((257,), 0x0A)
+        score = sum(cost(c, b) for c, b in steps(t))
         out.append((i, h, len(t) + 1, sum(count[w] > 0 for w in t) + (ends > 0), total, base, score / math.log(10)))
     return out
 

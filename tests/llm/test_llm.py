@@ -59,6 +59,31 @@ def test_context_tree(spark, docs):
         g = got[w[0], w[2]]
         assert tuple(g)[:5] == w[:5]
         assert g.base_score == pytest.approx(w[5], rel=1e-9) and g.score == pytest.approx(w[6], rel=1e-6)
+        assert g.bits_per_byte * g.n_coded == pytest.approx(-g.score * np.log2(10))
+
+
+def test_context_tree_reads_across_tokens(spark, monkeypatch):
+    """Shuffled words cost more than the words in order; a text is scored alike
+    whatever the size of blocks and steps."""
+    from pyspark.sql import functions as F
+
+    from lakeloom.llm import ctw
+    rng = random.Random(5)
+    order = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta"]
+    prose = [" ".join(order[(k + j) % 6] for j in range(60)) for k in range(6)]
+    salad = [" ".join(rng.sample(p.split(), 60)) for p in prose]
+    rows = [(k, t) for k, t in enumerate(prose * 4)] + [(100 + k, t) for k, t in enumerate(prose)] + \
+           [(200 + k, t) for k, t in enumerate(salad)]
+    df, held = docs_df(spark, rows), F.col("doc_id") >= 100
+    one = {r.doc_id: r for r in ctw.score_documents(df, held).collect()}
+    assert all(one[200 + k].score < 2 * one[100 + k].score and one[200 + k].base_score == pytest.approx(one[100 + k].base_score)
+               for k in range(6))
+    texts = [ctw.coded(t.encode()) for t in salad]
+    symbol, _ = ctw.symbols(texts)
+    want = ctw.counted(symbol, 0, len(symbol))
+    monkeypatch.setattr(ctw, "STEP", 37)
+    got = ctw.counted(symbol, 0, len(symbol))
+    assert all((a == b).all() for a, b in zip(want, got)) and want[1].sum() == sum(map(len, texts))
 
 
 def test_context_tree_without_training_and_empty(spark):
@@ -66,17 +91,16 @@ def test_context_tree_without_training_and_empty(spark):
 
     from lakeloom.llm.ctw import score_documents
     r = score_documents(docs_df(spark, [(1, "ab")]), F.lit(True)).first()
-    # no training: a bit costs a bit: three steps of the token, one end; base 0 a token
+    # no training: a bit costs a bit: two bytes of the token, a blank, the end; base 0 a token
     assert r.n_known == 0 and r.train_tokens == 0 and r.base_score == pytest.approx(0) and \
         r.score == pytest.approx(-32 * np.log10(2))
     assert score_documents(docs_df(spark, []), F.lit(False)).count() == 0
 
 
 def test_tree_predictions_sum_to_one():
-    from lakeloom.llm.ctw import BITS, START, Subtrees, crown
-    from lakeloom.llm.ctw import token_keys
-    key, _ = token_keys([b"abab", b"abc", b"the"] * 4)
-    found, n = np.unique(key, return_counts=True)
+    from lakeloom.llm.ctw import BITS, START, Subtrees, counted, crown, symbols
+    symbol, _ = symbols([b"abab abc the \n"] * 4)
+    found, n = counted(symbol, 0, len(symbol))
     import pandas as pd
     tree = Subtrees(found, n)
     two = tree.levels[2]

@@ -71,7 +71,8 @@ def symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + DEPTH
     first = np.cumsum(sizes) - sizes + DEPTH
     blank = bytes(DEPTH)
-    out = np.frombuffer(blank + blank.join(texts), np.uint8).astype(np.uint16) + 1
+    out = np.frombuffer(blank.join([b"", *texts]), np.uint8).astype(np.uint16)
+    out += 1
     for k in range(1, DEPTH + 1):
         out[first - k] = START if k == 1 else 0
     return out, first
@@ -90,12 +91,16 @@ def keys_between(symbol: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.n
 
 def counted(symbol: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys of the places ``lo`` to ``hi`` and how often each occurs."""
-    keys, counts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    keys, counts, size = [np.empty(0, np.int64)], [np.empty(0, np.int64)], 0
     for at in range(max(lo, DEPTH), hi, STEP):
         key, real = keys_between(symbol, at, min(at + STEP, hi))
         k, c = np.unique(key[real], return_counts=True)
         keys.append(k)
         counts.append(c)
+        size += len(k)
+        if size > 2 * STEP + len(keys[0]):
+            k, c = merged(np.concatenate(keys), np.concatenate(counts))
+            keys, counts, size = [k], [c], len(k)
     return merged(np.concatenate(keys), np.concatenate(counts))
 
 
@@ -111,7 +116,7 @@ def token_key(word: bytes) -> int:
 def token_codes(texts: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
     """Keys of the distinct tokens, and each text's tokens as places in them."""
     code: dict[bytes, int] = {}
-    each = [np.fromiter((code.setdefault(w, len(code)) for w in t.split()), np.int64) for t in texts]
+    each = [np.fromiter((code.setdefault(w, len(code)) for w in t.split()), np.int32) for t in texts]
     return np.fromiter(map(token_key, code), np.int64, len(code)), each
 
 
@@ -130,13 +135,13 @@ def _block(number: int, docs: list[tuple]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([
         pa.array([number], pa.int64()), pa.array([None], pa.int64()), pa.array([n_train], pa.int64()),
         pa.array([[d[0] for d in docs]], pa.list_(pa.int64())), pa.array([[len(t) for t in texts]], pa.list_(pa.int64())),
-        pa.array([b"".join(texts)], pa.binary())], schema=INDEX_SCHEMA)
+        pa.array([pa.compress(b"".join(texts), "zstd", asbytes=True)], pa.binary())], schema=INDEX_SCHEMA)
     symbol, first = symbols(texts)
     cut = int(first[n_train]) if n_train < len(texts) else len(symbol)
     taught, n = counted(symbol, 0, cut)
     other, _ = counted(symbol, cut, len(symbol))
     words, each = token_codes(texts)
-    n_words = np.bincount(np.concatenate([*each[:n_train], np.empty(0, np.int64)]), minlength=len(words))
+    n_words = np.bincount(np.concatenate([*each[:n_train], np.empty(0, np.int32)]), minlength=len(words))
     key, n = merged(np.concatenate([taught, other, words]),
                     np.concatenate([n, np.zeros(len(other), np.int64), n_words.astype(np.int64)]))
     for lo in range(0, len(key), 50_000):
@@ -329,7 +334,8 @@ def score_documents(docs: DataFrame, held: Column, id_col: str = "doc_id", text_
     total, kinds = keys.where("key < 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
     total, kinds = total + n_texts, kinds + (1 if n_texts else 0)
 
-    values = (key_costs(keys.where("key >= 0")).withColumnRenamed("lp", "value")
+    # a price in single precision: its last bytes are zero and pack well
+    values = (key_costs(keys.where("key >= 0")).select("key", F.col("lp").cast("float").cast("double").alias("value"))
               .unionByName(keys.where("key < 0").select("key", F.col("n").cast("double").alias("value"))))
     answers = rows.select("block", "key").join(values, "key").select(F.col("block").alias("of_block"), "key", "value")
     log_all = float(np.log10(total + 0.5 * (kinds + 1)))
@@ -338,9 +344,12 @@ def score_documents(docs: DataFrame, held: Column, id_col: str = "doc_id", text_
     def add_up(left, right):
         r = left.iloc[0]
         cuts = np.cumsum(np.concatenate([[0], r["sizes"]])).tolist()
-        texts = [r["texts"][a:b] for a, b in zip(cuts, cuts[1:])]
+        packed = pa.decompress(r["texts"], cuts[-1], "zstd", asbytes=True)
+        texts = [packed[a:b] for a, b in zip(cuts, cuts[1:])]
+        del packed
         order = np.argsort(right["key"].to_numpy())
         key, value = right["key"].to_numpy()[order], right["value"].to_numpy()[order]
+        del right, order
         words, each = token_codes(texts)
         c = value[np.searchsorted(key, words)]
         base = [float(np.log10(c[t] + 0.5).sum()) - len(t) * log_all + end_base for t in each]

@@ -517,6 +517,27 @@ def q_zorder_facts(spark, d):
                                     partition_col="transaction_month").select(*facts.FACT_COLUMNS)
 
 
+@register("zorder_compacted_facts", with_("facts") + "SELECT * FROM facts")
+def q_zorder_compacted_facts(spark, d):
+    """Three loads of the facts, each one segment a month, then a compaction that
+    packs small segments and unstacks deep ones (target small here, so that the
+    first load's segments are left alone)."""
+    import uuid
+
+    from lakeloom.plans.segments import SegmentedTable
+    from lakeloom.session import cut_lineage, scratch_path
+    table = SegmentedTable(spark, f"lakeloom_{uuid.uuid4().hex[:12]}.t_sales_facts", S.SALES_FACTS.struct(),
+                           scratch_path(spark, "segments"), "transaction_month",
+                           ["customer_id", "product_id", "store_id"], target_bytes=64 * 1024)
+    rows = cut_lineage(spark, sales_facts_df(spark, d))
+    load = F.coalesce(F.pmod(F.col("invoice_id").cast("bigint"), F.lit(8)), F.lit(0))
+    table.append(rows.where(load < 6), 1)
+    table.append(rows.where(load == 6), 2)
+    table.append(rows.where(load == 7), 3)
+    table.compact(4)
+    return table.read().select(*facts.FACT_COLUMNS)
+
+
 # ---------------------------------------------------------- file ingest
 def _quarantine_sql(src: str) -> str:
     """Rows of CTE ``src`` that pass the product rules (quarantine mode)."""

@@ -126,6 +126,54 @@ def test_quality_held_out_accuracy(spark):
     assert all(x.predicted == int(x.score >= 0.7) and 0 <= x.score <= 1 for x in r.values())
 
 
+def test_quality_fit_against_plain_loops(spark):
+    """Pairs, loss and cut restated row by row: no weight can be moved to a lower
+    loss, the cut is the weighted quantile, and the query scores as it says."""
+    import math
+
+    from pyspark.sql import functions as F
+
+    from lakeloom.llm import quality as q
+    from lakeloom.llm.queries import REGISTRY, quality_training, table
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    text = {r.doc_id: r.text for r in docs.collect()}
+    lab = {r.doc_id: r.quality for r in quality_training(docs, labels).collect()}
+    ids = sorted(lab)
+    f = np.array([q.features((text[i] or "").encode()) for i in ids])
+    label = np.array([lab[i] for i in ids])
+    share = float((label == 0).mean())
+    model = q.fit(f, label, share)
+    x = (f - f.mean(0)) / np.maximum(f.std(0), 1e-6)
+    good, bad = [i for i, v in enumerate(label) if v == 1], [i for i, v in enumerate(label) if v == 0]
+    n, pairs = max(len(good), len(bad)), []
+    for k in range(q.OPPONENTS):
+        for i in range(n):
+            pairs.append((good[i % len(good)], bad[(i + k * len(bad) // q.OPPONENTS + i // len(bad)) % len(bad)]))
+    assert {g for g, _ in pairs} == set(good) and {b for _, b in pairs} == set(bad)
+
+    def loss(w):
+        worth = [math.fsum(a * b for a, b in zip(row, w)) for row in x]
+        return math.fsum(math.log1p(math.exp(worth[b] - worth[g])) for g, b in pairs) \
+            + q.RIDGE * len(pairs) * math.fsum(a * a for a in w) / 2
+    best = loss(model.weights)
+    for j in range(q.N_FEATURES):
+        for move in (-1e-2, 1e-2):
+            other = model.weights.copy()
+            other[j] += move
+            assert loss(other) > best - 1e-9
+    worth = sorted((float(x[i] @ model.weights), share / len(bad) if label[i] == 0 else (1 - share) / len(good))
+                   for i in range(len(ids)))
+    below = math.fsum(w for v, w in worth if v <= model.cut)
+    assert below >= share - 1e-6 and below - max(w for _, w in worth) <= share + 1e-6
+    got = {r.doc_id: r for r in REGISTRY["op2_quality"](spark, SF).collect()}
+    for i, t in text.items():
+        v = (np.array(q.features((t or "").encode())) - f.mean(0)) / np.maximum(f.std(0), 1e-6)
+        z = min(30, max(-30, float(v @ model.weights) - model.cut + math.log(q.THRESHOLD / (1 - q.THRESHOLD))))
+        assert got[i].score == pytest.approx(1 / (1 + math.exp(-z)), rel=1e-6)
+        assert got[i].predicted == int(got[i].score >= q.THRESHOLD)
+    assert docs.where(F.col("doc_id").isNull()).count() == 0 and len(got) == len(text)
+
+
 def test_quality_odd_input(spark, docs):
     from lakeloom.llm.quality import keep_good, learn, score_documents
     df = docs_df(spark, docs)
@@ -225,6 +273,71 @@ def test_pii_adds_what_labelers_support(spark):
     assert all(len(got[i].base) == 1 and not got[i].added for i in range(40))
 
 
+def test_pii_reliabilities_against_plain_loops(spark):
+    """EM over the table of vote patterns, restated row by row; the classifier's
+    odds from its posteriors likewise."""
+    import math
+
+    from lakeloom.llm import pii
+    rng = random.Random(4)
+    patterns = {}
+    for _ in range(300):
+        kind = rng.choice(pii.KINDS)
+        votes = tuple(rng.choice((-1, 0, 1, 1)) for _ in pii.LABELERS)
+        patterns[kind, votes, rng.randint(0, 3)] = rng.randint(1, 40)
+    cols = ["kind", *[f"v_{k}" for k in pii.LABELERS], "f_digits", "n"]
+    rows = [(k, *v, f, n) for (k, v, f), n in patterns.items()]
+    df = spark.createDataFrame(rows, "kind string, " + ", ".join(f"{c} int" for c in cols[1:-1]) + ", n long")
+
+    def posterior(kind, votes, reliable, share):
+        odds = math.log(share[kind] / (1 - share[kind]))
+        for k, v in zip(pii.LABELERS, votes):
+            odds += v * math.log(reliable[k] / (1 - reliable[k]))
+        return 1 / (1 + math.exp(-odds))
+    reliable, share = dict(pii.FIRST), {k: .5 for k in pii.KINDS}
+    for _ in range(pii.ROUNDS):
+        agree, cast = dict.fromkeys(pii.LABELERS, 0), dict.fromkeys(pii.LABELERS, 0)
+        yes, seen = dict.fromkeys(pii.KINDS, 0), dict.fromkeys(pii.KINDS, 0)
+        for (kind, votes, _), n in patterns.items():
+            p = posterior(kind, votes, reliable, share)
+            yes[kind] += n * p
+            seen[kind] += n
+            for k, v in zip(pii.LABELERS, votes):
+                if v:
+                    cast[k] += n
+                    agree[k] += n * (p if v == 1 else 1 - p)
+        reliable = {k: min(.99, max(.55, (agree[k] + 10 * pii.FIRST[k]) / (cast[k] + 10))) for k in pii.LABELERS}
+        share = {k: min(.95, max(.05, (yes[k] + 1) / (seen[k] + 2))) for k in pii.KINDS}
+    got_r, got_s = pii.reliabilities(df)
+    assert got_r == pytest.approx(reliable, rel=1e-9) and got_s == pytest.approx(share, rel=1e-9)
+
+    bias, weight = pii.classifier(df, pii._posterior(got_r, got_s))
+    for kind in pii.KINDS:
+        mine = [(f, n, posterior(kind, v, reliable, share)) for (k, v, f), n in patterns.items() if k == kind]
+        y, z = sum(n * p for _, n, p in mine), sum(n * (1 - p) for _, n, p in mine)
+        assert bias[kind] == pytest.approx(math.log((y + 1) / (z + 1)))
+        for value in {f for f, _, _ in mine}:
+            yv = sum(n * p for f, n, p in mine if f == value)
+            zv = sum(n * (1 - p) for f, n, p in mine if f == value)
+            want = math.log((yv + 1) / (y + 2)) - math.log((zv + 1) / (z + 2))
+            assert weight[kind, "digits", value] == pytest.approx(want)
+
+
+def test_pii_written_out_addresses(spark):
+    from lakeloom.llm.pii import find_pii, mask_documents
+    rows = [(i, f"contact email: jane{i}@example.com today") for i in range(40)]
+    rows += [(100 + i, f"contact email: john{i} (at) example.com today") for i in range(10)]
+    rows += [(200, "meet (at) noon, or [at] dusk")]
+    df = docs_df(spark, rows)
+    got = {r.id: r for r in find_pii(df).collect()}
+    for i in range(10):
+        assert [(s.kind, s.value) for s in got[100 + i].added] == [("email", f"john{i} (at) example.com")]
+        assert not got[100 + i].base
+    assert not got[200].added and not got[200].base
+    masked = {r.doc_id: r.text for r in mask_documents(df).collect()}
+    assert masked[100] == "contact email: [EMAIL] today" and masked[200] == "meet (at) noon, or [at] dusk"
+
+
 def test_pii_numbers_side_by_side(spark):
     from lakeloom.llm.pii import find_pii
     cards = ("4111111111111111", "5500005555555559", "7536784127813050", "4845168114407329")

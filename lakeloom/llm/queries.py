@@ -61,7 +61,25 @@ def op8_bpe_codec(spark, d):
     return encode_documents(table(spark, d, "documents"), "word_bpe_49k.json", digests=True)
 
 
-@register("op5_decontamination")
+#: DuckDB: the lower-cased words of a text (1-based list), as ``decontaminate`` and ``bagminhash`` read them.
+SQL_WORDS = (r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')""")
+
+
+@register("op5_decontamination", f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {SQL_WORDS} AS w FROM documents),
+item AS (SELECT item_id, {SQL_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+win AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS win
+        FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS i FROM item WHERE len(w) > 0)),
+run AS (SELECT r, n, s, array_to_string(w[s:s + n - 1], ' ') AS win
+        FROM (SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS s
+              FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+hits AS (SELECT r, run.n, s, item_id FROM run JOIN win USING (n, win)),
+words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS p FROM hits) GROUP BY r),
+items AS (SELECT r, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS ids FROM hits GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(ids), 0) AS n_items,
+       sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)""")
 def op5_decontamination(spark, d):
     from lakeloom.llm.decontaminate import contamination
     found, _ = contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
@@ -103,7 +121,24 @@ def op2_quality(spark, d):
     return scored.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
-@register("op9_bagminhash")
+@register("op9_bagminhash", f"""
+WITH RECURSIVE d AS (SELECT doc_id, {SQL_WORDS} AS w FROM documents),
+node AS (SELECT k, w, id, greatest(1, len(w) - 4) AS size
+         FROM (SELECT array_to_string(w, ' ') AS k, w, min(doc_id) AS id FROM d WHERE len(w) > 0 GROUP BY ALL)),
+shingle AS (SELECT k, size, array_to_string(w[i:i + 4], ' ') AS s
+            FROM (SELECT k, size, w, unnest(range(1, size + 1)) AS i FROM node)),
+element AS (SELECT k, size, s, unnest(range(n)) AS nth
+            FROM (SELECT k, size, s, count(*) AS n FROM shingle GROUP BY ALL)),
+same AS (SELECT a.k AS a, b.k AS b, count(*) AS same, a.size + b.size AS total
+         FROM element a JOIN element b ON a.s = b.s AND a.nth = b.nth AND a.k < b.k
+              AND a.size >= 0.8 * b.size - 1e-6 AND b.size >= 0.8 * a.size - 1e-6
+         GROUP BY a.k, b.k, a.size, b.size),
+link AS (SELECT a, b FROM same WHERE same::DOUBLE / (total - same) >= 0.8),
+ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT k, k AS other FROM node UNION SELECT reach.k, ways.b FROM reach JOIN ways ON ways.a = reach.other),
+class AS (SELECT reach.k, min(id) AS class_id FROM reach JOIN node ON node.k = reach.other GROUP BY reach.k)
+SELECT doc_id, coalesce(class_id, doc_id) AS class_id
+FROM d LEFT JOIN class ON class.k = array_to_string(w, ' ') AND len(w) > 0""")
 def op9_bagminhash(spark, d):
     from lakeloom.llm.bagminhash import near_classes
     return near_classes(table(spark, d, "documents"))

@@ -165,20 +165,28 @@ def op4_pii(spark, d):
 
 
 # The rules of the one tool of plain conversations (tool, arg,
-# type, required, least, most).
-CHAT_TOOLS = (("answer", "chars", "integer", True, 1.0, 2000.0), ("answer", "lines", "integer", True, 1.0, 12.0),
-              ("answer", "text", "string", True, 1.0, None))
+# type, required, least, most, enum).
+CHAT_TOOLS = (("answer", "kind", "string", True, None, None, ['"question"', '"statement"']),
+              ("answer", "shape", "object", True, None, None, None),
+              ("answer", "shape.chars", "integer", True, 1.0, 2000.0, None),
+              ("answer", "shape.lines", "integer", True, 1.0, 12.0, None),
+              ("answer", "sizes", "array", True, 1.0, 12.0, None), ("answer", "sizes[]", "integer", False, 1.0, 400.0, None),
+              ("answer", "text", "string", True, 1.0, None, None))
 
 
 def chat_messages(conversations):
-    """Plain conversations as tool messages: a user's turn calls ``answer`` (its
-    parent is the call two turns before), an assistant's turn is the result of
-    the call one turn before; other roles hold neither."""
+    """Plain conversations as tool messages: a user's turn calls ``answer`` (it
+    follows the call two turns before; turns 4 and 6 also the one four turns
+    before, a diamond), an assistant's turn is the result of the call one turn
+    before; other roles hold neither."""
     from pyspark.sql import functions as F
     message = F.expr("""CASE
         WHEN role = 'user' THEN to_json(struct(array(struct(concat('c', turn) AS id, 'answer' AS name,
             CASE WHEN turn >= 2 THEN concat('c', turn - 2) END AS parent_id,
-            struct(length(text) AS chars, size(split(text, '\\n')) AS lines, text) AS arguments)) AS tool_calls))
+            CASE WHEN turn IN (4, 6) THEN array(concat('c', turn - 4)) END AS parent_ids,
+            struct(CASE WHEN text LIKE '%?' THEN 'question' WHEN text LIKE '%.' THEN 'statement' ELSE 'fragment' END AS kind,
+                   struct(length(text) AS chars, size(split(text, '\\n')) AS lines) AS shape,
+                   transform(split(text, '\\n'), x -> length(x)) AS sizes, text) AS arguments)) AS tool_calls))
         WHEN role = 'assistant' THEN to_json(struct(concat('c', turn - 1) AS tool_call_id, text AS content)) END""")
     return conversations.select("conv_id", "turn", message.alias("message"))
 
@@ -188,15 +196,26 @@ WITH calls AS (SELECT conv_id, turn, min(text) AS text, count(*) AS n_calls FROM
                WHERE role = 'user' AND turn IS NOT NULL AND conv_id IS NOT NULL GROUP BY ALL),
 res AS (SELECT conv_id, turn - 1 AS turn, min(text) AS content, count(*) AS n_results FROM conversations
         WHERE role = 'assistant' AND turn IS NOT NULL AND conv_id IS NOT NULL GROUP BY ALL),
-runs AS (SELECT *, turn - 2 * row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS run FROM calls),
-deep AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn % 2, run ORDER BY turn) - 1 AS depth,
-                length(text) AS chars, len(string_split(text, chr(10))) AS lines FROM runs),
-wrong AS (SELECT *, array_to_string(list_concat(
-    CASE WHEN text IS NULL THEN ['missing chars', 'missing text']
-         ELSE list_concat(CASE WHEN chars < 1 OR chars > 2000 THEN ['range of chars'] ELSE [] END,
-                          list_concat(CASE WHEN lines < 1 OR lines > 12 THEN ['range of lines'] ELSE [] END,
-                                      CASE WHEN chars < 1 THEN ['range of text'] ELSE [] END)) END,
-    CASE WHEN turn >= 2 AND depth = 0 THEN ['unknown parent'] ELSE [] END), '; ') AS errors FROM deep),
+runs AS (SELECT *, turn - 2 * row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS run,
+                bool_or(turn = 0) OVER (PARTITION BY conv_id) AS has_0, bool_or(turn = 2) OVER (PARTITION BY conv_id) AS has_2,
+                string_split(text, chr(10)) AS parts FROM calls),
+places AS (SELECT *, row_number() OVER w - 1 AS place, min(turn) OVER w AS start FROM runs
+           WINDOW w AS (PARTITION BY conv_id, turn % 2, run ORDER BY turn)),
+deep AS (SELECT *, place + CASE WHEN start = 4 AND has_0 THEN 1 WHEN start = 6 AND has_2 THEN 1 + has_0::INT ELSE 0 END AS depth,
+                (turn >= 2 AND place = 0) OR (turn = 4 AND NOT has_0) OR (turn = 6 AND NOT has_2) AS lost,
+                length(text) AS chars, len(parts) AS lines, [length(x) for x in parts] AS sizes,
+                CASE WHEN text LIKE '%?' THEN 'question' WHEN text LIKE '%.' THEN 'statement' ELSE 'fragment' END AS kind
+         FROM places),
+wrong AS (SELECT *, array_to_string(list_concat(list_sort([e for e in [
+    CASE WHEN kind = 'fragment' THEN 'value of kind' END,
+    CASE WHEN text IS NULL THEN 'missing shape.chars' WHEN chars < 1 OR chars > 2000 THEN 'range of shape.chars' END,
+    CASE WHEN text IS NULL THEN 'missing shape.lines' WHEN lines < 1 OR lines > 12 THEN 'range of shape.lines' END,
+    CASE WHEN text IS NULL THEN 'missing sizes' WHEN lines < 1 OR lines > 12 THEN 'range of sizes' END,
+    CASE WHEN len([x for x in sizes if x < 1 OR x > 400]) > 0 THEN 'range of sizes[]' END,
+    CASE WHEN text IS NULL THEN 'missing text' WHEN chars < 1 THEN 'range of text' END] if e IS NOT NULL]),
+    CASE WHEN lost THEN ['unknown parent'] ELSE [] END), '; ') AS errors,
+    CASE WHEN turn IN (4, 6) THEN '["c' || (turn - 4) || '","c' || (turn - 2) || '"]'
+         WHEN turn >= 2 THEN '["c' || (turn - 2) || '"]' ELSE '[]' END AS parents FROM deep),
 linked AS (SELECT coalesce(w.conv_id, r.conv_id) AS conv_id, coalesce(w.turn, r.turn) AS t, w.*  EXCLUDE (conv_id),
                   r.content, r.n_results, CASE WHEN r.turn IS NOT NULL THEN r.turn + 1 END AS result_turn,
                   CASE WHEN w.turn IS NULL THEN 'orphan_result' WHEN w.errors <> '' THEN 'invalid'
@@ -204,17 +223,17 @@ linked AS (SELECT coalesce(w.conv_id, r.conv_id) AS conv_id, coalesce(w.turn, r.
            FROM wrong w FULL JOIN res r ON w.conv_id = r.conv_id AND w.turn = r.turn)
 SELECT conv_id, 'c' || t AS call_id, turn, result_turn, depth, coalesce(n_calls, 0) AS n_calls,
        coalesce(n_results, 0) AS n_results, status, coalesce(errors, '') AS errors,
-       '{"arguments":' || CASE WHEN turn IS NULL THEN 'null' ELSE
-           '{"chars":' || chars || ',"lines":' || lines || ',"text":' || to_json(text) || '}' END
+       '{"arguments":' || CASE WHEN turn IS NULL THEN 'null' WHEN text IS NULL THEN '{"kind":"fragment","shape":{}}' ELSE
+           '{"kind":"' || kind || '","shape":{"chars":' || chars || ',"lines":' || lines || '},"sizes":' || to_json(sizes)
+           || ',"text":' || to_json(text) || '}' END
        || ',"depth":' || coalesce(CAST(depth AS VARCHAR), 'null') || ',"id":"c' || t || '","name":'
-       || CASE WHEN turn IS NULL THEN 'null' ELSE '"answer"' END || ',"parent_id":'
-       || CASE WHEN turn >= 2 THEN '"c' || (turn - 2) || '"' ELSE 'null' END || ',"result":'
+       || CASE WHEN turn IS NULL THEN 'null' ELSE '"answer"' END || ',"parents":' || coalesce(parents, '[]') || ',"result":'
        || coalesce(to_json(content), 'null') || ',"status":"' || status || '"}' AS json
 FROM linked""")
 def op10_tool_calls(spark, d):
     from lakeloom.llm.tool_calls import link_tool_calls
     rules = spark.createDataFrame(list(CHAT_TOOLS), "tool string, arg string, type string, required boolean, "
-                                                    "least double, most double")
+                                                    "least double, most double, enum array<string>")
     return link_tool_calls(chat_messages(table(spark, d, "conversations")), rules)
 
 

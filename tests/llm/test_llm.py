@@ -563,7 +563,7 @@ def test_tool_calls(spark):
     assert len(got) == 40 + 4 + 6 + 1
     assert [got[1, f"c{k}"].depth for k in range(40)] == list(range(40))
     assert got[1, "c39"].status == "unanswered" and got[1, "c3"].status == "ok" and got[1, "c0"].n_results == 4 and got[1, "c0"].n_calls == 2
-    assert got[1, "c1"].json == ('{"arguments":{"a":"x","b":2},"depth":1,"id":"c1","name":"add","parent_id":"c0",'
+    assert got[1, "c1"].json == ('{"arguments":{"a":"x","b":2},"depth":1,"id":"c1","name":"add","parents":["c0"],'
                                  '"result":"r\\n1","status":"ok"}')
     assert {got[2, k].status for k in "pqr"} == {"cycle"} and got[2, "s"].errors == "unknown parent" and got[2, "s"].depth == 0
     assert [got[3, k].errors for k in "abcde"] == ["type of a; unknown z", "unknown tool", "arguments are no object",
@@ -573,6 +573,71 @@ def test_tool_calls(spark):
     assert link_tool_calls(df.where("false"), rules).count() == 0
 
 
+def test_tool_calls_with_several_parents(spark):
+    from lakeloom.llm.tool_calls import link_tool_calls
+    rng = random.Random(11)
+    known = {(1, "a"): [], (1, "b"): ["a"], (1, "c"): ["a"], (1, "d"): ["b", "c", "b"]}         # a diamond
+    known |= {(2, "x"): [], (2, "y"): ["x", "z"], (2, "z"): ["y"], (2, "w"): ["z", "x"], (2, "v"): ["x", None]}     # a cycle
+    known |= {(3, f"n{k:03d}"): [f"n{j:03d}" for j in rng.sample(range(k), min(k, rng.choice((0, 1, 1, 1, 2, 4))))]
+              + (["gone"] if k % 17 == 5 else []) for k in range(150)}
+    known |= {(4, f"s{k:02d}"): [f"s{j:02d}" for j in range(max(0, k - 2), k)] for k in range(25)}      # every call joins two
+    m = [(c, 0, json.dumps({"tool_calls": [{"id": i, "name": "t", "parent_id": p[0] if p else None, "parent_ids": p[1:] or None,
+                                            "arguments": {}}]})) for (c, i), p in known.items()]
+    rules = spark.createDataFrame([("t", "a", "string", False, None, None)],
+                                  "tool string, arg string, type string, required boolean, least double, most double")
+
+    def depth(c, i, over=()):
+        """Longest way from a call without parents; None on or behind a cycle."""
+        if i in over:
+            return None
+        above = [depth(c, p, (*over, i)) for p in known[c, i] if (c, p) in known]
+        return None if None in above else 1 + max(above, default=-1)
+    deep = {}
+    for c, i in known:          # parents come first but for the cycle
+        above = [deep.get((c, p), "?") for p in known[c, i] if (c, p) in known]
+        deep[c, i] = 1 + max(above, default=-1) if "?" not in above and None not in above else depth(c, i)
+    got = {(r.conv_id, r.call_id): r for r in link_tool_calls(
+        spark.createDataFrame(m, "conv_id long, turn long, message string"), rules).collect()}
+    assert {k: r.depth for k, r in got.items()} == deep and deep[1, "d"] == 2 and deep[4, "s24"] == 24
+    assert {k[1] for k, r in got.items() if r.status == "cycle"} == {"y", "z", "w"}
+    assert {k for k, r in got.items() if r.errors == "unknown parent"} == {k for k, p in known.items() if "gone" in p}
+    assert json.loads(got[1, "d"].json)["parents"] == ["b", "c"]
+
+
+def test_tool_schemas(spark):
+    from lakeloom.llm.tool_calls import link_tool_calls
+    rules = [("f", "mode", "string", True, None, None, ['"a"', ' "b" ']), ("f", "n", "number", False, -1.0, 1.0, ["0", "0.5", "2"]),
+             ("f", "at", "object", False, None, None, None), ("f", "at.x", "integer", True, 0.0, 9.0, None),
+             ("f", "at.deep.y", "boolean", True, None, None, None), ("f", "tags", "array", False, 1.0, 3.0, None),
+             ("f", "tags[]", "string", False, 1.0, 4.0, None), ("f", "rows[].id", "integer", True, None, None, None),
+             ("f", "rows[].cells[][]", "number", False, 0.0, None, None), ("f", "free", "object", False, None, None, None)]
+    cases = {
+        '{"mode":"a"}': "", '{"mode":"b","n":0.5,"free":{"any":[1,{"z":null}]}}': "", '{"mode":"c"}': "value of mode",
+        '{"mode":null}': "type of mode; value of mode", '{"n":2}': "missing mode; range of n", '{"mode":"a","n":0.25}': "value of n",
+        '{"mode":"a","at":{}}': "missing at.x", '{"mode":"a","at":{"x":10,"q":1}}': "range of at.x; unknown at.q",
+        '{"mode":"a","at":{"x":1,"deep":{"y":true}}}': "", '{"mode":"a","at":{"x":1,"deep":{}}}': "missing at.deep.y",
+        '{"mode":"a","at":[1]}': "type of at", '{"mode":"a","tags":[]}': "range of tags",
+        '{"mode":"a","tags":["x","","long one",3]}': "range of tags; range of tags[]; type of tags[]",
+        '{"mode":"a","rows":[{"id":1,"cells":[[1,2.5],[]]},{"id":2}]}': "",
+        '{"mode":"a","rows":[{"cells":[[-1,"s"]]},{"id":"2","no":1}]}':
+            "missing rows[].id; range of rows[].cells[][]; type of rows[].cells[][]; type of rows[].id; unknown rows[].no",
+        '{"mode":"a","n":1E400}': "type of n; value of n; number out of range", '{"mode":"1E400 \\" -1e999"}': "value of mode",
+        '{"mode":"a","free":{"\\\\":[-1e999,1e30,' + "9" * 400 + ']}}': "number out of range", "[1]": "arguments are no object",
+        "nope": "arguments are no object", "": "arguments are no object", '{"mode":"a","mode":"b"}': "arguments are no object"}
+    for quoted in (True, False):        # arguments as a JSON text, and as a value
+        rows = [(k, t, a) for k, (t, a) in enumerate(cases.items()) if quoted or t[:1] in "{[" and t and '"mode":"b"}' not in t]
+        m = [(k, 0, '{"tool_calls":[{"id":"i","name":"f","arguments":' + (json.dumps(t) if quoted else t) + '}]}') for k, t, _ in rows]
+        df = spark.createDataFrame(m, "conv_id long, turn long, message string")
+        schema = spark.createDataFrame(rules, "tool string, arg string, type string, required boolean, least double, most double, "
+                                              "enum array<string>")
+        got = {r.conv_id: r for r in link_tool_calls(df, schema).collect()}
+        assert {t: got[k].errors for k, t, _ in rows} == {t: a for _, t, a in rows}
+        line = {t: json.loads(got[k].json)["arguments"] for k, t, _ in rows}
+        assert line['{"mode":"a","n":1E400}'] == {"mode": "a", "n": None}
+        assert line['{"mode":"a","free":{"\\\\":[-1e999,1e30,' + "9" * 400 + ']}}'] == {"mode": "a", "free": {"\\": [None, 1e30, None]}}
+        assert line['{"mode":"1E400 \\" -1e999"}'] == {"mode": '1E400 " -1e999'} and "Infinity" not in str(line)
+
+
 # ------------------------------------------------------------------ pipeline
 def test_pipeline_against_brute_force(spark):
     import duckdb

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lakeloom.functions.hashing import FIELD_SEP, NULL_MARK
+from lakeloom.functions.hashing import FIELD_SEP, NULL_MARK, row_hash
 from lakeloom.functions.predicates import NUMBER_PATTERN, any_null, invalid_number
 from lakeloom.operators.casting import cast_failures, ts_literal
 
@@ -60,6 +60,14 @@ class Unique:
     issue: str | None = None
 
 
+@dataclass(frozen=True)
+class Conflict:
+    """Rows of one key in one batch that differ in ``columns`` -> one finding per
+    group.  Equal rows sent twice are no conflict; a row without a key has none."""
+    columns: tuple
+    issue: str | None = None
+
+
 @dataclass(frozen=True)
 class Castable:
     """Raw text that does not parse to the declared type."""
@@ -88,6 +96,21 @@ def dq_duplicates(df: DataFrame, key, audit: str, issue: str | None = None) -> D
     return _finding(groups, keys, audit, issue)
 
 
+def _conflicting(df: DataFrame, key, audit: str, columns) -> DataFrame:
+    """Key and stamp of the groups that hold different rows (two hashes per group
+    and task, so a key sent very often collapses before the shuffle)."""
+    keys = [key] if isinstance(key, str) else list(key)
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    content = row_hash(*columns)
+    return (df.where(known).groupBy(*keys, audit).agg(F.min(content).alias("_least"), F.max(content).alias("_most"))
+            .where("_least <> _most").drop("_least", "_most"))
+
+
+def dq_conflicts(df: DataFrame, key, audit: str, columns, issue: str | None = None) -> DataFrame:
+    keys = [key] if isinstance(key, str) else list(key)
+    return _finding(_conflicting(df, keys, audit, columns), keys, audit, issue or f"Conflicting rows for {'_'.join(keys)}")
+
+
 def dq_format(df: DataFrame, key, audit: str, column: str, pattern: str = NUMBER_PATTERN,
               issue: str | None = None) -> DataFrame:
     issue = issue or f"Invalid {column} format"
@@ -157,6 +180,8 @@ def _rule_findings(df, key, audit, rule) -> DataFrame:
         return dq_in_set(df, key, audit, rule.column, rule.allowed, rule.issue)
     if isinstance(rule, Unique):
         return dq_unique(df, key, audit, rule.column, rule.issue)
+    if isinstance(rule, Conflict):
+        return dq_conflicts(df, key, audit, rule.columns, rule.issue)
     if isinstance(rule, Castable):
         return dq_castable(df, key, audit, rule.spec, rule.issue)
     raise TypeError(f"unknown rule {rule!r}")
@@ -207,6 +232,8 @@ def bad_rows(df: DataFrame, key, audit: str, rules) -> DataFrame:
         elif isinstance(r, Duplicate):
             flagged.append(("dup", keys + [audit],
                             df.groupBy(*keys, audit).count().where(F.col("count") > 1).drop("count")))
+        elif isinstance(r, Conflict):
+            flagged.append(("conflict", keys + [audit], _conflicting(df, keys, audit, r.columns)))
         elif isinstance(r, Unique):
             flagged.append(("uniq", [audit, r.column],
                             df.where(F.col(r.column).isNotNull()).groupBy(audit, r.column).count()

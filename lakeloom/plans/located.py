@@ -59,6 +59,12 @@ class LocatedTable:
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    def current(self, before: int | None = None) -> DataFrame | None:
+        """The table (None: no run yet), or as it was below the run ``before``."""
+        if before is not None:
+            return self.before(before)
+        return self.read() if self._runs() else None
+
     def before(self, run: int) -> DataFrame | None:
         """The table as it was below ``run`` (None: no run yet); a state that a
         run of this number or a later one left is taken back."""

@@ -780,21 +780,23 @@ def _stream_products(spark, d):
     """Raw products land as CSV, one folder per ingest day; after each landing an
     ``availableNow`` stream runs the products job on the new files via
     ``foreachBatch``: raw rows landed, findings logged, held-back rows kept in
-    the quarantine table, the rest upserted into a versioned table."""
+    the quarantine table, the rest upserted into the partitions that hold their
+    keys."""
     from lakeloom.plans.harmonize import TableJob
-    from lakeloom.plans.publish import VersionedTable
+    from lakeloom.plans.located import ByInsertRun
     from lakeloom.session import scratch_path
     from lakeloom.streaming.file_ingest import harmonize_files
     base = scratch_path(spark, "stream-products")
     raw = R.raw_products(spark, d)
     cols = list(S.RAW_COLUMNS["t_products"])
     job = TableJob(S.PRODUCTS, rules=PRODUCT_RULES, mode="quarantine")
-    state = VersionedTable(spark, f"{base}/state")
+    place = ByInsertRun()
+    state = _located(spark, "t_products", place, S.PRODUCTS, "product_id")
     marks = (None, R.SEED_TS, CUT, "2024-01-03 00:00:00", None)
     for i, (lo, hi) in enumerate(zip(marks, marks[1:])):                # four landings
         increment.incremental_batch(raw, lo, hi).select(*cols).write.option("header", True).csv(f"{base}/landing/day_{i}")
         harmonize_files(spark, f"{base}/landing/day_*/*.csv", cols, f"{base}/ckpt", job, state, JOB,
-                        f"{base}/raw", f"{base}/dq_log", f"{base}/quarantine")
+                        f"{base}/raw", f"{base}/dq_log", f"{base}/quarantine", placement=place)
     return base, state
 
 
@@ -839,6 +841,23 @@ def q_dq_log_appended(spark, d):
     return spark.read.parquet(path)
 
 
+@register("dq_conflicts", with_("raw_customers") + f"""
+, sent AS (SELECT customer_id, r_insert_timestamp, address FROM raw_customers
+  UNION ALL SELECT customer_id, r_insert_timestamp, CASE WHEN CAST(customer_id AS BIGINT) % 2 = 0 THEN 'moved' ELSE address END
+  FROM raw_customers WHERE CAST(customer_id AS BIGINT) % 29 < 2)
+SELECT customer_id AS unique_identifier, r_insert_timestamp AS r_batch_timestamp,
+       'Conflicting rows for customer_id' AS issue
+FROM sent GROUP BY customer_id, r_insert_timestamp HAVING count(DISTINCT coalesce(address, chr(2))) > 1""")
+def q_dq_conflicts(spark, d):
+    """Customers of which some are sent twice in one batch: the even ones with
+    another address (a conflict), the odd ones unchanged (none)."""
+    raw = R.raw_customers(spark, d)
+    number = F.col("customer_id").cast("bigint")
+    again = raw.where(number % 29 < 2).withColumn("address", F.when(number % 2 == 0, "moved").otherwise(F.col("address")))
+    sent = raw.unionByName(again)
+    return quality.dq_findings(sent, "customer_id", "r_insert_timestamp", [quality.Conflict(("address",))])
+
+
 def _history_sql(column: str) -> str:
     return f"""SELECT r.customer_id AS unique_identifier, r.r_insert_timestamp AS r_batch_timestamp,
        '{column} belongs to another customer_id' AS issue FROM raw_customers r

@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from lakeloom import specs as S
 from lakeloom.operators import scd1
 from lakeloom.plans import located
 from lakeloom.plans.located import ByHistory, ByInsertRun, LocatedTable
@@ -210,3 +211,50 @@ def test_history_leaves_closed_partitions_alone(spark):
     assert sorted((r.k, r.active_flag) for r in scope.collect()) == [("a", False), ("a", True), ("b", False)]
     out = place.place(scope.withColumn("active_flag", F.lit(False)), 3).collect()
     assert [(r.k, r._part) for r in out] == [("a", "closed-3")] and "closed-3" in touched
+
+
+def _land(folder, name, rows, cols):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}.csv", "w") as fh:
+        fh.write("\n".join([",".join(cols), *[",".join(r.get(c, "x") for c in cols) for r in rows]]) + "\n")
+
+
+def test_stream_epochs_rewrite_only_partitions_with_their_keys(spark, tmpdir_path):
+    from lakeloom.plans.harmonize import TableJob
+    from lakeloom.streaming.file_ingest import harmonize_files
+    cols = list(S.RAW_COLUMNS["t_products"])
+    place, job = ByInsertRun(), TableJob(S.PRODUCTS, mode="quarantine")
+    table = LocatedTable(spark, "stream_located.t_products", place.struct(S.PRODUCTS.struct()), place.column,
+                         tmpdir_path + "/state", "product_id")
+
+    def run(checkpoint="/ckpt"):
+        harmonize_files(spark, tmpdir_path + "/landing/*.csv", cols, tmpdir_path + checkpoint, job, table, "j",
+                        tmpdir_path + "/raw", placement=place)
+        return {r.product_id: r.brand for r in table.current().collect()}
+    days = [[{"product_id": str(k), "brand": f"b{day}"} for k in ids] for day, ids in enumerate(((1, 2, 3), (4, 5), (5, 6)))]
+    seen = []
+    for day, rows in enumerate(days):
+        _land(tmpdir_path + "/landing", f"day_{day}", rows, cols)
+        got = run()
+        seen.append(table.locations())
+    want = {"1": "b0", "2": "b0", "3": "b0", "4": "b1", "5": "b2", "6": "b2"}
+    assert got == want
+    assert seen[2]["0"] == seen[0]["0"] and seen[2]["1"] != seen[1]["1"] and set(seen[2]) == {"0", "1", "2"}
+    assert run() == want and table.locations() == seen[2]           # no new file: nothing is switched
+    assert set(run("/lost")) == set(want) and table._runs() == [0]     # every file again, as the first epoch
+
+
+def test_stream_history_takes_its_date_from_the_epoch(spark, tmpdir_path):
+    from lakeloom.plans.harmonize import TableJob
+    from lakeloom.streaming.file_ingest import harmonize_files
+    cols = list(S.RAW_COLUMNS["t_customers"])
+    place, job = ByHistory("customer_id"), TableJob(S.CUSTOMERS, scd=2)
+    table = LocatedTable(spark, "stream_history.t_customers", place.struct(S.CUSTOMERS.struct()), place.column, tmpdir_path + "/state")
+    for day, rows in enumerate(([("1", "old"), ("2", "old")], [("2", "new"), ("3", "new")])):
+        _land(tmpdir_path + "/landing", f"day_{day}", [{"customer_id": i, "address": a, "loyalty_points": "1"} for i, a in rows], cols)
+        harmonize_files(spark, tmpdir_path + "/landing/*.csv", cols, tmpdir_path + "/ckpt", job, table, "j",
+                        tmpdir_path + "/raw", placement=place)
+    rows = table.current().collect()
+    assert sorted((r.customer_id, r.address, r.active_flag) for r in rows) == [
+        ("1", "old", True), ("2", "new", True), ("2", "old", False), ("3", "new", True)]
+    assert all(r.begin_effective_date == r.batch_r_timestamp.date() for r in rows)

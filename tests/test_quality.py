@@ -92,3 +92,15 @@ def test_unique_history(spark):
 def test_unique_history_of_a_hot_value(spark):
     df = spark.range(20_000).selectExpr("cast(id AS string) k", "'hot' v", "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, cast(id % 2 AS int)) ts")
     assert Q.dq_unique_history(df, None, "k", "ts", "v").count() == 10_000
+
+
+def test_conflicting_rows_of_one_key(spark):
+    sent = [("a", B1, "x"), ("a", B1, "y"), ("b", B1, "x"), ("b", B1, "x"), ("c", B1, "x"), ("c", B2, "y"), ("d", B1, None), ("d", B1, ""),
+            (None, B1, "x"), (None, B1, "y"), ("e", B1, None), ("e", B1, None)]
+    df = spark.createDataFrame(sent, "k string, at timestamp_ntz, v string")
+    rule = Q.Conflict(("v",))
+    found = Q.dq_findings(df, "k", "at", [rule]).collect()
+    assert sorted((r.unique_identifier, r.issue) for r in found) == [(k, "Conflicting rows for k") for k in "ad"]
+    passed, held = Q.dq_split(df, "k", "at", [rule])
+    assert sorted(r.k for r in held.collect()) == ["a", "a", "d", "d"] and passed.count() == 8
+    assert Q.dq_findings(df.where("false"), "k", "at", [rule]).count() == 0

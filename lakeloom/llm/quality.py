@@ -8,12 +8,15 @@ feature differences.  The worths of the labelled sample set the cut: the
 quantile at the share of documents labelled 0.  A score is the logistic of the
 worth's distance from the cut, shifted so that the cut scores ``THRESHOLD``.
 
-Learning uses at most ``SAMPLE`` documents of each label, those with the
-smallest hash of their id: the one bounded sample here.  Its features (a few
-dozen numbers a document) are computed on Spark and fitted on the driver.
-Every document is then scored in one narrow pass over the scan; weights are a
-fixed handful of numbers.  No shuffle of texts, no id, language or source in
-any score.
+Every labelled document takes part.  Their features (a few dozen numbers each)
+are stored once in blocks of about ``BLOCK`` documents, dealt by a hash of the
+id; each document meets ``OPPONENTS`` documents of the other label in its block.
+Where a label is rare, its documents are copied to as many blocks as give each
+``RARE`` of them.  A Newton step adds up gradient and Hessian over all blocks,
+the cut is the exact quantile of all worths, found by narrowing ranges: what
+reaches the driver is a fixed number of sums per task.  Every document is then
+scored in one narrow pass over the scan.  No shuffle of texts, no id, language
+or source in any score.
 
 Defined cases: NULL text is empty and gets the score of an empty text; labels
 that are NULL or neither 0 nor 1 are ignored, as are labels whose document is
@@ -26,19 +29,24 @@ extra columns change nothing.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.session import cut_lineage
+
 THRESHOLD = 0.7
-#: Labelled documents of each label used for learning, and opponents of each.
-SAMPLE, OPPONENTS = 5000, 8
+#: Documents of a block, opponents of each, and rows of the rarer label that a block has at least.
+BLOCK, OPPONENTS, RARE = 8192, 8, 64
 RIDGE = 1e-3
 SLICE = 256
+#: Ranges a pass tells apart when the cut is looked for, and worths that are few enough to be listed.
+BINS, LISTED = 1024, 4096
 
 _BYTE = np.zeros(256, np.int64)                     # classes of bytes
 _BYTE[[*range(ord("a"), ord("z") + 1)]] = 1
@@ -92,37 +100,60 @@ class Ranker:
         return 1 / (1 + np.exp(-np.clip(worth - self.cut + shift, -30, 30)))
 
 
-def fit(f: np.ndarray, label: np.ndarray, share_bad: float | None = None, rounds: int = 60) -> Ranker:
-    """Learn from features and labels (0 or 1).  Row i of one class meets
+def _pairs(label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Preferred and other row of each pair.  Row i of one class meets
     ``OPPONENTS`` rows of the other, spread evenly over it."""
     good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
-    none = np.zeros(f.shape[1])
     if not len(good) or not len(bad):
-        return Ranker(none, none + 1, none, 0.0, 0.0 if len(bad) else 1.0)
-    mean, scale = f.mean(0), np.maximum(f.std(0), 1e-6)
-    x = (f - mean) / scale
-    n = max(len(good), len(bad))
-    a = np.tile(good[np.arange(n) % len(good)], OPPONENTS)
-    b = np.concatenate([bad[(np.arange(n) + k * len(bad) // OPPONENTS + np.arange(n) // len(bad)) % len(bad)]
-                        for k in range(OPPONENTS)])
+        return good[:0], bad[:0]
+    i = np.arange(max(len(good), len(bad)))
+    a = np.tile(good[i % len(good)], OPPONENTS)
+    b = np.concatenate([bad[(i + k * len(bad) // OPPONENTS + i // len(bad)) % len(bad)] for k in range(OPPONENTS)])
+    return a, b
+
+
+def _slopes(x: np.ndarray, label: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """A row each: the number of pairs, the gradient of their loss, its Hessian."""
+    a, b = _pairs(label)
     diff = x[a] - x[b]
-    w = none.copy()
-    for _ in range(rounds):                 # Newton steps on the ridge-penalised logistic loss
-        p = 1 / (1 + np.exp(np.clip(diff @ w, -30, 30)))
-        grad = RIDGE * len(diff) * w - diff.T @ p
-        hess = (diff * (p * (1 - p))[:, None]).T @ diff + RIDGE * len(diff) * np.eye(len(w))
-        step = np.linalg.solve(hess, grad)
+    p = 1 / (1 + np.exp(np.clip(diff @ w, -30, 30)))
+    n = np.full((1, len(w)), float(len(diff)))
+    return np.concatenate([n, -(diff.T @ p)[None], (diff * (p * (1 - p))[:, None]).T @ diff])
+
+
+def _newton(slopes: Callable[[np.ndarray], np.ndarray], width: int, rounds: int) -> np.ndarray:
+    """Newton steps on the ridge-penalised logistic loss."""
+    w = np.zeros(width)
+    for _ in range(rounds):
+        s = slopes(w)
+        n = s[0, 0]
+        step = np.linalg.solve(s[2:] + RIDGE * n * np.eye(width), RIDGE * n * w + s[1])
         w -= step
         if np.abs(step).max() < 1e-6:
             break
+    return w
+
+
+def _quantile(values: np.ndarray, weight: np.ndarray, share: float, below: float = 0.0) -> float:
+    """Middle of the value at which the weights (``below`` before the first) reach
+    ``share`` and the next one; ``values`` ascend."""
+    k = min(int(np.searchsorted(below + np.cumsum(weight), share - 1e-9)), len(values) - 2)
+    return float((values[k] + values[k + 1]) / 2)
+
+
+def fit(f: np.ndarray, label: np.ndarray, share_bad: float | None = None, rounds: int = 60) -> Ranker:
+    """Learn from the features and labels (0 or 1) of one block."""
+    n_good, n_bad = int((label == 1).sum()), int((label == 0).sum())
+    none = np.zeros(f.shape[1])
+    if not n_good or not n_bad:
+        return Ranker(none, none + 1, none, 0.0, 0.0 if n_bad else 1.0)
+    mean, scale = f.mean(0), np.maximum(f.std(0), 1e-6)
+    x = (f - mean) / scale
+    w = _newton(lambda w: _slopes(x, label, w), f.shape[1], rounds)
+    share = n_bad / len(label) if share_bad is None else share_bad
     worth = x @ w
-    share = len(bad) / len(label) if share_bad is None else share_bad
-    order = np.concatenate([worth[bad], worth[good]])
-    weight = np.concatenate([np.full(len(bad), share / len(bad)), np.full(len(good), (1 - share) / len(good))])
-    o = np.argsort(order)
-    below = np.cumsum(weight[o])            # the weighted quantile at the share of label 0
-    k = min(int(np.searchsorted(below, share - 1e-9)), len(o) - 2)
-    return Ranker(mean, scale, w, float((order[o][k] + order[o][k + 1]) / 2))
+    o = np.argsort(worth)
+    return Ranker(mean, scale, w, _quantile(worth[o], np.where(label[o] == 0, share / n_bad, (1 - share) / n_good), share))
 
 
 def _mapped(docs: DataFrame, ranker: Ranker | None) -> DataFrame:
@@ -145,23 +176,114 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
 
 
+def _blocks(docs: DataFrame, known: DataFrame, n_blocks: int, copies: dict[int, int]) -> DataFrame:
+    """A row per block: its documents' labels, whether they are at home (not
+    copies), and their features, in the order of their ids."""
+    at = F.explode(F.sequence(F.lit(0), F.when(F.col("label") == 0, copies[0]).otherwise(copies[1]) - 1))
+    rows = (_mapped(docs, None).join(known, "id").select("*", at.alias("copy"))
+            .withColumn("block", F.pmod(F.xxhash64("id") + F.col("copy"), F.lit(n_blocks))))
+
+    def pack(table: pa.Table) -> pa.Table:
+        ids, label, copy = (table.column(c).to_numpy() for c in ("id", "label", "copy"))
+        f = np.array(table.column("out").to_pylist()).reshape(len(ids), N_FEATURES)
+        o = np.lexsort([*f.T[::-1], copy, ids])
+        o = o[np.concatenate([[True], ids[o][1:] != ids[o][:-1]])]          # a repeated id counts once
+        return pa.table({"label": [label[o].astype(np.int8).tobytes()], "home": [(copy[o] == 0).tobytes()],
+                         "f": [f[o].tobytes()]}, pa.schema([(c, pa.binary()) for c in ("label", "home", "f")]))
+    return rows.groupBy("block").applyInArrow(pack, "label binary, home binary, f binary")
+
+
+def _over(blocks: DataFrame, of: Callable, join: Callable = np.add) -> np.ndarray | None:
+    """``of(features, label, home)`` of every block, joined in the tasks, then
+    those of the tasks (an array of one size) on the driver."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = None
+        for batch in batches:
+            for r in batch.to_pylist():
+                f = np.frombuffer(r["f"]).reshape(-1, N_FEATURES)
+                new = of(f, np.frombuffer(r["label"], np.int8), np.frombuffer(r["home"], bool))
+                out = new if out is None else join(out, new)
+        if out is not None:
+            yield pa.RecordBatch.from_pydict({"shape": [list(out.shape)], "v": [out.ravel().tolist()]},
+                                             pa.schema([("shape", pa.list_(pa.int64())), ("v", pa.list_(pa.float64()))]))
+    parts = blocks.mapInArrow(run, "shape array<long>, v array<double>").collect()
+    return reduce(join, [np.array(r.v).reshape(r.shape) for r in parts]) if parts else None
+
+
+def _cut(blocks: DataFrame, worth: Callable, n: np.ndarray, share: float) -> float:
+    """The quantile of all worths at ``share``, documents of label 0 weighing
+    that much together.  Passes narrow the range that holds it to few worths."""
+    weight = np.array([share, 1 - share]) / n
+
+    def spread(lo: float, hi: float) -> Callable:
+        def of(f, label, home):
+            v, v_label = worth(f)[home], label[home]
+            at = np.clip(np.floor((v - lo) / max(hi - lo, 1e-300) * BINS), 0, BINS - 1).astype(int)
+            at = np.where(v < lo, 0, np.where(v > hi, BINS + 1, at + 1))     # first and last: outside the range
+            out = np.array([np.zeros(BINS + 2), np.zeros(BINS + 2), np.full(BINS + 2, np.inf), np.full(BINS + 2, -np.inf)])
+            for k in (0, 1):
+                out[k] = np.bincount(at[v_label == k], minlength=BINS + 2)
+            np.minimum.at(out[2], at, v)
+            np.maximum.at(out[3], at, v)
+            return out
+        return of
+
+    def joined(a, b):
+        return np.array([a[0] + b[0], a[1] + b[1], np.minimum(a[2], b[2]), np.maximum(a[3], b[3])])
+    first = _over(blocks, lambda f, label, home: np.array([worth(f)[home].min(initial=np.inf), -worth(f)[home].max(initial=-np.inf)]),
+                  np.minimum)
+    lo, hi = first[0], -first[1]
+    while True:
+        s = _over(blocks, spread(lo, hi), joined)
+        reached = np.cumsum(weight @ s[:2])
+        k = int(np.clip(np.searchsorted(reached, share - 1e-9), 1, BINS))
+        while s[:2, k].sum() == 0 and k > 1:       # past the last worth, by rounding
+            k -= 1
+        left, right = s[3, :k].max(), s[2, k + 1:].min()
+        lo, hi, here = s[2, k], s[3, k], s[:2, k].sum()
+        if here <= LISTED or lo == hi:
+            break
+
+    def listed(f, label, home):
+        v = worth(f)
+        keep = home & (v >= lo) & (v <= hi)
+        values, at = np.unique(v[keep], return_inverse=True)
+        return np.array([values, *(np.bincount(at[label[keep] == k], minlength=len(values)) for k in (0, 1))])
+    v = _over(blocks, listed, lambda a, b: np.concatenate([a, b], axis=1))
+    v = v[:, np.argsort(v[0], kind="stable")]
+    # equal worths in a row: two places are enough to tell a pair of them from a pair with the next
+    values, weights = [left], [0.0]
+    for value, bad, good in v.T:
+        total = weight @ (bad, good)
+        last = weight[0] if bad else weight[1]
+        values += [value] * (1 + (bad + good > 1))
+        weights += [total - last, last] if bad + good > 1 else [total]
+    values, weights = np.array([*values, right]), np.array([*weights, 0.0])
+    known = np.isfinite(values)
+    return _quantile(values[known], weights[known], share, float(reached[k - 1]))
+
+
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "quality", sample: int = SAMPLE) -> Ranker:
-    """Fit on the labelled documents (``labels``: id and label)."""
+          label_col: str = "quality", block: int = BLOCK, rounds: int = 60) -> Ranker:
+    """Fit on all labelled documents (``labels``: id and label)."""
     known = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(label_col).alias("label")))
-    share = known.agg(F.avg((F.col("label") == 0).cast("double"))).first()[0]
-    order = F.xxhash64("id")
-    picked = None
-    for label in (0, 1):                    # a bounded sample of each label
-        part = known.where(F.col("label") == label).orderBy(order, "id").limit(sample)
-        picked = part if picked is None else picked.unionByName(part)
-    texts = _source(docs, id_col, text_col).join(F.broadcast(picked), "id")     # at most 2 * sample rows
-    lab = {r.id: r.label for r in picked.collect()}
-    rows = _mapped(texts, None).dropDuplicates(["id"]).collect()
-    rows.sort(key=lambda r: r.id)
-    f = np.array([r.out for r in rows]).reshape(len(rows), N_FEATURES)
-    return fit(f, np.array([lab[r.id] for r in rows]), share)
+    counts = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
+    none = np.zeros(N_FEATURES)
+    if not counts:
+        return Ranker(none, none + 1, none, 0.0, 1.0)
+    share = counts.get(0, 0) / sum(counts.values())
+    n_blocks = -(-sum(counts.values()) // block)
+    copies = {k: max(1, min(n_blocks, -(-RARE * n_blocks // counts[k]))) if n_blocks > 1 and counts.get(k) else 1 for k in (0, 1)}
+    blocks = cut_lineage(docs.sparkSession, _blocks(_source(docs, id_col, text_col), known, n_blocks, copies))
+    sums = _over(blocks, lambda f, label, home: np.array([[(label[home] == 0).sum(), (label[home] == 1).sum(), *f[home].sum(0)]]))
+    n = np.zeros(2) if sums is None else sums[0, :2]
+    if not n.all():
+        return Ranker(none, none + 1, none, 0.0, 0.0 if n[0] else 1.0)
+    mean = sums[0, 2:] / n.sum()
+    scale = np.maximum(np.sqrt(_over(blocks, lambda f, label, home: ((f[home] - mean) ** 2).sum(0)) / n.sum()), 1e-6)
+    w = _newton(lambda w: _over(blocks, lambda f, label, home: _slopes((f - mean) / scale, label, w)), N_FEATURES, rounds)
+    return Ranker(mean, scale, w, _cut(blocks, lambda f: ((f - mean) / scale) @ w, n, share))
 
 
 def score_documents(docs: DataFrame, ranker: Ranker, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

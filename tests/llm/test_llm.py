@@ -188,6 +188,27 @@ def test_quality_odd_input(spark, docs):
     assert score_documents(docs_df(spark, []), m).count() == 0 and keep_good(docs_df(spark, []), m).count() == 0
 
 
+def test_quality_learns_from_every_labelled_document(spark):
+    """More labelled documents than one block holds: means, pairs and cut are of
+    all of them, and a rare label meets every block."""
+    from lakeloom.llm import quality as q
+    for n_good, n_bad, block in ((5400, 5300, q.BLOCK), (20, 700, 100), (300, 300, 10_000)):
+        texts = [(i, ("Plain words make one more line of text. " if i < n_good else "BUY | <now> {x} $$ ") * (1 + i % 7)
+                  + ("9" * (i % 5) if i % 11 else "words $")) for i in range(n_good + n_bad)]
+        df = spark.createDataFrame(texts, "doc_id long, text string")
+        m = q.learn(df, df.selectExpr("doc_id", f"int(doc_id < {n_good}) AS quality"), block=block)
+        f = np.array([q.features(t.encode()) for _, t in texts])
+        label = np.array([int(i < n_good) for i, _ in texts])
+        assert m.mean == pytest.approx(f.mean(0)) and m.scale == pytest.approx(np.maximum(f.std(0), 1e-6))
+        x = (f - m.mean) / m.scale
+        worth = np.sort(x @ m.weights)
+        assert m.cut == pytest.approx((worth[n_bad - 1] + worth[n_bad]) / 2, abs=1e-9)
+        assert ((m.score(f) >= q.THRESHOLD) == label).mean() > 0.95
+        if block > n_good + n_bad:
+            one = q.fit(f, label)
+            assert m.weights == pytest.approx(one.weights, abs=1e-6) and m.cut == pytest.approx(one.cut, abs=1e-6)
+
+
 # ------------------------------------------------------------------ 3 search
 def test_maxscore(spark):
     from pyspark.sql import functions as F

@@ -95,3 +95,19 @@ def test_ledger_reads_a_late_file_with_an_old_stamp(spark, tmpdir_path):
         assert sorted(r.k for r in batch.collect()) == ["8", "9"]
         ledger.record(files, 2)
     assert ledger.batch(two, 3)[0].count() == 0
+
+
+def test_lines_are_neither_shuffled_by_file_nor_parsed_twice(spark, tmpdir_path):
+    """Few files hold all lines: an exchange by file would leave most tasks empty."""
+    from lakeloom.streaming.checked_ingest import split_lines
+    data = [(v, f"f{f}", 0, f * 10 + i) for f in range(3) for i, v in enumerate(["a,b", f"{f},x", "1,2,3", f"{f},y"])]
+    spark.createDataFrame(data, "value string, file string, block long, at long").write.parquet(tmpdir_path + "/lines")
+    lines = spark.read.schema("value string, file string, block long, at long").parquet(tmpdir_path + "/lines")
+    landed, held = split_lines(lines, SPEC_COLS)
+    assert rows(landed) == sorted((str(f), v, f"f{f}") for f in range(3) for v in "xy")
+    assert rows(held) == [(f"f{f}", "1,2,3", "Wrong number of fields") for f in range(3)]
+    for df in (landed, held):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(file" not in plan
+    assert landed._jdf.queryExecution().optimizedPlan().toString().count("from_csv(") == 1

@@ -103,3 +103,28 @@ def test_facts_of_untouched_months_keep_their_files(spark, tmpdir_path, schema):
     assert t.read().agg(F.sum("quantity")).first()[0] == 20
     daily.refresh_facts(spark, t, lines(9), heads, [], 3)
     assert set(t.read().inputFiles()) == second
+
+
+def test_facts_are_dealt_to_a_task_per_month(spark, tmpdir_path, schema):
+    """A small table's months are written by several tasks, each in one file; a
+    month that holds nearly all rows of several files is dealt by z-range."""
+    lines = spark.range(600).selectExpr("concat('l', id) AS line_item_id", "concat('i', id % 24) AS invoice_id", "concat('p', id % 9) AS product_id",
+                                        "1 AS quantity", "1.00BD AS unit_price", "1.00BD AS total_price", "0.00BD AS discount_applied")
+    heads = spark.range(24).selectExpr("concat('i', id) AS invoice_id", "'s' AS store_id", "concat('c', id) AS customer_id", "'e' AS employee_id",
+                                       "'cash' AS payment_type", "timestamp_ntz'2024-01-05 00:00:00' AS transaction_date_time",
+                                       "if(id = 23, NULL, add_months(date'2024-01-01', id % 12)) AS transaction_month", "2.00BD AS total_amount")
+    t = LocatedTable(spark, f"{schema}.t_sales_facts", S.SALES_FACTS.struct(), "transaction_month", tmpdir_path + "/facts")
+    months = [r[0] for r in heads.select("transaction_month").distinct().collect()]
+    daily.refresh_facts(spark, t, lines, heads, months, 1)
+    files = t.read().inputFiles()
+    assert len(files) == len(months) == 13 and len({f.rpartition("/")[2][:10] for f in files}) > 2
+    assert t.read().count() == 600 and t.read().where("transaction_month IS NULL").count() == 25
+
+
+def test_invoices_are_looked_up_in_other_months_only(spark):
+    """Where every stored month changes anyway, the changed lines are not read."""
+    heads = spark.createDataFrame([("i1", dt.date(2024, 1, 1)), ("i2", None)], "invoice_id string, transaction_month date")
+    unread = spark.range(1).select(F.raise_error(F.lit("read")).cast("string").alias("invoice_id"))
+    assert daily.changed_months(None, heads, unread, unread, [None, dt.date(2024, 1, 1)]) == [dt.date(2024, 1, 1), None]
+    batch = spark.createDataFrame([("i2",)], "invoice_id string")
+    assert daily.changed_months(None, heads, batch, None, [dt.date(2024, 1, 1)]) == [dt.date(2024, 1, 1), None]

@@ -197,3 +197,19 @@ def test_overwrite_partitions_when_every_touched_partition_empties(spark, tmpdir
     nothing = spark.createDataFrame([], "k string, v int, p int")
     overwrite_partitions(spark, nothing, path, "p", touched=[1])
     assert sorted((r.k, r.p) for r in spark.read.parquet(path).collect()) == [("c", 2)]
+
+
+def test_latest_of_stored_groups_repeated_keys_only(spark, tmpdir_path):
+    """The rows of ``dedupe_source(..., "latest")``, and a key that comes once is
+    never shuffled: its whole row is read and passed on."""
+    data = [("1", "x", 1, T1), ("1", "y", 2, T2), ("2", "a", None, T1), ("2", "b", 0, T1), ("3", None, None, None),
+            ("4", "same", 4, T1), ("4", "same", 4, T1), (None, "n", 1, T1), (None, "n", 1, T1), ("5", "z", 5, None), ("5", "z", 6, T0)]
+    spark.createDataFrame(data, SSCHEMA).write.parquet(tmpdir_path + "/s")
+    stored = spark.read.schema(SSCHEMA).parquet(tmpdir_path + "/s")
+    out = scd1.latest_of_stored(stored, "id")
+    assert rows(out) == rows(scd1.dedupe_source(stored, "id", on_duplicate="latest"))
+    assert rows(scd1.latest_of_stored(stored, ["id", "a"])) == rows(scd1.dedupe_source(stored, ["id", "a"], on_duplicate="latest"))
+    once = scd1.latest_of_stored(stored.where("id = '3'"), "id")
+    once.collect()
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "hashpartitioning(_several" not in plan and "SortMergeJoin" not in plan.split("Initial Plan")[0]

@@ -111,3 +111,29 @@ def test_lines_are_neither_shuffled_by_file_nor_parsed_twice(spark, tmpdir_path)
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "hashpartitioning(file" not in plan
     assert landed._jdf.queryExecution().optimizedPlan().toString().count("from_csv(") == 1
+
+
+def test_compressed_files_land_packed_and_leave_nothing(spark, tmpdir_path, spec):
+    """A compressed file is one block: its first line is the header, an equal one
+    below it is data.  Where no line is held, the others' pass has told so."""
+    import glob
+    import gzip
+
+    from lakeloom.session import ensure_checkpoint_dir
+    left = lambda: set(glob.glob(ensure_checkpoint_dir(spark) + "/cut-*")) | set(glob.glob(ensure_checkpoint_dir(spark) + "/lines-*"))
+    before = left()
+    os.makedirs(tmpdir_path + "/landing")
+    for name, text in (("1", "b,a\n" + "".join(f"v{i},{i}\n" for i in range(2000)) + "b,a\n"), ("2", "a,b\n7,x\n")):
+        with gzip.open(f"{tmpdir_path}/landing/{name}.csv.gz", "wt") as fh:
+            fh.write(text)
+    run = lambda: ingest_checked(spark, tmpdir_path + "/landing/*.csv.gz", spec, tmpdir_path + "/raw", tmpdir_path + "/ck")
+    run()
+    got = spark.table(spec.qualified)
+    assert rows(got.select(*SPEC_COLS)) == sorted([(str(i), f"v{i}") for i in range(2000)] + [("a", "b"), ("7", "x")])
+    assert held_lines(spark, tmpdir_path + "/raw").count() == 0
+    assert all(f.endswith(".zstd.parquet") for f in got.inputFiles())
+    with gzip.open(f"{tmpdir_path}/landing/3.csv.gz", "wt") as fh:
+        fh.write("a,b\n1,2,3\n8,y\n")
+    run()
+    assert got.count() == 2003 and rows(held_lines(spark, tmpdir_path + "/raw").select("line", "reason")) == [("1,2,3", "Wrong number of fields")]
+    assert left() == before
